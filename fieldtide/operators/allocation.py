@@ -145,6 +145,7 @@ def running_allocation(
     """
     if order is None:
         order = [F.col("store_rank"), F.col("virt_qty").desc(), F.col("wos").asc_nulls_last(), F.col("loc_nbr")]
+        order += [F.col("mvndr")] if "mvndr" in df.columns else []
     rows = ordered.numbered(df, list(keys), order, number="alloc_no", sums={"cum_qty": quantity}, **options)
     cum, qty, cap = F.col("cum_qty"), F.col(quantity), F.col(limit)
     return rows.withColumn("included_qty", F.when(cum < cap, qty).when(cum >= cap, cap - (cum - qty)))

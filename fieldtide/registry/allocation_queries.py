@@ -1 +1,172 @@
+"""Supply, allocation and uploads."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fieldtide.adapters import AS_OF_ORDERS, Tables
+from fieldtide.functions import fixed_values as fixed
+from fieldtide.functions.rules import store_rank
+from fieldtide.operators import allocation as al
+from fieldtide.operators import ordered
+from fieldtide.registry.core import query
+
+SINCE = "1995-06-01"
+SKU_SQL = "sku as (select sku_nbr, max(sku_crt_dt) sku_crt_dt from fx_skus group by 1)"
+YARD_FILTER = f"""t1.putwy_type in {fixed.PUTAWAY_TYPES} and b.dsvc_typ_cd <> 3 and b.rmeth_cd in (1, 2) and t1.load_typ in {fixed.LOAD_TYPES}
+ and (r.crt_pgm_id in {fixed.CREATE_PROGRAMS} or r.agg_typ_cd = 5) and t2.zone not like 'DD%' and t1.move_2_zone is null"""
+YARD_FROM = """fx_trailers t1 join fx_yard_arrivals t2 on cast(t1.rdc_nbr as bigint) = t2.dc_nbr and t1.trlr_nbr = t2.tlr_nbr
+ and t1.in_yard_dt between cast(t2.arvl_tm as date) - 3 and cast(t2.arvl_tm as date) + 3
+ join fx_requests r on t1.po_nbr = r.po_nbr and cast(t1.rdc_nbr as bigint) = cast(r.mkt_dc_nbr as bigint) and t1.po_crt_dt = r.ord_dt
+ join fx_order_events b on r.po_nbr = b.po_nbr and cast(r.mkt_dc_nbr as bigint) = cast(b.recv_loc_nbr as bigint) and r.ord_dt = b.ord_crt_dt"""
+YARD_SQL = f"""yarda as (select distinct t1.sku_nbr, t1.po_nbr, s.sku_crt_dt, t1.rdc_nbr, t1.units_ordered, t1.vendor_id mven
+ from {YARD_FROM} join fx_plan t3 on cast(t3.rdc_nbr as bigint) = cast(t1.rdc_nbr as bigint) and t1.trlr_nbr = t3.trlr_nbr
+ left join fx_allocated e on t1.po_nbr = e.po_nbr and cast(t1.rdc_nbr as bigint) = e.recv_loc_nbr and e.po_crt_dt = t1.po_crt_dt
+ join sku s on s.sku_nbr = t1.sku_nbr
+ where t3.cal_dt = date '{AS_OF_ORDERS}' and e.po_nbr is null and {YARD_FILTER}),
+yard as (select sku_nbr, sku_crt_dt, rdc_nbr, mven, sum(units_ordered) units_ordered from yarda group by 1, 2, 3, 4)"""
+CONF_SQL = f"""conf as (select r.mkt_dc_nbr rdc_nbr, a.loc_nbr, a.sku_nbr, s.sku_crt_dt, sum(a.conf_alloc_qty) conf_alloc_qty
+ from fx_allocs a join fx_requests r on a.agg_nbr = r.agg_nbr join sku s on s.sku_nbr = a.sku_nbr
+ where ord_dt > date '{SINCE}' and cast(eff_end_dttm as date) = date '9999-12-31' group by 1, 2, 3, 4)"""
+VIRT_SQL = f"""yard1 as (select distinct t1.vendor_id, t1.po_nbr, t1.rdc_nbr from {YARD_FROM} where {YARD_FILTER}),
+virt as (select b.mkt_dc_nbr rdc_nbr, a.loc_nbr, a.sku_nbr, s.sku_crt_dt, b.mvndr_nbr, sum(a.expctd_alloc_qty) virt_qty
+ from fx_allocs a join sku s on s.sku_nbr = a.sku_nbr join fx_requests b on a.agg_nbr = b.agg_nbr
+ join yard1 y on y.vendor_id = b.mvndr_nbr and y.po_nbr = b.po_nbr and cast(y.rdc_nbr as bigint) = cast(b.mkt_dc_nbr as bigint)
+ where ord_dt > date '{SINCE}' group by 1, 2, 3, 4, 5)"""
+WOS_SQL = """case when t.oh_qty + t.oo_qty + coalesce(e.conf_alloc_qty, 0) - coalesce(t.cord_alloc_qty, 0) < 0 then 0
+ else (t.oh_qty + t.oo_qty + coalesce(e.conf_alloc_qty, 0) - coalesce(t.cord_alloc_qty, 0))
+  / nullif((lead_tm_qty + rev_tm_qty) / nullif(coalesce(rev_tm_days_cnt, 0) + coalesce(lead_tm_days, 0), 0) * 7, 0) end"""
+INPUT_SQL = f"""strsku as (select distinct a.rdc_nbr, a.loc_nbr, a.sku_nbr, a.sku_crt_dt, virt_qty, conf_alloc_qty, units_ordered, b.mven mvndr
+ from virt a join yard b on cast(b.rdc_nbr as bigint) = cast(a.rdc_nbr as bigint) and b.sku_nbr = a.sku_nbr and b.sku_crt_dt = a.sku_crt_dt
+ left join conf c on c.sku_nbr = a.sku_nbr and c.sku_crt_dt = a.sku_crt_dt and c.loc_nbr = a.loc_nbr),
+detail as (select e.mvndr, e.rdc_nbr, e.sku_nbr, e.loc_nbr, a.buy_uom_qty, t.oh_qty, t.oo_qty, e.virt_qty, e.units_ordered qty_to_alloc, sum({WOS_SQL}) wos
+ from strsku e left join fx_store_params a on e.loc_nbr = cast(a.str_nbr as bigint) and a.sku_nbr = e.sku_nbr and a.sku_crt_dt = e.sku_crt_dt
+  and a.cal_dt = date '{AS_OF_ORDERS}' - 1
+ left join fx_store_stock t on cast(t.str_nbr as bigint) = e.loc_nbr and t.sku_nbr = e.sku_nbr and t.sku_crt_dt = e.sku_crt_dt
+ group by 1, 2, 3, 4, 5, 6, 7, 8, 9),
+input as (select *, case when wos = 0 then 1 when wos < 2 then 2 else 3 end store_rank from detail where virt_qty > 0)"""
+YARD_VIEWS = ["fx_trailers", "fx_yard_arrivals", "fx_requests", "fx_order_events"]
+INPUT_VIEWS = [*YARD_VIEWS, "fx_plan", "fx_allocated", "fx_skus", "fx_allocs", "fx_store_params", "fx_store_stock"]
+INPUT_PARTS = ", ".join([SKU_SQL, YARD_SQL, CONF_SQL, VIRT_SQL, INPUT_SQL])
+
+
+def running_sql(source: str, order: str) -> str:
+    """The running allocation, trim and upload rows of an input with these columns."""
+    return f"""cums as (select *, row_number() over w alloc_no, sum(virt_qty) over w cum_qty from {source}
+  window w as (partition by sku_nbr, rdc_nbr order by {order} rows between unbounded preceding and current row)),
+shares as (select *, case when cum_qty < qty_to_alloc then virt_qty when cum_qty >= qty_to_alloc then qty_to_alloc - (cum_qty - virt_qty) end included_qty from cums),
+trimmed as (select * from
+ (select * replace (case when wos = 0 then included_qty - buy_uom_qty else included_qty end as included_qty) from shares where included_qty > 0) x
+ where included_qty > 0)"""
+
+
+ALLOC_ORDER = "store_rank, virt_qty desc, wos nulls last, loc_nbr"
+RANKED = "ranked as (select *, case when wos = 0 then 1 when wos < 2 then 2 else 3 end store_rank from fx_alloc)"
+
+
+def ranked(t: Tables):
+    return t.fx("fx_alloc").withColumn("store_rank", store_rank(F.col("wos")))
+
+
+def yard(t: Tables):
+    return al.yard_supply(
+        t.fx("fx_trailers"), t.fx("fx_yard_arrivals"), t.fx("fx_plan"), t.fx("fx_allocated"), t.fx("fx_requests"),
+        t.fx("fx_order_events"), t.fx("fx_skus"), AS_OF_ORDERS)
+
+
+def virtual(t: Tables):
+    return al.virtual_allocations(
+        t.fx("fx_allocs"), t.fx("fx_requests"), t.fx("fx_skus"), t.fx("fx_trailers"), t.fx("fx_yard_arrivals"),
+        t.fx("fx_order_events"), SINCE)
+
+
+def confirmed(t: Tables):
+    return al.confirmed_allocations(t.fx("fx_allocs"), t.fx("fx_requests"), t.fx("fx_skus"), SINCE)
+
+
+def allocation_rows(t: Tables):
+    rows = al.allocation_input(virtual(t), yard(t), confirmed(t), t.fx("fx_store_params"), t.fx("fx_store_stock"), AS_OF_ORDERS)
+    return rows.withColumn("wos", F.round("wos", 6))
+
+
+@query("yard_supply", SKU_SQL + ", " + YARD_SQL + "---select * from yard",
+       views=[*YARD_VIEWS, "fx_plan", "fx_allocated", "fx_skus"], texts=["sku_crt_dt"])
+def yard_query(t):
+    return yard(t)
+
+
+@query("alloc_sums", SKU_SQL + ", " + CONF_SQL + "---select * from conf", views=["fx_skus", "fx_allocs", "fx_requests"], texts=["sku_crt_dt"], digits={"conf_alloc_qty": 4})
+def sums(t):
+    return confirmed(t)
+
+
+@query("virtual_allocations", SKU_SQL + ", " + VIRT_SQL + "---select * from virt", views=[*YARD_VIEWS, "fx_skus", "fx_allocs"], texts=["sku_crt_dt"])
+def virtual_query(t):
+    return virtual(t)
+
+
+@query("weeks_of_supply", f"""c as (select str_nbr, sku_nbr, cast(null as double) conf_alloc_qty from fx_store_stock)
+---select t.str_nbr, t.sku_nbr, sum({WOS_SQL}) wos from fx_store_stock t join c e on e.str_nbr = t.str_nbr and e.sku_nbr = t.sku_nbr group by 1, 2""",
+       views=["fx_store_stock"], digits={"wos": 6})
+def weeks(t):
+    rows = t.fx("fx_store_stock").withColumn("conf_alloc_qty", F.lit(None).cast("double"))
+    value = al.weeks_of_supply(*[F.col(c) for c in (
+        "oh_qty", "oo_qty", "conf_alloc_qty", "cord_alloc_qty", "lead_tm_qty", "rev_tm_qty", "lead_tm_days", "rev_tm_days_cnt")])
+    return rows.groupBy("str_nbr", "sku_nbr").agg(F.sum(value).alias("wos"))
+
+
+@query("allocation_input", INPUT_PARTS + "---select * from input", views=INPUT_VIEWS, digits={"wos": 6})
+def input_query(t):
+    return allocation_rows(t)
+
+
+@query("running_allocation", RANKED + ", " + running_sql("ranked", ALLOC_ORDER) + """---select sku_nbr, rdc_nbr, loc_nbr, store_rank, virt_qty, wos,
+ qty_to_alloc, alloc_no, cum_qty, included_qty from shares""", views=["fx_alloc"])
+def running(t):
+    return al.running_allocation(ranked(t)).select(
+        "sku_nbr", "rdc_nbr", "loc_nbr", "store_rank", "virt_qty", "wos", "qty_to_alloc", "alloc_no", "cum_qty", "included_qty")
+
+
+@query("allocation_trim", RANKED + ", " + running_sql("ranked", ALLOC_ORDER) + "---select sku_nbr, rdc_nbr, loc_nbr, included_qty from trimmed", views=["fx_alloc"])
+def trim(t):
+    return al.allocation_trim(al.running_allocation(ranked(t))).select("sku_nbr", "rdc_nbr", "loc_nbr", "included_qty")
+
+
+UPLOAD_SELECT = """select mvndr vendor, rdc_nbr rdc, sku_nbr sku, loc_nbr loc, '03/10/1998' start_date, '03/11/1998' end_date, included_qty qty,
+ row_number() over (order by rdc_nbr, sku_nbr, alloc_no) row_no,
+ cast(ceil(row_number() over (order by rdc_nbr, sku_nbr, alloc_no) / 1999.0) as bigint) chunk_no from trimmed"""
+
+
+@query("allocation_upload", INPUT_PARTS.replace("sum(" + WOS_SQL + ") wos", "round(sum(" + WOS_SQL + "), 6) wos") + ", "
+       + running_sql("input", ALLOC_ORDER + ", mvndr") + "---" + UPLOAD_SELECT, views=INPUT_VIEWS, digits={"qty": 4})
+def upload(t):
+    return al.allocation_upload(allocation_rows(t), AS_OF_ORDERS)
+
+
+@query("export_csv_chunked", """select l_orderkey, n row_no, cast(ceil(n / 1999.0) as bigint) chunk_no from (select l_orderkey, row_number() over
+ (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity, l_discount, l_tax) n from lineitem) x""")
+def chunks(t):
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
+    rows = ordered.chunk_numbers(t.table("lineitem").select(*order), [F.col(c) for c in order])
+    return rows.select("l_orderkey", "row_no", "chunk_no")
+
+
+FLAG_SQL = f"""flagged as (select p.* replace (case when cal_dt = date '{AS_OF_ORDERS}' and e.rdc_nbr is not null then 'N'
+ when cal_dt = date '{AS_OF_ORDERS}' then 'Y' else execute end as execute) from fx_plan p
+ left join fx_plan_errors e on e.rdc_nbr = p.rdc_nbr and e.asn_nbr = p.asn_nbr)"""
+
+
+@query("merge_flags", FLAG_SQL + "---select * from flagged", views=["fx_plan", "fx_plan_errors"], texts=["cal_dt"])
+def flags(t):
+    return al.merge_flags(t.fx("fx_plan"), t.fx("fx_plan_errors"), ["rdc_nbr", "asn_nbr"], AS_OF_ORDERS)
+
+
+@query("override_upload", FLAG_SQL + f"""---select distinct rdc_nbr, ' ' mvndr_nbr, trlr_nbr trailer_nbr, ' ' po_nbr, priority_nbr,
+ '03/10/1998' start_date, '03/13/1998' end_date from flagged where cal_dt = date '{AS_OF_ORDERS}' and execute = 'Y'""", views=["fx_plan", "fx_plan_errors"])
+def override(t):
+    return al.override_upload(t.fx("fx_plan"), t.fx("fx_plan_errors"), AS_OF_ORDERS)
+
+
+@query("export_upload_template", "select s_suppkey, '03/10/1998' start_date, '03/13/1998' end_date from supplier")
+def template(t):
+    return al.upload_dates(t.table("supplier").select("s_suppkey"), AS_OF_ORDERS, 3)
