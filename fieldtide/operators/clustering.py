@@ -153,13 +153,14 @@ def kmeans_sweep(
         k, model = item
         sse = float(model.summary.trainingCost)
         labelled = model.transform(data)
-        sizes = np.asarray(model.summary.clusterSizes, dtype=float)
         centers = np.asarray(model.clusterCenters())
+        # Equal points can leave fewer centers than k.
+        sizes = np.asarray(model.summary.clusterSizes, dtype=float)[: len(centers)]
         n, used = sizes.sum(), int((sizes > 0).sum())
         middle = sizes @ centers / n
         between = float((sizes * ((centers - middle) ** 2).sum(1)).sum())
         ch = (between / (used - 1)) / (sse / (n - used)) if sse > 0 and used > 1 else None
-        return k, sse, float(evaluator.evaluate(labelled)), ch
+        return k, sse, float(evaluator.evaluate(labelled)), None if ch is None else float(ch)
 
     try:
         best: dict[int, KMeansModel] = {}

@@ -8,6 +8,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from fieldtide.functions import text as tx
 
@@ -65,7 +66,7 @@ def best_match(query: str, raw: Sequence[str]) -> int:
     return best_at
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def _matched(clean: pd.Series, raw: pd.Series) -> pd.Series:
     def one(queries, sentences):
         if queries is None or sentences is None or not len(sentences):

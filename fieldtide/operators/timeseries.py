@@ -92,7 +92,7 @@ def boxcox_lambda(df: DataFrame, series: str = KEY, y: str = Y, grid: Sequence[f
     likelihood = (lam - 1) * F.col("_logs") - F.col("_n") / 2 * F.log("_var")
     scored = sums.where(F.col("_var") > 0).select(series, "lam", likelihood.alias("llf"))
     best = scored.groupBy(series).agg(F.max_by(F.struct("lam", "llf"), F.struct(F.col("llf"), -lam)).alias("_b"))
-    return best.select(series, F.col("_b.lam").alias("lambda"), F.col("_b.llf").alias("llf"))
+    return best.select(series, "_b.lam", "_b.llf")
 
 
 def _nth(year: Column, month: int, weekday: str, n: int) -> Column:

@@ -1 +1,119 @@
+"""Clusters of vectors, and one-hot columns."""
 
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from fieldtide.operators import clustering as cl
+from fieldtide.operators import features
+from fieldtide.plans.clusters import reason_clusters
+from fieldtide.registry.core import query
+
+DIMS_SQL = "dims as (select vec_id, label, unnest(range(1, len(embedding) + 1)) d, unnest(embedding)::double v from embeddings)"
+MEANS_SQL = DIMS_SQL + ", means as (select label, d, avg(v) m, count(*) n from dims group by 1, 2)"
+SSE_SQL = MEANS_SQL + ", sse as (select x.label, count(distinct vec_id) members, sum((v - m) ** 2) sse from dims x join means m on x.label = m.label and x.d = m.d group by 1)"
+
+
+@query("cluster_counts", "select label, count(*) members from embeddings group by 1")
+def counts(t):
+    return cl.cluster_counts(t.table("embeddings"))
+
+
+@query("cluster_sse", SSE_SQL + "---select * from sse", digits={"sse": 5})
+def sse(t):
+    return cl.cluster_sse(t.table("embeddings"))
+
+
+@query("cluster_ch", SSE_SQL + """, total as (select d, avg(v) g from dims group by 1)
+---select (select count(*) from sse) k, (select sum(members)::bigint from sse) n,
+ ((select sum(n * (m - g) ** 2) from means join total using (d)) / ((select count(*) from sse) - 1))
+ / ((select sum(sse) from sse) / ((select sum(members) from sse) - (select count(*) from sse))) ch""", digits={"ch": 5})
+def ch(t):
+    return cl.cluster_ch(t.table("embeddings"))
+
+
+def silhouette_sql(distance: str) -> str:
+    return f"""pairs as (select a.vec_id, a.label, b.label other, sum({distance}) s, count(*) n from embeddings a, embeddings b group by 1, 2, 3),
+ab as (select vec_id, label, max(case when label = other then s / nullif(n - 1, 0) end) a, min(case when label <> other then s / n end) b from pairs group by 1, 2)
+---select avg(coalesce((b - a) / nullif(greatest(a, b), 0), 0)) silhouette from ab"""
+
+
+@query("cluster_silhouette", silhouette_sql("list_distance(a.embedding::double[], b.embedding::double[]) ** 2"), digits={"silhouette": 6})
+def silhouette(t):
+    return cl.cluster_silhouette(t.table("embeddings"))
+
+
+@query("cluster_silhouette_euclidean", silhouette_sql("list_distance(a.embedding::double[], b.embedding::double[])"), digits={"silhouette": 6})
+def silhouette_euclidean(t):
+    return cl.cluster_silhouette(t.table("embeddings"), "euclidean")
+
+
+NEAREST_SQL = MEANS_SQL + """, gaps as (select x.vec_id, m.label cluster_id, sqrt(sum((v - m) ** 2)) gap from dims x join means m on x.d = m.d group by 1, 2),
+near as (select vec_id, arg_min(cluster_id, gap) cluster_id, min(gap) center_dist from gaps group by 1)"""
+
+
+def near(t):
+    rows = t.table("embeddings")
+    return cl.centroid_distance(rows, cl.cluster_means(rows)).select("vec_id", "cluster_id", "center_dist")
+
+
+@query("centroid_distance", NEAREST_SQL + "---select * from near", digits={"center_dist": 6})
+def distances(t):
+    return near(t)
+
+
+@query("nearest_members", NEAREST_SQL + """---select vec_id, cluster_id, center_dist, n member_no from (select *, row_number() over
+ (partition by cluster_id order by center_dist, vec_id) n from near) x where n <= 10""", digits={"center_dist": 6})
+def members(t):
+    return cl.nearest_members(near(t))
+
+
+@query("knee_point", """pts as (select n_chars // 1000 k, count(*) c from documents group by 1),
+norm as (select k, (k - min(k) over ()) / (max(k) over () - min(k) over ()) xn, (c - min(c) over ()) / (max(c) over () - min(c) over ()) yn from pts),
+diff as (select k, xn, 1 - yn - xn d from norm),
+near as (select *, lag(d) over w p, lead(d) over w q, xn - lag(xn) over w step from diff window w as (order by k)),
+mark as (select *, d >= coalesce(p, d) and d >= coalesce(q, d) top, d <= coalesce(p, d) and d <= coalesce(q, d) low, avg(step) over () s from near),
+run as (select *, last_value(case when low then 0 when top then d - s end ignore nulls) over w lim, last_value(case when top then k end ignore nulls) over w peak
+ from mark window w as (order by k rows between unbounded preceding and current row))
+---select arg_min(peak, k) knee from run where peak is not null and q < lim""")
+def knee(t):
+    points = t.table("documents").groupBy(F.expr("n_chars div 1000").alias("k")).agg(F.count(F.lit(1)).alias("sse"))
+    return cl.knee_point(points)
+
+
+@query("embed_text")
+def embed(t):
+    rows = cl.embed_text(t.fx("fx_text"), "text", 64)
+    return rows.select("doc_id", F.round(F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, v: s + v * v), 6).alias("norm"))
+
+
+@query("kmeans_sweep")
+def sweep(t):
+    table, _ = cl.kmeans_sweep(t.table("embeddings"), restarts=2, vec="embedding")
+    return table
+
+
+@query("assign_cluster_label")
+def assign(t):
+    rows = t.table("embeddings").select("vec_id", "embedding")
+    _, models = cl.kmeans_sweep(rows, [10], restarts=1, vec="embedding")
+    return cl.assign_cluster_label(models[10], rows, "embedding", "cluster_id").select("vec_id", "cluster_id")
+
+
+@query("reason_clusters")
+def clusters(t):
+    return reason_clusters(t.fx("fx_comments"), "cmkey", "cmcomment", restarts=1, dim=64)
+
+
+TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+def one_hot_sql(values, column):
+    return ", ".join(f"cast({column} = '{v}' as int) \"{column}_{v}\"" for v in values)
+
+
+@query("one_hot", f"select p_partkey, p_type, {one_hot_sql(TYPES, 'p_type')} from part")
+def one_hot(t):
+    parts = t.table("part").select("p_partkey", "p_type")
+    return features.one_hot(parts, ["p_type"]).transform(parts)

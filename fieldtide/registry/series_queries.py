@@ -1 +1,132 @@
+"""Monthly series: preparation, errors, forecasts."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fieldtide.adapters import Tables
+from fieldtide.operators import timeseries as ts
+from fieldtide.plans.forecast import appointment_forecast
+from fieldtide.registry.core import query
+
+
+def series(t: Tables):
+    return t.fx("fx_series")
+
+
+IMPUTED_SQL = """imp as (select a.* replace (case when a.yr = 2000 and a.mo between 3 and 4 then b.y else a.y end as y) from fx_series a
+ left join fx_series b on b.yr = 1999 and a.yr = 2000 and b.mo = a.mo and b.series = a.series)"""
+
+
+@query("impute_from_base_year", IMPUTED_SQL + "---select * from imp", views=["fx_series"], texts=["ds"])
+def impute(t):
+    return ts.impute_from_base_year(series(t), 1999, 2000, (3, 4))
+
+
+@query("train_test_split", "select series, ds, y, ds < max(ds) over (partition by series) - 182 is_train from fx_series", views=["fx_series"], texts=["ds"])
+def split(t):
+    return ts.train_test_split(series(t)).select("series", "ds", "y", "is_train")
+
+
+ERR = "case when mo = 1 then 0 else y end"
+
+
+@query("mape", f"""e as (select series, {ERR} a, abs(y * 1.1 - mo) p, avg({ERR}) over (partition by series) m from fx_series)
+---select series, avg(abs(case when a <> 0 then (a - p) / a else p / m end)) * 100 mape from e group by 1""", views=["fx_series"], digits={"mape": 6})
+def mape(t):
+    actual = F.when(F.col("mo") == 1, 0).otherwise(F.col("y"))
+    rows = series(t).withColumns({"yhat": F.col("y") * 1.1 - F.col("mo"), "y": actual})
+    return ts.mape(rows, ["series"])
+
+
+@query("best_params", """e as (select series, mo param_id, round(stddev_pop(y) / avg(y), 6) test_mape from fx_series group by 1, 2)
+---select series, param_id, test_mape from (select *, row_number() over (partition by series order by test_mape nulls last, param_id) n from e) x where n = 1""",
+       views=["fx_series"])
+def best(t):
+    error = F.round(F.stddev_pop("y") / F.avg("y"), 6).alias("test_mape")
+    return ts.best_params(series(t).groupBy("series", F.col("mo").alias("param_id")).agg(error))
+
+
+GRID = ", ".join(f"({round(-2 + i * 0.05, 2)}::double)" for i in range(81))
+
+
+@query("boxcox_lambda", f"""g as (select * from (values {GRID}) v(lam)),
+s as (select series, lam, sum(ln(y)) ls, var_pop(case when lam = 0 then ln(y) else (pow(y, lam) - 1) / nullif(lam, 0) end) v, count(*) n
+ from fx_series, g where y > 0 group by 1, 2),
+l as (select series, lam, (lam - 1) * ls - n / 2 * ln(v) llf from s)
+---select series, arg_max(lam, llf) lam, max(llf) llf from l group by 1""", views=["fx_series"], digits={"llf": 5})
+def boxcox(t):
+    return ts.boxcox_lambda(series(t))
+
+
+@query("param_grid", """select distinct series, p.* from fx_series, (values (1, 1.0::double, 0.8::double, 0.8::double, 'multiplicative'),
+ (2, 1.0, 0.8, 0.8, 'additive')) p(param_id, changepoint_prior_scale, changepoint_range, holidays_prior_scale, seasonality_mode)""", views=["fx_series"])
+def grid(t):
+    table = ts.param_grid(t.spark, ts.DEFAULT_GRID)
+    ids = F.explode(F.array(*[F.lit(i).cast("long") for i in range(1, len(ts.grid_rows(ts.DEFAULT_GRID)) + 1)]))
+    listed = series(t).select("series").distinct().select("series", ids.alias("param_id"))
+    return listed.join(F.broadcast(table), "param_id")
+
+
+@query("holiday_table", """years as (select distinct year(o_orderdate)::int y from orders),
+firsts as (select y, m, make_date(y, m, 1) f from years, (values (1), (2), (6), (9), (10), (11)) v(m)),
+nth as (select y, m, f + ((1 - dayofweek(f) + 7) % 7)::int mon, f + ((4 - dayofweek(f) + 7) % 7)::int thu from firsts),
+base as (select make_date(y, 1, 1) ds, 'New Year''s Day' holiday from years
+ union all select mon + 14, 'Martin Luther King Jr. Day' from nth where m = 1
+ union all select mon + 14, 'Washington''s Birthday' from nth where m = 2
+ union all select mon - 7, 'Memorial Day' from nth where m = 6
+ union all select make_date(y, 6, 19), 'Juneteenth National Independence Day' from years where y >= 2021
+ union all select make_date(y, 7, 4), 'Independence Day' from years
+ union all select mon, 'Labor Day' from nth where m = 9
+ union all select mon + 7, 'Columbus Day' from nth where m = 10
+ union all select make_date(y, 11, 11), 'Veterans Day' from years
+ union all select thu + 21, 'Thanksgiving' from nth where m = 11
+ union all select make_date(y, 12, 25), 'Christmas Day' from years)
+---select *, 0 lower_window, 6 upper_window from (select * from base union all
+ select ds + case when dayofweek(ds) = 6 then -1 else 1 end, holiday || ' (Observed)' from base where dayofweek(ds) in (0, 6)) h""", texts=["ds"])
+def holidays(t):
+    return ts.holiday_table(t.table("orders").select(F.year("o_orderdate").alias("yr")))
+
+
+FRAME_SQL = """last as (select series, max(ds) l from fx_series group by 1),
+frame as (select series, ds from fx_series union
+ select series, last_day(case when last_day(l) = l then l + interval 1 month else l end + to_months(m)) from last, (select unnest(range(6))::int m) r)"""
+
+
+@query("future_frame", FRAME_SQL + """, fis as (select distinct ds, month(ds) fiscal_month from fx_series)
+---select f.series, f.ds, fiscal_month from frame f left join fis using (ds)""", views=["fx_series"], texts=["ds"])
+def frame(t):
+    fiscal = series(t).select("ds", F.month("ds").cast("long").alias("fiscal_month")).distinct()
+    return ts.future_frame(series(t), 6, fiscal).select("series", "ds", "fiscal_month")
+
+
+@query("join_actuals", FRAME_SQL + "---select f.series, f.ds, s.y from frame f left join fx_series s on s.series = f.series and s.ds = f.ds", views=["fx_series"], texts=["ds"])
+def actuals(t):
+    return ts.join_actuals(ts.future_frame(series(t)), series(t)).select("series", "ds", "y")
+
+
+@query("forecast_output", FRAME_SQL + """---select f.series, f.ds, greatest(month(f.ds) * 10.0 - 60, 0) yhat, s.y
+ from frame f left join fx_series s on s.series = f.series and s.ds = f.ds""", views=["fx_series"], texts=["ds"], digits={"yhat": 4})
+def output(t):
+    predicted = ts.future_frame(series(t)).withColumn("yhat", F.month("ds") * 10.0 - 60)
+    return ts.forecast_output(predicted, series(t))
+
+
+def _holidays(t):
+    return ts.holiday_table(series(t).select("yr"))
+
+
+@query("forecast_fit")
+def fit(t):
+    rows = series(t)
+    return ts.forecast_fit(rows, ts.future_frame(rows), ts.DEFAULT_GRID, _holidays(t))
+
+
+@query("tune_models")
+def tune(t):
+    return ts.tune_models(series(t), ts.DEFAULT_GRID, _holidays(t))
+
+
+@query("appointment_forecast")
+def forecast(t):
+    return appointment_forecast(series(t), 1999, 2000, (3, 4))

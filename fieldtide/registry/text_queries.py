@@ -1 +1,164 @@
+"""Text cleaning and reviews."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fieldtide.adapters import Tables
+from fieldtide.functions import fixed_values as fixed
+from fieldtide.functions import text as tx
+from fieldtide.operators import reviews as rv
+from fieldtide.operators import text as tt
+from fieldtide.registry.core import query
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def words_sql(c: str) -> str:
+    return f"list_filter(regexp_split_to_array({c}, '\\s+'), lambda w: w <> '')"
+
+
+def map_sql(mapping: dict[str, str]) -> str:
+    return "map {" + ", ".join(f"{quoted(k)}: {quoted(v)}" for k, v in mapping.items()) + "}"
+
+
+def mapped_sql(words: str, mapping: dict[str, str]) -> str:
+    return f"array_to_string(list_transform({words}, lambda w: coalesce({map_sql(mapping)}[lower(w)], w)), ' ')"
+
+
+def printable_sql(c: str) -> str:
+    return f"regexp_replace({c}, '{fixed.NON_PRINTABLE}', '', 'g')"
+
+
+def urls_sql(c: str) -> str:
+    return f"regexp_replace({c}, '{fixed.URL_PATTERN}', 'URLLINK', 'g')"
+
+
+def phrases_sql(c: str) -> str:
+    for phrase in fixed.JUNK_PHRASES:
+        c = f"replace({c}, {quoted(phrase)}, ' ')"
+    return c
+
+
+def expand_sql(c: str) -> str:
+    return mapped_sql(words_sql(c), fixed.contractions())
+
+
+def clean_sql(c: str) -> str:
+    c = phrases_sql(urls_sql(expand_sql(printable_sql(c))))
+    for old, new in fixed.REWRITES:
+        c = f"replace({c}, {quoted(old)}, {quoted(new)})"
+    return c
+
+
+def _text(t: Tables, column, name: str):
+    return t.fx("fx_text").select("doc_id", column(F.col("text")).alias(name))
+
+
+@query("remove_non_printable", f"select doc_id, {printable_sql('text')} cleaned from fx_text", views=["fx_text"])
+def printable(t):
+    return _text(t, tx.remove_non_printable, "cleaned")
+
+
+@query("expand_contractions", f"select doc_id, {expand_sql('text')} cleaned from fx_text", views=["fx_text"])
+def expand(t):
+    return _text(t, tx.expand_contractions, "cleaned")
+
+
+@query("replace_urls", f"select page_id, {urls_sql('url')} url from pages union all select doc_id, {urls_sql('text')} from fx_text", views=["fx_text"])
+def urls(t):
+    pages = t.table("pages").select("page_id", tx.replace_urls(F.col("url")).alias("url"))
+    return pages.union(_text(t, tx.replace_urls, "url"))
+
+
+@query("drop_phrases", f"select doc_id, {phrases_sql('text')} cleaned from fx_text", views=["fx_text"])
+def phrases(t):
+    return _text(t, tx.drop_phrases, "cleaned")
+
+
+@query("clean_text", f"select doc_id, {clean_sql('text')} cleaned from fx_text", views=["fx_text"])
+def clean(t):
+    return _text(t, tx.clean_text, "cleaned")
+
+
+LEMMA_SQL = """case when length(w) < 4 or regexp_matches(w, '(ss|us|is)$') then w
+ when regexp_matches(w, '[^aeiou]ies$') then regexp_replace(w, 'ies$', 'y')
+ when regexp_matches(w, '(ss|x|z|ch|sh)es$') then regexp_replace(w, 'es$', '')
+ when regexp_matches(w, '[lr]ves$') then regexp_replace(w, 'ves$', 'f')
+ when regexp_matches(w, 'men$') then regexp_replace(w, 'men$', 'man') else regexp_replace(w, 's$', '') end"""
+
+
+@query("lemmatize", f"select doc_id, array_to_string(list_transform({words_sql('text')}, lambda w: {LEMMA_SQL}), ' ') lemmatized from fx_text", views=["fx_text"])
+def lemmas(t):
+    return tt.lemmatize(t.fx("fx_text"), "text").select("doc_id", "lemmatized")
+
+
+@query("lemmatize_table", f"""select doc_id, array_to_string(list_transform({words_sql('text')}, lambda w: case when w = 'see' then 'look'
+ when w = 'wrong,' then 'false' else w end), ' ') lemmatized from fx_text""", views=["fx_text"])
+def lemma_table(t):
+    # The lemma table comes with the texts' own forms: the tokens of the appended phrases.
+    forms = t.fx("fx_text").select(F.explode(tx.tokens(F.col("text"))).alias("form")).where("form in ('see', 'wrong,')").distinct()
+    table = forms.withColumn("lemma", F.when(F.col("form") == "see", "look").otherwise("false"))
+    return tt.lemmatize(t.fx("fx_text"), "text", table).select("doc_id", "lemmatized")
+
+
+@query("stop_word_filter", f"""select doc_id, array_to_string(list_filter({words_sql('text')}, lambda w: lower(w) not in
+ ({', '.join(quoted(w) for w in fixed.STOP_NOUNS)})), ' ') kept from fx_text""", views=["fx_text"])
+def stop_words(t):
+    return _text(t, lambda c: F.array_join(tx.stop_word_filter(tx.tokens(c)), " "), "kept")
+
+
+@query("standardize_terms", f"select doc_id, {mapped_sql(words_sql('text'), fixed.STANDARD_TERMS)} terms from fx_text", views=["fx_text"])
+def terms(t):
+    return _text(t, lambda c: F.array_join(tx.standardize_terms(tx.tokens(c)), " "), "terms")
+
+
+@query("join_list", "select doc_id, array_to_string(string_split(text, ' '), '..') joined from documents")
+def joined(t):
+    return t.table("documents").select("doc_id", tx.join_list(F.split("text", " "), "..").alias("joined"))
+
+
+SENTENCES = "list_filter(string_split(regexp_replace({}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: s <> '')"
+
+
+@query("split_sentences", f"select doc_id, len(s) n_sentences, array_to_string(s, '|') sentences from (select doc_id, {SENTENCES.format('text')} s from documents) x")
+def sentences(t):
+    rows = t.table("documents").select("doc_id", tx.split_sentences(F.col("text")).alias("s"))
+    return rows.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.array_join("s", "|").alias("sentences"))
+
+
+def products(t: Tables):
+    """Conversations as products with a list of reviews: repeated ids, a few without text."""
+    text = F.when(F.col("turn") % 7 != 3, F.col("text"))
+    review = F.struct("turn", (F.col("turn") % 4).cast("string").alias("Id"), text.alias("ReviewText"))
+    rows = t.table("conversations").groupBy(F.col("conv_id").alias("omsid")).agg(F.array_sort(F.collect_list(review)).alias("_r"))
+    plain = F.transform("_r", lambda r: F.struct(r["Id"].alias("Id"), r["ReviewText"].alias("ReviewText")))
+    return rows.select("omsid", F.size("_r").cast("long").alias("num_reviews"), plain.alias("reviews"))
+
+
+@query("explode_reviews", """select conv_id omsid, cast(turn % 4 as varchar) review_id, arg_max(text, turn) review_text
+ from conversations where turn % 7 <> 3 group by 1, 2""")
+def exploded(t):
+    return rv.explode_reviews(products(t))
+
+
+@query("review_id_text", "select conv_id omsid, cast(turn % 4 as varchar) review_id, case when turn % 7 <> 3 then text end review_text from conversations")
+def id_text(t):
+    return rv.review_id_text(products(t))
+
+
+@query("match_sentences")
+def match(t):
+    rows = rv.explode_reviews(products(t))
+    clean = tx.split_sentences(tx.clean_text(F.col("review_text")))
+    raw = tx.split_sentences(F.col("review_text"))
+    return rows.select("omsid", "review_id", F.array_join(rv.match_sentences(clean, raw), "|").alias("matched"))
+
+
+@query("review_sentences")
+def review(t):
+    rows = rv.review_sentences(products(t))
+    return rows.select("omsid", "review_id", "review_text_cleaned", F.array_join("sentences_cleaned", "|").alias("sentences_cleaned"),
+                       F.array_join("sentences_raw", "|").alias("sentences_raw"))
