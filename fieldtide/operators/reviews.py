@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Sequence
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,42 +30,68 @@ def review_id_text(products: DataFrame) -> DataFrame:
     return rows.select("omsid", F.col("_review.Id").alias("review_id"), F.col("_review.ReviewText").alias("review_text"))
 
 
-def best_match(query: str, raw: Sequence[str]) -> int:
-    """Position of the raw sentence whose best word n-gram is most similar to ``query``.
+class RawSentences:
+    """The raw sentences of one review, ready to find the one most similar to a clean sentence.
 
-    The n-gram has as many words as the query; the first of equal sentences wins. Cheap upper
-    bounds of the similarity skip n-grams that cannot win, so the result is that of comparing all.
+    A clean sentence of n words is compared with every n-gram of words of every raw sentence.
+    The letters two texts share bound their similarity, and these bounds are computed for all
+    n-grams at once; only n-grams whose bound reaches the best similarity so far are compared
+    exactly, so the result is that of comparing all.
     """
-    matcher = SequenceMatcher(None)
-    matcher.set_seq2(query)
-    width = len(query.split())
-    best, best_at, floor = 0.0, 0, 0.0
-
-    def grams(sentence: str) -> Iterator[str]:
-        words = sentence.split()
-        n = min(width, len(words))
-        if n == 0:
-            return iter(())
-        return (" ".join(words[i:i + n]) for i in range(len(words) - n + 1))
-
-    if query in raw:  # an identical sentence scores 1 unless its spacing differs
-        for gram in grams(query):
-            matcher.set_seq1(gram)
-            floor = max(floor, matcher.ratio())
-    for at, sentence in enumerate(raw):
-        for gram in grams(sentence):
-            matcher.set_seq1(gram)
-            for bound in (matcher.real_quick_ratio, matcher.quick_ratio):
-                limit = bound()
-                if limit <= best or limit < floor:
-                    break
-            else:
-                score = matcher.ratio()
-                if score > best:
-                    best, best_at = score, at
-        if best >= 1.0:
-            break
-    return best_at
+
+    def __init__(self, sentences: Sequence[str]):
+        self.sentences = list(sentences)
+        split = [s.split() for s in self.sentences]
+        self.words = [w for words in split for w in words]
+        self.ends = np.cumsum([0, *map(len, split)])
+        self.letters = {c: i for i, c in enumerate(sorted(set("".join(self.words))))}
+        counts = np.zeros((len(self.words) + 1, len(self.letters)), dtype=np.int64)
+        for at, word in enumerate(self.words, 1):
+            for letter, n in Counter(word).items():
+                counts[at, self.letters[letter]] = n
+        self.cumulated = counts.cumsum(0)
+        self.grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+    def _grams(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word, end and sentence of every n-gram; short sentences count as a whole."""
+        if width not in self.grams:
+            first, last, owner = [], [], []
+            for at, (start, end) in enumerate(zip(self.ends[:-1], self.ends[1:])):
+                n = min(width, end - start)
+                if n > 0:
+                    begin = np.arange(start, end - n + 1)
+                    first.append(begin)
+                    last.append(begin + n)
+                    owner.append(np.full(len(begin), at))
+            empty = [np.zeros(0, dtype=np.int64)]
+            self.grams[width] = tuple(np.concatenate(x or empty) for x in (first, last, owner))
+        return self.grams[width]
+
+    def best_match(self, query: str) -> int:
+        """Position of the most similar raw sentence; the first of equal ones."""
+        first, last, owner = self._grams(len(query.split()))
+        wanted, blanks = np.zeros(len(self.letters), dtype=np.int64), query.count(" ")
+        for letter, n in Counter(query).items():
+            if letter in self.letters:
+                wanted[self.letters[letter]] = n
+        counts = self.cumulated[last] - self.cumulated[first]
+        gaps = last - first - 1
+        shared = np.minimum(counts, wanted).sum(1) + np.minimum(gaps, blanks)
+        bounds = 2.0 * shared / (counts.sum(1) + gaps + len(query))
+        matcher = SequenceMatcher(None)
+        matcher.set_seq2(query)
+        best, best_at = 0.0, 0
+        for i in np.argsort(-bounds, kind="stable"):
+            if bounds[i] < best or bounds[i] == 0:
+                break
+            at = int(owner[i])
+            if bounds[i] == best and at >= best_at:
+                continue
+            matcher.set_seq1(" ".join(self.words[first[i]:last[i]]))
+            score = matcher.ratio()
+            if score > best or (score == best and at < best_at):
+                best, best_at = score, at
+        return best_at
 
 
 @F.pandas_udf(ArrayType(StringType()))
@@ -71,8 +99,8 @@ def _matched(clean: pd.Series, raw: pd.Series) -> pd.Series:
     def one(queries, sentences):
         if queries is None or sentences is None or not len(sentences):
             return None
-        listed = list(sentences)
-        return [listed[best_match(q, listed)] for q in queries]
+        known = RawSentences(sentences)
+        return [known.sentences[known.best_match(q)] for q in queries]
 
     return pd.Series([one(c, r) for c, r in zip(clean, raw)], dtype=object)
 

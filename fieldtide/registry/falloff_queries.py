@@ -275,8 +275,9 @@ REPORT_SUMS_SQL = ", ".join(
     f"{'cast(' if 'count' in src else ''}sum({src}){' as bigint)' if 'count' in src else ''} {new}"
     for src, new in falloff.REPORT_SUMS.items()
 )
-REPORT_DIGITS = {n: 2 for n in REPORT_NAMES if "amt" in n or n in ("bow_scheduled", "hdis_scorecard_ir")} | {
-    "job_amt_fall_off": 2, "fall_off_pct_of_job_amt": 8}
+REPORT_DIGITS = {n: 2 for n in REPORT_NAMES if "amt" in n or n == "bow_scheduled"} | {
+    # the revenue repeats per week: sums beyond 1e11 carry no cents in a double
+    "hdis_scorecard_ir": -1, "job_amt_fall_off": 2, "fall_off_pct_of_job_amt": 8}
 
 
 def levels_sql(source: str, key: str, label: str, total: bool) -> str:

@@ -117,12 +117,12 @@ def _recipients(t):
     return t.fx("fx_results").withColumnRenamed("user_id", "user").withColumn("run_ts", F.col("run_ts").cast("timestamp_ntz"))
 
 
-RECENT = "run_ts >= timestamp '2024-01-28 10:00:00' - interval 10 minute"
+RECENT = "run_ts >= timestamp '2024-01-30 23:05:00' - interval 10 minute"
 
 
 @query("recent_recipients", f"select distinct user_id as user, mail, run_ts from fx_results where {RECENT}", views=["fx_results"], texts=["run_ts"])
 def recent(t):
-    return recipients.recent_recipients(_recipients(t), "2024-01-28 10:00:00")
+    return recipients.recent_recipients(_recipients(t), "2024-01-30 23:05:00")
 
 
 @query("recent_recipients_stream")
@@ -140,7 +140,7 @@ def recent_stream(t):
  (select user_id, run_ts from fx_results where {RECENT})""", views=["fx_results"])
 def by_recipient(t):
     rows, out = _recipients(t), scratch_path(t.spark, "recipients")
-    sinks.export_by_recipient(rows, recipients.recent_recipients(rows, "2024-01-28 10:00:00"), out)
+    sinks.export_by_recipient(rows, recipients.recent_recipients(rows, "2024-01-30 23:05:00"), out)
     schema = "mail string, value double, event_id long, user long, run_ts string"
     return t.spark.read.csv(out, header=True, schema=schema).select("user", "event_id", "value")
 
