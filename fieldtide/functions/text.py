@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
@@ -25,10 +26,23 @@ def _mapped(word: Column, mapping: Mapping[str, str]) -> Column:
     return F.when(F.lower(word).isin(list(mapping)), table[F.lower(word)]).otherwise(word)
 
 
+def single_spaced(text: Column) -> Column:
+    """The tokens of a text joined by one space."""
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+
 def expand_contractions(text: Column, mapping: Mapping[str, str] | None = None) -> Column:
-    """Replace whole tokens found in ``mapping`` (lower-cased) and join by one space."""
+    """Replace whole tokens found in ``mapping`` (lower-cased) and join by one space.
+
+    Texts without an apostrophe and without any of the plain listed words skip the token loop.
+    """
     table = dict(mapping or fixed.contractions())
-    return F.array_join(F.transform(tokens(text), lambda w: _mapped(w, table)), " ")
+    plain = [re.escape(w) for w in table if "'" not in w]
+    maybe = text.contains("'") if len(plain) < len(table) else F.lit(False)
+    if plain:
+        maybe = maybe | text.rlike(rf"(?i)(?<!\S)(?:{'|'.join(plain)})(?!\S)")
+    expanded = F.array_join(F.transform(tokens(text), lambda w: _mapped(w, table)), " ")
+    return F.when(maybe, expanded).otherwise(single_spaced(text))
 
 
 def replace_urls(text: Column, token: str = fixed.URL_TOKEN) -> Column:
@@ -74,14 +88,20 @@ def join_list(items: Column, separator: str) -> Column:
     return F.array_join(items, separator)
 
 
-def noun_lemma(word: Column) -> Column:
-    """Regular English noun endings: ies->y, (s|x|z|ch|sh)es, ves->f, men->man, s."""
-    return (
-        F.when(F.length(word) < 4, word)
-        .when(word.rlike("(ss|us|is)$"), word)
-        .when(word.rlike("[^aeiou]ies$"), F.regexp_replace(word, "ies$", "y"))
-        .when(word.rlike("(ss|x|z|ch|sh)es$"), F.regexp_replace(word, "es$", ""))
-        .when(word.rlike("[lr]ves$"), F.regexp_replace(word, "ves$", "f"))
-        .when(word.rlike("men$"), F.regexp_replace(word, "men$", "man"))
-        .otherwise(F.regexp_replace(word, "s$", ""))
-    )
+# Regular English noun endings of tokens of four letters or more: ies->y, (ss|x|z|ch|sh)es->es cut,
+# (l|r)ves->f, men->man, and at last s, but not in ss, us, is.
+NOUN_ENDINGS = (
+    (r"(?<=[^aeiou\s])ies(?!\S)", "y"),
+    (r"(?<=ss|\Sx|\Sz|ch|sh)es(?!\S)", ""),
+    (r"(?<=[lr])ves(?!\S)", "f"),
+    (r"(?<=\S)men(?!\S)", "man"),
+    (r"(?<=\S\S[^sui\s])s(?!\S)", ""),
+)
+
+
+def noun_lemmas(text: Column) -> Column:
+    """Every token with its regular noun ending removed; works on whole texts, not per token."""
+    text = single_spaced(text)
+    for ending, base in NOUN_ENDINGS:
+        text = F.regexp_replace(text, ending, base)
+    return text

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fieldtide.functions import fixed_values as fixed
 from fieldtide.functions import rules
 from fieldtide.operators import columns, joins, ordered
+from fieldtide.session import checkpoint_dir
 
 
 def latest_sku(skus: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def _int(column: str) -> Column:
     return F.expr(f"try_cast({column} as bigint)")
 
 
-def _on_yard(trailers: DataFrame, arrivals: DataFrame, requests: DataFrame, events: DataFrame) -> DataFrame:
+def yard_lines(trailers: DataFrame, arrivals: DataFrame, requests: DataFrame, events: DataFrame) -> DataFrame:
     """Trailer lines with a matching arrival (within three days), request and order event."""
     waiting = trailers.where(
         F.col("putwy_type").isin(*fixed.PUTAWAY_TYPES)
@@ -59,31 +60,33 @@ def _on_yard(trailers: DataFrame, arrivals: DataFrame, requests: DataFrame, even
 
 def yard_supply(
     trailers: DataFrame, arrivals: DataFrame, plan: DataFrame, allocated: DataFrame, requests: DataFrame,
-    events: DataFrame, skus: DataFrame, as_of: str,
+    events: DataFrame, skus: DataFrame, as_of: str, lines: DataFrame | None = None,
 ) -> DataFrame:
     """Units on the yard per SKU, DC and vendor that are planned today and not yet allocated.
 
-    Equal lines (SKU, order, DC, units, vendor) count once.
+    Equal lines (SKU, order, DC, units, vendor) count once. ``lines`` takes a stored result of
+    ``yard_lines`` when several steps need it.
     """
     today = plan.where(F.col("cal_dt") == F.lit(as_of).cast("date")).select(
         _int("rdc_nbr").alias("_plan_rdc"), F.col("trlr_nbr").alias("_plan_trlr")
     )
     done = allocated.select("po_nbr", _int("recv_loc_nbr").alias("_recv"), "po_crt_dt")
-    rows = _on_yard(trailers, arrivals, requests, events)
+    rows = lines if lines is not None else yard_lines(trailers, arrivals, requests, events)
     rows = joins.semi_join(rows, today, {"_rdc": "_plan_rdc", "trlr_nbr": "_plan_trlr"})
     rows = joins.anti_join(rows, done, {"po_nbr": "po_nbr", "_rdc": "_recv", "po_crt_dt": "po_crt_dt"})
-    lines = rows.join(latest_sku(skus), "sku_nbr").select(
+    distinct = rows.join(latest_sku(skus), "sku_nbr").select(
         "sku_nbr", "po_nbr", "sku_crt_dt", "rdc_nbr", "units_ordered", F.col("vendor_id").alias("mven")
     ).distinct()
-    return alloc_sums(lines, ["sku_nbr", "sku_crt_dt", "rdc_nbr", "mven"], "units_ordered", "units_ordered")
+    return alloc_sums(distinct, ["sku_nbr", "sku_crt_dt", "rdc_nbr", "mven"], "units_ordered", "units_ordered")
 
 
 def virtual_allocations(
     allocs: DataFrame, requests: DataFrame, skus: DataFrame, trailers: DataFrame, arrivals: DataFrame,
-    events: DataFrame, since: str,
+    events: DataFrame, since: str, lines: DataFrame | None = None,
 ) -> DataFrame:
     """Expected quantity per store, SKU and vendor of requests whose order is on the yard."""
-    here = _on_yard(trailers, arrivals, requests, events).select("vendor_id", "po_nbr", "_rdc")
+    here = lines if lines is not None else yard_lines(trailers, arrivals, requests, events)
+    here = here.select("vendor_id", "po_nbr", "_rdc")
     asked = requests.where(F.col("ord_dt") > F.lit(since).cast("date")).withColumn("_dc", _int("mkt_dc_nbr"))
     asked = joins.semi_join(asked, here, {"mvndr_nbr": "vendor_id", "po_nbr": "po_nbr", "_dc": "_rdc"})
     asked = asked.select("agg_nbr", F.col("mkt_dc_nbr").alias("rdc_nbr"), "mvndr_nbr")
@@ -167,8 +170,13 @@ def upload_dates(df: DataFrame, as_of: str, end_days: int, start: str = "start_d
 
 
 def allocation_upload(allocated: DataFrame, as_of: str, size: int = 1999) -> DataFrame:
-    """Upload rows of an allocation input, numbered in chunks of ``size``."""
-    kept = allocation_trim(running_allocation(allocated))
+    """Upload rows of an allocation input, numbered in chunks of ``size``.
+
+    The input is the result of many joins and is read more than once from here on, so it is
+    checkpointed: computed once, and kept when an executor is lost.
+    """
+    checkpoint_dir(allocated.sparkSession)
+    kept = allocation_trim(running_allocation(allocated.checkpoint()))
     rows = kept.select(
         F.col("mvndr").alias("vendor"), F.col("rdc_nbr").alias("rdc"), F.col("sku_nbr").alias("sku"),
         F.col("loc_nbr").alias("loc"), F.col("included_qty").alias("qty"),

@@ -136,17 +136,20 @@ def scn_jobs(jobs: DataFrame, loc: DataFrame) -> DataFrame:
 
 
 def falloff_rollup(jobs: DataFrame, loc: DataFrame, keys: Sequence[str] = ("division", "region")) -> DataFrame:
-    """Scheduled, per-status and fall-off sums of jobs at unflagged locations."""
-    places = loc.where(F.col("scn_flg") == "N").select(F.col("loc_nbr").alias("str_nbr"), *keys)
+    """Scheduled, per-status and fall-off sums of jobs at unflagged locations.
+
+    Jobs are summed per store before the locations are joined: the wide rows are never
+    shuffled, and a store with very many jobs is reduced by every task.
+    """
     by = [c for c in ("data_refresh_date", "fscl_yr_wk_key") if c in jobs.columns]
-    joined = jobs.join(places, "str_nbr")
-    sums = [
-        F.sum(f"job_{kind}_{status.lower()}").alias(f"job_{kind}_{status.lower()}")
-        for status in fixed.STATUSES for kind in ("amt", "count")
-    ]
-    rolled = joined.groupBy(*by, *keys).agg(
-        F.sum("job_amt").alias("job_amt_scheduled"), F.count(F.lit(1)).alias("job_count_scheduled"), *sums
+    measures = [f"job_{kind}_{status.lower()}" for status in fixed.STATUSES for kind in ("amt", "count")]
+    stores = jobs.groupBy(*by, "str_nbr").agg(
+        F.sum("job_amt").alias("job_amt_scheduled"), F.count(F.lit(1)).alias("job_count_scheduled"),
+        *[F.sum(m).alias(m) for m in measures],
     )
+    places = loc.where(F.col("scn_flg") == "N").select(F.col("loc_nbr").alias("str_nbr"), *keys)
+    sums = ["job_amt_scheduled", "job_count_scheduled", *measures]
+    rolled = stores.join(places, "str_nbr").groupBy(*by, *keys).agg(*[F.sum(m).alias(m) for m in sums])
     amount_off = F.col("job_amt_scheduled") - F.col("job_amt_installed")
     count_off = F.col("job_count_scheduled") - F.col("job_count_installed")
     return rolled.select(
@@ -163,10 +166,13 @@ def scorecard_metrics(scorecard: DataFrame, cal: DataFrame, loc: DataFrame, as_o
     rows = scorecard.where((F.col("program_group") == "HDE") & (F.col("sfi_flg") == ""))
     week = calendar.previous_week(cal, as_of) if as_of else cal
     rows = calendar.calendar_join(rows, week, "cal_dt", "_sc", "inner")
-    placed = joins.left_join_dims(rows, [(loc, {"str_nbr": "loc_nbr"})])
-    return placed.groupBy(F.col("_sc_wk_key").alias("fscl_yr_wk_key"), "division", "region", "branch").agg(
+    stores = rows.groupBy(F.col("_sc_wk_key").alias("fscl_yr_wk_key"), "str_nbr").agg(
         F.sum("ty_job_count").alias("job_count"), F.sum("ty_revenue").alias("ir")
     )
+    placed = joins.left_join_dims(stores, [(loc, {"str_nbr": "loc_nbr"})])
+    return placed.groupBy("fscl_yr_wk_key", "division", "region", "branch").agg(
+        F.sum("job_count").alias("job_count"), F.sum("ir").alias("ir")
+    )
 
 
 def _with_scorecard(rollup: DataFrame, scorecard: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -238,22 +244,22 @@ def report_levels(df: DataFrame, child: str = "region", *, grand_total: bool = T
 def report_order(report: DataFrame) -> DataFrame:
     """Number the report lines: worst division first, its own row, then its children; the total last.
 
-    A report has one row per location, so a single ordered window over it is small.
+    A report has one row per location, so ordered windows over it are small. The ratio of the
+    division comes from a window as well: a join of the report to itself would compute it twice.
     """
-    division = report.where(F.col("location_level") == "Division").select(
-        F.col("division").alias("_division"), F.col("fall_off_pct_of_job_amt").alias("_division_pct")
-    )
-    ranked = report.join(division, F.col("division") == F.col("_division"), "left")
+    is_division = F.col("location_level") == "Division"
+    own = F.max(F.when(is_division, F.col("fall_off_pct_of_job_amt"))).over(Window.partitionBy("division"))
+    named = F.when(F.col("division").isNotNull(), own)
     order = Window.orderBy(
         F.when(F.col("location_level") == TOTAL, 1).otherwise(0),
         F.col("_division_pct").desc_nulls_last(),
         F.col("division").asc_nulls_last(),
-        F.when(F.col("location_level") == "Division", 0).otherwise(1),
+        F.when(is_division, 0).otherwise(1),
         F.col("fall_off_pct_of_job_amt").asc_nulls_first(),
         F.col("location").asc_nulls_last(),
     )
-    lines = ranked.withColumn("report_line", F.row_number().over(order).cast("long"))
-    return lines.drop("_division", "_division_pct").orderBy("report_line")
+    lines = report.withColumn("_division_pct", named).withColumn("report_line", F.row_number().over(order).cast("long"))
+    return lines.drop("_division_pct").orderBy("report_line")
 
 
 def region_report(region: DataFrame) -> DataFrame:

@@ -112,7 +112,9 @@ def match_sentences(clean: Column, raw: Column) -> Column:
 
 def review_sentences(products: DataFrame) -> DataFrame:
     """Reviews with clean text, clean sentences, and the raw sentence behind each of them."""
-    rows = explode_reviews(products)
+    # Comparing sentences costs far more than moving them: use every core, however small the rows.
+    tasks = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = explode_reviews(products).repartition(tasks, "omsid", "review_id")
     cleaned = rows.withColumn("review_text_cleaned", tx.clean_text(F.col("review_text")))
     split = cleaned.select(
         "*",

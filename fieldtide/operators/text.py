@@ -20,8 +20,7 @@ def lemmatize(df: DataFrame, text_col: str, lemmas: DataFrame | None = None, *,
     is joined to the exploded tokens, which are then put together again per ``key``.
     """
     if lemmas is None:
-        words = F.transform(tx.tokens(F.col(text_col)), tx.noun_lemma)
-        return df.withColumn(out, F.array_join(words, " "))
+        return df.withColumn(out, tx.noun_lemmas(F.col(text_col)))
     rows = lemmas.select("form", "lemma").limit(max_table + 1).collect()
     if len(rows) <= max_table:
         table = df.sparkSession.sparkContext.broadcast({r.form: r.lemma for r in rows})

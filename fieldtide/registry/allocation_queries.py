@@ -9,6 +9,7 @@ from fieldtide.functions import fixed_values as fixed
 from fieldtide.functions.rules import store_rank
 from fieldtide.operators import allocation as al
 from fieldtide.operators import ordered
+from fieldtide.plans.allocation import allocation_tables
 from fieldtide.registry.core import query
 
 SINCE = "1995-06-01"
@@ -85,7 +86,9 @@ def confirmed(t: Tables):
 
 
 def allocation_rows(t: Tables):
-    rows = al.allocation_input(virtual(t), yard(t), confirmed(t), t.fx("fx_store_params"), t.fx("fx_store_stock"), AS_OF_ORDERS)
+    names = ("fx_trailers", "fx_yard_arrivals", "fx_plan", "fx_allocated", "fx_requests", "fx_order_events", "fx_skus",
+             "fx_allocs", "fx_store_params", "fx_store_stock")
+    rows = allocation_tables(*[t.fx(n) for n in names], AS_OF_ORDERS, SINCE)
     return rows.withColumn("wos", F.round("wos", 6))
 
 
