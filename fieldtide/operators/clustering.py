@@ -59,30 +59,34 @@ def cluster_means(df: DataFrame, label: str = "label", vec: str = "embedding") -
     return means.select(label, "members", vector_to_array("_m").alias("centroid"))
 
 
-def cluster_sse(df: DataFrame, label: str = "label", vec: str = "embedding") -> DataFrame:
-    """Sum of squared distances to the own mean, per cluster. The mean vectors are broadcast."""
+def _cluster_stats(df: DataFrame, label: str, vec: str) -> DataFrame:
+    """Members, squared distances to the own mean, and the mean, per cluster. The means are broadcast."""
     rows = df.select(label, _array(df, vec).alias("_x"))
     joined = rows.join(F.broadcast(cluster_means(df, label, vec)), label)
     return joined.groupBy(label).agg(
-        F.count(F.lit(1)).alias("members"), F.sum(squared_distance(F.col("_x"), F.col("centroid"))).alias("sse")
+        F.count(F.lit(1)).alias("members"), F.sum(squared_distance(F.col("_x"), F.col("centroid"))).alias("sse"),
+        F.any_value("centroid").alias("centroid"),
     )
 
 
+def cluster_sse(df: DataFrame, label: str = "label", vec: str = "embedding") -> DataFrame:
+    """Sum of squared distances to the own mean, per cluster."""
+    return _cluster_stats(df, label, vec).drop("centroid")
+
+
 def cluster_ch(df: DataFrame, label: str = "label", vec: str = "embedding") -> DataFrame:
     """Between-cluster over within-cluster variance, as one row (k, n, ch)."""
-    within = cluster_sse(df, label, vec).agg(F.sum("sse").alias("within"), F.sum("members").alias("n"))
-    means = cluster_means(df, label, vec).select("members", F.col("centroid"))
-    dims = F.posexplode("centroid").alias("_dim", "_m")
-    per_dim = means.select("members", dims).groupBy("_dim").agg(
-        F.count(F.lit(1)).alias("k"),
-        (F.sum(F.col("members") * F.col("_m") ** 2)
-         - F.sum(F.col("members") * F.col("_m")) ** 2 / F.sum("members")).alias("_between"),
+    stats = _cluster_stats(df, label, vec)
+    # From here on there is one row per cluster and dimension.
+    dims = stats.select("members", "sse", F.posexplode("centroid").alias("_dim", "_m"))
+    m, members = F.col("_m"), F.col("members")
+    spread = F.sum(members * m * m) - F.pow(F.sum(members * m), F.lit(2)) / F.sum(members)
+    per_dim = dims.groupBy("_dim").agg(
+        F.count(F.lit(1)).alias("k"), F.sum(members).alias("n"), F.sum("sse").alias("_within"), spread.alias("_between")
     )
-    between = per_dim.agg(F.max("k").alias("k"), F.sum("_between").alias("between"))
-    # Two one-row aggregates side by side.
-    both = within.withColumn("_one", F.lit(1)).join(between.withColumn("_one", F.lit(1)), "_one")
-    ratio = (F.col("between") / (F.col("k") - 1)) / (F.col("within") / (F.col("n") - F.col("k")))
-    return both.select("k", "n", ratio.alias("ch"))
+    total = per_dim.agg(F.max("k").alias("k"), F.max("n").alias("n"), F.max("_within").alias("_w"), F.sum("_between").alias("_b"))
+    ratio = (F.col("_b") / (F.col("k") - 1)) / (F.col("_w") / (F.col("n") - F.col("k")))
+    return total.select("k", "n", ratio.alias("ch"))
 
 
 def cluster_silhouette(
@@ -134,7 +138,7 @@ def cluster_silhouette(
 
 def kmeans_sweep(
     df: DataFrame, ks: Sequence[int] = tuple(range(10, 20)), restarts: int = 10, max_iter: int = 300,
-    seed: int = 42, vec: str = "features", parallelism: int = 4,
+    seed: int = 42, vec: str = "features", parallelism: int = 8,
 ) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """Fit every k with several random starts, keep the best start, and measure it.
 
