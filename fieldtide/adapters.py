@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 AS_OF_ORDERS = "1998-03-10"
 AS_OF_EVENTS = "2024-02-05"
@@ -149,6 +150,7 @@ select l_linenumber trumping_level, l_suppkey % 3 type, l_discount store_group,
     "fx_results": "select user_id, event_type mail, date_trunc('hour', ts) run_ts, value, event_id from {events}",
 }
 
+_SCHEMAS: dict[str, StructType] = {}
 _NAME = re.compile(r"\{(\w+)\}")
 
 
@@ -159,7 +161,11 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """The table, with the schema known from its first use (as from a catalog)."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def fx(self, name: str) -> DataFrame:
         text = VIEWS[name]

@@ -28,7 +28,8 @@ def _mapped(word: Column, mapping: Mapping[str, str]) -> Column:
 
 def single_spaced(text: Column) -> Column:
     """The tokens of a text joined by one space."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    # Single blanks, the usual case, do not match and are not rewritten.
+    return F.trim(F.regexp_replace(text, r"\s{2,}|[\t\n\x0B\f\r]", " "))
 
 
 def expand_contractions(text: Column, mapping: Mapping[str, str] | None = None) -> Column:
@@ -40,7 +41,7 @@ def expand_contractions(text: Column, mapping: Mapping[str, str] | None = None)
     plain = [re.escape(w) for w in table if "'" not in w]
     maybe = text.contains("'") if len(plain) < len(table) else F.lit(False)
     if plain:
-        maybe = maybe | text.rlike(rf"(?i)(?<!\S)(?:{'|'.join(plain)})(?!\S)")
+        maybe = maybe | F.concat(F.lit(" "), text).rlike(rf"(?i)\s(?:{'|'.join(plain)})(?!\S)")
     expanded = F.array_join(F.transform(tokens(text), lambda w: _mapped(w, table)), " ")
     return F.when(maybe, expanded).otherwise(single_spaced(text))
 
@@ -90,12 +91,12 @@ def join_list(items: Column, separator: str) -> Column:
 
 # Regular English noun endings of tokens of four letters or more: ies->y, (ss|x|z|ch|sh)es->es cut,
 # (l|r)ves->f, men->man, and at last s, but not in ss, us, is.
+# The ending comes first in each pattern and what precedes it is looked up after it was found.
 NOUN_ENDINGS = (
-    (r"(?<=[^aeiou\s])ies(?!\S)", "y"),
-    (r"(?<=ss|\Sx|\Sz|ch|sh)es(?!\S)", ""),
-    (r"(?<=[lr])ves(?!\S)", "f"),
-    (r"(?<=\S)men(?!\S)", "man"),
-    (r"(?<=\S\S[^sui\s])s(?!\S)", ""),
+    (r"ies(?!\S)(?<=[^aeiou\s]ies)", "y"),
+    (r"ves(?!\S)(?<=[lr]ves)", "f"),
+    (r"men(?!\S)(?<=\Smen)", "man"),
+    (r"es(?!\S)(?<=(?:ss|\Sx|\Sz|ch|sh)es)|s(?!\S)(?<=\S\S[^sui\s]s)", ""),
 )
 
 
