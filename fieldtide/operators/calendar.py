@@ -1,6 +1,7 @@
 """The fiscal calendar and joins to it.
 
-A calendar has one row per date, about 36,500 rows a century, so it may always be broadcast.
+A calendar has one row per date. The generated one has a known size, so Spark broadcasts it by itself;
+a calendar read from a table is broadcast when its measured size allows.
 """
 
 from __future__ import annotations
@@ -39,17 +40,17 @@ def calendar_join(df: DataFrame, cal: DataFrame, date_col: str, prefix: str, how
         F.col("fscl_wk_nbr").alias(f"{prefix}_wk_nbr"),
         F.col("fscl_yr_wk_key").alias(f"{prefix}_wk_key"),
     )
-    return df.join(F.broadcast(side), F.col(date_col) == F.col("_cal_dt"), how).drop("_cal_dt")
+    return df.join(side, F.col(date_col) == F.col("_cal_dt"), how).drop("_cal_dt")
 
 
 def previous_week(cal: DataFrame, as_of: str) -> DataFrame:
     """The calendar rows of the week before the week of ``as_of`` (seven rows)."""
     today = cal.where(F.col("cal_dt") == F.lit(as_of).cast("date"))
     begin = today.select(F.col("prev_wk_begin").alias("wk_begin"))
-    return cal.join(F.broadcast(begin), "wk_begin", "left_semi")
+    return cal.join(begin, "wk_begin", "left_semi")
 
 
 def prev_week_join(df: DataFrame, cal: DataFrame, date_col: str, as_of: str) -> DataFrame:
     """Rows whose date falls in the week before ``as_of``, with their week key."""
     days = previous_week(cal, as_of).select(F.col("cal_dt").alias("_cal_dt"), "fscl_yr_wk_key")
-    return df.join(F.broadcast(days), F.col(date_col) == F.col("_cal_dt")).drop("_cal_dt")
+    return df.join(days, F.col(date_col) == F.col("_cal_dt")).drop("_cal_dt")

@@ -44,31 +44,30 @@ def _vector(df: DataFrame, vec: str) -> Column:
     return array_to_vector(F.col(vec).cast("array<double>"))
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
-
-
 def cluster_counts(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("members"))
 
 
-def cluster_means(df: DataFrame, label: str = "label", vec: str = "embedding") -> DataFrame:
-    """Members and mean vector per cluster, merged from partial sums (one small row per cluster)."""
-    rows = df.select(label, _vector(df, vec).alias("_v"))
-    means = rows.groupBy(label).agg(F.count(F.lit(1)).alias("members"), Summarizer.mean(F.col("_v")).alias("_m"))
-    return means.select(label, "members", vector_to_array("_m").alias("centroid"))
-
-
 def _cluster_stats(df: DataFrame, label: str, vec: str) -> DataFrame:
-    """Members, squared distances to the own mean, and the mean, per cluster. The means are broadcast."""
-    rows = df.select(label, _array(df, vec).alias("_x"))
-    joined = rows.join(F.broadcast(cluster_means(df, label, vec)), label)
-    return joined.groupBy(label).agg(
-        F.count(F.lit(1)).alias("members"), F.sum(squared_distance(F.col("_x"), F.col("centroid"))).alias("sse"),
-        F.any_value("centroid").alias("centroid"),
+    """Members, squared distances to the own mean, and the mean, per cluster.
+
+    One pass of partial sums; the variances are merged in a stable way, so vectors far from
+    the origin lose no digits, and nothing has to be joined or broadcast.
+    """
+    metrics = Summarizer.metrics("count", "mean", "variance").summary(F.col("_v")).alias("_s")
+    stats = df.select(label, _vector(df, vec).alias("_v")).groupBy(label).agg(metrics)
+    spread = F.aggregate(vector_to_array("_s.variance"), F.lit(0.0), lambda s, v: s + v)
+    return stats.select(
+        label, F.col("_s.count").alias("members"), (spread * (F.col("_s.count") - 1)).alias("sse"),
+        vector_to_array("_s.mean").alias("centroid"),
     )
 
 
+def cluster_means(df: DataFrame, label: str = "label", vec: str = "embedding") -> DataFrame:
+    """Members and mean vector per cluster."""
+    return _cluster_stats(df, label, vec).drop("sse")
+
+
 def cluster_sse(df: DataFrame, label: str = "label", vec: str = "embedding") -> DataFrame:
     """Sum of squared distances to the own mean, per cluster."""
     return _cluster_stats(df, label, vec).drop("centroid")

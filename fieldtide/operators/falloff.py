@@ -161,9 +161,11 @@ def falloff_rollup(jobs: DataFrame, loc: DataFrame, keys: Sequence[str] = ("divi
     )
 
 
-def scorecard_metrics(scorecard: DataFrame, cal: DataFrame, loc: DataFrame, as_of: str | None = None) -> DataFrame:
+def scorecard_metrics(
+    scorecard: DataFrame, cal: DataFrame, loc: DataFrame, as_of: str | None = None, program_group: str = "HDE"
+) -> DataFrame:
     """Job count and revenue by week and location levels; only the previous week when ``as_of`` is given."""
-    rows = scorecard.where((F.col("program_group") == "HDE") & (F.col("sfi_flg") == ""))
+    rows = scorecard.where((F.col("program_group") == program_group) & (F.col("sfi_flg") == ""))
     week = calendar.previous_week(cal, as_of) if as_of else cal
     rows = calendar.calendar_join(rows, week, "cal_dt", "_sc", "inner")
     stores = rows.groupBy(F.col("_sc_wk_key").alias("fscl_yr_wk_key"), "str_nbr").agg(

@@ -82,7 +82,7 @@ def knee(t):
     return cl.knee_point(points)
 
 
-@query("embed_text")
+@query("embed_text", "select doc_id, 1.0::double norm from documents")
 def embed(t):
     rows = cl.embed_text(t.fx("fx_text"), "text", 64)
     return rows.select("doc_id", F.round(F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, v: s + v * v), 6).alias("norm"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldtide.adapters import AS_OF_ORDERS
 from fieldtide.functions import dates, rules
-from fieldtide.operators import columns, joins
+from fieldtide.operators import columns, joins, ordered
 from fieldtide.operators.allocation import latest_sku
 from fieldtide.registry.core import query
 from fieldtide.registry.falloff_queries import cal
@@ -143,10 +143,10 @@ def distinct_list(t):
 
 @query("multi_key_sort", """select s_suppkey, s_nationkey, s_acctbal, row_number() over (order by s_nationkey, s_acctbal desc, s_suppkey) line from supplier""")
 def sort(t):
-    # The supplier list is a small dimension; the line number makes its order visible to the check.
+    # The line number, computed in blocks, makes the order visible to the check.
     order = [F.col("s_nationkey"), F.col("s_acctbal").desc(), F.col("s_suppkey")]
     rows = t.table("supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
-    return rows.withColumn("line", F.row_number().over(Window.orderBy(*order)).cast("long")).orderBy(*order)
+    return ordered.numbered(rows, [], order, number="line").orderBy(*order)
 
 
 @query("top_n_comments", """select cmlead, n, row_number() over (order by n desc, cmlead) place from
@@ -236,7 +236,7 @@ def zone(t):
 def fiscal(t):
     days = cal(t).withColumns({c: F.col(c).cast("string") for c in ("wk_begin", "prev_wk_begin")})
     rows = t.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("cal_dt"))
-    return rows.join(F.broadcast(days), "cal_dt").drop("cal_dt")
+    return rows.join(days, "cal_dt").drop("cal_dt")
 
 
 @query("fiscal_week", "select o_orderkey, cast(floor((cast(o_orderdate as date) - date '1995-01-30') / 7) as bigint) + 1 week_no from orders")

@@ -125,7 +125,7 @@ def recent(t):
     return recipients.recent_recipients(_recipients(t), "2024-01-30 23:05:00")
 
 
-@query("recent_recipients_stream")
+@query("recent_recipients_stream", """select distinct user_id as user, event_type mail, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') run_ts from events""")
 def recent_stream(t):
     source = t.table("events")
     stream = t.spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
@@ -133,7 +133,7 @@ def recent_stream(t):
     out = scratch_path(t.spark, "recipients")
     recipients.recent_recipients_stream(rows).writeStream.format("parquet").option(
         "checkpointLocation", scratch_path(t.spark, "offsets")).trigger(availableNow=True).start(out).awaitTermination()
-    return t.spark.read.parquet(out)
+    return t.spark.read.parquet(out).withColumn("run_ts", F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("export_by_recipient", f"""select user_id as user, event_id, value from fx_results where (user_id, run_ts) in
