@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 _PER_DAY = {"day": 1, "hour": 24, "minute": 1440, "second": 86400}
 
 
-def _unit_index(ts: Column, unit: str) -> Column:
+def unit_index(ts: Column, unit: str) -> Column:
     """Whole units since 1970, from calendar fields (no session-zone conversion)."""
     days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
     parts = days * _PER_DAY[unit]
@@ -23,12 +23,12 @@ def _unit_index(ts: Column, unit: str) -> Column:
 
 def fn_datetime_diff(unit: str, a: Column, b: Column) -> Column:
     """Unit boundaries crossed from ``b`` to ``a`` (both truncated to the unit first)."""
-    return _unit_index(a, unit) - _unit_index(b, unit)
+    return unit_index(a, unit) - unit_index(b, unit)
 
 
 def time_bucket(ts: Column, minutes: int) -> Column:
     """Number of the ``minutes`` wide time slice that holds ``ts``."""
-    return F.floor(_unit_index(ts, "minute") / minutes)
+    return F.floor(unit_index(ts, "minute") / minutes)
 
 
 def fn_timezone(ts: Column, zone: str, to: str = "UTC") -> Column:

@@ -78,8 +78,11 @@ def history_reasons(history: DataFrame, field: str = "Provider_Issues__c") -> Da
     )
 
 
-def _changes(audits, comments, history, cal, window, zone, hours, also_prior):
-    """Audits after the first, each with its reason history (aggregated) and its comments."""
+EVENT = ["lead", "ord", "rev_ord", "audit_ts", "plan_dt", "ldfupdate"]
+
+
+def _changes(audits: DataFrame, history: DataFrame, cal: DataFrame, zone: str, hours: int) -> DataFrame:
+    """Audits after the first with type, flag, and their history requests as reason and number."""
     later = audits.where(F.col("ord") > 1)
     later = later.withColumn("_utc", dates.fn_timezone(F.col("audit_ts"), zone))
     asked = joins.interval_join_symmetric(
@@ -94,18 +97,48 @@ def _changes(audits, comments, history, cal, window, zone, hours, also_prior):
         rows = rows.withColumn(f"{name}_dt", F.col(column).cast("date"))
         rows = calendar.calendar_join(rows, cal, f"{name}_dt", name)
     flag = rules.falloff_flag(F.col("_aud_wk_key"), F.col("_pje_wk_key"), F.col("_paud_wk_key"))
-    rows = rows.select(
-        "lead", "ord", "rev_ord", "audit_ts", "plan_dt", "ldfupdate", "prior_audit_ts",
+    return rows.select(
+        *EVENT, "prior_audit_ts",
         rules.event_type_label(F.col("plan_dt")).alias("type"), flag.alias("falloff_flag"),
         "_history_reason", F.coalesce("_requests", F.lit(1)).cast("int").alias("_requests"),
     )
-    since_prior = None
-    if also_prior:
-        since_prior = F.col("cmdatetime").isNotNull() & (
-            dates.fn_datetime_diff("minute", F.col("cmdatetime"), F.col("prior_audit_ts")) >= 0
-        )
-    return joins.interval_join(
-        rows, comments, {"lead": "cmlead"}, "audit_ts", "cmdatetime", *window, also=since_prior
+
+
+def _summed(matched: DataFrame, separator: str) -> DataFrame:
+    """Reason, weather and joined texts (``_text``) of the comments matched to each event."""
+    return matched.groupBy("lead", "ord").agg(
+        max_text_reason(F.col("cmcomment")).alias("_reason"),
+        F.bool_or(rules.fn_like_flags(F.col("cmcomment"))).alias("_weather"),
+        ordered_string_agg("_text", ["cmdatetime", "cmkey"], separator, None).alias("_comments"),
+    )
+
+
+def _near(changes: DataFrame, comments: DataFrame, minutes: tuple[int, int], after_prior: bool, width: int) -> DataFrame:
+    """Comments written within ``minutes`` of a change, and not before the change before it."""
+    at = dates.unit_index(F.col("audit_ts"), "minute")
+    low = at + minutes[0]
+    if after_prior:
+        low = F.greatest(low, dates.unit_index(F.col("prior_audit_ts"), "minute"))
+    spans = changes.select("lead", "ord", "audit_ts", "prior_audit_ts", "_requests")
+    when = dates.unit_index(F.col("cmdatetime"), "minute")
+    return joins.between_join(spans, comments, {"lead": "cmlead"}, low, at + minutes[1], when, width)
+
+
+def _labelled(changes: DataFrame, found: DataFrame) -> DataFrame:
+    """Changes with reason (history first), weather and comments; NULL where no comment matched."""
+    rows = changes.join(found, ["lead", "ord"], "left")
+    reason = F.coalesce("_history_reason", "_reason", F.lit(fixed.NO_REASON))
+    return rows.select(
+        *EVENT, "type", "falloff_flag", reason.alias("selected_reason"),
+        F.col("_weather").alias("weather_flag"), F.col("_comments").alias("comments"),
+    )
+
+
+def _aged_events(late: DataFrame, found: DataFrame) -> DataFrame:
+    return late.join(found, ["lead", "ord"], "left").select(
+        *EVENT, F.lit("Aged").alias("type"), F.lit(True).alias("falloff_flag"),
+        F.lit(fixed.NO_REASON).alias("selected_reason"),
+        F.col("_weather").alias("weather_flag"), F.col("_comments").alias("comments"),
     )
 
 
@@ -115,12 +148,10 @@ def _aged(audits, comments, cal, as_of):
     last = last.withColumn("_done", F.coalesce("ldfupdate", F.lit(as_of).cast("date")))
     last = calendar.calendar_join(last, cal, "plan_dt", "_je")
     last = calendar.calendar_join(last, cal, "_done", "_fup")
-    late = last.where(F.col("_fup_wk_key") > F.col("_je_wk_key")).select(
-        "lead", "ord", "rev_ord", "audit_ts", "plan_dt", "ldfupdate"
-    )
-    dated = comments.withColumn("_cm_date", F.col("cmdatetime").cast("date"))
-    matched = joins.between_join(late, dated, {"lead": "cmlead"}, "plan_dt", "ldfupdate", "_cm_date")
-    return late, matched
+    late = last.where(F.col("_fup_wk_key") > F.col("_je_wk_key")).select(*EVENT)
+    low, high, at = (dates.unit_index(F.col(c), "day") for c in ("plan_dt", "ldfupdate", "cmdatetime"))
+    spans = late.select("lead", "ord", "plan_dt", "ldfupdate")
+    return late, joins.between_join(spans, comments, {"lead": "cmlead"}, low, high, at, 32)
 
 
 def falloff_comments(
@@ -136,35 +167,18 @@ def falloff_comments(
     """
     li = install_audits(audits, leads, as_of, **options)
     notes = comments.select("cmkey", "cmlead", "cmdatetime", "cmcomment")
-    near = _changes(li, notes, history_reasons(history), cal, minutes, zone, hours, True)
     clean = rules.comment_clean(F.col("cmcomment"))
+    changes = _changes(li, history_reasons(history), cal, zone, hours)
+    # A lead with very many changes has short spans between them, so narrow slices keep its
+    # comments apart; a span of 13 hours touches at most 14 of them.
+    near = _near(changes, notes, minutes, True, 60)
     times = F.lit(1) if distinct_comments else F.col("_requests")
-    # Only matched comments take part; a change without comment has the empty text.
-    repeated = F.array_join(F.array_repeat(clean, times), "|")
-    near = near.withColumn("_text", F.when(F.col("cmkey").isNotNull(), repeated))
-    near = near.withColumn("_reason", rules.reason_extract(F.col("cmcomment"), F.col("_history_reason")))
-    keys = ["lead", "ord", "rev_ord", "audit_ts", "plan_dt", "ldfupdate", "type", "falloff_flag"]
-    changes = near.groupBy(*keys).agg(
-        F.max("_reason").alias("selected_reason"),
-        bool_any(rules.fn_like_flags(F.col("cmcomment"))).alias("weather_flag"),
-        ordered_string_agg("_text", ["cmdatetime", "cmkey"]).alias("comments"),
-    )
+    near = near.withColumn("_text", F.array_join(F.array_repeat(clean, times), "|"))
     late, matched = _aged(li, notes, cal, as_of)
     matched = matched.withColumn("_text", clean)
-    found = matched.groupBy("lead", "ord").agg(
-        F.bool_or(rules.fn_like_flags(F.col("cmcomment"))).alias("_weather"),
-        ordered_string_agg("_text", ["cmdatetime", "cmkey"]).alias("_comments"),
-    )
-    aged = late.join(found, ["lead", "ord"], "left").select(
-        *keys[:6],
-        F.lit("Aged").alias("type"),
-        F.lit(True).alias("falloff_flag"),
-        F.lit(fixed.NO_REASON).alias("selected_reason"),
-        F.coalesce("_weather", F.lit(False)).alias("weather_flag"),
-        F.coalesce("_comments", F.lit("")).alias("comments"),
-    )
     # Both halves hold one row per (lead, ord) and differ in type: a distinct would remove nothing.
-    return changes.unionByName(aged)
+    events = _labelled(changes, _summed(near, "|")).unionByName(_aged_events(late, _summed(matched, "|")))
+    return events.fillna({"comments": "", "weather_flag": False})
 
 
 def falloff_comments_dev(
@@ -174,29 +188,11 @@ def falloff_comments_dev(
     """The narrow variant: comments less than ``minutes`` away, raw texts, NULL where none matched."""
     li = install_audits(audits, leads, as_of, **options)
     notes = comments.select("cmkey", "cmlead", "cmdatetime", "cmcomment")
-    window = (1 - minutes, minutes - 1)
-    near = _changes(li, notes, history_reasons(history), cal, window, zone, hours, False)
+    changes = _changes(li, history_reasons(history), cal, zone, hours)
+    near = _near(changes, notes, (1 - minutes, minutes - 1), False, 2 * minutes)
     raw = rules.scheduling_notes(F.col("cmcomment"), stamp=F.col("cmdatetime"))
     repeated = F.array_join(F.array_repeat(raw, F.col("_requests")), ",")
-    near = near.withColumn("_text", F.when(F.col("cmkey").isNotNull(), repeated))
-    near = near.withColumn("_reason", rules.reason_extract(F.col("cmcomment"), F.col("_history_reason")))
-    keys = ["lead", "ord", "rev_ord", "audit_ts", "plan_dt", "ldfupdate", "type", "falloff_flag"]
-    changes = near.groupBy(*keys).agg(
-        F.max("_reason").alias("selected_reason"),
-        F.bool_or(rules.fn_like_flags(F.col("cmcomment"))).alias("weather_flag"),
-        ordered_string_agg("_text", ["cmdatetime", "cmkey"], ",", None).alias("comments"),
-    )
+    near = near.withColumn("_text", F.when(raw.isNotNull(), repeated))
     late, matched = _aged(li, notes, cal, as_of)
     matched = matched.withColumn("_text", F.concat(F.col("cmdatetime").cast("string"), F.col("cmcomment")))
-    found = matched.groupBy("lead", "ord").agg(
-        F.bool_or(rules.fn_like_flags(F.col("cmcomment"))).alias("weather_flag"),
-        ordered_string_agg("_text", ["cmdatetime", "cmkey"], ",", None).alias("comments"),
-    )
-    aged = late.join(found, ["lead", "ord"], "left").select(
-        *keys[:6],
-        F.lit("Aged").alias("type"),
-        F.lit(True).alias("falloff_flag"),
-        F.lit(fixed.NO_REASON).alias("selected_reason"),
-        "weather_flag", "comments",
-    )
-    return changes.unionByName(aged)
+    return _labelled(changes, _summed(near, ",")).unionByName(_aged_events(late, _summed(matched, ",")))

@@ -12,10 +12,6 @@ from fieldtide.functions import dates
 _SLICE = "_slice"
 
 
-def _unit(ts: Column, unit: str) -> Column:
-    return dates._unit_index(ts, unit)
-
-
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -37,8 +33,8 @@ def interval_join(
     slices, and left rows without partner survive a left join.
     """
     width = upper - lower + 1
-    anchor = F.floor((_unit(F.col(left_ts), unit) + upper) / width)
-    slot = F.floor(_unit(F.col(right_ts), unit) / width)
+    anchor = F.floor((dates.unit_index(F.col(left_ts), unit) + upper) / width)
+    slot = F.floor(dates.unit_index(F.col(right_ts), unit) / width)
     sliced_left = left.withColumn(_SLICE, anchor)
     sliced_right = right.withColumn("_right_slice", F.explode(F.array(slot, slot + 1)))
     match = F.col(_SLICE) == F.col("_right_slice")
@@ -70,17 +66,21 @@ def date_range_join(
 
 
 def between_join(
-    left: DataFrame, right: DataFrame, keys: Mapping[str, str], low: str, high: str, at: str,
-    slice_days: int = 32,
+    left: DataFrame, right: DataFrame, keys: Mapping[str, str], low: Column, high: Column, at: Column, width: int
 ) -> DataFrame:
-    """Inner join on keys and ``low <= at <= high`` (dates), for ranges of any length."""
-    first, last = (F.floor(_unit(F.col(c), "day") / slice_days) for c in (low, high))
-    sliced_left = left.where(F.col(low) <= F.col(high)).withColumn(_SLICE, F.explode(F.sequence(first, last)))
-    sliced_right = right.withColumn("_right_slice", F.floor(_unit(F.col(at), "day") / slice_days))
-    match = (F.col(_SLICE) == F.col("_right_slice")) & F.col(at).between(F.col(low), F.col(high))
+    """Inner join on keys and ``low <= at <= high``, for ranges of any length per left row.
+
+    The bounds are whole numbers (``dates.unit_index``). A left row is copied to every slice of
+    ``width`` units its range touches; right rows, often with long texts, are not copied.
+    """
+    ranged = left.withColumns({"_low": low, "_high": high}).where(F.col("_low") <= F.col("_high"))
+    slices = F.sequence(F.floor(F.col("_low") / width), F.floor(F.col("_high") / width))
+    sliced_left = ranged.withColumn(_SLICE, F.explode(slices))
+    sliced_right = right.withColumn("_at", at).withColumn("_right_slice", F.floor(F.col("_at") / width))
+    match = (F.col(_SLICE) == F.col("_right_slice")) & F.col("_at").between(F.col("_low"), F.col("_high"))
     for lk, rk in keys.items():
         match &= F.col(lk) == F.col(rk)
-    return sliced_left.join(sliced_right, match).drop(_SLICE, "_right_slice")
+    return sliced_left.join(sliced_right, match).drop(_SLICE, "_right_slice", "_low", "_high", "_at")
 
 
 def left_join_dims(df: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldtide.adapters import AS_OF_EVENTS, Tables
+from fieldtide.functions import dates
 from fieldtide.operators import allocation as al
 from fieldtide.operators import calendar, clustering, falloff, features, joins, timeseries
 from fieldtide.operators import comments as cm
@@ -53,7 +54,8 @@ def test_interval_join_keeps_left_rows_without_time(spark):
 def test_between_join_lists_each_pair_once(spark):
     left = spark.sql("select 1 id, 7 k, date'2024-01-01' lo, date'2024-12-31' hi union all select 2, 7, date'2024-05-01', date'2024-04-01'")
     right = spark.sql("select explode(sequence(date'2023-12-01', date'2025-02-01', interval 9 day)) d, 7 rk")
-    got = joins.between_join(left, right, {"k": "rk"}, "lo", "hi", "d")
+    bounds = [dates.unit_index(F.col(c), "day") for c in ("lo", "hi", "d")]
+    got = joins.between_join(left, right, {"k": "rk"}, *bounds, 32)
     want = right.where("d between date'2024-01-01' and date'2024-12-31'").count()
     assert got.count() == want == got.distinct().count()
 
