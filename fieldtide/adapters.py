@@ -31,7 +31,7 @@ select lpad(cast(c_custkey % 1000 as string), 4, '0') loc_nbr, r_name division,
  join {nation} on c_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey""",
     "fx_scorecard": """
 select lpad(cast(o_custkey % 1000 as string), 4, '0') str_nbr, cast(o_orderdate as date) cal_dt,
- 1 ty_job_count, o_totalprice ty_revenue,
+ 1 ty_job_count, cast(o_totalprice as decimal(18, 2)) ty_revenue,
  case when o_orderpriority = '5-LOW' then 'OTH' else 'HDE' end program_group,
  case when o_orderstatus = 'P' then 'Y' else '' end sfi_flg from {orders}""",
     "fx_users": "select s_suppkey user_no, s_name first_nm, 'N' || cast(s_nationkey as string) last_nm from {supplier}",
