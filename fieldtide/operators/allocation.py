@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from fieldtide.functions import fixed_values as fixed
 from fieldtide.functions import rules
 from fieldtide.operators import columns, joins, ordered
-from fieldtide.session import checkpoint_dir
 
 
 def latest_sku(skus: DataFrame) -> DataFrame:
@@ -172,11 +171,9 @@ def upload_dates(df: DataFrame, as_of: str, end_days: int, start: str = "start_d
 def allocation_upload(allocated: DataFrame, as_of: str, size: int = 1999) -> DataFrame:
     """Upload rows of an allocation input, numbered in chunks of ``size``.
 
-    The input is the result of many joins and is read more than once from here on, so it is
-    checkpointed: computed once, and kept when an executor is lost.
+    Numbering stores its sorted input, so the many joins behind it run once.
     """
-    checkpoint_dir(allocated.sparkSession)
-    kept = allocation_trim(running_allocation(allocated.checkpoint()))
+    kept = allocation_trim(running_allocation(allocated))
     rows = kept.select(
         F.col("mvndr").alias("vendor"), F.col("rdc_nbr").alias("rdc"), F.col("sku_nbr").alias("sku"),
         F.col("loc_nbr").alias("loc"), F.col("included_qty").alias("qty"),

@@ -1,9 +1,9 @@
-"""Row numbers, running sums and previous-row values inside a key, safe for hot keys.
+"""Row numbers, running sums and previous-row values inside a key, for keys of any size.
 
-A window hands each key to one task. That is the cheapest plan while groups are small, so
-it is used for them. A key that holds millions of rows would stop such a task, so its rows
-are range-partitioned by (key, order) instead: every block computes its own part, and the
-totals of the blocks before it (one row per block) are added. Both ways give the same rows.
+One plan serves every key: rows are range-partitioned by (key, order), so a key of a third of all
+rows covers many blocks. Each block computes its own part, and a key that goes on over a block's
+edge takes the totals of its earlier blocks. Only the first and the last key of a block can do
+that, so those totals are two rows per block, whatever the data.
 """
 
 from __future__ import annotations
@@ -13,26 +13,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldtide.session import checkpoint_dir
+from fieldtide.session import stored
 
-HOT_ROWS = 2_000_000      # group size from which a key is split into blocks
-MAX_HOT_KEYS = 10_000     # bound of the broadcast list; further keys use the window, still exact
-_BLOCK, _LOCAL, _BEFORE = "_block", "_local_n", "_before"
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list:
-    """The largest keys, found on a random sample; at most MAX_HOT_KEYS rows reach the driver.
-
-    The sample only chooses the plan, never which rows are in the result.
-    """
-    wanted = 1000  # expected sample rows of a key that is just hot
-    fraction = min(1.0, wanted / hot_rows)
-    need = hot_rows if fraction == 1.0 else wanted // 2
-    picked = df.select(*keys)
-    if fraction < 1.0:
-        picked = picked.sample(fraction, seed=7)
-    counts = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= need)
-    return counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).drop("_n").collect()
+_AT, _BLOCK, _LOCAL = "_at", "_block", "_local_n"
+_ROW_BITS = 33  # monotonically_increasing_id() holds the partition above these bits and the row in it below
 
 
 def numbered(
@@ -44,96 +28,66 @@ def numbered(
     reverse: str | None = None,
     sums: Mapping[str, str] | None = None,
     previous: Mapping[str, str] | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add a row number per key and, on request, more columns that need the same order.
 
     ``order`` must be total inside a key. ``reverse`` numbers from the end; ``sums`` maps new
-    columns to the value they accumulate (ROWS frame, current row included); ``previous`` maps
-    new columns to the column whose value on the preceding row they hold. Without ``keys`` the
-    whole input is one sequence and is always computed in blocks.
+    columns to the value they accumulate (ROWS frame, current row included; NULL until there is a
+    value); ``previous`` maps new columns to the column whose value on the preceding row they hold.
+    Without ``keys`` the whole input is one sequence. The sorted rows are stored once, so that the
+    blocks stay as they are if an executor is lost.
     """
     sums, previous = dict(sums or {}), dict(previous or {})
-    if not keys:
-        return _in_blocks(df, [], order, number, reverse, sums, previous)
-    hot = hot_keys(df, keys, hot_rows)
-    if not hot:
-        return _in_window(df, keys, order, number, reverse, sums, previous)
-    spark = df.sparkSession
-    listed = F.broadcast(spark.createDataFrame(hot, df.select(*keys).schema)).alias("hot")
-    same = None
-    for key in keys:
-        one = F.col(f"rows.{key}").eqNullSafe(F.col(f"hot.{key}"))
-        same = one if same is None else same & one
-    rows = df.alias("rows")
-    small = rows.join(listed, same, "left_anti").select("rows.*")
-    large = rows.join(listed, same, "left_semi").select("rows.*")
-    return _in_window(small, keys, order, number, reverse, sums, previous).unionByName(
-        _in_blocks(large, keys, order, number, reverse, sums, previous)
-    )
-
-
-def _in_window(df, keys, order, number, reverse, sums, previous):
-    ordered = Window.partitionBy(*keys).orderBy(*order)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    added = {number: F.row_number().over(ordered).cast("long")}
+    blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_rows = df.repartitionByRange(blocks, *[F.col(k) for k in keys], *order).sortWithinPartitions(*[F.col(k) for k in keys], *order)
+    ranged = stored(sorted_rows.withColumn(_AT, F.monotonically_increasing_id()), "ordered")
+    ranged = ranged.withColumn(_BLOCK, F.shiftright(_AT, _ROW_BITS))
+    edges = _edges(ranged, list(keys), sums, previous)
+    if not keys and not sums and not previous:
+        # The place in the block is known already: nothing is shuffled again.
+        local = ranged.withColumn(_LOCAL, F.col(_AT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1)
+        size = F.col("_n")
+    else:
+        inside = Window.partitionBy(_BLOCK, *keys).orderBy(_AT)
+        upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local = ranged.select(
+            "*", F.row_number().over(inside).alias(_LOCAL),
+            *([F.count(F.lit(1)).over(Window.partitionBy(_BLOCK, *keys)).alias("_here")] if reverse else []),
+            *[F.sum(v).over(upto).alias(f"_run_{n}") for n, v in sums.items()],
+            *[F.lag(v).over(inside).alias(f"_lag_{n}") for n, v in previous.items()],
+        )
+        size = F.col("_here")
+    match = F.col(_BLOCK) == F.col("_b")
+    for i, key in enumerate(keys):
+        match &= F.col(key).eqNullSafe(F.col(f"_k{i}"))
+    joined = local.join(F.broadcast(edges), match, "left")
+    before = F.coalesce("_before", F.lit(0))
+    added = {number: before + F.col(_LOCAL)}
     if reverse:
-        size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        added[reverse] = size - F.row_number().over(ordered) + 1
-    added |= {new: F.sum(value).over(upto) for new, value in sums.items()}
-    added |= {new: F.lag(value).over(ordered) for new, value in previous.items()}
-    return df.select("*", *[column.alias(new) for new, column in added.items()])
+        added[reverse] = size - F.col(_LOCAL) + 1 + F.coalesce("_after", F.lit(0))
+    for n in sums:
+        run, off = F.col(f"_run_{n}"), F.col(f"_off_{n}")
+        added[n] = F.coalesce(off + run, run, off)
+    for n in previous:
+        added[n] = F.when((F.col(_LOCAL) == 1) & (before > 0), F.col(f"_last_{n}")).otherwise(F.col(f"_lag_{n}"))
+    return joined.select(*df.columns, *[column.alias(new) for new, column in added.items()])
 
 
-def _in_blocks(df, keys, order, number, reverse, sums, previous):
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Block ids are stored by the checkpoint, so a lost executor cannot change them.
-    ranged = (
-        df.repartitionByRange(blocks, *[F.col(k) for k in keys], *order)
-        .withColumn(_BLOCK, F.spark_partition_id())
-        .checkpoint()
-    )
-    # One row per (key, block): at most blocks + keys rows, so it may be broadcast.
+def _edges(ranged: DataFrame, keys: list[str], sums: Mapping[str, str], previous: Mapping[str, str]) -> DataFrame:
+    """What a key that spans blocks has in its earlier and later blocks: at most two rows per block."""
     totals = ranged.groupBy(*keys, _BLOCK).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.sum(v).alias(f"_sum_{n}") for n, v in sums.items()]
-    )
-    earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col(_BLOCK).alias("_b"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(_BEFORE),
-        F.sum("_rows").over(Window.partitionBy(*keys)).alias("_size"),
-        *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums],
+        F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_sum_{n}") for n, v in sums.items()],
+        *([F.max_by(F.struct(*[F.col(v).alias(f"_p_{n}") for n, v in previous.items()]), _AT).alias("_tail")] if previous else []),
     )
-    inside = Window.partitionBy(_BLOCK, *keys).orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select(
-        "*",
-        F.row_number().over(inside).alias(_LOCAL),
-        *[F.coalesce(F.sum(v).over(upto), F.lit(0)).alias(f"_run_{n}") for n, v in sums.items()],
+    line = Window.partitionBy(*keys).orderBy(_BLOCK)
+    earlier, later = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(1, Window.unboundedFollowing)
+    rows = totals.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(_BLOCK).alias("_b"), "_n",
+        F.sum("_n").over(earlier).alias("_before"), F.sum("_n").over(later).alias("_after"),
+        *[F.sum(f"_sum_{n}").over(earlier).alias(f"_off_{n}") for n in sums],
+        *[F.lag(F.col("_tail")[f"_p_{n}"]).over(line).alias(f"_last_{n}") for n in previous],
     )
-    match = F.col(_BLOCK) == F.col("_b")
-    for i, key in enumerate(keys):
-        match &= F.col(key).eqNullSafe(F.col(f"_k{i}"))
-    joined = local.join(F.broadcast(offsets), match)
-    added = {number: F.col(_BEFORE) + F.col(_LOCAL)}
-    if reverse:
-        added[reverse] = F.col("_size") - F.col(_BEFORE) - F.col(_LOCAL) + 1
-    added |= {n: F.col(f"_off_{n}") + F.col(f"_run_{n}") for n in sums}
-    result = joined.select(*df.columns, *[column.alias(new) for new, column in added.items()])
-    if not previous:
-        return result
-    prior = result.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        (F.col(number) + 1).alias("_next"),
-        *[F.col(v).alias(new) for new, v in previous.items()],
-    )
-    follows = F.col(number) == F.col("_next")
-    for i, key in enumerate(keys):
-        follows &= F.col(key).eqNullSafe(F.col(f"_k{i}"))
-    return result.join(prior, follows, "left").select(*result.columns, *previous)
+    return rows.where(F.col("_before").isNotNull() | F.col("_after").isNotNull()) if keys else rows
 
 
 def chunk_numbers(df: DataFrame, order: Sequence[Column], size: int = 1999) -> DataFrame:

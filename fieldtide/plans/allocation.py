@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from fieldtide.operators import allocation as al
-from fieldtide.session import checkpoint_dir
+from fieldtide.session import stored
 
 
 def allocation_tables(
@@ -16,10 +16,9 @@ def allocation_tables(
     """The allocation input of a day.
 
     The lines on the yard feed both supply and expected quantity; they are a small part of the
-    trailers and are checkpointed, so the joins behind them run once.
+    trailers and are stored, so the joins behind them run once.
     """
-    checkpoint_dir(trailers.sparkSession)
-    lines = al.yard_lines(trailers, arrivals, requests, events).checkpoint()
+    lines = stored(al.yard_lines(trailers, arrivals, requests, events), "yard-lines")
     supply = al.yard_supply(trailers, arrivals, plan, allocated, requests, events, skus, as_of, lines)
     virtual = al.virtual_allocations(allocs, requests, skus, trailers, arrivals, events, since, lines)
     confirmed = al.confirmed_allocations(allocs, requests, skus, since)

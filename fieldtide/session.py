@@ -6,10 +6,12 @@ settings: every operator takes the session from its input DataFrame.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_WRITTEN: list[str] = []
 
 
 def spark_session(app: str = "fieldtide", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,22 +33,47 @@ def spark_session(app: str = "fieldtide", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir, with its scheme as it is.
+
+    Where that is unset the folder is below the warehouse, which executors share too.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch").rstrip("/")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: the cluster's own, or a temporary one in local mode."""
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        configured = tempfile.mkdtemp(prefix="fieldtide-checkpoint-")
-    context.setCheckpointDir(configured)
-    return context.getCheckpointDir()
+    """The folder for checkpoints, set on the context where it is not yet."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(scratch_root(spark))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the checkpoint folder, reachable by every executor."""
-    root = checkpoint_dir(spark).removeprefix("file:")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the scratch folder, removed when this program ends."""
+    if not _WRITTEN:
+        atexit.register(_remove, spark)
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.append(path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the scratch folder and read it back.
+
+    The rows are computed once, later reads can skip columns, and a lost executor loses nothing.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession) -> None:
+    """Remove what was written, through Spark's own file systems; nothing to do once the session has ended."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _WRITTEN:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+    except Exception:  # noqa: BLE001 - the gateway is gone
+        pass
