@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 
 from fieldtide.functions import text as tx
 
-MAX_CLUSTERS = 10_000
-
 
 def embed_text(df: DataFrame, text_col: str, dim: int = 256, out: str = "features") -> DataFrame:
     """Unit vectors of hashed, inverse-frequency weighted words."""
@@ -79,7 +77,11 @@ def cluster_ch(df: DataFrame, label: str = "label", vec: str = "embedding") -> D
     # From here on there is one row per cluster and dimension.
     dims = stats.select("members", "sse", F.posexplode("centroid").alias("_dim", "_m"))
     m, members = F.col("_m"), F.col("members")
-    spread = F.sum(members * m * m) - F.pow(F.sum(members * m), F.lit(2)) / F.sum(members)
+    # Differences to the overall mean first: no large numbers cancel, however far the vectors lie from the origin.
+    line = Window.partitionBy("_dim")
+    middle = F.sum(members * m).over(line) / F.sum(members).over(line)
+    dims = dims.withColumn("_gap", m - middle)
+    spread = F.sum(members * F.col("_gap") * F.col("_gap"))
     per_dim = dims.groupBy("_dim").agg(
         F.count(F.lit(1)).alias("k"), F.sum(members).alias("n"), F.sum("sse").alias("_within"), spread.alias("_between")
     )
@@ -101,7 +103,7 @@ def cluster_silhouette(
         rows = df.select(_vector(df, vec).alias("features"), F.col(label).cast("double").alias("prediction"))
         value = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(rows)
         return df.sparkSession.createDataFrame([(float(value),)], "silhouette double")
-    rows = df.select(F.col(id_col).alias("_id"), F.col(label).alias("_c"), _array(df, vec).alias("_x"))
+    rows = df.select(F.xxhash64(id_col).alias("_id"), F.xxhash64(label).alias("_c"), _array(df, vec).alias("_x"))
     blocks = max(1, math.ceil(rows.count() / block))
     own = F.pmod(F.xxhash64("_id"), F.lit(blocks))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
@@ -211,23 +213,19 @@ def centroid_distance(
 ) -> DataFrame:
     """Nearest centroid and the Euclidean distance to it (``cluster_id``, ``center_dist``).
 
-    The centroids are a model of k rows; their number is checked before they go to the tasks.
+    The centroids, one row per cluster, are one value of the plan; each row finds its nearest by native
+    expressions. Of equally near centroids the one with the smallest label is taken; without centroids both are NULL.
     """
-    rows = centroids.select(label, "centroid").orderBy(label).limit(MAX_CLUSTERS + 1).collect()
-    if not 0 < len(rows) <= MAX_CLUSTERS:
-        raise ValueError("centroid_distance needs 1 to 10,000 centroids")
-    names = np.asarray([r[0] for r in rows])
-    centers = np.asarray([r[1] for r in rows], dtype=float)
-
-    @F.pandas_udf("cluster_id long, center_dist double")
-    def nearest(vectors: pd.Series) -> pd.DataFrame:
-        x = np.stack(vectors.to_numpy()).astype(float)
-        square = (x * x).sum(1)[:, None] + (centers * centers).sum(1)[None, :] - 2 * x @ centers.T
-        at = square.argmin(1)
-        gap = np.sqrt(((x - centers[at]) ** 2).sum(1))
-        return pd.DataFrame({"cluster_id": names[at], "center_dist": gap})
-
-    return df.withColumn("_near", nearest(_array(df, vec))).select(*df.columns, "_near.*")
+    listed = centroids.select(F.col(label).alias("id"), F.col("centroid").cast("array<double>").alias("at"))
+    model = listed.agg(F.collect_list(F.struct("id", "at")).alias("model")).scalar()
+    rows = df.withColumns({"_x": _array(df, vec), "_model": model})
+
+    def gap(c: Column) -> Column:
+        square = F.zip_with("_x", c["at"], lambda a, b: (a - b) * (a - b))
+        return F.struct(F.aggregate(square, F.lit(0.0), lambda s, v: s + v).alias("square"), c["id"].alias("id"))
+
+    near = rows.withColumn("_near", F.array_min(F.transform("_model", gap)))
+    return near.select(*df.columns, F.col("_near.id").cast("long").alias("cluster_id"), F.sqrt("_near.square").alias("center_dist"))
 
 
 def assign_cluster_label(model: KMeansModel, df: DataFrame, vec: str = "features", out: str = "label") -> DataFrame:

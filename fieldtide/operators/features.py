@@ -11,33 +11,44 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_CATEGORIES = 1000
-
 
 @dataclass(frozen=True)
 class OneHot:
-    """Categories per column, in alphabetical order."""
+    """Categories per column, in alphabetical order, with a name of their own for each."""
 
-    categories: dict[str, tuple]
+    names: dict[str, dict]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add a 0/1 column per known category; an unseen category gives zeros only."""
         added = {}
-        for column, values in self.categories.items():
-            for value in values:
-                name = f"{column}_{re.sub(r'[^0-9A-Za-z]+', '_', str(value))}"
+        for column, listed in self.names.items():
+            for value, name in listed.items():
                 added[name] = F.coalesce((F.col(column) == F.lit(value)).cast("int"), F.lit(0))
         return df.withColumns(added)
 
 
-def one_hot(train: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> OneHot:
-    """Learn the categories of ``cols``. Columns with more categories need ``one_hot_vector``."""
+def _names(column: str, values: Sequence, taken: set[str]) -> dict:
+    """A name per category: its letters and digits, with a number where another category has the same."""
+    out = {}
+    for value in values:
+        plain = name = f"{column}_{re.sub(r'[^0-9A-Za-z]+', '_', str(value))}"
+        n = 1
+        while name.lower() in taken:  # Spark does not tell upper from lower case in names
+            n += 1
+            name = f"{plain}_{n}"
+        taken.add(name.lower())
+        out[value] = name
+    return out
+
+
+def one_hot(train: DataFrame, cols: Sequence[str]) -> OneHot:
+    """Learn the categories of ``cols``. Each becomes a column of the result, so for columns of very many
+    categories ``one_hot_vector`` is the better form."""
+    taken = {c.lower() for c in train.columns}
     found = {}
     for column in cols:
-        rows = train.select(column).where(F.col(column).isNotNull()).distinct().limit(max_categories + 1).collect()
-        if len(rows) > max_categories:
-            raise ValueError(f"{column} has over {max_categories} categories, use one_hot_vector")
-        found[column] = tuple(sorted(r[0] for r in rows))
+        rows = train.select(column).where(F.col(column).isNotNull()).distinct().collect()
+        found[column] = _names(column, sorted(r[0] for r in rows), taken)
     return OneHot(found)
 
 

@@ -2,42 +2,29 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtide.functions import text as tx
 
-MAX_TABLE = 500_000  # lemma rows that may be sent to every executor
 
-
-def lemmatize(df: DataFrame, text_col: str, lemmas: DataFrame | None = None, *, key: str | None = None,
-              max_table: int = MAX_TABLE, out: str = "lemmatized") -> DataFrame:
+def lemmatize(df: DataFrame, text_col: str, lemmas: DataFrame | None = None, *, key: str | None = None, out: str = "lemmatized") -> DataFrame:
     """Replace every whitespace token by its noun lemma.
 
-    Without ``lemmas`` the regular endings are cut by rule. With a (form, lemma) table unknown
-    forms stay as they are: a table of checked size goes to the executors once; a larger one
-    is joined to the exploded tokens, which are then put together again per ``key``.
+    Without ``lemmas`` the regular endings are cut by rule. With a (form, lemma) table the tokens are
+    joined to it and put together again per ``key``, which must identify a row. Unknown forms and forms
+    whose lemma is NULL stay as they are; of several lemmas of a form the first in order is taken.
     """
     if lemmas is None:
         return df.withColumn(out, tx.noun_lemmas(F.col(text_col)))
-    rows = lemmas.select("form", "lemma").limit(max_table + 1).collect()
-    if len(rows) <= max_table:
-        table = df.sparkSession.sparkContext.broadcast({r.form: r.lemma for r in rows})
-
-        @F.pandas_udf("string")
-        def lookup(texts: pd.Series) -> pd.Series:
-            known = table.value
-            return texts.map(lambda t: None if t is None else " ".join(known.get(w, w) for w in t.split()))
-
-        return df.withColumn(out, lookup(F.col(text_col)))
     if key is None:
-        raise ValueError("a lemma table of this size needs the key of the texts")
+        raise ValueError("a lemma table needs the key of the texts")
+    table = lemmas.where("form is not null and lemma is not null").groupBy(F.col("form").alias("_word")).agg(F.min("lemma").alias("lemma"))
     tokens = df.select(key, F.posexplode(tx.tokens(F.col(text_col))).alias("_pos", "_word"))
-    found = tokens.join(lemmas.select(F.col("form").alias("_word"), "lemma"), "_word", "left")
+    found = tokens.join(table, "_word", "left")
     word = F.struct("_pos", F.coalesce("lemma", "_word").alias("w"))
     joined = found.groupBy(key).agg(F.array_sort(F.collect_list(word)).alias("_words"))
-    text = joined.select(key, F.array_join(F.col("_words.w"), " ").alias(out))
+    text = joined.select(F.col(key).alias("_key"), F.array_join(F.col("_words.w"), " ").alias(out))
     plain = F.when(F.col(text_col).isNotNull(), F.lit(""))
-    return df.join(text, key, "left").withColumn(out, F.coalesce(F.col(out), plain))
-
+    rows = df.join(text, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return rows.select(*[F.col(c) for c in df.columns if c != out], F.coalesce(F.col(out), plain).alias(out))

@@ -90,20 +90,20 @@ def embed(t):
 
 @query("kmeans_sweep")
 def sweep(t):
-    table, _ = cl.kmeans_sweep(t.table("embeddings"), restarts=2, vec="embedding")
+    table, _ = cl.kmeans_sweep(t.table("embeddings"), vec="embedding")
     return table
 
 
 @query("assign_cluster_label")
 def assign(t):
     rows = t.table("embeddings").select("vec_id", "embedding")
-    _, models = cl.kmeans_sweep(rows, [10], restarts=1, vec="embedding")
+    _, models = cl.kmeans_sweep(rows, [10], vec="embedding")
     return cl.assign_cluster_label(models[10], rows, "embedding", "cluster_id").select("vec_id", "cluster_id")
 
 
 @query("reason_clusters")
 def clusters(t):
-    return reason_clusters(t.fx("fx_comments"), "cmkey", "cmcomment", restarts=1, dim=64)
+    return reason_clusters(t.fx("fx_comments"), "cmkey", "cmcomment")
 
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -113,7 +113,12 @@ def one_hot_sql(values, column):
     return ", ".join(f"cast({column} = '{v}' as int) \"{column}_{v}\"" for v in values)
 
 
-@query("one_hot", f"select p_partkey, p_type, {one_hot_sql(TYPES, 'p_type')} from part")
+BAND = "case p_size % 3 when 0 then 'A-B' when 1 then 'A_B' else 'C' end"
+
+
+@query("one_hot", f"""select p_partkey, p_type, band, {one_hot_sql([t for t in TYPES if t != 'PROMO'], 'p_type')}, cast(band = 'A-B' as int) "band_A_B",
+ cast(band = 'A_B' as int) "band_A_B_2", cast(band = 'C' as int) "band_C" from (select p_partkey, p_type, {BAND} band from part) x""")
 def one_hot(t):
-    parts = t.table("part").select("p_partkey", "p_type")
-    return features.one_hot(parts, ["p_type"]).transform(parts)
+    """Fitted on parts without PROMO, applied to all: PROMO is unseen. Two categories have one cleaned name."""
+    parts = t.table("part").select("p_partkey", "p_type", F.expr(BAND).alias("band"))
+    return features.one_hot(parts.where("p_type <> 'PROMO'"), ["p_type", "band"]).transform(parts)
