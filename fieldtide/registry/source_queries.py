@@ -43,11 +43,13 @@ def _file_names() -> list[str]:
     return [part.strip().split(" ")[0] for part in fixed.PARAMETER_FILE_SCHEMA.split(",")]
 
 
-def _write_params(t: Tables, path: str) -> list[str]:
-    """Parameter files with blanks in the header."""
+def _write_params(t: Tables, path: str) -> None:
+    """Parameter files with blanks in the header, some with the columns in another order."""
     header = [name.replace("_", " ") for name in _file_names()]
-    t.fx("fx_params").toDF(*header).write.csv(path, header=True)
-    return header
+    rows = t.fx("fx_params").toDF(*header)
+    late = F.col("Param Desc") == "O"
+    rows.where(late).write.csv(path, header=True)
+    rows.where(~late).select(*[F.col(f"`{c}`") for c in reversed(header)]).write.mode("append").csv(path, header=True)
 
 
 PARAMS_SQL = "select " + ", ".join(
@@ -66,11 +68,11 @@ def folder(t):
 @query("ingest_folder_stream", PARAMS_SQL, views=["fx_params"])
 def folder_stream(t):
     path, out = scratch_path(t.spark, "params"), scratch_path(t.spark, "ingested")
-    header = _write_params(t, path)
+    _write_params(t, path)
     ingest.ingest_folder_stream(
-        t.spark, path, header, scratch_path(t.spark, "archive"), scratch_path(t.spark, "offsets"), out, "2024-02-05 00:00:00"
+        t.spark, path, len(_file_names()), scratch_path(t.spark, "archive"), scratch_path(t.spark, "offsets"), out, "2024-02-05 00:00:00"
     ).awaitTermination()
-    return t.spark.read.parquet(out).withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
+    return t.spark.read.parquet(out).drop("batch").withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("read_nested_reviews", """select conv_id omsid, count(*) num_reviews, count(*) listed, count(case when turn % 7 <> 3 then 1 end) with_text

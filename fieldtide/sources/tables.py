@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from fieldtide.functions import fixed_values as fixed
 from fieldtide.operators import columns
@@ -32,6 +32,36 @@ def read_headered_csv(spark: SparkSession, path: str, schema: str | StructType |
     return spark.read.csv(path, schema=schema, header=True, enforceSchema=False, mode="FAILFAST")
 
 
+FILE = "_metadata.file_path as _file"
+
+
+def text_columns(width: int) -> StructType:
+    """``width`` text columns without names of their own."""
+    return StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
+
+
+def aligned_by_name(rows: DataFrame, schema: str = fixed.PARAMETER_FILE_SCHEMA) -> DataFrame:
+    """Rows of text files (with their ``_file``), read without header, in the declared columns and types.
+
+    A row that names exactly the declared columns, in any order and with blanks for underscores, is its
+    file's header; the file's values go by those names. A file without such a row fails the read.
+    """
+    names = [f.name for f in StructType.fromDDL(schema).fields]
+    cells = F.array(*[F.col(c) for c in rows.columns if c != "_file"])
+    rows = rows.select("_file", cells.alias("_cells"), F.transform(cells, lambda c: F.replace(c, F.lit(" "), F.lit("_"))).alias("_names"))
+    is_header = F.sort_array("_names") == F.sort_array(F.array(*[F.lit(n) for n in names]))
+    headers = rows.where(is_header).groupBy(F.col("_file").alias("_of")).agg(F.min("_names").alias("_header"))
+    values = rows.where(~F.coalesce(is_header, F.lit(False))).join(headers, F.col("_file") == F.col("_of"), "left")
+    place = lambda n: F.array_position(F.coalesce("_header", F.raise_error(F.concat(F.lit("no header in "), "_file"))), n)
+    return cast_declared(values.select(*[F.get("_cells", (place(n) - 1).cast("int")).alias(n) for n in names]), schema)
+
+
+def loaded(rows: DataFrame, loaded_at: str, hours: int) -> DataFrame:
+    """Without rows that hold no value, with the load time ``hours`` after ``loaded_at``."""
+    rows = columns.drop_all_null(rows, rows.columns)
+    return rows.withColumn("time", F.lit(loaded_at).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hours)))
+
+
 def cast_declared(df: DataFrame, schema: str = fixed.PARAMETER_FILE_SCHEMA) -> DataFrame:
     """Underscores for spaces in the names, declared types for the values; bad values fail."""
     declared = StructType.fromDDL(schema)
@@ -49,12 +79,11 @@ def cast_declared(df: DataFrame, schema: str = fixed.PARAMETER_FILE_SCHEMA) -> D
 def ingest_folder(spark: SparkSession, path: str, loaded_at: str, schema: str = fixed.PARAMETER_FILE_SCHEMA, hours: int = 4) -> DataFrame:
     """All CSV files of a folder (not of its subfolders) in the declared types, with the load time.
 
-    Files whose header differs fail the read. Rows without any value are dropped.
+    Files may hold the columns in different orders. Rows without any value are dropped.
     """
-    rows = cast_declared(read_headered_csv(spark, path), schema)
-    rows = columns.drop_all_null(rows, rows.columns)
-    time = F.lit(loaded_at).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hours))
-    return rows.withColumn("time", time)
+    width = len(StructType.fromDDL(schema).fields)
+    files = spark.read.csv(path, schema=text_columns(width), header=False, mode="FAILFAST").selectExpr("*", FILE)
+    return loaded(aligned_by_name(files, schema), loaded_at, hours)
 
 
 def read_nested_reviews(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:

@@ -2,33 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldtide.functions import fixed_values as fixed
-from fieldtide.operators import columns
-from fieldtide.sources.tables import cast_declared
+from fieldtide.sources.tables import FILE, aligned_by_name, loaded, text_columns
 
 
 def ingest_folder_stream(
-    spark: SparkSession, path: str, header: list[str], archive_dir: str, checkpoint: str, out: str, loaded_at: str,
+    spark: SparkSession, path: str, width: int, archive_dir: str, checkpoint: str, out: str, loaded_at: str,
     schema: str = fixed.PARAMETER_FILE_SCHEMA, hours: int = 4,
 ) -> StreamingQuery:
-    """Append the new files of a folder to a Parquet table, then stop.
+    """Append the new files of a folder of ``width`` columns to a Parquet table, then stop.
 
-    Every file is read once, also after a restart. Files move to ``archive_dir`` when the next
-    run has seen that they are done. ``header`` gives the column names in file order.
+    Every file is read once, also after a restart, and its values go by the names in its own header,
+    whatever their order. A batch replaces its own folder ``batch=<n>``, so a repeated batch adds nothing
+    twice. Files move to ``archive_dir`` when the next run has seen that they are done.
     """
-    text = ", ".join(f"`{name}` string" for name in header)
     files = (
-        spark.readStream.schema(text).option("header", True).option("mode", "FAILFAST")
-        .option("cleanSource", "archive").option("sourceArchiveDir", archive_dir).csv(path)
-    )
-    rows = cast_declared(files, schema)
-    rows = columns.drop_all_null(rows, rows.columns)
-    time = F.lit(loaded_at).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hours))
-    return (
-        rows.withColumn("time", time).writeStream.format("parquet").option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).outputMode("append").start(out)
+        spark.readStream.schema(text_columns(width)).option("header", False).option("mode", "FAILFAST")
+        .option("cleanSource", "archive").option("sourceArchiveDir", archive_dir).csv(path).selectExpr("*", FILE)
     )
+
+    def write(batch: DataFrame, number: int) -> None:
+        loaded(aligned_by_name(batch, schema), loaded_at, hours).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return files.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()

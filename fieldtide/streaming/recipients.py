@@ -16,9 +16,10 @@ def recent_recipients(
     return df.where(F.col(ts) >= since).select(*cols).distinct()
 
 
-def recent_recipients_stream(
-    stream: DataFrame, minutes: int = 10, ts: str = "run_ts", cols: Sequence[str] = ("user", "mail", "run_ts")
-) -> DataFrame:
-    """Each recipient once per run; the state is dropped ``minutes`` behind the newest time."""
-    marked = stream.select(*cols).withWatermark(ts, f"{minutes} minutes")
-    return marked.dropDuplicatesWithinWatermark(list(cols))
+def recent_recipients_stream(stream: DataFrame, cols: Sequence[str] = ("user", "mail", "run_ts")) -> DataFrame:
+    """Each recipient once per run, however late a row comes.
+
+    The state is one key per recipient and run; it is never dropped, since a replay or a slow source may
+    bring any run again.
+    """
+    return stream.select(*cols).dropDuplicates(list(cols))
