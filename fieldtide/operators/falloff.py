@@ -162,7 +162,7 @@ def falloff_rollup(jobs: DataFrame, loc: DataFrame, keys: Sequence[str] = ("divi
 
 
 def scorecard_metrics(
-    scorecard: DataFrame, cal: DataFrame, loc: DataFrame, as_of: str | None = None, program_group: str = "HDE"
+    scorecard: DataFrame, cal: DataFrame, loc: DataFrame, program_group: str, as_of: str | None = None
 ) -> DataFrame:
     """Job count and revenue by week and location levels; only the previous week when ``as_of`` is given."""
     rows = scorecard.where((F.col("program_group") == program_group) & (F.col("sfi_flg") == ""))
@@ -179,7 +179,7 @@ def scorecard_metrics(
 
 def _with_scorecard(rollup: DataFrame, scorecard: DataFrame, keys: Sequence[str]) -> DataFrame:
     return joins.join_to_aggregate(
-        rollup, scorecard, keys, {"hdis_scorecard_job_count": "job_count", "hdis_scorecard_ir": "ir"}
+        rollup, scorecard, keys, {"scorecard_job_count": "job_count", "scorecard_ir": "ir"}
     )
 
 
@@ -200,8 +200,8 @@ def branch_falloff(rollup: DataFrame, scorecard: DataFrame, n: int = 5) -> DataF
 
 
 REPORT_SUMS = {
-    "hdis_scorecard_ir": "hdis_scorecard_ir",
-    "hdis_scorecard_job_count": "hdis_scorecard_job_count",
+    "scorecard_ir": "scorecard_ir",
+    "scorecard_job_count": "scorecard_job_count",
     "job_amt_scheduled": "bow_scheduled",
     "job_count_scheduled": "bow_scheduled_jobs",
     "job_amt_canceled": "job_amt_canceled",

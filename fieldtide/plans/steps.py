@@ -1,9 +1,9 @@
-"""A list of SQL steps, each replacing its target table."""
+"""A list of steps, each replacing its target table."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +15,10 @@ RESOLVE = "RESOLVE:"
 
 @dataclass(frozen=True)
 class Step:
+    """SQL, or a function that gets a way to read earlier targets by name and returns a table."""
+
     order: int
-    sql: str
+    sql: str | Callable[[Callable[[str], DataFrame]], DataFrame]
     target: str
 
 
@@ -41,6 +43,7 @@ def run_steps(spark: SparkSession, steps: Sequence[Step], params: Mapping[str, s
     values, done = resolve_params(spark, params), {}
     for step in sorted(steps, key=lambda s: s.order):
         target = fill(step.target, values)
-        done[target] = write_overwrite(spark.sql(fill(step.sql, values)), f"{out}/{target}")
+        rows = spark.sql(fill(step.sql, values)) if isinstance(step.sql, str) else step.sql(lambda name: done[fill(name, values)])
+        done[target] = write_overwrite(rows, f"{out}/{target}")
         done[target].createOrReplaceTempView(target)
     return done

@@ -8,7 +8,10 @@ from fieldtide.adapters import AS_OF_ORDERS, Tables
 from fieldtide.functions import dates, rules
 from fieldtide.functions import fixed_values as fixed
 from fieldtide.operators import calendar, falloff, joins
+from fieldtide.plans.falloff import falloff_job
 from fieldtide.registry.core import query
+from fieldtide.session import scratch_path
+from fieldtide.sources import sinks
 
 LOW = [s.lower() for s in fixed.STATUSES]
 
@@ -27,7 +30,7 @@ def jobs(t: Tables, **options):
 
 
 def scorecard(t: Tables):
-    return falloff.scorecard_metrics(t.fx("fx_scorecard"), cal(t), t.fx("fx_loc"))
+    return falloff.scorecard_metrics(t.fx("fx_scorecard"), cal(t), t.fx("fx_loc"), "MAIN")
 
 
 def region_table(t: Tables):
@@ -208,7 +211,7 @@ def rollup(t):
 
 SCORE_SQL = """score as (select c.fscl_yr_wk_key, division, region, branch, cast(sum(ty_job_count) as bigint) job_count, sum(ty_revenue) ir
  from fx_scorecard x join fx_cal c on c.cal_dt = x.cal_dt left join fx_loc on loc_nbr = str_nbr
- where program_group = 'HDE' and sfi_flg = '' group by 1, 2, 3, 4)"""
+ where program_group = 'MAIN' and sfi_flg = '' group by 1, 2, 3, 4)"""
 
 
 @query("scorecard_metrics", SCORE_SQL + "---select * from score", views=["fx_scorecard", "fx_cal", "fx_loc"], digits={"ir": 3})
@@ -218,13 +221,13 @@ def score(t):
 
 def joined_sql(key: str, out: str) -> str:
     return jobs_sql() + ", " + rollup_sql(key) + ", " + SCORE_SQL + f""",
- {out} as (select a.*, b.hdis_scorecard_job_count, b.hdis_scorecard_ir from rolled a left join
-  (select division, {key}, cast(sum(job_count) as bigint) hdis_scorecard_job_count, sum(ir) hdis_scorecard_ir from score group by 1, 2) b
+ {out} as (select a.*, b.scorecard_job_count, b.scorecard_ir from rolled a left join
+  (select division, {key}, cast(sum(job_count) as bigint) scorecard_job_count, sum(ir) scorecard_ir from score group by 1, 2) b
   on a.division = b.division and a.{key} = b.{key})"""
 
 
 REPORT_VIEWS = [*JOB_VIEWS, "fx_loc", "fx_scorecard"]
-IR = {"hdis_scorecard_ir": 2}
+IR = {"scorecard_ir": 2}
 
 
 @query("region_falloff", joined_sql("region", "regions") + "---select * from regions", views=REPORT_VIEWS,
@@ -268,14 +271,14 @@ def ranks(t):
                          F.col("branch_top5_falloff_pct_of_job_amt").alias("top5"))
 
 
-REPORT_NAMES = ["hdis_scorecard_ir", "hdis_scorecard_job_count", "bow_scheduled", "bow_scheduled_jobs", "job_amt_canceled",
+REPORT_NAMES = ["scorecard_ir", "scorecard_job_count", "bow_scheduled", "bow_scheduled_jobs", "job_amt_canceled",
                 "job_count_canceled", "job_amt_rescheduled", "job_count_rescheduled", "job_amt_unscheduled",
                 "job_count_unscheduled", "job_amt_aged", "job_count_aged", "job_amt_installed", "job_count_installed"]
 REPORT_SUMS_SQL = ", ".join(
     f"{'cast(' if 'count' in src else ''}sum({src}){' as bigint)' if 'count' in src else ''} {new}"
     for src, new in falloff.REPORT_SUMS.items()
 )
-REPORT_DIGITS = {n: 2 for n in REPORT_NAMES if "amt" in n or n in ("bow_scheduled", "hdis_scorecard_ir")} | {
+REPORT_DIGITS = {n: 2 for n in REPORT_NAMES if "amt" in n or n in ("bow_scheduled", "scorecard_ir")} | {
     "job_amt_fall_off": 2, "fall_off_pct_of_job_amt": 8}
 
 
@@ -317,6 +320,35 @@ def branch_rep(t):
     return falloff.branch_report(branch_table(t))
 
 
+def job_tables(t):
+    """All steps of the weekly job, written below the scratch folder."""
+    names = {
+        "bow": "fx_bow", "leads": "fx_leads", "assign": "fx_assign", "users": "fx_users", "salesmen": "fx_salesmen", "comments": "fx_comments",
+        "reasons": "fx_reasons", "reason_names": "fx_reason_names", "subreason_names": "fx_subreason_names", "locations": "fx_loc",
+        "scorecard": "fx_scorecard", "work_orders": "fx_workorders", "appointments": "fx_appointments", "record_types": "fx_record_types",
+    }
+    inputs = {name: t.fx(view) for name, view in names.items()} | {"cal": cal(t), "lead_dates": t.fx("fx_lead_dates").select("ldlead", "ldfupdate")}
+    params = {"STAGING": "stage", "REPORTING": "report", "RUN_DATE": "RESOLVE:select replace(cast(date '2024-02-05' as string), '-', '')"}
+    return falloff_job(t.spark, inputs, AS_OF_ORDERS, "MAIN", "ASIA", params, scratch_path(t.spark, "falloff"), previous_week_only=False)
+
+
+@query("falloff_job", joined_sql("region", "regions") + ", " + levels_sql("regions", "region", "Region", True) + "---" + LINES_SQL,
+       views=REPORT_VIEWS, digits=REPORT_DIGITS | {"fall_off_pct_of_job_count": 8})
+def job(t):
+    """The region report that the nine steps leave."""
+    return job_tables(t)["stage_region_report_20240205"]
+
+
+@query("falloff_report_lines", joined_sql("region", "regions") + ", " + levels_sql("regions", "region", "Region", True) + f""", body as ({LINES_SQL})
+---select * from (select 1 line_no, null c1, 'Fall Off Report' c2, null c3, null c4, null c5 union all select 2, null, 'by Division and Region', null, null, null
+ union all select 3, null, '', null, null, null
+ union all select 3 + report_line, cast(report_line as varchar), division, location_level, location, cast(bow_scheduled_jobs as varchar) from body) x""", views=REPORT_VIEWS)
+def report_body(t):
+    """The title block and the rows of the region report."""
+    body = region_rep(t).select("report_line", "division", "location_level", "location", "bow_scheduled_jobs")
+    return sinks.report_lines(body, ["Fall Off Report", "by Division and Region", ""], [F.col("report_line")])
+
+
 @query("report_order", SCORE_SQL + """, levels as (
   select division, 'Division' location_level, division as location, sum(job_count) / 1000.0 fall_off_pct_of_job_amt from score group by 1
   union all select division, 'Region', region, sum(job_count) / 1000.0 from score group by 1, 3)
