@@ -7,6 +7,7 @@ millions of series are fitted in parallel, one task per (series, setting).
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -77,14 +78,26 @@ def best_params(df: DataFrame, error: str = "test_mape") -> DataFrame:
     return best.select(KEY, "_best.*")
 
 
-def boxcox_lambda(df: DataFrame, series: str = KEY, y: str = Y, grid: Sequence[float] | None = None) -> DataFrame:
-    """Maximum-likelihood Box-Cox exponent of the positive values per series, on a grid.
+def boxcox_lambda(df: DataFrame, series: str = KEY, y: str = Y, grid: Sequence[float] | None = None, fine: float = 0.001) -> DataFrame:
+    """Maximum-likelihood Box-Cox exponent of the positive values per series.
 
-    All exponents are tried in one pass; partial sums per (series, exponent) are merged.
+    All exponents of a grid (of equal steps) are tried in one pass of partial sums, then those of a grid of steps
+    ``fine`` around the best. Give it the training part of the series (``train_test_split``).
     """
     grid = [round(-2 + i * 0.05, 2) for i in range(81)] if grid is None else list(grid)
-    lam, x = F.col("lam"), F.col(y).cast("double")
-    positive = df.where(F.col(y) > 0).select(series, x.alias(y), F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("lam"))
+    positive = df.where(F.col(y) > 0).select(series, F.col(y).cast("double").alias(y))
+    first = _likeliest(positive.withColumn("lam", F.explode(F.array(*[F.lit(float(g)) for g in grid]))), series, y)
+    steps = round((grid[1] - grid[0]) / fine) if len(grid) > 1 else 0
+    around = F.explode(F.sequence(F.lit(-steps), F.lit(steps)))
+    near = first.select(F.col(series).alias("_of"), F.col("lam").alias("_at")).withColumn("_step", around)
+    near = positive.join(near, F.col(series).eqNullSafe(F.col("_of")))
+    digits = max(0, -math.floor(math.log10(fine)))
+    return _likeliest(near.select(series, y, F.round(F.col("_at") + F.col("_step") * fine, digits).alias("lam")), series, y)
+
+
+def _likeliest(positive: DataFrame, series: str, y: str) -> DataFrame:
+    """(series, lam, llf) of the likeliest exponent among the rows' own."""
+    lam, x = F.col("lam"), F.col(y)
     changed = F.when(lam == 0, F.log(x)).otherwise((F.pow(x, lam) - 1) / F.when(lam != 0, lam))
     sums = positive.groupBy(series, "lam").agg(
         F.sum(F.log(x)).alias("_logs"), F.var_pop(changed).alias("_var"), F.count(F.lit(1)).alias("_n")
@@ -240,11 +253,13 @@ FORECAST_SCHEMA = (
 )
 
 
-def forecast_fit(history: DataFrame, frame: DataFrame, grid: Mapping[str, Sequence], holidays: DataFrame | None = None) -> DataFrame:
+def forecast_fit(history: DataFrame, frame: DataFrame, grid: Mapping[str, Sequence], holidays: DataFrame | None = None,
+                 chosen: DataFrame | None = None) -> DataFrame:
     """Fit every (series, setting) on ``history`` and predict the dates of ``frame``.
 
     ``history`` has series, ds, y; ``frame`` has series, ds. Duplicate months are averaged first,
-    which bounds every group by the number of months.
+    which bounds every group by the number of months. With ``chosen`` (series, param_id) only those
+    settings are fitted.
     """
     settings = {i: row for i, row in enumerate(grid_rows(grid), 1)}
     acting = _holiday_days(holidays)
@@ -253,6 +268,8 @@ def forecast_fit(history: DataFrame, frame: DataFrame, grid: Mapping[str, Sequen
         frame.select(KEY, DS).distinct().withColumn("_wanted", F.lit(True)), [KEY, DS], "left"
     )
     spread = rows.select("*", F.explode(F.array(*[F.lit(i) for i in settings])).alias("param_id"))
+    if chosen is not None:
+        spread = rows.join(chosen.select(KEY, F.col("param_id").cast("int").alias("param_id")), KEY)
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         series, param = group[KEY].iloc[0], int(group["param_id"].iloc[0])

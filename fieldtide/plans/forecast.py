@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtide.operators import timeseries as ts
+from fieldtide.session import stored
 
 
 def appointment_forecast(
@@ -15,10 +16,11 @@ def appointment_forecast(
     grid: Mapping[str, Sequence] = ts.DEFAULT_GRID, horizon: int = 6,
 ) -> DataFrame:
     """Impute, tune every series, refit the best setting on the whole history, predict ahead."""
-    filled = ts.impute_from_base_year(series, base, target, months)
-    frame = ts.future_frame(filled, horizon)
+    # Both are read by every later step.
+    filled = stored(ts.impute_from_base_year(series, base, target, months), "series")
+    frame = stored(ts.future_frame(filled, horizon), "frame")
     years = frame.select(F.year(ts.DS).alias("yr"))
     holidays = ts.holiday_table(years)
     best = ts.best_params(ts.tune_models(filled, grid, holidays)).select(ts.KEY, "param_id")
-    predicted = ts.forecast_fit(filled, frame, grid, holidays).join(best, [ts.KEY, "param_id"])
+    predicted = ts.forecast_fit(filled, frame, grid, holidays, best)
     return ts.forecast_output(predicted, filled)

@@ -50,13 +50,18 @@ def best(t):
 GRID = ", ".join(f"({round(-2 + i * 0.05, 2)}::double)" for i in range(81))
 
 
+def likelihood_sql(name: str, source: str) -> str:
+    return f"""{name} as (select series, lam, (lam - 1) * sum(ln(y)) - count(*) / 2.0 * ln(var_pop(case when lam = 0 then ln(y) else (pow(y, lam) - 1) / nullif(lam, 0) end)) llf
+ from {source} group by 1, 2)"""
+
+
 @query("boxcox_lambda", f"""g as (select * from (values {GRID}) v(lam)),
-s as (select series, lam, sum(ln(y)) ls, var_pop(case when lam = 0 then ln(y) else (pow(y, lam) - 1) / nullif(lam, 0) end) v, count(*) n
- from fx_series, g where y > 0 group by 1, 2),
-l as (select series, lam, (lam - 1) * ls - n / 2 * ln(v) llf from s)
----select series, arg_max(lam, llf) lam, max(llf) llf from l group by 1""", views=["fx_series"], digits={"llf": 5})
+train as (select series, y from (select *, max(ds) over (partition by series) last from fx_series) x where ds < last - 182 and y > 0),
+{likelihood_sql('l', '(select * from train, g) x')}, b as (select series, arg_max(lam, llf) lam from l group by 1),
+{likelihood_sql('f', '(select train.series, y, round(b.lam + s * 0.001, 3) lam from train join b using (series), (select unnest(range(-50, 51)) s) r) x')}
+---select series, arg_max(lam, llf) lam, max(llf) llf from f group by 1""", views=["fx_series"], digits={"llf": 5, "lam": 3})
 def boxcox(t):
-    return ts.boxcox_lambda(series(t))
+    return ts.boxcox_lambda(ts.train_test_split(series(t)).where("is_train"))
 
 
 @query("param_grid", """select distinct series, p.* from fx_series, (values (1, 1.0::double, 0.8::double, 0.8::double, 'multiplicative'),
@@ -116,6 +121,29 @@ def _holidays(t):
     return ts.holiday_table(series(t).select("yr"))
 
 
+SETTINGS_SQL = "p as (select unnest([1, 2])::bigint param_id)"
+
+
+@query("forecast_fit_rows", FRAME_SQL + f""", {SETTINGS_SQL}
+---select distinct series, param_id, ds, true ordered from frame, p where series is not null""", views=["fx_series"], texts=["ds"])
+def fit_rows(t):
+    """Every series, setting and date once, with the prediction inside its bounds."""
+    ordered = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return fit(t).select("series", "param_id", "ds", ordered.alias("ordered"))
+
+
+@query("tune_models_rows", f"{SETTINGS_SQL}---select distinct series, param_id, true measured from fx_series, p", views=["fx_series"])
+def tune_rows(t):
+    measured = (F.col("train_mape") >= 0) & (F.col("test_mape") >= 0)
+    return tune(t).select("series", "param_id", measured.alias("measured"))
+
+
+@query("appointment_forecast_rows", FRAME_SQL + "---select f.series, f.ds, true positive from frame f", views=["fx_series"], texts=["ds"])
+def forecast_rows(t):
+    """One row per series and date, none of them negative."""
+    return forecast(t).select("series", "ds", (F.col("yhat") >= 0).alias("positive"))
+
+
 @query("forecast_fit")
 def fit(t):
     rows = series(t)
