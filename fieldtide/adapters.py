@@ -32,7 +32,7 @@ select lpad(cast(c_custkey % 1000 as string), 4, '0') loc_nbr, r_name division,
     "fx_scorecard": """
 select lpad(cast(o_custkey % 1000 as string), 4, '0') str_nbr, cast(o_orderdate as date) cal_dt,
  1 ty_job_count, cast(o_totalprice as decimal(18, 2)) ty_revenue,
- case when o_orderpriority = '5-LOW' then 'OTH' else 'HDE' end program_group,
+ case when o_orderpriority = '5-LOW' then 'OTH' else 'MAIN' end program_group,
  case when o_orderstatus = 'P' then 'Y' else '' end sfi_flg from {orders}""",
     "fx_users": "select s_suppkey user_no, s_name first_nm, 'N' || cast(s_nationkey as string) last_nm from {supplier}",
     "fx_salesmen": """
@@ -57,7 +57,7 @@ select event_id audit_key, ts audit_ts, user_id lead,
     "fx_comments": r"""
 select event_id cmkey, user_id cmlead, ts cmdatetime, event_id % 10 cmuser, case
  when event_type = 'error' and event_id % 2 = 0 then 'Service appointment scheduled by TOA failed - no slot'
- when event_type = 'error' then 'Comments from HDE Workflow: customer called, storm damage'
+ when event_type = 'error' then 'Comments from APP Workflow: customer called, storm damage'
  when event_type = 'view' and event_id % 4 = 0 then 'Installer appointment scheduled by TOA'
  when event_type = 'view' and event_id % 4 = 1 then 'x Unschedule Reason code -  Weather Scheduling Comments -  heavy rain by TOA'
  when event_type = 'view' and event_id % 4 = 2 then 'x Reschedule Reason code -  Other Scheduling Comments -  call back by TOA'
@@ -68,6 +68,11 @@ select event_id cmkey, user_id cmlead, ts cmdatetime, event_id % 10 cmuser, case
  from {events} where event_type in ('error', 'view', 'click')""",
     "fx_history": """
 select event_id hist_key, cast(user_id as string) lead, ts reason_ts,
+ case when event_id % 7 = 0 then 'Status' else 'Provider_Issues__c' end field,
+ 'Reschedule Requested - ' || case when event_id % 2 = 0 then 'Customer' else 'Crew' end newvalue
+ from {events} where event_type = 'signup'""",
+    "fx_history_events": """
+select event_id hist_key, 'A' || cast(event_id as string) appt_id, ts reason_ts,
  case when event_id % 7 = 0 then 'Status' else 'Provider_Issues__c' end field,
  'Reschedule Requested - ' || case when event_id % 2 = 0 then 'Customer' else 'Crew' end newvalue
  from {events} where event_type = 'signup'""",
@@ -110,7 +115,7 @@ select distinct l_orderkey po_nbr, l_suppkey % 5 recv_loc_nbr, cast(o_orderdate
     "fx_requests": """
 select l_orderkey * 10 + l_suppkey % 5 agg_nbr, cast(l_suppkey % 5 as string) mkt_dc_nbr, cast(min(o_orderdate) as date) ord_dt,
  min(l_suppkey) mvndr_nbr, l_orderkey po_nbr,
- case l_orderkey % 3 when 0 then 'POP425I' when 1 then 'PXP202' else 'OTHER' end crt_pgm_id, l_orderkey % 7 agg_typ_cd
+ case l_orderkey % 3 when 0 then 'PGM1' when 1 then 'PGM2' else 'OTHER' end crt_pgm_id, l_orderkey % 7 agg_typ_cd
  from {lineitem} join {orders} on l_orderkey = o_orderkey group by l_orderkey, l_suppkey % 5""",
     "fx_order_events": """
 select l_orderkey po_nbr, cast(l_suppkey % 5 as string) recv_loc_nbr, cast(min(o_orderdate) as date) ord_crt_dt,
@@ -136,7 +141,7 @@ select cast(o_custkey % 1000 as string) str_nbr, l_partkey sku_nbr, date '1990-0
  from {lineitem} join {orders} on l_orderkey = o_orderkey join {part} on l_partkey = p_partkey group by o_custkey % 1000, l_partkey""",
     "fx_series": """
 select year(o_orderdate) yr, month(o_orderdate) mo, cast(date_trunc('month', o_orderdate) as date) ds,
- o_orderpriority series, count(*) y from {orders} where o_orderdate < timestamp '2001-08-01' group by 1, 2, 3, 4""",
+ o_orderpriority series, count(*) y from {orders} group by 1, 2, 3, 4""",
     "fx_text": """
 select doc_id, text || case doc_id % 5 when 0 then ' I DONT know what''s wrong, don''t ask'
  when 1 then ' see https://ex.org/a%20b?x=1 to set up' when 2 then ' Star Review side by side'

@@ -37,7 +37,7 @@ def expand_contractions(text: Column, mapping: Mapping[str, str] | None = None)
 
     Texts without an apostrophe and without any of the plain listed words skip the token loop.
     """
-    table = dict(mapping or fixed.contractions())
+    table = dict(mapping or fixed.CONTRACTIONS)
     plain = [re.escape(w) for w in table if "'" not in w]
     maybe = text.contains("'") if len(plain) < len(table) else F.lit(False)
     if plain:
@@ -70,7 +70,7 @@ def clean_text(
     return text
 
 
-def stop_word_filter(words: Column, stop: Sequence[str] = tuple(fixed.STOP_NOUNS)) -> Column:
+def stop_word_filter(words: Column, stop: Sequence[str] = fixed.STOP_NOUNS) -> Column:
     """Token array without the listed words (compared in lower case)."""
     return F.filter(words, lambda w: ~F.lower(w).isin(list(stop)))
 

@@ -50,7 +50,7 @@ def reason_counts(comments: DataFrame, marker: str = fixed.SYSTEM_MARKER) -> Dat
     system = comments.where(
         text.contains(marker)
         & ~text.like(f"%Measure appointment %scheduled {marker}%")
-        & ~text.like("Comments from HDE Workflow:  Email Status:  Submitted%")
+        & ~text.like("Comments from % Workflow:  Email Status:  Submitted%")
     )
     groups = system.groupBy(
         rules.reason_label(text, marker).alias("comment"), rules.fn_like_flags(text).alias("weather_flag")
@@ -68,6 +68,17 @@ def install_audits(audits: DataFrame, leads: DataFrame, as_of: str, days: int =
     return prior_row_self_join(rows, "lead", ["audit_ts", "audit_key"], ["audit_ts", "plan_dt"], **options)
 
 
+def history_chain(history: DataFrame, appointments: DataFrame, work_orders: DataFrame) -> DataFrame:
+    """Appointment history with the lead of the work order that its appointment belongs to.
+
+    History of an unknown appointment or work order keeps a row without lead, which matches no change.
+    """
+    parents = appointments.select("appt_id", "parent_record_id")
+    leads = work_orders.select(F.col("workorder_id").alias("parent_record_id"), F.col("lms_lead_id").alias("lead"))
+    rows = history.join(parents, "appt_id", "left").join(leads, "parent_record_id", "left")
+    return rows.drop("appt_id", "parent_record_id")
+
+
 def history_reasons(history: DataFrame, field: str = "Provider_Issues__c") -> DataFrame:
     """Reschedule requests of the appointment history: lead, UTC time and reason text."""
     asked = history.where(F.col("newvalue").like(f"{fixed.HISTORY_PREFIX}%") & (F.col("field") == field))

@@ -110,6 +110,20 @@ def match_sentences(clean: Column, raw: Column) -> Column:
     return _matched(clean, raw)
 
 
+def match_sentences_by_edits(clean: Column, raw: Column) -> Column:
+    """For each clean sentence the raw sentence of the fewest edits, the first of several; native expressions.
+
+    Edits are counted on the printable characters, as the clean sentences hold no others.
+    """
+    printable = F.transform(raw, tx.remove_non_printable)
+
+    def nearest(query: Column) -> Column:
+        counted = F.transform(printable, lambda s, i: F.struct(F.levenshtein(query, s).alias("edits"), i.alias("at")))
+        return F.get(raw, F.array_min(counted)["at"])
+
+    return F.transform(clean, nearest)
+
+
 def review_sentences(products: DataFrame) -> DataFrame:
     """Reviews with clean text, clean sentences, and the raw sentence behind each of them."""
     # Comparing sentences costs far more than moving them: use every core, however small the rows.

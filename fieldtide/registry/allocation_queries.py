@@ -13,42 +13,41 @@ from fieldtide.plans.allocation import allocation_tables
 from fieldtide.registry.core import query
 
 SINCE = "1995-06-01"
-SKU_SQL = "sku as (select sku_nbr, max(sku_crt_dt) sku_crt_dt from fx_skus group by 1)"
-YARD_FILTER = f"""t1.putwy_type in {fixed.PUTAWAY_TYPES} and b.dsvc_typ_cd <> 3 and b.rmeth_cd in (1, 2) and t1.load_typ in {fixed.LOAD_TYPES}
- and (r.crt_pgm_id in {fixed.CREATE_PROGRAMS} or r.agg_typ_cd = 5) and t2.zone not like 'DD%' and t1.move_2_zone is null"""
-YARD_FROM = """fx_trailers t1 join fx_yard_arrivals t2 on cast(t1.rdc_nbr as bigint) = t2.dc_nbr and t1.trlr_nbr = t2.tlr_nbr
- and t1.in_yard_dt between cast(t2.arvl_tm as date) - 3 and cast(t2.arvl_tm as date) + 3
- join fx_requests r on t1.po_nbr = r.po_nbr and cast(t1.rdc_nbr as bigint) = cast(r.mkt_dc_nbr as bigint) and t1.po_crt_dt = r.ord_dt
- join fx_order_events b on r.po_nbr = b.po_nbr and cast(r.mkt_dc_nbr as bigint) = cast(b.recv_loc_nbr as bigint) and r.ord_dt = b.ord_crt_dt"""
-YARD_SQL = f"""yarda as (select distinct t1.sku_nbr, t1.po_nbr, s.sku_crt_dt, t1.rdc_nbr, t1.units_ordered, t1.vendor_id mven
- from {YARD_FROM} join fx_plan t3 on cast(t3.rdc_nbr as bigint) = cast(t1.rdc_nbr as bigint) and t1.trlr_nbr = t3.trlr_nbr
- left join fx_allocated e on t1.po_nbr = e.po_nbr and cast(t1.rdc_nbr as bigint) = e.recv_loc_nbr and e.po_crt_dt = t1.po_crt_dt
- join sku s on s.sku_nbr = t1.sku_nbr
- where t3.cal_dt = date '{AS_OF_ORDERS}' and e.po_nbr is null and {YARD_FILTER}),
-yard as (select sku_nbr, sku_crt_dt, rdc_nbr, mven, sum(units_ordered) units_ordered from yarda group by 1, 2, 3, 4)"""
-CONF_SQL = f"""conf as (select r.mkt_dc_nbr rdc_nbr, a.loc_nbr, a.sku_nbr, s.sku_crt_dt, sum(a.conf_alloc_qty) conf_alloc_qty
- from fx_allocs a join fx_requests r on a.agg_nbr = r.agg_nbr join sku s on s.sku_nbr = a.sku_nbr
- where ord_dt > date '{SINCE}' and cast(eff_end_dttm as date) = date '9999-12-31' group by 1, 2, 3, 4)"""
-VIRT_SQL = f"""yard1 as (select distinct t1.vendor_id, t1.po_nbr, t1.rdc_nbr from {YARD_FROM} where {YARD_FILTER}),
-virt as (select b.mkt_dc_nbr rdc_nbr, a.loc_nbr, a.sku_nbr, s.sku_crt_dt, b.mvndr_nbr, sum(a.expctd_alloc_qty) virt_qty
- from fx_allocs a join sku s on s.sku_nbr = a.sku_nbr join fx_requests b on a.agg_nbr = b.agg_nbr
- join yard1 y on y.vendor_id = b.mvndr_nbr and y.po_nbr = b.po_nbr and cast(y.rdc_nbr as bigint) = cast(b.mkt_dc_nbr as bigint)
- where ord_dt > date '{SINCE}' group by 1, 2, 3, 4, 5)"""
-WOS_SQL = """case when t.oh_qty + t.oo_qty + coalesce(e.conf_alloc_qty, 0) - coalesce(t.cord_alloc_qty, 0) < 0 then 0
- else (t.oh_qty + t.oo_qty + coalesce(e.conf_alloc_qty, 0) - coalesce(t.cord_alloc_qty, 0))
-  / nullif((lead_tm_qty + rev_tm_qty) / nullif(coalesce(rev_tm_days_cnt, 0) + coalesce(lead_tm_days, 0), 0) * 7, 0) end"""
-INPUT_SQL = f"""strsku as (select distinct a.rdc_nbr, a.loc_nbr, a.sku_nbr, a.sku_crt_dt, virt_qty, conf_alloc_qty, units_ordered, b.mven mvndr
- from virt a join yard b on cast(b.rdc_nbr as bigint) = cast(a.rdc_nbr as bigint) and b.sku_nbr = a.sku_nbr and b.sku_crt_dt = a.sku_crt_dt
- left join conf c on c.sku_nbr = a.sku_nbr and c.sku_crt_dt = a.sku_crt_dt and c.loc_nbr = a.loc_nbr),
-detail as (select e.mvndr, e.rdc_nbr, e.sku_nbr, e.loc_nbr, a.buy_uom_qty, t.oh_qty, t.oo_qty, e.virt_qty, e.units_ordered qty_to_alloc, sum({WOS_SQL}) wos
- from strsku e left join fx_store_params a on e.loc_nbr = cast(a.str_nbr as bigint) and a.sku_nbr = e.sku_nbr and a.sku_crt_dt = e.sku_crt_dt
-  and a.cal_dt = date '{AS_OF_ORDERS}' - 1
- left join fx_store_stock t on cast(t.str_nbr as bigint) = e.loc_nbr and t.sku_nbr = e.sku_nbr and t.sku_crt_dt = e.sku_crt_dt
- group by 1, 2, 3, 4, 5, 6, 7, 8, 9),
-input as (select *, case when wos = 0 then 1 when wos < 2 then 2 else 3 end store_rank from detail where virt_qty > 0)"""
+SKU_SQL = "newest as (select sku_nbr, max(sku_crt_dt) sku_crt_dt from fx_skus group by 1)"
+# Lines on the yard: trailers for which an arrival, an allowed request and an order event exist.
+LINES_SQL = f"""allowed as (select po_nbr, ord_dt, mkt_dc_nbr::bigint dc from fx_requests where (crt_pgm_id in {fixed.CREATE_PROGRAMS} or agg_typ_cd = 5)
+ and exists (select 1 from fx_order_events o where o.po_nbr = fx_requests.po_nbr and o.recv_loc_nbr::bigint = mkt_dc_nbr::bigint
+  and ord_crt_dt = ord_dt and dsvc_typ_cd <> 3 and rmeth_cd in (1, 2))),
+lines as (select *, rdc_nbr::bigint rdc from fx_trailers where putwy_type in {fixed.PUTAWAY_TYPES} and load_typ in {fixed.LOAD_TYPES} and move_2_zone is null
+ and exists (select 1 from fx_yard_arrivals where dc_nbr = rdc_nbr::bigint and tlr_nbr = trlr_nbr and zone not like 'DD%'
+  and abs(date_diff('day', arvl_tm::date, in_yard_dt)) <= 3)
+ and exists (select 1 from allowed where allowed.po_nbr = fx_trailers.po_nbr and dc = rdc_nbr::bigint and ord_dt = po_crt_dt))"""
+SUPPLY_SQL = f"""supply as (select sku_nbr, sku_crt_dt, rdc_nbr, vendor_id mven, sum(units_ordered) units_ordered from
+ (select distinct sku_nbr, po_nbr, rdc_nbr, units_ordered, vendor_id from lines
+  where exists (select 1 from fx_plan where cal_dt = date '{AS_OF_ORDERS}' and fx_plan.rdc_nbr::bigint = rdc and fx_plan.trlr_nbr = lines.trlr_nbr)
+  and not exists (select 1 from fx_allocated d where d.po_nbr = lines.po_nbr and recv_loc_nbr = rdc and d.po_crt_dt = lines.po_crt_dt)) x
+ join newest using (sku_nbr) group by 1, 2, 3, 4)"""
+CONF_SQL = f"""confirmed as (select mkt_dc_nbr rdc_nbr, loc_nbr, sku_nbr, sku_crt_dt, sum(conf_alloc_qty) conf_alloc_qty
+ from (select * from fx_allocs where eff_end_dttm::date = date '{fixed.OPEN_END}') a
+ join (select agg_nbr, mkt_dc_nbr from fx_requests where ord_dt > date '{SINCE}') q using (agg_nbr) join newest using (sku_nbr) group by 1, 2, 3, 4)"""
+VIRT_SQL = f"""expected as (select mkt_dc_nbr rdc_nbr, loc_nbr, sku_nbr, sku_crt_dt, mvndr_nbr, sum(expctd_alloc_qty) virt_qty from fx_allocs
+ join (select agg_nbr, mkt_dc_nbr, mvndr_nbr from fx_requests where ord_dt > date '{SINCE}' and (mvndr_nbr, po_nbr, mkt_dc_nbr::bigint) in
+  (select vendor_id, po_nbr, rdc from lines)) q using (agg_nbr) join newest using (sku_nbr) group by 1, 2, 3, 4, 5)"""
+STOCK = "oh_qty + oo_qty + coalesce(conf_alloc_qty, 0) - coalesce(cord_alloc_qty, 0)"
+DEMAND = "7 * (lead_tm_qty + rev_tm_qty) / nullif(coalesce(rev_tm_days_cnt, 0) + coalesce(lead_tm_days, 0), 0)"
+WOS_SQL = f"if({STOCK} < 0, 0, ({STOCK}) / nullif({DEMAND}, 0))"
+INPUT_SQL = f"""wanted as (select distinct mven mvndr, e.rdc_nbr, sku_nbr, sku_crt_dt, loc_nbr, virt_qty, units_ordered qty_to_alloc, conf_alloc_qty
+ from expected e join supply s using (sku_nbr, sku_crt_dt) left join (select sku_nbr, sku_crt_dt, loc_nbr, conf_alloc_qty from confirmed) c using (sku_nbr, sku_crt_dt, loc_nbr)
+ where s.rdc_nbr::bigint = e.rdc_nbr::bigint),
+packs as (select str_nbr::bigint loc_nbr, sku_nbr, sku_crt_dt, buy_uom_qty from fx_store_params where cal_dt = date '{AS_OF_ORDERS}' - 1),
+stock as (select * exclude (str_nbr), str_nbr::bigint loc_nbr from fx_store_stock),
+weighed as (select mvndr, rdc_nbr, sku_nbr, loc_nbr, buy_uom_qty, oh_qty, oo_qty, virt_qty, qty_to_alloc, sum({WOS_SQL}) wos
+ from wanted left join packs using (loc_nbr, sku_nbr, sku_crt_dt) left join stock using (loc_nbr, sku_nbr, sku_crt_dt)
+ where virt_qty > 0 group by all),
+input as (select *, case when wos = 0 then 1 when wos < 2 then 2 else 3 end store_rank from weighed)"""
 YARD_VIEWS = ["fx_trailers", "fx_yard_arrivals", "fx_requests", "fx_order_events"]
 INPUT_VIEWS = [*YARD_VIEWS, "fx_plan", "fx_allocated", "fx_skus", "fx_allocs", "fx_store_params", "fx_store_stock"]
-INPUT_PARTS = ", ".join([SKU_SQL, YARD_SQL, CONF_SQL, VIRT_SQL, INPUT_SQL])
+INPUT_PARTS = ", ".join([SKU_SQL, LINES_SQL, SUPPLY_SQL, CONF_SQL, VIRT_SQL, INPUT_SQL])
 
 
 def running_sql(source: str, order: str) -> str:
@@ -92,24 +91,24 @@ def allocation_rows(t: Tables):
     return rows.withColumn("wos", F.round("wos", 6))
 
 
-@query("yard_supply", SKU_SQL + ", " + YARD_SQL + "---select * from yard",
+@query("yard_supply", ", ".join([SKU_SQL, LINES_SQL, SUPPLY_SQL]) + "---select * from supply",
        views=[*YARD_VIEWS, "fx_plan", "fx_allocated", "fx_skus"], texts=["sku_crt_dt"])
 def yard_query(t):
     return yard(t)
 
 
-@query("alloc_sums", SKU_SQL + ", " + CONF_SQL + "---select * from conf", views=["fx_skus", "fx_allocs", "fx_requests"], texts=["sku_crt_dt"], digits={"conf_alloc_qty": 4})
+@query("alloc_sums", SKU_SQL + ", " + CONF_SQL + "---select * from confirmed", views=["fx_skus", "fx_allocs", "fx_requests"], texts=["sku_crt_dt"], digits={"conf_alloc_qty": 4})
 def sums(t):
     return confirmed(t)
 
 
-@query("virtual_allocations", SKU_SQL + ", " + VIRT_SQL + "---select * from virt", views=[*YARD_VIEWS, "fx_skus", "fx_allocs"], texts=["sku_crt_dt"])
+@query("virtual_allocations", ", ".join([SKU_SQL, LINES_SQL, VIRT_SQL]) + "---select * from expected", views=[*YARD_VIEWS, "fx_skus", "fx_allocs"], texts=["sku_crt_dt"])
 def virtual_query(t):
     return virtual(t)
 
 
 @query("weeks_of_supply", f"""c as (select str_nbr, sku_nbr, cast(null as double) conf_alloc_qty from fx_store_stock)
----select t.str_nbr, t.sku_nbr, sum({WOS_SQL}) wos from fx_store_stock t join c e on e.str_nbr = t.str_nbr and e.sku_nbr = t.sku_nbr group by 1, 2""",
+---select str_nbr, sku_nbr, sum({WOS_SQL}) wos from fx_store_stock join c using (str_nbr, sku_nbr) group by 1, 2""",
        views=["fx_store_stock"], digits={"wos": 6})
 def weeks(t):
     rows = t.fx("fx_store_stock").withColumn("conf_alloc_qty", F.lit(None).cast("double"))

@@ -43,7 +43,7 @@ def phrases_sql(c: str) -> str:
 
 
 def expand_sql(c: str) -> str:
-    return mapped_sql(words_sql(c), fixed.contractions())
+    return mapped_sql(words_sql(c), fixed.CONTRACTIONS)
 
 
 def clean_sql(c: str) -> str:
@@ -101,7 +101,7 @@ def lemma_table(t):
     # The lemma table comes with the texts' own forms: the tokens of the appended phrases.
     forms = t.fx("fx_text").select(F.explode(tx.tokens(F.col("text"))).alias("form")).where("form in ('see', 'wrong,')").distinct()
     table = forms.withColumn("lemma", F.when(F.col("form") == "see", "look").otherwise("false"))
-    return tt.lemmatize(t.fx("fx_text"), "text", table).select("doc_id", "lemmatized")
+    return tt.lemmatize(t.fx("fx_text"), "text", table, key="doc_id").select("doc_id", "lemmatized")
 
 
 @query("stop_word_filter", f"""select doc_id, array_to_string(list_filter({words_sql('text')}, lambda w: lower(w) not in
@@ -157,6 +157,22 @@ def match(t):
     return rows.select("omsid", "review_id", F.array_join(rv.match_sentences(clean, raw), "|").alias("matched"))
 
 
+MATCH_SQL = f"""r as (select conv_id omsid, cast(turn % 4 as varchar) review_id, arg_max(text, turn) t from conversations where turn % 7 <> 3 group by 1, 2),
+s as (select omsid, review_id, {SENTENCES.format(clean_sql('t'))} q, {SENTENCES.format('t')} raw from r),
+pairs as (select omsid, review_id, qi, raw[si] sentence, levenshtein(q[qi], {printable_sql('raw[si]')}) edits, si
+ from (select *, unnest(range(1, len(raw) + 1)) si from (select *, unnest(range(1, len(q) + 1)) qi from s) a) b),
+best as (select omsid, review_id, qi, arg_min(sentence, edits * 1000000 + si) sentence from pairs group by 1, 2, 3)
+---select s.omsid, s.review_id, coalesce(string_agg(sentence, '|' order by qi), '') matched from s left join best using (omsid, review_id) group by 1, 2"""
+
+
+@query("match_sentences_by_edits", MATCH_SQL)
+def match_by_edits(t):
+    rows = rv.explode_reviews(products(t))
+    sides = rows.select("omsid", "review_id", tx.split_sentences(tx.clean_text(F.col("review_text"))).alias("q"),
+                        tx.split_sentences(F.col("review_text")).alias("raw"))
+    return sides.select("omsid", "review_id", F.array_join(rv.match_sentences_by_edits(F.col("q"), F.col("raw")), "|").alias("matched"))
+
+
 @query("review_sentences")
 def review(t):
     rows = rv.review_sentences(products(t))

@@ -60,14 +60,13 @@ def test_between_join_lists_each_pair_once(spark):
     assert got.count() == want == got.distinct().count()
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 1])
-def test_running_allocation(spark, hot_rows):
+def test_running_allocation(spark):
     data = [  # sku, rdc, store, rank, qty, wos, pack, limit
         (1, 1, 1, 1, 5.0, 0.0, 2, 12.0), (1, 1, 2, 2, 4.0, 1.0, 1, 12.0), (1, 1, 3, 2, 4.0, 1.0, 1, 12.0), (1, 1, 4, 3, 9.0, 3.0, 1, 12.0),
         (2, 1, 1, 3, 3.0, 3.0, 1, 3.0), (2, 1, 2, 3, 2.0, 3.0, 1, 3.0), (3, 1, 1, 3, 2.0, 3.0, 1, None), (4, 1, 1, 1, 2.0, 0.0, None, 9.0),
     ]
     df = spark.createDataFrame(data, "sku_nbr int, rdc_nbr int, loc_nbr int, store_rank int, virt_qty double, wos double, buy_uom_qty int, qty_to_alloc double")
-    got = al.running_allocation(df, hot_rows=hot_rows)
+    got = al.running_allocation(df)
     shares = {(r.sku_nbr, r.loc_nbr): r.included_qty for r in got.collect()}
     assert shares == {(1, 1): 5, (1, 2): 4, (1, 3): 3, (1, 4): -1, (2, 1): 3, (2, 2): 0, (3, 1): None, (4, 1): 2}
     kept = {(r.sku_nbr, r.loc_nbr): r.included_qty for r in al.allocation_trim(got).collect()}
@@ -125,14 +124,13 @@ def test_only_flagged_branches(tables):
     assert listed.count() == flagged.count() > 0
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 1])
-def test_falloff_comments_alike_for_hot_leads(spark, tables, hot_rows):
+def test_falloff_comments_by_type(spark, tables):
     cal = calendar.fiscal_calendar(spark, "2023-01-01", "2025-12-31")
     inputs = [tables.fx(n) for n in ("fx_audit", "fx_lead_dates", "fx_comments", "fx_history")]
-    got = cm.falloff_comments(*inputs, cal, AS_OF_EVENTS, hot_rows=hot_rows)
+    got = cm.falloff_comments(*inputs, cal, AS_OF_EVENTS)
     types = {r["type"]: r["count"] for r in got.groupBy("type").count().collect()}
     assert set(types) == {"Rescheduled", "Unscheduled", "Aged"} and sum(types.values()) == 122
-    once = cm.falloff_comments(*inputs, cal, AS_OF_EVENTS, distinct_comments=True, hot_rows=hot_rows)
+    once = cm.falloff_comments(*inputs, cal, AS_OF_EVENTS, distinct_comments=True)
     assert once.count() == got.count()
 
 
@@ -165,12 +163,35 @@ def test_explode_reviews_last_entry_wins(spark):
     assert got == [(1, "a", "new")]
 
 
-@pytest.mark.parametrize("max_table", [100, 0])
-def test_lemma_table_small_and_large(spark, max_table):
-    texts = spark.createDataFrame([(1, "two geese  fly"), (2, ""), (3, None)], "id int, t string")
-    lemmas = spark.createDataFrame([("geese", "goose"), ("fly", "fly")], "form string, lemma string")
-    got = tt.lemmatize(texts, "t", lemmas, key="id", max_table=max_table)
-    assert {r.id: r.lemmatized for r in got.collect()} == {1: "two goose fly", 2: "", 3: None}
+def test_lemma_table(spark):
+    texts = spark.createDataFrame([(1, "two geese  fly"), (2, ""), (3, None), (4, "hounds ran\u00a0away hounds"), (None, "geese")], "id int, t string")
+    lemmas = spark.createDataFrame([("geese", "goose"), ("fly", "fly"), ("hounds", "hound"), ("hounds", "dog"), ("two", None), (None, "x")],
+                                   "form string, lemma string")
+    got = tt.lemmatize(texts, "t", lemmas, key="id")
+    assert {r.id: r.lemmatized for r in got.collect()} == {
+        1: "two goose fly", 2: "", 3: None, 4: "dog ran\u00a0away dog", None: "goose"}
+    with pytest.raises(ValueError):
+        tt.lemmatize(texts, "t", lemmas)
+
+
+def test_nearest_centroid_of_many(spark):
+    rng = np.random.default_rng(0)
+    points, centers = rng.normal(0, 1, (50, 4)), rng.normal(0, 1, (1500, 4))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id int, embedding array<double>")
+    means = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)], "label int, centroid array<double>")
+    gap = np.sqrt(((points[:, None] - centers[None]) ** 2).sum(2))
+    got = clustering.centroid_distance(df, means).orderBy("vec_id").collect()
+    assert [r.cluster_id for r in got] == gap.argmin(1).tolist()
+    assert np.allclose([r.center_dist for r in got], gap.min(1))
+
+
+def test_cluster_ratio_far_from_the_origin(spark):
+    rng = np.random.default_rng(0)
+    points = np.concatenate([rng.normal(c, 0.1, (30, 2)) for c in (0, 1)])
+    rows = [(i, i // 30, p.tolist(), (p + 1e7).tolist()) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "vec_id int, label int, near array<double>, far array<double>")
+    near, far = (clustering.cluster_ch(df, vec=v).first()["ch"] for v in ("near", "far"))
+    assert far == pytest.approx(near, rel=1e-4)
 
 
 def test_mape_measures_zero_actuals_by_the_mean(spark):
@@ -235,8 +256,14 @@ def test_one_hot_unseen_category_gives_zeros(spark):
     assert [tuple(r)[2:] for r in got.collect()] == [(0, 0, 1, 1, 0, 0), (0, 0, 0, 0, 0, 1)]
     vector = features.one_hot_vector(["color"]).fit(train).transform(valid).collect()
     assert [v.color_vec.toArray().tolist() for v in vector] == [[0, 0, 1], [0, 0, 0]]
-    with pytest.raises(ValueError):
-        features.one_hot(train, ["color"], max_categories=2)
+
+
+def test_one_hot_keeps_every_category(spark):
+    train = spark.createDataFrame([("A-B",), ("A_B",), ("a b",), ("C",)], "k string")
+    got = {r.k: tuple(r)[1:] for r in features.one_hot(train, ["k"]).transform(train).collect()}
+    assert sorted(sum(v) for v in got.values()) == [1, 1, 1, 1] and len(set(got.values())) == 4
+    many = spark.range(0, 1200).select(F.col("id").cast("string").alias("k"))
+    assert len(features.one_hot(many, ["k"]).names["k"]) == 1200
 
 
 def test_appointment_detail_plans_inner_joins(tables):

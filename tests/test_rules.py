@@ -57,7 +57,7 @@ def test_history_reason_goes_first(spark):
     ("x by TOA", ""),
     ("x by FSL Scheduling Comments -  call first", "call first"),
     ("Appointment for WO 1234567. moved", "moved"),
-    ("Comments from HDE Workflow: hello ", "hello"),
+    ("Comments from APP Workflow: hello ", "hello"),
     ("Installer Bob X scheduled for 1/12/2024", ""),
     (None, ""),
 ])
@@ -80,9 +80,9 @@ def test_expand_contractions(spark, text, expanded):
 
 
 def test_contractions_are_expanded_alike_with_and_without_the_short_cut(spark):
-    words = [w for w in fixed.contractions()] + [w.upper() for w in fixed.contractions()]
+    words = [w for w in fixed.CONTRACTIONS] + [w.upper() for w in fixed.CONTRACTIONS]
     df = spark.createDataFrame([(f"a {w} b",) for w in words], "v string")
-    table = fixed.contractions()
+    table = fixed.CONTRACTIONS
     got = [r[0] for r in df.select(tx.expand_contractions(F.col("v"))).collect()]
     assert got == [f"a {table[w.lower()]} b" for w in words]
 
