@@ -23,9 +23,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: that with the smallest id."""
-    gone = near_dedup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """One document of each group of near duplicates stays: that with the smallest id. Rows without words stay."""
+    gone = near_dedup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone"), "text_hash").distinct()
+    # The list grows with the documents, so it is merged at every size.
+    same = F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("text_hash"))
+    return docs.join(gone.hint("merge"), same, "left_anti")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

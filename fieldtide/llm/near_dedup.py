@@ -269,7 +269,7 @@ def _block_links(members: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, rows: int = ROWS) -> DataFrame:
-    """(key, n_shingles, component_id, kept), one row per input row, for the graph of documents whose sets of 5-word
+    """(key, n_shingles, component_id, kept, text_hash), one row per input row, for the graph of documents whose sets of 5-word
     shingles have 100 * intersection >= percent * union.
 
     1. Equal sets become one class (an aggregate on a 128-bit digest), so exact copies cost one row each and no pair.
@@ -281,7 +281,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 
     A row without words has n_shingles 0 and is its own component. A null key is no candidate for component_id; a
     component of null keys has component_id null and keeps its rows. Repeated rows with the same key are kept
-    together. An empty table gives no rows. Other columns are ignored.
+    together. ``text_hash`` (xxhash64 of the text) tells rows of one key apart. An empty table gives no rows. Other
+    columns are ignored.
     """
     m = bands_for(percent, rows) * rows
     sketch = stored(_sketch_table(docs, key, text, percent, rows), "sketches")
@@ -300,7 +301,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     least = roots.groupBy("root").agg(F.min("rep_id").alias("component_id"))
     # Classes that stand alone need no second look at their root.
     ids = roots.join(least, "root").select("node", "component_id")
-    out = sketch.select("id", "n", "node").join(ids, "node", "left")
+    out = sketch.select("id", "hash", "n", "node").join(ids, "node", "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("id").eqNullSafe(component).alias("kept"))
+                      F.col("id").eqNullSafe(component).alias("kept"), F.col("hash").alias("text_hash"))

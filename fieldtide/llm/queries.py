@@ -58,10 +58,33 @@ def license_sentences(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_setsketch_dedup")
 def setsketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, folder, "documents"), percent=85)
-
-
-@query("op4_template_lines")
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), percent=85).drop("text_hash")
+
+
+GAP_SQL = r"'[\x20\x09-\x0D]+'"
+TEMPLATE_SQL = f"""
+with texts as (select distinct text from documents where text is not null),
+pieces as (select text, unnest(string_split(text, chr(10))) line, unnest(range(len(string_split(text, chr(10))))) i from texts),
+lines as (select text, i, list_transform(list_filter(regexp_split_to_array(line, {GAP_SQL}), lambda w: w <> ''),
+ lambda w: case when regexp_matches(w, '[0-9]') then '<*>' else w end) k from pieces),
+leafed as (select text, i, k, {{'n': len(k), 'head': k[1:{line_dedup.DEPTH}]}} leaf from lines where len(k) > 0),
+busy as (select leaf, count(distinct k) forms from leafed group by 1 having count(*) >= {line_dedup.MIN_DOCS}),
+forms as (select distinct leaf, k from leafed join busy using (leaf) where forms > 1),
+counts as (select leaf, place, k[place] token, count(*) c from (select leaf, k, unnest(range(1, len(k) + 1)) place from forms) x group by 1, 2, 3),
+constant as (select leaf, place, (max({{'c': c, 't': token}})).t token from counts join busy using (leaf)
+ group by 1, 2, forms having max(c) >= forms * {line_dedup.CONSTANT}),
+near as (select leaf, k from (select leaf, k, unnest(range(1, len(k) + 1)) place from forms) x join constant using (leaf, place)
+ where k[place] = token group by 1, 2 having count(*) >= len(k) * {line_dedup.SIMILAR}),
+members as (select l.text, l.i, l.leaf, case when near.leaf is null then l.k end own from leafed l semi join busy using (leaf) left join near on near.leaf = l.leaf and near.k = l.k),
+recurring as (select leaf, own from members group by 1, 2 having count(distinct text) >= {line_dedup.MIN_DOCS}),
+gone as (select distinct m.text, m.i from members m join recurring r on m.leaf = r.leaf and m.own is not distinct from r.own),
+kept as (select p.text, count(gone.text) dropped, count(*) n, coalesce(string_agg(p.line, chr(10) order by p.i) filter (gone.text is null), '') rest
+ from pieces p left join gone on gone.text = p.text and gone.i = p.i group by 1)
+select doc_id, coalesce(n, 0) n_lines, coalesce(dropped, 0) n_dropped, length(rest) kept_chars, sha256(rest) kept_sha256
+from documents d left join kept on kept.text = d.text"""
+
+
+@query("op4_template_lines", TEMPLATE_SQL)
 def template_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines and dropped lines per document, with a digest of what is left of the text."""
     out = line_dedup.drop_recurring_lines(table(spark, folder, "documents"))
@@ -121,9 +144,58 @@ def relational_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op9_robust_outliers")
+def outlier_sql() -> str:
+    """The base columns, then the concentration steps unrolled."""
+    q = quality_rules
+    words = f"list_filter(regexp_split_to_array(coalesce(text, ''), {GAP_SQL}), lambda w: w <> '')"
+    low = [(i, j) for i in range(4) for j in range(i + 1)]
+    z: list[str] = []
+    for i in range(4):
+        rest = f"f{i} - m{i}"
+        for j in range(i):
+            rest += f" - l{i}{j} * {z[j]}"
+        z.append(f"(({rest}) / l{i}{i})")
+    distance = " + ".join(f"{x} * {x}" for x in z)
+    parts = [rf"""ws as (select row_number() over () r, doc_id, lang, source, text, {words} w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '[^\x20\x09-\x0D]')) ln from documents)""",
+             """win as (select r, i, [w[i], w[i + 1], w[i + 2]] k from (select r, w, unnest(range(1, len(w) - 1)) i from ws) x)""",
+             """rep as (select r, count(distinct p) n from (select r, unnest([i, i + 1, i + 2]) p from
+  (select r, i, count(*) over (partition by r, k) c from win) y where c > 1) x group by 1)""",
+             """base as (select r, doc_id, lang, source, len(w)::bigint n_words, length(array_to_string(w, ''))::bigint word_chars,
+  len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::bigint n_symbols, (len(ln) - len(list_distinct(ln)))::bigint n_dup_lines,
+  coalesce(n, 0)::bigint n_repeat_words, len(ln) n_lines from ws left join rep using (r))""",
+             f"""rows_ as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed, {{'l': lang, 's': source}} grp,
+  round(ln(1 + word_chars / greatest(n_words, 1)) * {q.UNIT})::bigint f0, round(ln(1 + 10 * n_symbols / greatest(n_words, 1)) * {q.UNIT})::bigint f1,
+  round(n_dup_lines / greatest(n_lines, 1) * {q.UNIT})::bigint f2, round(n_repeat_words / greatest(n_words, 1) * {q.UNIT})::bigint f3 from base)""",
+             f"sizes as (select grp, count(*) >= {q.MIN_ROWS} big from rows_ where not base_failed group by 1)",
+             """good as (select grp::varchar fit, f0, f1, f2, f3 from rows_ join sizes using (grp) where big and not base_failed
+  union all select '', f0, f1, f2, f3 from rows_ where not base_failed)"""]
+    start = [f"quantile_cont(f{i}, 0.5) m{i}" for i in range(4)] + [f"{float(2 * q.FLOOR[i]) if i == j else 0.0}::double l{i}{j}" for i, j in low]
+    parts.append(f"est0 as (select fit, {', '.join(start)} from good group by 1)")
+    for step in range(q.STEPS):
+        parts.append(f"at{step} as materialized (select fit, f0, f1, f2, f3, floor(ln(1 + {distance}) * 64) k from good join est{step} using (fit))")
+        sums = ["count(*) n"] + [f"sum(f{i})::double s{i}" for i in range(4)] + [f"sum(f{i} * f{j})::double q{i}{j}" for i, j in low]
+        parts.append(f"sum{step} as (select fit, {', '.join(sums)} from at{step} join (select fit, quantile_cont(k, {q.SHARE}) cut from at{step} group by 1) c using (fit) where k <= cut group by 1)")
+        parts.append(f"mean{step} as (select *, {', '.join(f's{i} / n m{i}' for i in range(4))} from sum{step})")
+        source = f"mean{step}"
+        for i, j in low:
+            value = f"(q{i}{j} / n - m{i} * m{j}) * {q.CONSISTENCY}" + (f" + {float(q.FLOOR[i] ** 2)}::double" if i == j else " + 0.0::double")
+            for k in range(j):
+                value = f"{value} - l{i}{k} * l{j}{k}"
+            cell = f"sqrt(greatest({value}, 1.0::double))" if i == j else f"({value}) / l{j}{j}"
+            parts.append(f"c{step}_{i}{j} as (select *, {cell} l{i}{j} from {source})")
+            source = f"c{step}_{i}{j}"
+        parts.append(f"est{step + 1} as materialized (select fit, {', '.join(f'm{i}' for i in range(4))}, {', '.join(f'l{i}{j}' for i, j in low)} from {source})")
+    return "with " + ",\n".join(parts) + f"""
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+ not base_failed and coalesce({distance} <= {q.CUT}, true) kept, round({distance}, 3) distance
+from rows_ left join sizes using (grp) left join est{q.STEPS} on fit = case when big then grp::varchar when big is not null then '' end"""
+
+
+@query("op9_robust_outliers", outlier_sql())
 def robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules.quality_rules(table(spark, folder, "documents"))
+    out = quality_rules.quality_rules(table(spark, folder, "documents"))
+    return out.withColumn("distance", F.round("distance", 3))
 
 
 @query("op10_virtual_slots")
