@@ -59,13 +59,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", random_nodes: bool = False) -> DataFrame:
     """Connected components as (node, component): the smallest node that can be reached.
 
     Each round maps every node to the smallest of itself and its neighbours and keeps the distinct
     edges between different images, so stars vanish in one round and paths shrink by a constant
-    factor. Hot nodes are only ever aggregated or joined, never gathered.
+    factor, as nodes are compared by a hash (ids in order along a path would shrink by one). Nodes that
+    are random already, such as digests, are compared as they are with ``random_nodes``.
+    Hot nodes are only ever aggregated or joined, never gathered.
     """
+    if not random_nodes:
+        hashed = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("id")))
+        found = components(edges.select(hashed(a).alias("a"), hashed(b).alias("b")), random_nodes=True)
+        least = found.groupBy("component").agg(F.min("node.id").alias("least"))
+        return found.join(least, "component").select(F.col("node.id").alias("node"), F.col("least").alias("component"))
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b")
     e = checkpointed(e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = e.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("component"))

@@ -292,11 +292,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     bands = classes.select("node", F.explode("bands").alias("band"))
     hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     stars = bands.join(hubs, "band").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    clusters = components(stars).toDF("node", "cluster")
+    clusters = components(stars, random_nodes=True).toDF("node", "cluster")
     clusters = clusters.join(classes.drop("bands"), "node").select("node", "cluster", "rep_id", "rep_hash")
     members = stored(_members(docs, clusters, key, text, m), "members")
     links = stored(_block_links(members, percent), "links")
-    labels = components(links).toDF("node", "root")
+    labels = components(links, random_nodes=True).toDF("node", "root")
     roots = classes.join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "rep_id")
     least = roots.groupBy("root").agg(F.min("rep_id").alias("component_id"))
     # Classes that stand alone need no second look at their root.
