@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,7 @@ LITERALS = 5         # words that a window must keep besides its placeholders (o
 RUN = 6              # windows that must be found for a leak ...
 SHARE = 0.6          # ... or this share of the item's windows where that is fewer
 BITS = 23            # log2 of the bits of the filter that goes to the tasks: 1 MB, whatever the benchmark's size
+GROUP = 250_000      # characters of texts that are cut into windows at once
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g gram grams kg kilogram kilograms lb lbs oz ton tons "
     "ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks "
@@ -31,58 +33,67 @@ _JOINED = re.compile(r"([-+$€£]?\d[\d.,:/]*)([a-zA-Z]+)")
 
 
 class _Tokens(dict):
-    """Tokens to numbers of what is known about each: hash, kind, whether a sentence ends."""
+    """Tokens to places in arrays of what is known about each: hash, kind, whether a sentence ends."""
+
+    ROOM = 2**19
 
     def __init__(self) -> None:
-        self.hashes: list[int] = []
-        self.kinds: list[int] = []
-        self.ends: list[bool] = []
+        self.hashes = np.zeros(self.ROOM, np.uint64)
+        self.kinds = np.zeros(self.ROOM, np.int8)
+        self.ends = np.zeros(self.ROOM, bool)
 
-    def __missing__(self, token: str) -> int:
-        if len(self) > 500_000:
+    def make_room(self, tokens: int) -> None:
+        """Forget everything rather than grow beyond ROOM, unless one group of texts needs more."""
+        if len(self) + tokens > len(self.hashes):
             self.clear()
-            self.hashes, self.kinds, self.ends = [], [], []
+            if tokens > len(self.hashes):
+                self.hashes, self.kinds, self.ends = (np.zeros(tokens, a.dtype) for a in (self.hashes, self.kinds, self.ends))
+
+    def __missing__(self, token: str) -> int:
+        at = len(self)
         core = token.strip(_STRIP)
         low, kind = core.lower(), WORD
-        joined = _JOINED.fullmatch(core)
-        if _NUMBER.fullmatch(core) or joined and joined[2].lower() in UNITS:
-            kind = NUMBER
+        if not core:
+            kind = -1
+        elif core[0].isupper():
+            kind = NAME
         elif low in UNITS:
             kind = UNIT
-        elif core[:1].isupper():
-            kind = NAME
-        self.hashes.append(xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")) if core else 0)
-        self.kinds.append(kind if core else -1)
-        self.ends.append(token[-1] in ".!?:")
-        value = self[token] = len(self.hashes) - 1
-        return value
-
-
-def canonical(text: str | None, known: _Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, kind) of each token. Marks without letters are dropped; a capital at the start of a sentence makes no name."""
-    ids: list[int] = []
-    begins: list[int] = []
-    parts = [line.split() for line in (text or "").split("\n")]
-    if len(known) + sum(map(len, parts)) > 500_000:
-        known.clear()
-        known.hashes, known.kinds, known.ends = [], [], []
-    for part in parts:
-        begins.append(len(ids))
-        ids += map(known.__getitem__, part)
-    if not ids:
-        return np.empty(0, np.uint64), np.empty(0, np.int8)
-    # Only what these tokens need is turned into arrays.
-    at = np.fromiter(ids, np.int64, len(ids))
-    used, at = np.unique(at, return_inverse=True)
-    h = np.array([known.hashes[i] for i in used], np.uint64)[at]
-    kind = np.array([known.kinds[i] for i in used], np.int8)[at]
-    end = np.array([known.ends[i] for i in used], bool)[at]
-    start = np.zeros(len(ids), bool)
-    start[[b for b in begins if b < len(ids)]] = True
+        if any(c.isdigit() for c in core):
+            joined = _JOINED.fullmatch(core)
+            if _NUMBER.fullmatch(core) or joined and joined[2].lower() in UNITS:
+                kind = NUMBER
+        self.hashes[at] = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"))
+        self.kinds[at] = kind
+        self.ends[at] = token[-1] in ".!?:"
+        self[token] = at
+        return at
+
+
+def canonical(texts: list[str | None], known: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, kind, text number) of the tokens of all texts. Marks without letters are dropped; a capital at the start of
+    a sentence makes no name."""
+    lines: list[list[str]] = []
+    owners: list[int] = []
+    for number, text in enumerate(texts):
+        for line in (text or "").split("\n"):
+            tokens = line.split()
+            if tokens:
+                lines.append(tokens)
+                owners.append(number)
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    total = int(sizes.sum())
+    if not total:
+        return np.empty(0, np.uint64), np.empty(0, np.int8), np.empty(0, np.int64)
+    known.make_room(total)
+    at = np.fromiter(map(known.__getitem__, chain.from_iterable(lines)), np.int64, total)
+    kind, end = known.kinds[at], known.ends[at]
+    start = np.zeros(total, bool)
+    start[np.cumsum(sizes) - sizes] = True
     start[1:] |= end[:-1]
     kind[start & (kind == NAME)] = WORD
     real = kind >= 0
-    return h[real], kind[real]
+    return known.hashes[at][real], kind[real], np.repeat(np.array(owners, np.int64), sizes)[real]
 
 
 def _spread(h: np.ndarray) -> np.ndarray:
@@ -90,56 +101,79 @@ def _spread(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def window_hashes(h: np.ndarray, kind: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places, hashes) of the windows of ``k`` tokens, once with names as placeholders and once with names as words.
+def _rolled(value: np.ndarray, places: np.ndarray | slice, k: int, n: int) -> np.ndarray:
+    total = None
+    for i in range(k):
+        part = value[i:n + i][places]
+        total = part + np.uint64(k) if total is None else total * np.uint64(0x9E3779B97F4A7C15) + part
+    return _spread(total)
+
+
+def window_hashes(h: np.ndarray, kind: np.ndarray, owner: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, hashes) of the windows of ``k`` tokens of one text, once with names as placeholders and once as words.
 
     A placeholder hashes by its type alone. Windows with too few words say nothing and are left out.
     """
     n = len(h) - k + 1
     if n <= 0:
         return
-    least = -(-LITERALS * k // WINDOW)
-    for slots in ((NUMBER, UNIT, NAME), (NUMBER, UNIT)):
-        if slots[-1] == UNIT and not (kind == NAME).any():
-            return
-        is_slot = np.isin(kind, slots)
-        value = np.where(is_slot, kind.astype(np.uint64) + np.uint64(1), h)
-        total = np.full(n, k, np.uint64)
-        words = np.zeros(n, np.int16)
-        for i in range(k):
-            total = total * np.uint64(0x9E3779B97F4A7C15) + value[i:n + i]
-            words += ~is_slot[i:n + i]
-        places = np.flatnonzero(words >= least)
-        if slots[-1] == UNIT:  # only windows with a name differ from the first form
-            named = np.convolve((kind == NAME).astype(np.int16), np.ones(k, np.int16), "valid") > 0
-            places = places[named[places]]
-        yield places, _spread(total[places])
+    least, whole = -(-LITERALS * k // WINDOW), owner[:n] == owner[k - 1:]
+
+    def count(marks: np.ndarray) -> np.ndarray:
+        sums = np.concatenate([[0], np.cumsum(marks, dtype=np.int32)])
+        return sums[k:] - sums[:-k]
+
+    typed = kind > WORD
+    value = np.where(typed, kind.astype(np.uint64), h)
+    places = np.flatnonzero(whole & (k - count(typed) >= least))
+    yield places, _rolled(value, places if len(places) < n else slice(None), k, n)
+    if (kind == NAME).any():  # only windows with a name have another form
+        typed &= kind != NAME
+        value = np.where(typed, kind.astype(np.uint64), h)
+        places = np.flatnonzero(whole & (count(kind == NAME) > 0) & (k - count(typed) >= least))
+        yield places, _rolled(value, places, k, n)
 
 
 def _windows(texts: DataFrame, sizes: list[int] | None, bits: np.ndarray | None) -> DataFrame:
-    """(id, row, k, place, window, slots) of (id, row, text); ``slots`` are the hashes of the window's tokens.
+    """(id, row, k, n, place, window, slots) of (id, row, text); ``slots`` are the hashes of the window's placeholders.
 
     Without ``sizes`` each text takes WINDOW or its own length. With ``bits`` only windows that may be in the
-    benchmark leave the task.
+    benchmark leave the task. Texts are taken together up to GROUP characters, so short texts cost no calls of their own.
     """
+    names = ["id", "row", "k", "n", "place", "window", "slots"]
+
+    def rows(batch: pd.DataFrame, known: _Tokens) -> list[tuple]:
+        h, kind, owner = canonical(batch["text"].tolist(), known)
+        first = np.searchsorted(owner, np.arange(len(batch) + 1))
+        length = np.diff(first)
+        ids, hashes_of = batch["id"].tolist(), batch["row"].tolist()
+        held = []
+        for k in sizes or sorted({min(WINDOW, x) for x in length.tolist() if x >= LEAST}):
+            for places, hashes in window_hashes(h, kind, owner, k):
+                if sizes is None:  # a benchmark item has one size of window
+                    own = np.minimum(WINDOW, length[owner[places]]) == k
+                    places, hashes = places[own], hashes[own]
+                if bits is not None:
+                    low = (hashes & np.uint64(2**BITS - 1)).astype(np.int64)
+                    hit = np.flatnonzero((bits[low >> 3] >> (low & 7)) & 1)
+                    high = (hashes[hit] >> np.uint64(40)).astype(np.int64) & (2**BITS - 1)
+                    hit = hit[((bits[high >> 3] >> (high & 7)) & 1).astype(bool)]
+                    places, hashes = places[hit], hashes[hit]
+                for p, w in zip(places.tolist(), hashes.view(np.int64).tolist()):
+                    o = int(owner[p])
+                    slots = np.where(kind[p:p + k] > WORD, h[p:p + k], 0).view(np.int64).tolist()
+                    held.append((ids[o], hashes_of[o], k, int(length[o]) - k + 1, p - int(first[o]), w, slots))
+        return held
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _Tokens()
-        names = ["id", "row", "k", "n", "place", "window", "slots"]
         for batch in batches:
-            held = []
-            for key, row, text in batch[["id", "row", "text"]].itertuples(index=False, name=None):
-                h, kind = canonical(text, known)
-                for k in sizes or ([min(WINDOW, len(h))] if len(h) >= LEAST else []):
-                    for places, hashes in window_hashes(h, kind, k):
-                        if bits is not None:
-                            at = (hashes & np.uint64(2**BITS - 1)).astype(np.int64), (hashes >> np.uint64(40)).astype(np.int64) & (2**BITS - 1)
-                            hit = (bits[at[0] >> 3] >> (at[0] & 7) & 1).astype(bool) & (bits[at[1] >> 3] >> (at[1] & 7) & 1).astype(bool)
-                            places, hashes = places[hit], hashes[hit]
-                        for p, w in zip(places.tolist(), hashes.view(np.int64).tolist()):
-                            held.append((key, row, k, len(h) - k + 1, p, w, [int(x) for x in np.where(kind[p:p + k] > WORD, h[p:p + k], 0).view(np.int64)]))
-            if held:
-                yield pd.DataFrame(held, columns=names)
+            size = batch["text"].str.len().fillna(0).cumsum() // GROUP
+            for _, part in batch.groupby(size, sort=False):
+                if held := rows(part, known):
+                    out = pd.DataFrame(held, columns=names)
+                    out["id"] = out["id"].astype("Int64")
+                    yield out
 
     return texts.mapInPandas(cut, "id long, row long, k int, n int, place int, window long, slots array<long>")
 
