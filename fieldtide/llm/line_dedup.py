@@ -70,7 +70,8 @@ def drop_recurring_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH
     drops = recurring_lines(docs, text, depth, min_docs).groupBy("doc").agg(F.collect_set("line").alias("_drop"))
     rows = docs.drop(*[c for c in ("n_lines", "n_dropped") if c != text])
     rows = rows.withColumn("_doc", F.xxhash64(text))
-    joined = rows.join(drops.withColumnRenamed("doc", "_doc"), "_doc", "left")
+    # A merge join at every size: the lists grow with the documents, so none of them is ever broadcast.
+    joined = rows.join(drops.withColumnRenamed("doc", "_doc").hint("merge"), "_doc", "left")
     lines = F.split(F.col(text), "\n")
     keep = F.array_join(F.filter(lines, lambda _, i: ~F.coalesce(F.array_contains("_drop", i), F.lit(False))), "\n")
     out = joined.withColumns({
