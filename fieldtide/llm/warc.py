@@ -71,11 +71,11 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, root = fs.FileSystem.from_uri(folder)
         system.create_dir(root, recursive=True)
-        path, size, count, out = f"{root}/{uuid.uuid4().hex}.warc.gz", 0, 0, None
+        name, size, count, out = f"{uuid.uuid4().hex}.warc.gz", 0, 0, None
         try:
             for rows in batches:
                 for r in rows.itertuples(index=False):
-                    out = out or system.open_output_stream(path, compression=None)
+                    out = out or system.open_output_stream(f"{root}/{name}", compression=None)
                     member = _record(r.name, r.url, r.payload, r.size, r.digest, r.refers_to, date)
                     out.write(member)
                     size, count = size + len(member), count + 1
@@ -83,7 +83,8 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
             if out is not None:
                 out.close()
         if count:
-            yield pd.DataFrame({"path": [path], "bytes": [size], "records": [count]})
+            # The path keeps the scheme of the folder, by which the reader finds its file system.
+            yield pd.DataFrame({"path": [f"{folder.rstrip('/')}/{name}"], "bytes": [size], "records": [count]})
 
     return stored(rows.mapInPandas(write, "path string, bytes long, records long"), "warc-list")
 
