@@ -18,6 +18,7 @@ from fieldtide.llm.common import byte_length, stored
 MAGIC = b"\x1f\x8b\x08"
 LEAST_BYTES = 1000            # equal payloads of at least this size are written once
 SPLIT_BYTES = 8 * 1024 * 1024
+MOST_TASKS = 50_000           # beyond so many ranges a task reads several
 CHUNK = 1024 * 1024
 DATE = "2024-01-01T00:00:00Z"
 
@@ -179,7 +180,9 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     declared_digest describe the full payload. Damaged members are passed over.
     """
     ranges = files.select("path", F.explode(F.sequence(F.lit(0), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes))).alias("start"))
-    ranges = ranges.repartition("path", "start")
+    # The list of ranges is small, so adaptive execution would put them all into one task; a given number of tasks is kept.
+    n = files.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("bytes") / split_bytes)))).first()[0] or 1
+    ranges = ranges.repartition(min(int(n), MOST_TASKS))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [f.split()[0] for f in READ_SCHEMA.split(", ")]
