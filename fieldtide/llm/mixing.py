@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldtide.llm.common import stored, word_count
 
-BLOCK_ROWS = 50_000  # expected rows of a block at the leaves of the reduction tree
+BLOCK_ROWS = 4_000   # expected rows of a block at the leaves of the reduction tree
 FAN_IN = 64          # residuals that one node of the tree combines
 MOST = 3             # no source's target and no document's copies exceed this many times its size
 
