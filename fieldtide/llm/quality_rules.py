@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from fieldtide.llm.common import stored, words
 
-SHARE = 0.75        # part of a group's rows that the covariance is fitted on
-STEPS = 4           # concentration steps; the determinant falls with each
+SHARE = 0.5         # part of a group's rows that the covariance is fitted on: any minority of outliers is withstood
+STEPS = 8           # concentration steps; the determinant falls with each, and later ones move a mean by under a thousandth
 MIN_ROWS = 200      # smaller groups take the estimate over all rows
 CUT = 150.0         # squared distance from which a document is rejected
 UNIT = 1000         # statistics are whole thousandths, so sums are exact and reruns agree
 FLOOR = (40, 60, 40, 60)  # least standard deviation of each statistic, in thousandths
-# Makes the covariance of the inner 75 % of a normal cloud in four dimensions that of the whole:
-# 0.75 / P(chi2(6) <= q) with q the 0.75 quantile of chi2(4).
-CONSISTENCY = 1.486
+# Makes the covariance of the inner half of a normal cloud in four dimensions that of the whole:
+# 0.5 / P(chi2(6) <= q) with q the 0.5 quantile of chi2(4).
+CONSISTENCY = 2.109
 STATS = ("_f0", "_f1", "_f2", "_f3")
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 

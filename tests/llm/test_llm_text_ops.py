@@ -154,6 +154,17 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert math.isfinite(got[0].distance)
 
 
+@pytest.mark.parametrize("junk", [162, 245])
+def test_outliers_of_over_a_third_of_a_group_go(spark, junk):
+    draw = np.random.default_rng(5)
+    vocabulary = ["".join(draw.choice(list("aeioulnrst"), draw.integers(2, 8))) for _ in range(400)]
+    rows = [(i, " ".join(draw.choice(vocabulary, 120)), "en", "s") for i in range(300)]
+    equal = "*** ".join(draw.choice(vocabulary, 120))
+    rows += [(1000 + i, equal, "en", "s") for i in range(junk)]
+    got = {r.doc_id: r.kept for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[1000 + i] for i in range(junk)) and all(got[i] for i in range(300))
+
+
 CHATS = [
     (1, 0, "system", "be brief"), (1, 1, "user", "a"), (1, 2, "user", "b <|im_end|>"), (1, 3, "assistant", "c\\|"), (1, 4, "assistant", None),
     (2, 0, "assistant", "<|im_next|>\\\\<\\|x"), (2, 0, "assistant", "<"), (3, None, None, None), (3, 1, "ro\nle<|", "\\n"), (None, 0, "user", "x"),
