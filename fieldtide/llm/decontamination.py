@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fieldtide.llm.common import stored
 
 WINDOW = 8           # canonical tokens of a window; shorter items are one window of their own length
-LEAST = 4            # items with fewer tokens are not searched for
+LEAST = 4            # items with fewer tokens are searched for word by word only, without placeholders
 LITERALS = 5         # words that a window must keep besides its placeholders (of 8; in proportion for shorter windows)
 RUN = 6              # windows that must be found for a leak ...
 SHARE = 0.6          # ... or this share of the item's windows where that is fewer
@@ -110,14 +110,20 @@ def _rolled(value: np.ndarray, places: np.ndarray | slice, k: int, n: int) -> np
 
 
 def window_hashes(h: np.ndarray, kind: np.ndarray, owner: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places, hashes) of the windows of ``k`` tokens of one text, once with names as placeholders and once as words.
+    """(places, hashes) of the windows of ``k`` tokens of one text, with names as placeholders, with names as words, and with
+    every token as it is.
 
-    A placeholder hashes by its type alone. Windows with too few words say nothing and are left out.
+    A placeholder hashes by its type alone. Windows with placeholders and too few words say nothing and are left out;
+    tokens as they are need no least number of words, so a verbatim copy has all of its windows.
     """
     n = len(h) - k + 1
     if n <= 0:
         return
     least, whole = -(-LITERALS * k // WINDOW), owner[:n] == owner[k - 1:]
+    if k < LEAST:
+        places = np.flatnonzero(whole)
+        yield places, _rolled(h, places, k, n)
+        return
 
     def count(marks: np.ndarray) -> np.ndarray:
         sums = np.concatenate([[0], np.cumsum(marks, dtype=np.int32)])
@@ -132,6 +138,9 @@ def window_hashes(h: np.ndarray, kind: np.ndarray, owner: np.ndarray, k: int) ->
         value = np.where(typed, kind.astype(np.uint64), h)
         places = np.flatnonzero(whole & (count(kind == NAME) > 0) & (k - count(typed) >= least))
         yield places, _rolled(value, places, k, n)
+    # Without numbers and units the form before is the text as it is.
+    places = np.flatnonzero(whole & (count((kind == NUMBER) | (kind == UNIT)) > 0))
+    yield places, _rolled(h, places, k, n)
 
 
 def _windows(texts: DataFrame, sizes: list[int] | None, bits: np.ndarray | None) -> DataFrame:
@@ -148,7 +157,7 @@ def _windows(texts: DataFrame, sizes: list[int] | None, bits: np.ndarray | None)
         length = np.diff(first)
         ids, hashes_of = batch["id"].tolist(), batch["row"].tolist()
         held = []
-        for k in sizes or sorted({min(WINDOW, x) for x in length.tolist() if x >= LEAST}):
+        for k in sizes or sorted({min(WINDOW, x) for x in length.tolist() if x}):
             for places, hashes in window_hashes(h, kind, owner, k):
                 if sizes is None:  # a benchmark item has one size of window
                     own = np.minimum(WINDOW, length[owner[places]]) == k
@@ -196,17 +205,18 @@ def _filter_bits(windows: DataFrame) -> np.ndarray:
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, row, item, windows, found, changed): one row per document text and benchmark item that it leaks.
 
-    Numbers, units and names of both sides become typed placeholders. Windows of WINDOW tokens of the documents that
+    Numbers, units and names of both sides become typed placeholders; windows with numbers or units also count as they
+    are, so a verbatim copy of an item matches however dense in numbers it is. Windows of WINDOW tokens of the documents that
     pass a filter of fixed size meet the benchmark's windows in a hash join. Matches on one alignment are put together:
     the windows found must number RUN, or SHARE of the item's windows, and each value of the item's slots must stand for
     one value only in the document; ``changed`` tells whether a slot's value differs, as in a re-parameterised question.
 
-    ``row`` is a hash of the text; a repeated row is reported once. Null and empty texts and items under LEAST tokens
-    leak nothing; an empty table on either side gives no rows; other columns are ignored.
+    ``row`` is a hash of the text; a repeated row is reported once. Null and empty texts leak nothing; items under LEAST
+    tokens are one window that must occur as it is; an empty table on either side gives no rows; other columns are ignored.
     """
     sides = benchmark.select(F.col(item).cast("long").alias("id"), F.xxhash64(item_text).alias("row"), F.col(item_text).alias("text"))
     bench = stored(_windows(sides, None, None), "benchmark-windows")
-    sizes = sorted(r.k for r in bench.select("k").distinct().collect()) or [WINDOW]  # at most WINDOW - LEAST + 1 lengths
+    sizes = sorted(r.k for r in bench.select("k").distinct().collect()) or [WINDOW]  # at most WINDOW lengths
     wanted = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
     found = _windows(wanted, sizes, _filter_bits(bench)).select("id", "row", "k", F.col("place").alias("at"), "window", F.col("slots").alias("theirs"))
     pairs = found.join(bench.select(F.col("id").alias("item"), "k", "n", "place", "window", "slots"), ["window", "k"])

@@ -128,6 +128,14 @@ def test_leaks_with_other_slots(spark):
     assert decontamination.leaks(docs, bench.where("false")).count() == 0
 
 
+def test_verbatim_copies_of_dense_and_short_items_leak(spark):
+    items = [(1, "Compute 12 + 34 + 5 + 7 + 8"), (2, "What is 12 plus 34 minus 5 times 7?"), (3, "Boil 3 eggs"), (4, "12 m in 5 s at 3 km h")]
+    docs = [(i, f"some words before\n{t}\nand some words after") for i, t in items]
+    docs += [(11, "Compute 12 + 34 + 6 + 9 + 1"), (12, "What is 1 plus 4 minus 9 times 2?"), (13, "Boil 4 eggs"), (14, "13 m in 6 s at 4 km h")]
+    found = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.changed) for r in found.collect()} == {(i, i, False) for i, _ in items}
+
+
 def brute_leaks(rows, items):
     index = collections.defaultdict(set)
     for item, text in items:
