@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtide.llm import classifier, decontamination, mixing, near_dedup, sharding
-from fieldtide.llm.common import scratch, table
+from fieldtide.llm.common import scratch, stored, table
 
 THRESHOLD = 0.3
 
@@ -22,12 +22,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 1").select(*docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number each, stored so that every later read sees the same numbers."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: that with the smallest id. Rows without words stay."""
-    gone = near_dedup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone"), "text_hash").distinct()
+    """One row of each group of near duplicates stays: that with the smallest id (null last), text hash and place in the
+    table. Rows without words stay."""
+    rows = numbered(docs)
+    found = near_dedup.near_duplicates(rows, root=True).where("root is not null")
+    found = stored(found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")), "near-rows")
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("best"))
+    found = found.join(best, "root").withColumn(
+        "stays", F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash")))
+    gone = found.where("not stays").select("doc_id", "text_hash", F.lit(-1).cast("long").alias("_first"))
+    # Rows that repeat id and text: all but the first go.
+    keys = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "_row")
+    again = found.where("stays and n > 1").select(F.col("doc_id").alias("_again"), F.col("text_hash").alias("_hash"))
+    repeated = keys.join(again.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_again")) & (F.col("text_hash") == F.col("_hash")), "left_semi")
+    gone = gone.unionByName(repeated.groupBy("doc_id", "text_hash").agg(F.min("_row").alias("_first"))).withColumnRenamed("doc_id", "_gone")
     # The list grows with the documents, so it is merged at every size.
-    same = F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("text_hash"))
-    return docs.join(gone.hint("merge"), same, "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("text_hash")) & (F.col("_row") > F.col("_first"))
+    return rows.join(gone.hint("merge"), same, "left_anti").select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +53,10 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    copies = mixing.mix(docs).select(F.col("doc_id").alias("_id"), "copies").groupBy("_id").agg(F.max("copies").alias("copies"))
-    joined = docs.join(copies.where("copies > 0"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    """Each row as often as the mix takes it, also where ids repeat or are null."""
+    rows = numbered(docs)
+    copies = mixing.mix(rows, row="_row").where("copies > 0").select("_row", "copies")
+    joined = rows.join(copies, "_row")
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 

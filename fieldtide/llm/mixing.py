@@ -40,7 +40,7 @@ def _fights(rows: pd.DataFrame) -> pd.DataFrame:
     the other the rest. Each record keeps its expected number of copies. ``extra`` is the decision, ``p`` of the
     one record left the mass it carries to the next node.
     """
-    rows = rows.sort_values(["size", "key", "u"], ascending=False, kind="stable", ignore_index=True)
+    rows = rows.sort_values([c for c in ("size", "key", "u", "hash", "row") if c in rows], ascending=False, kind="stable", ignore_index=True)
     p, u = rows["p"].to_list(), rows["u"].to_list()
     extra: list = [None] * len(p)
     held = None
@@ -70,7 +70,8 @@ def _fights(rows: pd.DataFrame) -> pd.DataFrame:
     return rows
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17) -> DataFrame:
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17,
+        row: str | None = None) -> DataFrame:
     """(key, source, size, source_size, target, copies, taken) for every row: how often the mix takes it.
 
     The copies of a document are target / source_size, a whole part for certain and a fraction that is rounded by
@@ -79,8 +80,10 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     are cut by a hash of the key, as many as the source's rows need, so a hot source is split and no task holds one.
     All draws are hashes of key and seed: reruns agree. A null text has size 0 and is taken with copies that add no words;
     a source without words has target 0; repeated rows count and are drawn each for itself; an empty table gives no rows.
+    A column ``row`` that numbers the rows is kept, so the copies can be joined row by row.
     """
-    own = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+    own = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
+                      F.xxhash64(text).alias("hash"), (F.col(row) if row else F.lit(0)).cast("long").alias("row"))
     sizes = stored(own, "mix-sizes")
     per = stored(targets(sizes), "mix-targets")
     copies = F.when(F.col("source_size") > 0, F.least(F.lit(float(MOST)), F.col("target") / F.col("source_size"))).otherwise(0.0)
@@ -88,7 +91,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     rows = sizes.join(per, sizes["source"].eqNullSafe(per["source"])).select(
         "key", sizes["source"], "rank", "size", "source_size", "target", F.floor(copies).cast("int").alias("whole"),
         (copies - F.floor(copies)).alias("p"), F.pmod(F.xxhash64("key", F.lit(seed)), blocks).alias("block"),
-        ((F.xxhash64(F.lit(seed), "key").bitwiseAND(F.lit((1 << 53) - 1))) / float(1 << 53)).alias("u"),
+        ((F.xxhash64(F.lit(seed), "key").bitwiseAND(F.lit((1 << 53) - 1))) / float(1 << 53)).alias("u"), "hash", "row",
     )
     schema = rows.withColumn("extra", F.lit(None).cast("int")).schema
     most = per.agg(F.max(F.ceil(F.col("docs") / BLOCK_ROWS))).first()[0] or 1
@@ -107,5 +110,5 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     taken = F.col("whole") + F.col("extra")
     return done.select(
         F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target", taken.alias("copies"),
-        (taken * F.col("size")).cast("long").alias("taken"),
+        (taken * F.col("size")).cast("long").alias("taken"), *([F.col("row").alias(row)] if row else []),
     )

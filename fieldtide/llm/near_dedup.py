@@ -268,7 +268,8 @@ def _block_links(members: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInPandas(verify, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, rows: int = ROWS,
+                    root: bool = False) -> DataFrame:
     """(key, n_shingles, component_id, kept, text_hash), one row per input row, for the graph of documents whose sets of 5-word
     shingles have 100 * intersection >= percent * union.
 
@@ -281,7 +282,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 
     A row without words has n_shingles 0 and is its own component. A null key is no candidate for component_id; a
     component of null keys has component_id null and keeps its rows. Repeated rows with the same key are kept
-    together. ``text_hash`` (xxhash64 of the text) tells rows of one key apart. An empty table gives no rows. Other
+    together. ``text_hash`` (xxhash64 of the text) tells rows of one key apart. With
+    ``root`` a column of that name tells components of null keys apart, null for rows without words. An empty table gives no rows. Other
     columns are ignored.
     """
     m = bands_for(percent, rows) * rows
@@ -300,8 +302,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     roots = classes.join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "rep_id")
     least = roots.groupBy("root").agg(F.min("rep_id").alias("component_id"))
     # Classes that stand alone need no second look at their root.
-    ids = roots.join(least, "root").select("node", "component_id")
+    ids = roots.join(least, "root").select("node", "root", "component_id")
     out = sketch.select("id", "hash", "n", "node").join(ids, "node", "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("id").eqNullSafe(component).alias("kept"), F.col("hash").alias("text_hash"))
+                      F.col("id").eqNullSafe(component).alias("kept"), F.col("hash").alias("text_hash"), *(["root"] if root else []))

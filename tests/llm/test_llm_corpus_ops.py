@@ -353,6 +353,24 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     assert len(placed) == len(rows) and all(sorted(p["slot"]) == list(range(len(p))) for _, p in placed.groupby("shard"))
 
 
+def test_stages_decide_per_row_where_ids_repeat_or_are_null(spark):
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(10))
+    rows = [(None, text(i), "a") for i in range(100)] + [(7, text(100 + i), "a") for i in range(50)]
+    rows += [(None, text(1000 + i), "b") for i in range(20)] + [(7, text(2000), "b")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = collections.Counter()
+    for r in mixing.mix(docs).collect():
+        want[r.doc_id, r.source] += r.copies
+    got = collections.Counter((r.doc_id, r.source) for r in corpus_pipeline.mixed(spark, docs, FOLDER).collect())
+    assert got == +want
+
+    rows = [(1, text(1), "a")] * 3 + [(1, text(1) + " x", "a"), (2, text(1), "b"), (None, text(2), "a"), (None, text(2), "b"), (None, text(3), "a"),
+                                      (None, text(2) + " y", "a"), (4, "", "a"), (4, "", "a"), (None, None, "a"), (3, text(4), "a"), (None, text(4), "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    left = collections.Counter((r.doc_id, (r.text or "")[:4]) for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect())
+    assert left == {(1, "w1x0"): 1, (None, "w2x0"): 1, (None, "w3x0"): 1, (4, ""): 2, (None, ""): 1, (3, "w4x0"): 1}
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages_take_odd_rows(spark, name, stage):
     docs = odd(spark).select("doc_id", "text", "lang", "source", "n_chars")
