@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtide.llm import chat, classifier, decontamination, license_scan, line_dedup, mixing, near_dedup, quality_rules, sharding, warc
+from fieldtide.llm import chat, classifier, decontamination, license_scan, line_dedup, mixing, near_dedup, pii, quality_rules, sharding, warc
 from fieldtide.llm.common import scratch, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,64 @@ def virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
     out = sharding.shard(docs)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
                       "virtual_slot", "map_version")
+
+
+# The patterns as they stand in the contract, and the proposals of the added kinds.
+PII_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def pii_sql() -> str:
+    """Every kind by its pattern; starts are summed from the pieces between the matches."""
+    luhn = """list_sum(list_transform(range(1, length(d) + 1), lambda j: case when (length(d) - j) % 2 = 1
+ then case when d[j]::int > 4 then 2 * d[j]::int - 9 else 2 * d[j]::int end else d[j]::int end)) % 10 = 0"""
+    mod97 = f"""list_reduce(list_prepend(0, list_transform(regexp_extract_all(replace(v, ' ', '')[5:] || replace(v, ' ', '')[:4], '.'),
+ lambda c: instr('{pii.SYMBOLS}', c) - 1)), lambda n, x: (n * (case when x > 9 then 100 else 10 end) + x) % 97) = 1"""
+    right = {
+        "ip": "list_bool_and(list_transform(string_split(v, '.'), lambda o: coalesce(try_cast(o as hugeint) <= 255, false)))",
+        "card": f"case when length(d) between 12 and 19 then {luhn} else false end",
+        "phone": "length(d) between 9 and 15",
+        "iban": f"coalesce({mod97}, false)",
+        "ssn": "v[:3] not in ('000', '666') and v[:3] < '900' and v[5:6] <> '00' and v[8:] <> '0000'",
+        "birth": "least(a, b) between 1 and 12 and greatest(a, b) between 1 and 31",
+    }
+    near = "regexp_split_to_array(translate(right(p[i], {}) || ' ' || left(aft, {}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z]+')".format(pii.BEFORE, pii.AFTER)
+    parts = []
+    for place, kind in enumerate(pii.KINDS):
+        pattern = PII_PATTERNS.get(kind.name, kind.pattern)
+        listed = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+        score = f"{kind.score} + case when list_has_any(near, {listed(kind.words)}) then {pii.GAIN} else 0 end"
+        score += f" - case when list_has_any(near, {listed(kind.against)}) then {pii.GAIN} else 0 end" if kind.against else ""
+        where = right.get(kind.name, "true")
+        if kind.alone:
+            where += " and not regexp_matches(right(p[i], 1), '[A-Za-z0-9-]') and not regexp_matches(left(aft, 1), '[A-Za-z0-9-]')"
+        if not kind.base:
+            where += f" and round({score}, 2) >= {pii.LEAST}"
+        parts.append(f"""select doc_id, '{kind.name}' kind, {place} place, {str(kind.base).lower()} base, s, s + length(v) e from (
+ select *, {near} near, regexp_replace(v, '[^0-9]', '', 'g') d, try_cast(regexp_extract(v, '^([0-9]+)', 1) as int) a,
+  try_cast(regexp_extract(v, '^[0-9]+.([0-9]+)', 1) as int) b from (
+ select *, m[i] v, p[i + 1] aft,
+  coalesce(list_sum(list_transform(p[:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0) s
+ from (select *, unnest(range(1, len(m) + 1)) i from (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '{pattern}') m, regexp_split_to_array(coalesce(text, ''), '{pattern}') p from documents) x) y) z) w where {where}""")
+    return "with spans as (" + "\nunion all ".join(parts) + """),
+listed as (select doc_id, count(*) filter (kind = 'email') n_email, count(*) filter (kind = 'ip') n_ip, count(*) filter (kind = 'card') n_card,
+ count(*) filter (kind = 'phone') n_phone, string_agg(kind || ':' || s::bigint || ':' || e::bigint, ',' order by s, place) filter (base) based,
+ string_agg(kind || ':' || s::bigint || ':' || e::bigint, ',' order by s, place) spans from spans group by 1)
+select doc_id, coalesce(n_email, 0) n_email, coalesce(n_ip, 0) n_ip, coalesce(n_card, 0) n_card, coalesce(n_phone, 0) n_phone,
+ sha256(coalesce(based, '')) base_sha256, coalesce(spans, '') spans from documents left join listed using (doc_id)"""
+
+
+@query("op11_context_pii", pii_sql())
+def context_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of the four base kinds, a digest of their spans, and all spans of a text."""
+    found = pii.find_personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    base = [k.name for k in pii.KINDS if k.base]
+    only = lambda kinds: F.filter("spans", lambda s: s["kind"].isin(kinds))
+    counts = [F.size(only([k])).cast("long").alias(f"n_{k}") for k in base]
+    digest = F.sha2(pii.listed(only(base)), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.listed(F.col("spans")).alias("spans"))
