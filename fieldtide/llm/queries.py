@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtide.llm import chat, classifier, decontamination, license_scan, line_dedup, mixing, near_dedup, pii, quality_rules, sharding, warc
+from fieldtide.llm import chat, classifier, decontamination, license_scan, line_dedup, mixing, near_dedup, pii, prefix_trie, quality_rules, sharding, warc
 from fieldtide.llm.common import scratch, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -265,3 +265,55 @@ def context_pii(spark: SparkSession, folder: str) -> DataFrame:
     counts = [F.size(only([k])).cast("long").alias(f"n_{k}") for k in base]
     digest = F.sha2(pii.listed(only(base)), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, pii.listed(F.col("spans")).alias("spans"))
+
+
+GROUP, HEADS = 100, 6  # conversation c starts with up to HEADS - 1 turns of conversation c - c % GROUP
+
+
+def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(paths, lengths) of the rebuilt conversations: first turns of the group's first conversation, then the own rest."""
+    own = stored(prefix_trie.steps(conversations), "trie-turns")
+    lengths = own.groupBy("conv").agg(F.max("pos").alias("n"))
+    head = F.crc32(F.encode(F.col("conv").cast("string"), "UTF-8")) % HEADS
+    convs = lengths.select("conv", "n", head.alias("h"), (F.col("conv") - F.col("conv") % GROUP).alias("base"))
+    bases = lengths.where(F.col("conv") % GROUP == 0).select(F.col("conv").alias("base"), F.least("n", F.lit(HEADS - 1)).alias("n_base"))
+    convs = convs.join(bases, "base", "left").withColumn("b", F.least("h", F.coalesce("n_base", F.lit(0).cast("long"))))
+    convs = stored(convs.withColumn("rest", F.greatest(F.col("n") - F.col("h"), F.lit(0).cast("long"))), "trie-lengths")
+    # A conversation meets its own row once per segment, so one of any length is spread.
+    part = F.floor(F.col("pos") / prefix_trie.SEGMENT)
+    spread = convs.where("rest > 0").select("conv", "h", "b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("n") / prefix_trie.SEGMENT))).alias("part"))
+    kept = own.withColumn("part", part).join(spread, ["conv", "part"]).where("pos > h").withColumn("pos", F.col("pos") - F.col("h") + F.col("b"))
+    first = own.where((F.col("conv") % GROUP == 0) & (F.col("pos") < HEADS)).withColumnRenamed("conv", "base")
+    taken = convs.where("b > 0").select("conv", "base", "b").join(first, "base").where("pos <= b")
+    columns = ["conv", "pos", "s1", "s2", "size"]
+    return stored(kept.select(columns).unionByName(taken.select(columns)), "trie-paths"), convs.select("conv", (F.col("b") + F.col("rest")).alias("n"))
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    bits = f"list_prepend(4294967295, flatten(list_transform(range(1, length({text}) + 1), lambda i: [ascii(({text})[i])::bigint, 0, 0, 0, 0, 0, 0, 0])))"
+    return f"xor(list_reduce({bits}, lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1))), 4294967295)"
+
+
+TRIE_SQL = f"""
+with t as (select conv_id c, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) pos,
+ coalesce(role, '') r, coalesce(text, '') x from conversations where conv_id is not null),
+convs as (select c, n, {crc32_sql('c::varchar')} % {HEADS} h, c - c % {GROUP} base from (select c, count(*) n from t group by 1) x),
+paths as (select a.c, t.pos, r, x from convs a join t on t.c = a.base and t.pos <= a.h
+ union all select t.c, t.pos - a.h + least(a.h, coalesce(b.n, 0)), r, x from t join convs a on a.c = t.c left join convs b on b.c = a.base where t.pos > a.h),
+steps as (select c, pos, length(x) size, string_agg(md5(r || chr(10) || x), '' order by pos) over (partition by c order by pos) k from paths
+ union all select c, 0, 0, '' from convs),
+rows_ as (select c, pos, size, case when pos = 0 then '' else md5(k) end k, case when pos = 1 then '' when pos > 1 then md5(k[:-33]) end p,
+ pos = max(pos) over (partition by c) last from steps),
+nodes as (select k, any_value(p) p, any_value(pos) depth, any_value(size) size, count(*) n_convs, min(c) least, sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (last), '')) ends from rows_ group by 1),
+kids as (select p k, count(*) n from nodes where depth > 0 group by 1),
+every as (select nodes.*, coalesce(kids.n, 0) n_children from nodes left join kids using (k)),
+sums as (select a.k, sum(case when u.n_children = 0 then 1 else 0 end)::bigint n_leaves, sum((u.n_convs - 1) * u.size)::bigint saved
+ from every u join rows_ a on a.c = u.least and a.pos <= u.depth group by 1)
+select e.least conv_id, e.depth, up.least parent_conv_id, e.n_convs, e.n_children, n_leaves, saved saved_tokens, e.ends ends_sha256
+from every e join sums using (k) left join nodes up on up.k = e.p"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def prefix_trie_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(*rebuilt(table(spark, folder, "conversations")))
