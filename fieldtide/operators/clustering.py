@@ -2,32 +2,67 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldtide.functions import text as tx
+from fieldtide.operators import kmeans
+from fieldtide.operators.kmeans import Model
+
+
+def word_buckets(df: DataFrame, text_col: str, dim: int, out: str = "_tf") -> DataFrame:
+    """The input with ``out``: how many words of the lower-cased text fall into each of ``dim`` buckets.
+
+    The bucket of a word is the first 32 bits of its MD5, modulo ``dim``; each task looks a word up once.
+    """
+
+    @F.pandas_udf("array<double>")
+    def counted(words: pd.Series) -> pd.Series:
+        known: dict[str, int] = {}
+
+        def bucket(word: str) -> int:
+            if word not in known:
+                if len(known) > 1_000_000:
+                    known.clear()
+                known[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
+            return known[word]
+
+        return words.map(lambda w: np.bincount([bucket(x) for x in w], minlength=dim).astype(float) if w is not None and len(w) else np.zeros(dim))
+
+    return df.withColumn(out, counted(tx.tokens(F.lower(F.col(text_col)))))
 
 
 def embed_text(df: DataFrame, text_col: str, dim: int = 256, out: str = "features") -> DataFrame:
-    """Unit vectors of hashed, inverse-frequency weighted words."""
-    words = df.withColumn("_words", tx.tokens(F.lower(F.col(text_col))))
-    counts = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dim).transform(words)
-    weighted = IDF(inputCol="_tf", outputCol="_idf").fit(counts).transform(counts)
-    unit = Normalizer(inputCol="_idf", outputCol=out, p=2.0).transform(weighted)
-    return unit.drop("_words", "_tf", "_idf")
+    """Unit vectors of hashed words weighted by inverse frequency; texts without words get the zero vector.
+
+    A bucket's weight is ln((texts + 1) / (texts with it + 1)), over all texts. The weights are ``dim`` numbers of the plan.
+    """
+    counted = word_buckets(df, text_col, dim)
+    used = F.explode(F.filter(F.transform("_tf", lambda v, i: F.when(v > 0, i)), lambda i: i.isNotNull())).alias("bucket")
+    found = {r["bucket"]: r["count"] for r in counted.select(used).groupBy("bucket").count().collect()}
+    total = df.count()
+    weights = np.log((total + 1) / (np.array([found.get(i, 0) for i in range(dim)]) + 1))
+
+    @F.pandas_udf("array<double>")
+    def unit(counts: pd.Series) -> pd.Series:
+        def one(row):
+            weighted = np.asarray(row) * weights
+            length = np.sqrt(weighted @ weighted)
+            return weighted / length if length > 0 else weighted
+
+        return counts.map(one)
+
+    return counted.withColumn(out, array_to_vector(unit("_tf"))).drop("_tf")
 
 
 def _array(df: DataFrame, vec: str) -> Column:
@@ -139,45 +174,16 @@ def cluster_silhouette(
 
 def kmeans_sweep(
     df: DataFrame, ks: Sequence[int] = tuple(range(10, 20)), restarts: int = 10, max_iter: int = 300,
-    seed: int = 42, vec: str = "features", parallelism: int = 8,
-) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """Fit every k with several random starts, keep the best start, and measure it.
+    tol: float = 1e-4, vec: str = "features", id_col: str = "vec_id",
+) -> tuple[DataFrame, dict[int, Model]]:
+    """Fit every k with several starts, keep the best start, and measure it: (k, sse, silhouette, ch) and the models.
 
-    Returns the table (k, sse, silhouette, ch) and the models. Each fit is distributed; a few
-    run at a time on the cached vectors, so that small stages do not leave executors idle.
+    Every step of all models is one scan (``kmeans.fit_all``). The points that start a model follow from the MD5 of their
+    ids, so results do not depend on partitions. Silhouettes are squared Euclidean; measures that are not defined are NULL.
+    The models are fitted when this is called.
     """
-    data = df.select(_vector(df, vec).alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
-    evaluator = ClusteringEvaluator(distanceMeasure="squaredEuclidean")
-
-    def fit(job: tuple[int, int]) -> tuple[int, KMeansModel]:
-        k, start = job
-        means = KMeans(k=k, initMode="random", maxIter=max_iter, seed=seed + start, featuresCol="features")
-        return k, means.fit(data)
-
-    def measure(item: tuple[int, KMeansModel]) -> tuple[int, float, float, float]:
-        k, model = item
-        sse = float(model.summary.trainingCost)
-        labelled = model.transform(data)
-        centers = np.asarray(model.clusterCenters())
-        # Equal points can leave fewer centers than k.
-        sizes = np.asarray(model.summary.clusterSizes, dtype=float)[: len(centers)]
-        n, used = sizes.sum(), int((sizes > 0).sum())
-        middle = sizes @ centers / n
-        between = float((sizes * ((centers - middle) ** 2).sum(1)).sum())
-        ch = (between / (used - 1)) / (sse / (n - used)) if sse > 0 and used > 1 else None
-        return k, sse, float(evaluator.evaluate(labelled)), None if ch is None else float(ch)
-
-    try:
-        best: dict[int, KMeansModel] = {}
-        with ThreadPoolExecutor(parallelism) as pool:
-            for k, model in pool.map(fit, [(k, s) for k in ks for s in range(restarts)]):
-                if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-                    best[k] = model
-            table = list(pool.map(measure, sorted(best.items())))
-    finally:
-        data.unpersist()
-    schema = "k int, sse double, silhouette double, ch double"
-    return df.sparkSession.createDataFrame(table, schema), best
+    table, models = kmeans.sweep(df, _array(df, vec), id_col, ks, restarts, max_iter, tol)
+    return df.sparkSession.createDataFrame(table, "k int, sse double, silhouette double, ch double"), models
 
 
 def knee_point(points: DataFrame, x: str = "k", y: str = "sse", sensitivity: float = 1.0) -> DataFrame:
@@ -228,9 +234,26 @@ def centroid_distance(
     return near.select(*df.columns, F.col("_near.id").cast("long").alias("cluster_id"), F.sqrt("_near.square").alias("center_dist"))
 
 
-def assign_cluster_label(model: KMeansModel, df: DataFrame, vec: str = "features", out: str = "label") -> DataFrame:
-    rows = df.withColumn("features", _vector(df, vec)) if vec != "features" else df
-    return model.transform(rows).withColumnRenamed(model.getPredictionCol(), out)
+def centers_table(spark: SparkSession, model: Model) -> DataFrame:
+    """(label, centroid): the centers of a fitted model, one row per cluster."""
+    rows = [(i, [float(v) for v in c]) for i, c in enumerate(model.centers)]
+    return spark.createDataFrame(rows, "label int, centroid array<double>")
+
+
+def assign_cluster_label(model: Model, df: DataFrame, vec: str = "features", out: str = "label") -> DataFrame:
+    """Each row with the number of the nearest center; rows without a vector get NULL."""
+    centers = model.centers
+
+    @F.pandas_udf("long")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        known = vectors.notna().to_numpy()
+        labels = pd.Series(pd.array([pd.NA] * len(vectors), dtype="Int64"), index=vectors.index)
+        if known.any():
+            x = np.stack(vectors[known].to_list()).astype(np.float64)
+            labels[known] = ((centers * centers).sum(1)[None, :] - 2.0 * (x @ centers.T)).argmin(1)
+        return labels
+
+    return df.withColumn(out, nearest(_array(df, vec)))
 
 
 def nearest_members(

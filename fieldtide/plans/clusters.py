@@ -10,22 +10,28 @@ from pyspark.sql import functions as F
 from fieldtide.functions import text as tx
 from fieldtide.operators import clustering as cl
 from fieldtide.operators import text as tt
+from fieldtide.operators.latent import latent_axes
+from fieldtide.session import stored
 
 
 def reason_clusters(
     comments: DataFrame, id_col: str, text_col: str, ks: Sequence[int] = tuple(range(10, 20)), restarts: int = 10,
-    dim: int = 256, n: int = 10, lemmas: DataFrame | None = None,
+    dim: int = 256, n: int = 10, lemmas: DataFrame | None = None, latent: int | None = None,
 ) -> DataFrame:
-    """Clean, lemmatize, embed, sweep k, take the elbow, and list the ``n`` nearest texts per cluster."""
+    """Clean, lemmatize, embed, sweep k, take the elbow, and list the ``n`` nearest texts per cluster.
+
+    Texts are embedded as ``dim`` hashed words, or on the ``latent`` strongest axes of their words.
+    """
     clean = comments.withColumn("cleaned", tx.clean_text(F.col(text_col)))
-    vectors = cl.embed_text(tt.lemmatize(clean, "cleaned", lemmas, key=id_col), "lemmatized", dim)
-    table, models = cl.kmeans_sweep(vectors, ks, restarts)
-    k = cl.knee_point(table).first()["knee"] or max(ks)
-    model = models[int(k)]
-    labelled = cl.assign_cluster_label(model, vectors, out="cluster_id")
-    spark = comments.sparkSession
-    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    means = spark.createDataFrame(centers, "label int, centroid array<double>")
-    near = cl.centroid_distance(labelled.drop("cluster_id"), means, "features")
+    words = tt.lemmatize(clean, "cleaned", lemmas, key=id_col)
+    if latent:
+        vectors = latent_axes(words, "lemmatized", latent).vectors(words, "lemmatized")
+    else:
+        vectors = cl.embed_text(words, "lemmatized", dim)
+    # The vectors are read by every later step.
+    vectors = stored(vectors, "comment-vectors")
+    table, models = cl.kmeans_sweep(vectors, ks, restarts, id_col=id_col)
+    k = cl.knee_point(table).first()["knee"] or max(models)
+    near = cl.centroid_distance(vectors, cl.centers_table(comments.sparkSession, models[int(k)]), "features")
     top = cl.nearest_members(near, n, id_col=id_col)
     return top.select("cluster_id", "member_no", id_col, text_col, "center_dist")

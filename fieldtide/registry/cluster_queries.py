@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldtide.operators import clustering as cl
 from fieldtide.operators import features
+from fieldtide.operators.latent import latent_axes
 from fieldtide.plans.clusters import reason_clusters
 from fieldtide.registry.core import query
 
@@ -82,22 +83,76 @@ def knee(t):
     return cl.knee_point(points)
 
 
-@query("embed_text", "select doc_id, 1.0::double norm from documents")
-def embed(t):
-    rows = cl.embed_text(t.fx("fx_text"), "text", 64)
-    return rows.select("doc_id", F.round(F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, v: s + v * v), 6).alias("norm"))
+DIM = 256
+EMBED_SQL = f"""words as (select doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> '')) w from fx_text),
+tf as (select doc_id, ('0x' || md5(w)[:8])::bigint % {DIM} bucket, count(*) n from words group by 1, 2),
+idf as (select bucket, ln(((select count(*) from fx_text) + 1) / (count(*) + 1)) weight from tf group by 1),
+weighted as (select doc_id, bucket, n * weight v from tf join idf using (bucket))"""
 
 
-@query("kmeans_sweep")
+@query("embed_text", EMBED_SQL + """---select doc_id, bucket, v / sqrt(sum(v * v) over (partition by doc_id)) weight from weighted where v > 0""",
+       views=["fx_text"], digits={"weight": 8})
+def embed(t):
+    """All weights above zero of all texts."""
+    rows = cl.embed_text(t.fx("fx_text"), "text", DIM).select("doc_id", vector_to_array("features").alias("v"))
+    return rows.select("doc_id", F.posexplode("v").alias("bucket", "weight")).where("weight > 0").withColumn("bucket", F.col("bucket").cast("long"))
+
+
+@query("latent_text")
+def latent(t):
+    """Places of all texts on the 16 strongest axes of their words; checked against a plain decomposition in the tests."""
+    rows = t.fx("fx_text")
+    return latent_axes(rows, "text", 16).vectors(rows, "text").select("doc_id", F.posexplode(vector_to_array("features")).alias("axis", "place"))
+
+
+KS, RESTARTS, STEPS, TOL = range(10, 20), 10, 300, 1e-4
+
+
+def lloyd_sql(ks) -> str:
+    """All models step by step; ``final`` has the last centers, ``best`` the start that won for each k."""
+    return f"""p as (select vec_id id, embedding::double[{WIDTH}] x from embeddings),
+dim as (select id, unnest(range(1, {WIDTH + 1})) d, unnest(x::double[]) v from p),
+first as (select s, x, row_number() over (partition by s order by md5(s || ':' || id), x) - 1 j from p, (select unnest(range({RESTARTS})) s) r),
+lloyd as (select k, s, 0 it, j, x c, true moving from first, (select unnest([{', '.join(map(str, ks))}]) k) q where j < k
+ union all select k, s, it, j, c, max(shift) over (partition by k, s) > {TOL * TOL} moving from (
+  select l.k, l.s, l.it + 1 it, l.j, coalesce(m.c, l.c) c, coalesce(array_distance(m.c, l.c) ** 2, 0) shift from lloyd l left join (
+   select k, s, j, list(v order by d)::double[{WIDTH}] c from (
+    select k, s, j, d, avg(v) v from (select k, s, id, arg_min(j, {{'g': array_distance(x, c), 'j': j}}) j from lloyd, p where moving group by 1, 2, 3) a
+    join dim using (id) group by 1, 2, 3, 4) n group by 1, 2, 3) m on m.k = l.k and m.s = l.s and m.j = l.j where l.moving and l.it < {STEPS}) o),
+final as (select k, s, j, c from lloyd qualify it = max(it) over (partition by k, s)),
+near as (select k, s, id, arg_min(j, {{'g': array_distance(x, c), 'j': j}}) j, min(array_distance(x, c)) ** 2 g from final, p group by 1, 2, 3),
+costs as (select k, s, sum(g) sse from near group by 1, 2),
+best as (select k, s, sse from costs qualify row_number() over (partition by k order by round(sse, 6), s) = 1)"""
+
+
+WIDTH = 64
+
+SWEEP_SQL = f"""member as (select k, near.s, id, j from near join best using (k, s)),
+sums as (select k, j, d, sum(v) y from member join dim using (id) group by 1, 2, 3),
+size as (select k, j, count(*) n, sum(q) squares from member join (select id, sum(v * v) q from dim group by 1) l using (id) group by 1, 2),
+cluster as (select k, j, n, squares, list(y order by d)::double[{WIDTH}] y from sums join size using (k, j) group by 1, 2, 3, 4),
+gaps as (select m.k, m.id, m.j own, c.j, c.n, array_inner_product(x, x) + c.squares / c.n - 2 * array_inner_product(x, c.y) / c.n g
+ from member m join p using (id) join cluster c on c.k = m.k),
+ab as (select k, id, max(case when j = own then n end) n, max(case when j = own then g * n / nullif(n - 1, 0) end) a, min(case when j <> own then g end) b from gaps group by 1, 2),
+shape as (select k, avg(case when n > 1 then coalesce((b - a) / nullif(greatest(a, b), 0), 0) else 0 end) silhouette, count(*) n from ab group by 1),
+held as (select f.k, f.j, c, coalesce(z.n, 0) n from final f join best on best.k = f.k and best.s = f.s left join size z on z.k = f.k and z.j = f.j),
+middle as (select k, d, sum(n * v) / sum(n) m from (select k, j, n, unnest(range(1, {WIDTH + 1})) d, unnest(c::double[]) v from held) h group by 1, 2),
+spread as (select k, sum(n * (v - m) ** 2) b from (select k, j, n, unnest(range(1, {WIDTH + 1})) d, unnest(c::double[]) v from held) h join middle using (k, d) group by 1),
+used as (select k, count(*) filter (n > 0) u from held group by 1)"""
+
+
+@query("kmeans_sweep", lloyd_sql(KS) + ", " + SWEEP_SQL + """---select k, sse, silhouette, (b / (u - 1)) / (sse / (n - u)) ch
+ from best join shape using (k) join spread using (k) join used using (k)""", digits={"sse": 5, "silhouette": 6, "ch": 5}, recursive=True)
 def sweep(t):
-    table, _ = cl.kmeans_sweep(t.table("embeddings"), vec="embedding")
+    """k from 10 to 19, ten starts each."""
+    table, _ = cl.kmeans_sweep(t.table("embeddings"), KS, RESTARTS, STEPS, TOL, vec="embedding")
     return table
 
 
-@query("assign_cluster_label")
+@query("assign_cluster_label", lloyd_sql([10]) + "---select id vec_id, j::bigint cluster_id from near join best using (k, s)", recursive=True)
 def assign(t):
     rows = t.table("embeddings").select("vec_id", "embedding")
-    _, models = cl.kmeans_sweep(rows, [10], vec="embedding")
+    _, models = cl.kmeans_sweep(rows, [10], RESTARTS, STEPS, TOL, vec="embedding")
     return cl.assign_cluster_label(models[10], rows, "embedding", "cluster_id").select("vec_id", "cluster_id")
 
 

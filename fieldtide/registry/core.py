@@ -15,12 +15,13 @@ ORACLES: dict[str, str] = {}
 
 def query(
     name: str, sql: str | None = None, *, views: Sequence[str] = (), digits: Mapping[str, int] | None = None,
-    texts: Sequence[str] = (),
+    texts: Sequence[str] = (), recursive: bool = False,
 ):
     """Register ``fn(tables)``; ``sql`` (after the WITH of ``views``) must give the same rows.
 
     ``digits`` rounds the named columns on both sides (sums of doubles depend on the order of
-    addition); ``texts`` casts dates and times to text on both sides.
+    addition); ``texts`` casts dates and times to text on both sides; ``recursive`` allows
+    the SQL to refer to itself.
     """
     digits = dict(digits or {})
 
@@ -35,6 +36,7 @@ def query(
         QUERIES[name] = run
         if sql is not None:
             head = with_views(*views) + ",\n" if views else "with "
+            head = head.replace("with ", "with recursive ", 1) if recursive else head
             changes = [f"round(cast({c} as double), {n}) + 0.0 as {c}" for c, n in digits.items()]
             changes += [f"cast({c} as varchar) as {c}" for c in texts]
             body = sql.strip()
