@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from fieldtide.functions import fixed_values as fixed
 
 
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` computed once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def tokens(text: Column) -> Column:
     """Whitespace-separated tokens without empty ones."""
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")

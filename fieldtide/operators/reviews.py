@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -105,11 +105,49 @@ def _matched(clean: pd.Series, raw: pd.Series) -> pd.Series:
     return pd.Series([one(c, r) for c, r in zip(clean, raw)], dtype=object)
 
 
-def match_sentences(clean: Column, raw: Column) -> Column:
-    """For each clean sentence the most similar raw sentence of the same review."""
+def match_sentences_by_ratio(clean: Column, raw: Column) -> Column:
+    """For each clean sentence the most similar raw sentence of the same review, by the ratio of matching blocks."""
     return _matched(clean, raw)
 
 
+def match_sentences(clean: Column, raw: Column) -> Column:
+    """For each clean sentence the most similar raw sentence of the same review, the first of equal ones; native expressions.
+
+    A clean sentence of n words is compared with every run of n words of a raw sentence, or with all of a shorter one. Their
+    similarity is 1 - edits / length of the longer text, on the printable characters, as the clean sentences hold no others.
+    Only runs that can beat the best one so far are followed to the end: the edits are counted up to what that allows, and
+    runs whose length alone asks for more are not begun. Without any similarity the first raw sentence is taken. NULL where
+    there are no raw sentences.
+    """
+    words = F.transform(raw, lambda s: tx.tokens(tx.remove_non_printable(s)))
+    none = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("at"))
+
+    def compared(best: Column, run: Column, query: Column, at: Column) -> Column:
+        longer = F.greatest(F.length(run), F.length(query))
+        allowed = F.floor((1.0 - best["score"]) * longer + 1e-9).cast("int")
+
+        def judged(edits: Column) -> Column:
+            score = 1.0 - edits / longer
+            return F.when((edits >= 0) & (score > best["score"]), F.struct(score.alias("score"), at.alias("at"))).otherwise(best)
+
+        return tx.let(F.call_function("levenshtein", run, query, allowed), judged)
+
+    def nearest(query: Column, listed: Column) -> Column:
+        def of_sentence(best: Column, at: Column, wanted: Column) -> Column:
+            def all_runs(sentence: Column) -> Column:
+                width = F.least(wanted, F.size(sentence))
+                runs = F.transform(F.sequence(F.lit(1), F.size(sentence) - width + 1), lambda i: F.array_join(F.slice(sentence, i, width), " "))
+                return F.when(width > 0, F.aggregate(runs, best, lambda b, run: compared(b, run, query, at))).otherwise(best)
+
+            return tx.let(F.get(listed, at), all_runs)
+
+        numbers = F.filter(F.sequence(F.lit(0), F.size(listed)), lambda i: i < F.size(listed))
+        found = tx.let(F.size(tx.tokens(query)), lambda n: F.aggregate(numbers, none, lambda best, at: of_sentence(best, at, n)))
+        return F.get(raw, found["at"])
+
+    return tx.let(words, lambda listed: F.transform(clean, lambda q: nearest(q, listed)))
+
+
 def match_sentences_by_edits(clean: Column, raw: Column) -> Column:
     """For each clean sentence the raw sentence of the fewest edits, the first of several; native expressions.
 
@@ -124,8 +162,11 @@ def match_sentences_by_edits(clean: Column, raw: Column) -> Column:
     return F.transform(clean, nearest)
 
 
-def review_sentences(products: DataFrame) -> DataFrame:
-    """Reviews with clean text, clean sentences, and the raw sentence behind each of them."""
+def review_sentences(products: DataFrame, match: Callable[[Column, Column], Column] = match_sentences) -> DataFrame:
+    """Reviews with clean text, clean sentences, and the raw sentence behind each of them.
+
+    ``match`` compares the sentences: by edits in native expressions, or ``match_sentences_by_ratio``.
+    """
     # Comparing sentences costs far more than moving them: use every core, however small the rows.
     tasks = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = explode_reviews(products).repartition(tasks, "omsid", "review_id")
@@ -137,4 +178,4 @@ def review_sentences(products: DataFrame) -> DataFrame:
     )
     blank = F.rtrim("review_text_cleaned") == ""
     source = F.when(~blank, F.col("_raw"))
-    return split.withColumn("sentences_raw", match_sentences(F.col("sentences_cleaned"), source)).drop("_raw")
+    return split.withColumn("_raw", source).withColumn("sentences_raw", match(F.col("sentences_cleaned"), F.col("_raw"))).drop("_raw")

@@ -149,12 +149,35 @@ def id_text(t):
     return rv.review_id_text(products(t))
 
 
-@query("match_sentences")
-def match(t):
+def sides(t: Tables):
+    """Reviews with their clean and raw sentences."""
     rows = rv.explode_reviews(products(t))
-    clean = tx.split_sentences(tx.clean_text(F.col("review_text")))
-    raw = tx.split_sentences(F.col("review_text"))
-    return rows.select("omsid", "review_id", F.array_join(rv.match_sentences(clean, raw), "|").alias("matched"))
+    return rows.select("omsid", "review_id", tx.split_sentences(tx.clean_text(F.col("review_text"))).alias("q"),
+                       tx.split_sentences(F.col("review_text")).alias("raw"))
+
+
+REVIEWS_SQL = f"""r as (select conv_id omsid, cast(turn % 4 as varchar) review_id, arg_max(text, turn) t from conversations where turn % 7 <> 3 group by 1, 2),
+s as (select omsid, review_id, {clean_sql('t')} cleaned, {SENTENCES.format(clean_sql('t'))} q, {SENTENCES.format('t')} raw from r)"""
+# A run of as many words as the clean sentence has, or a shorter raw sentence as a whole.
+RUNS_SQL = REVIEWS_SQL + f""",
+queries as (select omsid, review_id, raw, unnest(range(1, len(q) + 1)) qi, unnest(q) query from s),
+listed as (select omsid, review_id, qi, query, si, {words_sql(printable_sql('raw[si]'))} w, raw[si] sentence, least(len({words_sql('query')}), len({words_sql(printable_sql('raw[si]'))})) n
+ from (select *, unnest(range(1, len(raw) + 1)) si from queries) x),
+runs as (select omsid, review_id, qi, query, si, sentence, array_to_string(w[i:i + n - 1], ' ') run
+ from (select *, unnest(case when n > 0 then range(1, len(w) - n + 2) else [0] end) i from listed) x),
+scored as (select omsid, review_id, qi, si, sentence, case when run = '' then 0 else 1.0::double - levenshtein(run, query) / greatest(length(run), length(query)) end score from runs),
+matched as (select omsid, review_id, qi, arg_min(sentence, {{'score': -score, 'si': si}}) sentence from scored group by 1, 2, 3),
+of_review as (select omsid, review_id, string_agg(sentence, '|' order by qi) matched from matched group by 1, 2)"""
+
+
+@query("match_sentences", RUNS_SQL + "---select omsid, review_id, coalesce(matched, '') matched from s left join of_review using (omsid, review_id)")
+def match(t):
+    return sides(t).select("omsid", "review_id", F.array_join(rv.match_sentences(F.col("q"), F.col("raw")), "|").alias("matched"))
+
+
+@query("match_sentences_by_ratio")
+def match_by_ratio(t):
+    return sides(t).select("omsid", "review_id", F.array_join(rv.match_sentences_by_ratio(F.col("q"), F.col("raw")), "|").alias("matched"))
 
 
 MATCH_SQL = f"""r as (select conv_id omsid, cast(turn % 4 as varchar) review_id, arg_max(text, turn) t from conversations where turn % 7 <> 3 group by 1, 2),
@@ -167,13 +190,11 @@ best as (select omsid, review_id, qi, arg_min(sentence, edits * 1000000 + si) se
 
 @query("match_sentences_by_edits", MATCH_SQL)
 def match_by_edits(t):
-    rows = rv.explode_reviews(products(t))
-    sides = rows.select("omsid", "review_id", tx.split_sentences(tx.clean_text(F.col("review_text"))).alias("q"),
-                        tx.split_sentences(F.col("review_text")).alias("raw"))
-    return sides.select("omsid", "review_id", F.array_join(rv.match_sentences_by_edits(F.col("q"), F.col("raw")), "|").alias("matched"))
+    return sides(t).select("omsid", "review_id", F.array_join(rv.match_sentences_by_edits(F.col("q"), F.col("raw")), "|").alias("matched"))
 
 
-@query("review_sentences")
+@query("review_sentences", RUNS_SQL + """---select omsid, review_id, cleaned review_text_cleaned, array_to_string(q, '|') sentences_cleaned,
+ case when rtrim(cleaned) <> '' then coalesce(matched, '') end sentences_raw from s left join of_review using (omsid, review_id)""")
 def review(t):
     rows = rv.review_sentences(products(t))
     return rows.select("omsid", "review_id", "review_text_cleaned", F.array_join("sentences_cleaned", "|").alias("sentences_cleaned"),
