@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from fieldtide.adapters import Tables
 from fieldtide.operators import timeseries as ts
-from fieldtide.plans.forecast import appointment_forecast
+from fieldtide.plans.forecast import appointment_forecast, forecast_from_files
 from fieldtide.registry.core import query
+from fieldtide.registry.forecast_sql import fit_sql, holidays_sql, tune_sql
+from fieldtide.session import scratch_path
 
 
 def series(t: Tables):
@@ -73,7 +75,7 @@ def grid(t):
     return listed.join(F.broadcast(table), "param_id")
 
 
-@query("holiday_table", """years as (select distinct year(o_orderdate)::int y from orders),
+HOLIDAYS_SQL = """years as (select distinct year(o_orderdate)::int y from orders),
 firsts as (select y, m, make_date(y, m, 1) f from years, (values (1), (2), (6), (9), (10), (11)) v(m)),
 nth as (select y, m, f + ((1 - dayofweek(f) + 7) % 7)::int mon, f + ((4 - dayofweek(f) + 7) % 7)::int thu from firsts),
 base as (select make_date(y, 1, 1) ds, 'New Year''s Day' holiday from years
@@ -88,7 +90,10 @@ base as (select make_date(y, 1, 1) ds, 'New Year''s Day' holiday from years
  union all select thu + 21, 'Thanksgiving' from nth where m = 11
  union all select make_date(y, 12, 25), 'Christmas Day' from years)
 ---select *, 0 lower_window, 6 upper_window from (select * from base union all
- select ds + case when dayofweek(ds) = 6 then -1 else 1 end, holiday || ' (Observed)' from base where dayofweek(ds) in (0, 6)) h""", texts=["ds"])
+ select ds + case when dayofweek(ds) = 6 then -1 else 1 end, holiday || ' (Observed)' from base where dayofweek(ds) in (0, 6)) h"""
+
+
+@query("holiday_table", HOLIDAYS_SQL, texts=["ds"])
 def holidays(t):
     return ts.holiday_table(t.table("orders").select(F.year("o_orderdate").alias("yr")))
 
@@ -122,6 +127,8 @@ def _holidays(t):
 
 
 SETTINGS_SQL = "p as (select unnest([1, 2])::bigint param_id)"
+FITTED = {"yhat": 4, "yhat_lower": 4, "yhat_upper": 4, "trend": 4}
+FIT_SQL = FRAME_SQL + ", " + holidays_sql(HOLIDAYS_SQL, "fx_series") + ", " + fit_sql("fits", "fx_series", "frame") + "---select * from fits"
 
 
 @query("forecast_fit_rows", FRAME_SQL + f""", {SETTINGS_SQL}
@@ -144,17 +151,44 @@ def forecast_rows(t):
     return forecast(t).select("series", "ds", (F.col("yhat") >= 0).alias("positive"))
 
 
-@query("forecast_fit")
+@query("forecast_fit", FIT_SQL, views=["fx_series"], texts=["ds"], digits=FITTED, recursive=True)
 def fit(t):
     rows = series(t)
     return ts.forecast_fit(rows, ts.future_frame(rows), ts.DEFAULT_GRID, _holidays(t))
 
 
-@query("tune_models")
+TUNE_SQL = holidays_sql(HOLIDAYS_SQL, "fx_series") + ", " + tune_sql("tuned", "fx_series") + "---select * from tuned"
+
+
+@query("tune_models", TUNE_SQL, views=["fx_series"], digits={"train_mape": 4, "test_mape": 4}, recursive=True)
 def tune(t):
     return ts.tune_models(series(t), ts.DEFAULT_GRID, _holidays(t))
 
 
-@query("appointment_forecast")
+# Imputed, tuned, the better setting fitted again on everything, the future added, negative values cut.
+FORECAST_SQL = (
+    IMPUTED_SQL + ", filled as materialized (select series, ds, y from imp), " + FRAME_SQL.replace("fx_series", "filled") + ", "
+    + holidays_sql(HOLIDAYS_SQL, "frame") + ", " + tune_sql("tuned", "filled") + """,
+chosen as (select series, arg_min(param_id, {'e': coalesce(test_mape, 'inf'::double), 'p': param_id}) param_id from tuned group by 1), """
+    + fit_sql("fits", "filled", "frame") + """
+---select f.series, f.ds, greatest(yhat, 0) yhat, s.y from fits f join chosen c on c.series = f.series and c.param_id = f.param_id
+ left join filled s on s.series = f.series and s.ds = f.ds where f.series <> '0'""")
+
+
+@query("appointment_forecast", FORECAST_SQL, views=["fx_series"], texts=["ds"], digits={"yhat": 4}, recursive=True)
 def forecast(t):
     return appointment_forecast(series(t), 1999, 2000, (3, 4))
+
+
+@query("appointment_forecast_files", FORECAST_SQL.replace("greatest(yhat, 0) yhat, s.y", """greatest(yhat, 0) yhat, s.y, case when f.ds = last_day(f.ds) then quarter(f.ds)::int end qtr"""),
+       views=["fx_series"], texts=["ds"], digits={"yhat": 4}, recursive=True)
+def forecast_files(t):
+    """From headerless files to saved tables, then once more with the saved settings; the calendar lists the month ends ahead."""
+    history, future, out = (scratch_path(t.spark, n) for n in ("history", "future", "forecast"))
+    rows = series(t)
+    rows.select("yr", "mo", "ds", "y", "series", F.quarter("ds").alias("qtr"), ((F.col("mo") - 1) % 3 + 1).alias("moq")).write.csv(history)
+    ahead = ts.future_frame(rows).select("ds").where(F.col("ds") == F.last_day("ds")).distinct()
+    ahead.select(F.year("ds"), F.month("ds"), "ds", F.quarter("ds"), (F.month("ds") - 1) % 3 + 1).write.csv(future)
+    forecast_from_files(t.spark, history, future, out, 1999, 2000, (3, 4))
+    again = forecast_from_files(t.spark, history, future, out, 1999, 2000, (3, 4), tune=False)
+    return again.select("series", "ds", "yhat", F.col("y").cast("long").alias("y"), "qtr")
