@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import csv
+import re
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -33,6 +36,8 @@ def read_headered_csv(spark: SparkSession, path: str, schema: str | StructType |
 
 
 FILE = "_metadata.file_path as _file"
+ROOT = r"^([A-Za-z0-9+.-]+):/+"  # a local file is file:/ in one place and file:/// in another
+FEW_FILES = 10_000  # up to this many files their list is sent to every task
 
 
 def text_columns(width: int) -> StructType:
@@ -40,20 +45,71 @@ def text_columns(width: int) -> StructType:
     return StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
 
 
-def aligned_by_name(rows: DataFrame, schema: str = fixed.PARAMETER_FILE_SCHEMA) -> DataFrame:
-    """Rows of text files (with their ``_file``), read without header, in the declared columns and types.
+def file_rows(reader, path: str, width: int) -> DataFrame:
+    """The rows of CSV files below their first line, as text, with the file they come from. For batch and stream readers."""
+    rows = reader.schema(text_columns(width)).option("header", True).option("enforceSchema", True).option("mode", "FAILFAST").csv(path)
+    return rows.selectExpr("*", FILE)
 
-    A row that names exactly the declared columns, in any order and with blanks for underscores, is its
-    file's header; the file's values go by those names. A file without such a row fails the read.
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file that is not empty, through Spark's own file systems; None for an empty file."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        line = lines.readLine()
+        while line is not None and not line.strip():
+            line = lines.readLine()
+        return line
+    finally:
+        stream.close()
+
+
+def header_orders(spark: SparkSession, files: Iterable[str], names: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files by the order of the columns in their header. Only the first line of each file is read.
+
+    A header names exactly the declared columns, in any order and with blanks for underscores; a file without one is an
+    error. Files without any line have no rows and are left out.
+    """
+    files = list(files)
+    with ThreadPoolExecutor(32) as pool:
+        heads = list(pool.map(lambda f: first_line(spark, f), files))
+    orders: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, heads):
+        if line is None:
+            continue
+        order = tuple(cell.replace(" ", "_") for cell in next(csv.reader([line])))
+        if sorted(order) != sorted(names):
+            raise ValueError(f"no header of the declared columns in {file}: {line[:200]!r}")
+        orders.setdefault(order, []).append(file)
+    return orders
+
+
+def aligned_by_name(rows: DataFrame, orders: Mapping[tuple[str, ...], Sequence[str]], schema: str = fixed.PARAMETER_FILE_SCHEMA) -> DataFrame:
+    """Rows of ``file_rows`` in the declared columns and types, each value by its name in the header of its file.
+
+    The places of the columns are constants of the plan, one set per order that occurs; with a single order no row is
+    joined to anything.
     """
     names = [f.name for f in StructType.fromDDL(schema).fields]
-    cells = F.array(*[F.col(c) for c in rows.columns if c != "_file"])
-    rows = rows.select("_file", cells.alias("_cells"), F.transform(cells, lambda c: F.replace(c, F.lit(" "), F.lit("_"))).alias("_names"))
-    is_header = F.sort_array("_names") == F.sort_array(F.array(*[F.lit(n) for n in names]))
-    headers = rows.where(is_header).groupBy(F.col("_file").alias("_of")).agg(F.min("_names").alias("_header"))
-    values = rows.where(~F.coalesce(is_header, F.lit(False))).join(headers, F.col("_file") == F.col("_of"), "left")
-    place = lambda n: F.array_position(F.coalesce("_header", F.raise_error(F.concat(F.lit("no header in "), "_file"))), n)
-    return cast_declared(values.select(*[F.get("_cells", (place(n) - 1).cast("int")).alias(n) for n in names]), schema)
+    listed = list(orders)
+    if len(listed) > 1:
+        files = rows.sparkSession.createDataFrame([(re.sub(ROOT, r"\1:/", f), i) for i, order in enumerate(listed) for f in orders[order]], "_of string, _order int")
+        files = F.broadcast(files) if sum(map(len, orders.values())) <= FEW_FILES else files
+        rows = rows.join(files, F.regexp_replace("_file", ROOT, "$1:/") == F.col("_of"))
+
+    def value(name: str) -> Column:
+        places = [order.index(name) for order in listed]
+        if len(set(places)) <= 1:
+            return F.col(f"_c{places[0] if places else names.index(name)}")
+        chosen = F.when(F.col("_order") == 0, F.col(f"_c{places[0]}"))
+        for i, place in enumerate(places[1:], 1):
+            chosen = chosen.when(F.col("_order") == i, F.col(f"_c{place}"))
+        return chosen
+
+    return cast_declared(rows.select(*[value(n).alias(n) for n in names]), schema)
 
 
 def loaded(rows: DataFrame, loaded_at: str, hours: int) -> DataFrame:
@@ -79,11 +135,12 @@ def cast_declared(df: DataFrame, schema: str = fixed.PARAMETER_FILE_SCHEMA) -> D
 def ingest_folder(spark: SparkSession, path: str, loaded_at: str, schema: str = fixed.PARAMETER_FILE_SCHEMA, hours: int = 4) -> DataFrame:
     """All CSV files of a folder (not of its subfolders) in the declared types, with the load time.
 
-    Files may hold the columns in different orders. Rows without any value are dropped.
+    Files may hold the columns in different orders; each file's header is its first line, and a later row that repeats it
+    is data. Rows without any value are dropped. The files are listed and their headers read when this is called.
     """
-    width = len(StructType.fromDDL(schema).fields)
-    files = spark.read.csv(path, schema=text_columns(width), header=False, mode="FAILFAST").selectExpr("*", FILE)
-    return loaded(aligned_by_name(files, schema), loaded_at, hours)
+    names = [f.name for f in StructType.fromDDL(schema).fields]
+    rows = file_rows(spark.read, path, len(names))
+    return loaded(aligned_by_name(rows, header_orders(spark, rows.inputFiles(), names), schema), loaded_at, hours)
 
 
 def read_nested_reviews(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:

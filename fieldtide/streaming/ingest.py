@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from fieldtide.functions import fixed_values as fixed
-from fieldtide.sources.tables import FILE, aligned_by_name, loaded, text_columns
+from fieldtide.sources.tables import aligned_by_name, file_rows, header_orders, loaded
 
 
 def ingest_folder_stream(
@@ -19,12 +20,13 @@ def ingest_folder_stream(
     whatever their order. A batch replaces its own folder ``batch=<n>``, so a repeated batch adds nothing
     twice. Files move to ``archive_dir`` when the next run has seen that they are done.
     """
-    files = (
-        spark.readStream.schema(text_columns(width)).option("header", False).option("mode", "FAILFAST")
-        .option("cleanSource", "archive").option("sourceArchiveDir", archive_dir).csv(path).selectExpr("*", FILE)
-    )
+    reader = spark.readStream.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    files = file_rows(reader, path, width)
+    names = [f.name for f in StructType.fromDDL(schema).fields]
 
     def write(batch: DataFrame, number: int) -> None:
-        loaded(aligned_by_name(batch, schema), loaded_at, hours).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        taken = [row["_file"] for row in batch.select("_file").distinct().collect()]
+        rows = aligned_by_name(batch, header_orders(spark, taken, names), schema)
+        loaded(rows, loaded_at, hours).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return files.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()

@@ -68,6 +68,19 @@ def test_columns_go_by_name_in_any_order(spark, tmp_path):
         assert sorted(tuple(r) for r in rows.select("Type", "Store", "Param_Desc").collect()) == want
 
 
+def test_repeated_header_rows_are_data_and_empty_files_have_none(spark, tmp_path):
+    folder, schema = tmp_path / "in", "a string, b string"
+    put(folder, "one file.csv", "1,2", "a,b", "3,4", header="a,b")
+    put(folder, "two.csv", "6,5", "b,a", header="b,a")
+    (folder / "none.csv").write_text("")
+    got = tables.ingest_folder(spark, str(folder), "2024-01-01 00:00:00", schema)
+    want = [("1", "2"), ("3", "4"), ("5", "6"), ("a", "b"), ("a", "b")]
+    assert sorted((r.a, r.b) for r in got.collect()) == want
+    ingest_folder_stream(spark, str(folder), 2, str(tmp_path / "archive"), str(tmp_path / "offsets"), str(tmp_path / "out"),
+                         "2024-01-01 00:00:00", schema).awaitTermination()
+    assert sorted((r.a, r.b) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == want
+
+
 def test_headerless_csv_is_strict(spark, tmp_path):
     path = tmp_path / "s.csv"
     path.write_text("2019,1,a\n2019,x,b\n")
