@@ -2,7 +2,7 @@
 
 The points are packed once into blocks of rows. Each step reads all blocks once for all models that still move: the
 distances to the centers of every model are one matrix product, and so are the sums of the points of every center. A task
-hands on one row per center; Spark adds these up, so what reaches the driver is the size of the models, whatever the data.
+hands on one row per model; Spark adds these up, so what reaches the driver is the size of the models, whatever the data.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,15 +96,15 @@ def _summed(blocks: DataFrame, models: Sequence[np.ndarray]) -> tuple[np.ndarray
                     total[lo:lo + size, width + 2] += np.bincount(at, lengths, size)
                 total[:, :width] += own.T @ x
                 total[:, width] += own.sum(0)
-        seen = np.flatnonzero(total[:, width])
-        if len(seen):
-            yield pd.DataFrame({"center": seen, "total": list(total[seen])})
+        if total[:, width].any():
+            # One row per model: the rows of its centers, one after the other.
+            yield pd.DataFrame({"model": np.arange(len(cuts) - 1), "total": [total[lo:hi].ravel() for lo, hi in zip(cuts[:-1], cuts[1:])]})
 
-    partial = blocks.mapInPandas(step, "center long, total array<double>").withColumn("total", array_to_vector("total"))
-    rows = partial.groupBy("center").agg(Summarizer.metrics("sum").summary(F.col("total")).alias("s")).select("center", "s.sum").collect()
+    partial = blocks.mapInPandas(step, "model long, total array<double>").withColumn("total", array_to_vector("total"))
+    sums = partial.groupBy("model").agg(Summarizer.metrics("sum").summary(F.col("total")).alias("s"))
     out = np.zeros((len(centers), width + 3))
-    for row in rows:
-        out[row["center"]] = row["sum"].toArray()
+    for row in sums.select("model", vector_to_array("s.sum").alias("sum")).toPandas().itertuples():
+        out[offsets[row.model]:offsets[row.model + 1]] = np.asarray(row.sum).reshape(-1, width + 3)
     sent.unpersist()
     return out[:, :width], out[:, width], out[:, width + 1], out[:, width + 2]
 

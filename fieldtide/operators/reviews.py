@@ -120,7 +120,6 @@ def match_sentences(clean: Column, raw: Column) -> Column:
     there are no raw sentences.
     """
     words = F.transform(raw, lambda s: tx.tokens(tx.remove_non_printable(s)))
-    none = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("at"))
 
     def compared(best: Column, run: Column, query: Column, at: Column) -> Column:
         longer = F.greatest(F.length(run), F.length(query))
@@ -128,24 +127,37 @@ def match_sentences(clean: Column, raw: Column) -> Column:
 
         def judged(edits: Column) -> Column:
             score = 1.0 - edits / longer
-            return F.when((edits >= 0) & (score > best["score"]), F.struct(score.alias("score"), at.alias("at"))).otherwise(best)
+            better = (score > best["score"]) | ((score == best["score"]) & (at < best["at"]))
+            return F.when((edits >= 0) & better, F.struct(score.alias("score"), at.alias("at"))).otherwise(best)
 
         return tx.let(F.call_function("levenshtein", run, query, allowed), judged)
 
-    def nearest(query: Column, listed: Column) -> Column:
-        def of_sentence(best: Column, at: Column, wanted: Column) -> Column:
-            def all_runs(sentence: Column) -> Column:
-                width = F.least(wanted, F.size(sentence))
-                runs = F.transform(F.sequence(F.lit(1), F.size(sentence) - width + 1), lambda i: F.array_join(F.slice(sentence, i, width), " "))
-                return F.when(width > 0, F.aggregate(runs, best, lambda b, run: compared(b, run, query, at))).otherwise(best)
+    def of_sentence(best: Column, at: Column, query: Column, wanted: Column, listed: Column) -> Column:
+        def all_runs(sentence: Column) -> Column:
+            width = F.least(wanted, F.size(sentence))
+            runs = F.transform(F.sequence(F.lit(1), F.size(sentence) - width + 1), lambda i: F.array_join(F.slice(sentence, i, width), " "))
+            found = F.when(width > 0, F.aggregate(runs, best, lambda b, run: compared(b, run, query, at))).otherwise(best)
+            # Nothing beats a run that is equal, and only an equal one in an earlier sentence comes before it.
+            equal = (best["score"] == 1.0) & ((at >= best["at"]) | ~F.array_join(sentence, " ").contains(query))
+            return F.when(equal, best).otherwise(found)
 
-            return tx.let(F.get(listed, at), all_runs)
+        return tx.let(F.get(listed, at), all_runs)
 
-        numbers = F.filter(F.sequence(F.lit(0), F.size(listed)), lambda i: i < F.size(listed))
-        found = tx.let(F.size(tx.tokens(query)), lambda n: F.aggregate(numbers, none, lambda best, at: of_sentence(best, at, n)))
-        return F.get(raw, found["at"])
+    def nearest(query: Column, place: Column, listed: Column) -> Column:
+        none = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("at"))
+        last = F.size(listed) - 1
+        numbers = F.sequence(F.lit(0), last)
 
-    return tx.let(words, lambda listed: F.transform(clean, lambda q: nearest(q, listed)))
+        def all_sentences(wanted: Column) -> Column:
+            # Cleaning keeps the order, so the sentence in the same place comes first and sets the mark.
+            first = of_sentence(none, F.least(place, last), query, wanted, listed)
+            return tx.let(first, lambda mark: F.aggregate(numbers, mark, lambda best, at: of_sentence(best, at, query, wanted, listed)))
+
+        return F.get(raw, tx.let(F.size(tx.tokens(query)), all_sentences)["at"])
+
+    found = tx.let(words, lambda listed: F.when(F.size(listed) > 0, F.transform(clean, lambda q, i: nearest(q, i, listed))).otherwise(
+        F.transform(clean, lambda q: F.lit(None).cast("string"))))
+    return F.when(raw.isNotNull(), found)
 
 
 def match_sentences_by_edits(clean: Column, raw: Column) -> Column:
