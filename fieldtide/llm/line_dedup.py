@@ -2,33 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtide.llm.common import GAP, stored
+from fieldtide.llm.common import stored
 
 DEPTH = 3            # leading tokens that a leaf of the tree shares, besides the token count
-MIN_DOCS = 12        # different texts in which a template must occur to be dropped
+MIN_DOCS = ((50, 2), (20, 6), (0, 12))  # (tokens, different texts in which a template of that many must occur to be dropped)
+SALTS = 32           # parts of a template's lines in the join with the templates to drop
 CONSTANT = 0.5       # share of a leaf's lines that agree on a token for it to be constant
 SIMILAR = 0.7        # share of a line's tokens that must equal the leaf's constant tokens
 
 
-def _masked(token):
-    """Tokens with digits are variable fields from the start."""
-    return F.when(token.rlike("[0-9]"), F.lit("<*>")).otherwise(token)
+NUMBERED = r"(?<![^\x20\x09-\x0D])[^0-9\x20\x09-\x0D]*+[0-9][^\x20\x09-\x0D]*+"
+
+
+def _tokens(line: Column) -> Column:
+    """The words of a line; words with digits are variable fields from the start.
+
+    Lines without digits, or without any white space but spaces, skip the regular expressions.
+    """
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, NUMBERED, "<*>")).otherwise(line)
+    spaced = F.when(masked.rlike(r"[\x09\x0B-\x0D]"), F.regexp_replace(masked, r"[\x09\x0B-\x0D]", " ")).otherwise(masked)
+    return F.filter(F.split(spaced, " "), lambda w: w != "")
+
+
+def _least(tokens: Column, min_docs: Sequence[tuple[int, int]]) -> Column:
+    """How many texts must hold a template of so many tokens: the longer it is, the fewer."""
+    out = F.lit(None).cast("int")
+    for size, docs in sorted(min_docs):
+        out = F.when(tokens >= size, F.lit(docs)).otherwise(out)
+    return out
 
 
 def line_templates(docs: DataFrame, text: str, depth: int = DEPTH) -> DataFrame:
     """(doc, line, leaf, form, tokens): one row per line with a word; doc is a hash of the text, so copies count once."""
     rows = docs.select(F.xxhash64(text).alias("doc"), F.posexplode(F.split(text, "\n")).alias("line", "_line"))
-    tokens = F.transform(F.filter(F.split("_line", GAP), lambda w: w != ""), _masked)
-    rows = rows.select("doc", "line", tokens.alias("tokens")).where(F.size("tokens") > 0)
+    rows = rows.select("doc", "line", _tokens(F.col("_line")).alias("tokens")).where(F.size("tokens") > 0)
     leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))
     return rows.select("doc", "line", leaf.alias("leaf"), F.xxhash64("tokens").alias("form"), "tokens")
 
 
-def recurring_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc, line): lines whose template occurs in at least ``min_docs`` different texts.
+def recurring_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, min_docs: Sequence[tuple[int, int]] = MIN_DOCS) -> DataFrame:
+    """(doc, line): lines whose template occurs in as many different texts as ``min_docs`` asks for at its length.
 
     The tree is fixed: token count, then the leading tokens. In a leaf each place has its most frequent token, counted
     once per form; it is constant where CONSTANT of the forms agree and a variable field elsewhere. Lines that agree
@@ -37,8 +55,9 @@ def recurring_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, min
     """
     lines = line_templates(docs, text, depth)
     # One row per form: the tokens are moved once for each different line only.
-    forms = lines.groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("n"))
-    busy = forms.groupBy("leaf").agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("forms")).where(F.col("lines") >= min_docs)
+    forms = lines.groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("tokens")).alias("size"))
+    busy = forms.groupBy("leaf").agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("forms"), F.max("size").alias("size"))
+    busy = busy.where(F.col("lines") >= _least(F.col("size"), min_docs))
     busy = stored(busy, "template-leaves")
     many = busy.where("forms > 1").select("leaf", "forms")
     kept = lines.join(busy.select("leaf"), "leaf", "left_semi")
@@ -54,14 +73,19 @@ def recurring_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, min
     marked = kept.join(template, "leaf", "left")
     same = F.size(F.filter(F.zip_with("tokens", "template", lambda t, k: t == k), lambda x: x))
     shared = F.col("template").isNotNull() & (same >= F.size("tokens") * SIMILAR)
-    marked = marked.select("leaf", F.when(shared, F.lit(0)).otherwise(F.col("form")).alias("member"), shared.alias("shared"), "doc", "at")
+    marked = marked.select("leaf", F.when(shared, F.lit(0)).otherwise(F.col("form")).alias("member"), shared.alias("shared"), "doc", "at",
+                           F.size("tokens").alias("size"))
     marked = stored(marked, "template-members")
-    docs_of = marked.select("leaf", "member", "shared", "doc").distinct().groupBy("leaf", "member", "shared").agg(F.count(F.lit(1)).alias("docs"))
-    dropped = docs_of.where(F.col("docs") >= min_docs).select("leaf", "member", "shared")
-    return marked.join(dropped, ["leaf", "member", "shared"], "left_semi").select("doc", F.explode("at").alias("line"))
+    template_key = ["leaf", "member", "shared"]
+    docs_of = marked.select(*template_key, "size", "doc").distinct().groupBy(*template_key).agg(F.count(F.lit(1)).alias("docs"), F.max("size").alias("size"))
+    dropped = docs_of.where(F.col("docs") >= _least(F.col("size"), min_docs)).select(*template_key)
+    # A template may hold a third of all lines: its lines are dealt to parts, and the template meets each of them.
+    dropped = dropped.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = marked.withColumn("part", F.pmod("doc", F.lit(SALTS)).cast("int"))
+    return salted.join(dropped, [*template_key, "part"], "left_semi").select("doc", F.explode("at").alias("line"))
 
 
-def drop_recurring_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, min_docs: int = MIN_DOCS) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, min_docs: Sequence[tuple[int, int]] = MIN_DOCS) -> DataFrame:
     """Replace the text by its lines that do not recur and add ``n_lines`` and ``n_dropped`` (lines, both).
 
     Null texts stay null with no lines; a line without a word is never dropped; equal texts count as one document;

@@ -62,13 +62,14 @@ def setsketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 GAP_SQL = r"'[\x20\x09-\x0D]+'"
+LEAST_SQL = "case " + " ".join(f"when {{n}} >= {n} then {docs}" for n, docs in line_dedup.MIN_DOCS) + " end"
 TEMPLATE_SQL = f"""
 with texts as (select distinct text from documents where text is not null),
 pieces as (select text, unnest(string_split(text, chr(10))) line, unnest(range(len(string_split(text, chr(10))))) i from texts),
 lines as (select text, i, list_transform(list_filter(regexp_split_to_array(line, {GAP_SQL}), lambda w: w <> ''),
  lambda w: case when regexp_matches(w, '[0-9]') then '<*>' else w end) k from pieces),
 leafed as (select text, i, k, {{'n': len(k), 'head': k[1:{line_dedup.DEPTH}]}} leaf from lines where len(k) > 0),
-busy as (select leaf, count(distinct k) forms from leafed group by 1 having count(*) >= {line_dedup.MIN_DOCS}),
+busy as (select leaf, count(distinct k) forms from leafed group by 1 having count(*) >= {LEAST_SQL.format(n='leaf.n')}),
 forms as (select distinct leaf, k from leafed join busy using (leaf) where forms > 1),
 counts as (select leaf, place, k[place] token, count(*) c from (select leaf, k, unnest(range(1, len(k) + 1)) place from forms) x group by 1, 2, 3),
 constant as (select leaf, place, (max({{'c': c, 't': token}})).t token from counts join busy using (leaf)
@@ -76,7 +77,7 @@ constant as (select leaf, place, (max({{'c': c, 't': token}})).t token from coun
 near as (select leaf, k from (select leaf, k, unnest(range(1, len(k) + 1)) place from forms) x join constant using (leaf, place)
  where k[place] = token group by 1, 2 having count(*) >= len(k) * {line_dedup.SIMILAR}),
 members as (select l.text, l.i, l.leaf, case when near.leaf is null then l.k end own from leafed l semi join busy using (leaf) left join near on near.leaf = l.leaf and near.k = l.k),
-recurring as (select leaf, own from members group by 1, 2 having count(distinct text) >= {line_dedup.MIN_DOCS}),
+recurring as (select leaf, own from members group by 1, 2 having count(distinct text) >= {LEAST_SQL.format(n='leaf.n')}),
 gone as (select distinct m.text, m.i from members m join recurring r on m.leaf = r.leaf and m.own is not distinct from r.own),
 kept as (select p.text, count(gone.text) dropped, count(*) n, coalesce(string_agg(p.line, chr(10) order by p.i) filter (gone.text is null), '') rest
  from pieces p left join gone on gone.text = p.text and gone.i = p.i group by 1)

@@ -49,7 +49,7 @@ def test_licences_follow_ordered_rules(spark):
 
 
 def brute_lines(rows, depth, least):
-    """Recurring lines by plain loops, per distinct text."""
+    """Recurring lines by plain loops, per distinct text; ``least`` is the number of texts by token count."""
     texts = sorted({t for _, t in rows if t is not None})
     lines = []
     for d, text in enumerate(texts):
@@ -63,7 +63,7 @@ def brute_lines(rows, depth, least):
         leaves[leaf].add(tokens)
     member, seen = {}, collections.defaultdict(set)
     for d, i, leaf, tokens in lines:
-        if size[leaf] < least:
+        if size[leaf] < least(leaf[0]):
             continue
         forms, own = leaves[leaf], tokens
         if len(forms) > 1:
@@ -75,10 +75,20 @@ def brute_lines(rows, depth, least):
                 own = None
         member[d, i] = (leaf, own)
         seen[leaf, own].add(d)
-    gone = {k for k, m in member.items() if len(seen[m]) >= least}
+    gone = {k for k, m in member.items() if len(seen[m]) >= least(m[0][0])}
     return {t: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in enumerate(texts)}
 
 
+def test_long_lines_recur_sooner(spark):
+    long = " ".join(f"passage{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    middle = " ".join(f"line{chr(97 + i)}" for i in range(25))
+    rows = [(d, f"own text {chr(97 + d) * 3}\n" + (long + "\n" if d < 3 else "") + (middle + "\n" if d < 6 else "") + "short line") for d in range(11)]
+    rows += [(100 + d, f"alone {chr(97 + d) * 4}\n" + middle.replace("line", "other")) for d in range(5)]
+    got = {r.doc_id: r.text for r in line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, text in rows:
+        assert got[d] == "\n".join(x for x in text.split("\n") if x not in (long, middle)), d
+
+
 def test_recurring_lines_against_brute_force(spark):
     draw = np.random.default_rng(3)
     vocabulary = [f"word{chr(97 + i)}" for i in range(20)]
@@ -92,8 +102,8 @@ def test_recurring_lines_against_brute_force(spark):
         rows.append((d, "\n".join(lines)))
     rows += [(100, rows[0][1]), (101, None), (102, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r for r in line_dedup.drop_recurring_lines(df, min_docs=8).collect()}
-    want = brute_lines(rows, line_dedup.DEPTH, 8)
+    got = {r.doc_id: r for r in line_dedup.drop_recurring_lines(df, min_docs=((6, 4), (0, 8))).collect()}
+    want = brute_lines(rows, line_dedup.DEPTH, lambda n: 4 if n >= 6 else 8)
     for d, text in rows:
         assert got[d].text == (None if text is None else want[text])
     assert "logged in" not in got[1].text and "the same line" not in got[0].text and got[101].n_lines == 0
