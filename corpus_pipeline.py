@@ -16,6 +16,28 @@ from fieldtide.llm.common import scratch, stored, table
 THRESHOLD = 0.3
 
 
+CORE = ("doc_id", "text", "lang", "source")
+
+
+def sheltered(stage):
+    """The stage with all columns but those of CORE under names of their own, so that none clashes with what it adds.
+
+    They come back under their old names. A column that is named like a new one of the stage, such as shard, comes back
+    as ``<name>_before``.
+    """
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in CORE else f"_extra{i}" for i, c in enumerate(docs.columns)]
+        out = stage(spark, docs.toDF(*names), sf_dir)
+        added = [c for c in out.columns if c not in names]
+        old = [f"{c}_before" if c in added else c for c in docs.columns]
+        return out.select(*names, *added).toDF(*old, *added)
+
+    run_stage.__name__, run_stage.__doc__ = stage.__name__, stage.__doc__
+    return run_stage
+
+
+@sheltered
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. It is fitted on the labelled rows of the input."""
     scored = classifier.classify(docs, table(spark, sf_dir, "labels"), threshold=THRESHOLD)
@@ -27,6 +49,7 @@ def numbered(docs: DataFrame) -> DataFrame:
     return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
 
 
+@sheltered
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates stays: that with the smallest id (null last), text hash and place in the
     table. Rows without words stay."""
@@ -47,11 +70,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(gone.hint("merge"), same, "left_anti").select(*docs.columns)
 
 
+@sheltered
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item go."""
     return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@sheltered
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it, also where ids repeat or are null."""
     rows = numbered(docs)
@@ -60,6 +85,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 
+@sheltered
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its shard and its place in the shard."""
     return sharding.shard(docs).select(*docs.columns, "shard", "slot")
