@@ -373,5 +373,20 @@ def test_stages_decide_per_row_where_ids_repeat_or_are_null(spark):
 
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages_take_odd_rows(spark, name, stage):
-    docs = odd(spark).select("doc_id", "text", "lang", "source", "n_chars")
-    assert stage(spark, docs, FOLDER).count() <= 24
+    """All columns of the odd rows, and more that stages use themselves, come through with their values."""
+    more = {"copies": F.lit(7), "_row": F.lit("r"), "slot": F.lit(-1), "predicted": F.lit("p"), "component_id": F.lit(5), "_copy": F.lit(1.5)}
+    docs = odd(spark).withColumns(more)
+    out = stage(spark, docs, FOLDER)
+    added = ["shard", "slot"] if name == "sharding" else []
+    old = [f"{c}_before" if c in added else c for c in docs.columns]
+    assert out.columns == old + added
+    listed = lambda df: [repr(tuple(r)) for r in df.collect()]
+    before, after = collections.Counter(listed(docs)), collections.Counter(listed(out.select(*old)))
+    assert set(after) <= set(before)
+    if name in ("benchmark", "sharding"):
+        assert after == before
+    elif name == "near_duplicates":
+        assert max(after.values()) == 1 and len(after) == len(before)
+    elif name == "mixing":
+        assert all(n <= 3 * before[row] for row, n in after.items())
+    assert stage(spark, docs.where("false"), FOLDER).count() == 0
