@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,33 +81,36 @@ def best_params(df: DataFrame, error: str = "test_mape") -> DataFrame:
 
 
 def boxcox_lambda(df: DataFrame, series: str = KEY, y: str = Y, grid: Sequence[float] | None = None, fine: float = 0.001) -> DataFrame:
-    """Maximum-likelihood Box-Cox exponent of the positive values per series.
+    """Maximum-likelihood Box-Cox exponent of the positive values per series, as (series, lam, llf).
 
     All exponents of a grid (of equal steps) are tried in one pass of partial sums, then those of a grid of steps
-    ``fine`` around the best. Give it the training part of the series (``train_test_split``).
+    ``fine`` around the best. A row stays one row: its values under all exponents are one vector, and the variances of
+    the vectors are merged per series. Series without two different values have no exponent. Give it the training part of
+    the series (``train_test_split``).
     """
     grid = [round(-2 + i * 0.05, 2) for i in range(81)] if grid is None else list(grid)
-    positive = df.where(F.col(y) > 0).select(series, F.col(y).cast("double").alias(y))
-    first = _likeliest(positive.withColumn("lam", F.explode(F.array(*[F.lit(float(g)) for g in grid]))), series, y)
+    positive = df.where(F.col(y) > 0).select(F.col(series).alias("_of"), F.col(y).cast("double").alias("_x"))
+    first = _likeliest(positive, F.lit([float(g) for g in grid]))
     steps = round((grid[1] - grid[0]) / fine) if len(grid) > 1 else 0
-    around = F.explode(F.sequence(F.lit(-steps), F.lit(steps)))
-    near = first.select(F.col(series).alias("_of"), F.col("lam").alias("_at")).withColumn("_step", around)
-    near = positive.join(near, F.col(series).eqNullSafe(F.col("_of")))
     digits = max(0, -math.floor(math.log10(fine)))
-    return _likeliest(near.select(series, y, F.round(F.col("_at") + F.col("_step") * fine, digits).alias("lam")), series, y)
-
-
-def _likeliest(positive: DataFrame, series: str, y: str) -> DataFrame:
-    """(series, lam, llf) of the likeliest exponent among the rows' own."""
-    lam, x = F.col("lam"), F.col(y)
-    changed = F.when(lam == 0, F.log(x)).otherwise((F.pow(x, lam) - 1) / F.when(lam != 0, lam))
-    sums = positive.groupBy(series, "lam").agg(
-        F.sum(F.log(x)).alias("_logs"), F.var_pop(changed).alias("_var"), F.count(F.lit(1)).alias("_n")
-    )
-    likelihood = (lam - 1) * F.col("_logs") - F.col("_n") / 2 * F.log("_var")
-    scored = sums.where(F.col("_var") > 0).select(series, "lam", likelihood.alias("llf"))
-    best = scored.groupBy(series).agg(F.max_by(F.struct("lam", "llf"), F.struct(F.col("llf"), -lam)).alias("_b"))
-    return best.select(series, "_b.lam", "_b.llf")
+    near = positive.join(first.select(F.col("_of").alias("_series"), F.col("lam").alias("_at")), F.col("_of").eqNullSafe(F.col("_series")))
+    around = F.transform(F.lit(list(range(-steps, steps + 1))), lambda s: F.round(F.col("_at") + s * fine, digits))
+    return _likeliest(near.select("_of", "_x", around.alias("_lams")), F.col("_lams")).withColumnRenamed("_of", series)
+
+
+def _likeliest(positive: DataFrame, lams: Column) -> DataFrame:
+    """(_of, lam, llf) of the likeliest exponent per series; ``lams`` is the same array on all rows of a series."""
+    x = F.col("_x")
+    changed = F.transform(lams, lambda lam: F.when(lam == 0, F.log(x)).otherwise((F.pow(x, lam) - 1) / F.when(lam != 0, lam)))
+    rows = positive.select("_of", lams.alias("_lams"), F.log(x).alias("_log"), array_to_vector(changed).alias("_v"))
+    sums = rows.groupBy("_of").agg(
+        Summarizer.metrics("variance").summary(F.col("_v")).alias("_s"), F.sum("_log").alias("_logs"), F.count(F.lit(1)).alias("_n"), F.any_value("_lams").alias("_lams"))
+    sums = sums.select("_of", "_logs", "_n", "_lams", vector_to_array("_s.variance").alias("_var"))
+    spread = lambda v: v * (F.col("_n") - 1) / F.col("_n")
+    scored = F.zip_with("_lams", "_var", lambda lam, v: F.when(v > 0, F.struct(
+        ((lam - 1) * F.col("_logs") - F.col("_n") / 2 * F.log(spread(v))).alias("llf"), (-lam).alias("_back"), lam.alias("lam"))))
+    best = sums.select("_of", F.array_max(F.filter(scored, lambda s: s.isNotNull())).alias("_b"))
+    return best.where(F.col("_b").isNotNull()).select("_of", "_b.lam", "_b.llf")
 
 
 def _nth(year: Column, month: int, weekday: str, n: int) -> Column:
