@@ -2,29 +2,92 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldtide.functions import fixed_values as fixed
 from fieldtide.functions import text as tx
+from fieldtide.session import stored
 
+SMALL_TABLE = 32 << 20  # characters of a lemma table that is sent to every task
+SALTS = 32  # parts of the tokens of one word in the join with a larger table
 
-def lemmatize(df: DataFrame, text_col: str, lemmas: DataFrame | None = None, *, key: str | None = None, out: str = "lemmatized") -> DataFrame:
-    """Replace every whitespace token by its noun lemma.
 
-    Without ``lemmas`` the regular endings are cut by rule. With a (form, lemma) table the tokens are
-    joined to it and put together again per ``key``, which must identify a row. Unknown forms and forms
-    whose lemma is NULL stay as they are; of several lemmas of a form the first in order is taken.
+def detached(form: Column) -> Column:
+    """The singular forms that the noun endings of a token of four letters or more allow, as an array in rule order."""
+    cut = lambda ending, base: F.concat(F.left(form, F.length(form) - len(ending)), F.lit(base))
+    plain = ~form.rlike("(ss|us|is)$")
+    tried = [F.when(form.endswith(e) & (plain if e == "s" else F.lit(True)), cut(e, b)) for e, b in fixed.NOUN_RULES]
+    return F.when(F.length(form) >= 4, F.filter(F.array(*tried), lambda c: c.isNotNull())).otherwise(F.array().cast("array<string>"))
+
+
+def noun_forms(df: DataFrame, text_col: str, vocabulary: DataFrame | None = None) -> DataFrame:
+    """(form, lemma): the tokens of the texts that are not their own lemma, each resolved once.
+
+    Irregular nouns come from a table. Other forms lose a noun ending where a known word is left, the shortest of several;
+    known are all tokens of the texts and the ``form`` column of ``vocabulary``. Where no known word is left the regular
+    ending is cut by rule. Texts are reduced to their distinct forms before anything is joined.
     """
-    if lemmas is None:
-        return df.withColumn(out, tx.noun_lemmas(F.col(text_col)))
+    forms = df.select(F.explode(F.array_distinct(tx.tokens(F.col(text_col)))).alias("form")).distinct()
+    forms = stored(forms, "noun-forms")
+    known = forms.select("form")
+    if vocabulary is not None:
+        known = known.unionByName(vocabulary.select("form")).where("form is not null").distinct()
+    tried = forms.select("form", F.posexplode(detached(F.col("form"))).alias("rule", "lemma"))
+    found = tried.join(known.withColumnRenamed("form", "lemma"), "lemma", "left_semi")
+    found = found.groupBy("form").agg(F.min(F.struct(F.length("lemma"), "rule", "lemma"))["lemma"].alias("found"))
+    irregular = F.create_map(*[F.lit(x) for pair in fixed.IRREGULAR_NOUNS.items() for x in pair])
+    lemma = F.coalesce(F.try_element_at(irregular, F.col("form")), "found", tx.noun_lemmas(F.col("form")))
+    return forms.join(found, "form", "left").select("form", lemma.alias("lemma")).where("lemma <> form")
+
+
+def replace_forms(df: DataFrame, text_col: str, table: DataFrame, out: str, key: str | None = None) -> DataFrame:
+    """Every whitespace token replaced by its lemma in ``table`` (form, lemma), joined by one space; NULL stays NULL.
+
+    A table of up to ``SMALL_TABLE`` characters goes to every task and texts are not moved. For a larger one tokens are
+    joined to it in parts, so that a frequent word is no hot key, and put together again by ``key``, which must identify
+    a row.
+    """
+    table = stored(table.select("form", "lemma"), "lemmas")
+    size = table.agg(F.coalesce(F.sum(F.length("form") + F.length("lemma")), F.lit(0))).first()[0]
+    if size <= SMALL_TABLE:
+        sent = df.sparkSession.sparkContext.broadcast({r["form"]: r["lemma"] for r in table.toLocalIterator()})
+
+        @F.pandas_udf("string")
+        def replaced(texts: pd.Series) -> pd.Series:
+            known, gap = sent.value, re.compile(r"[ \t\n\x0b\f\r]+")
+            return texts.map(lambda text: None if text is None else " ".join(known.get(w, w) for w in gap.split(text) if w))
+
+        return df.withColumn(out, replaced(F.col(text_col)))
     if key is None:
-        raise ValueError("a lemma table needs the key of the texts")
-    table = lemmas.where("form is not null and lemma is not null").groupBy(F.col("form").alias("_word")).agg(F.min("lemma").alias("lemma"))
-    tokens = df.select(key, F.posexplode(tx.tokens(F.col(text_col))).alias("_pos", "_word"))
-    found = tokens.join(table, "_word", "left")
+        raise ValueError("a large lemma table needs the key of the texts")
+    part = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
+    tokens = df.select(key, part.alias("_part"), F.posexplode(tx.tokens(F.col(text_col))).alias("_pos", "_word"))
+    spread = table.select(F.col("form").alias("_word"), "lemma", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_part"))
     word = F.struct("_pos", F.coalesce("lemma", "_word").alias("w"))
-    joined = found.groupBy(key).agg(F.array_sort(F.collect_list(word)).alias("_words"))
+    joined = tokens.join(spread, ["_part", "_word"], "left").groupBy(key).agg(F.array_sort(F.collect_list(word)).alias("_words"))
     text = joined.select(F.col(key).alias("_key"), F.array_join(F.col("_words.w"), " ").alias(out))
     plain = F.when(F.col(text_col).isNotNull(), F.lit(""))
-    rows = df.join(text, F.col(key).eqNullSafe(F.col("_key")), "left")
-    return rows.select(*[F.col(c) for c in df.columns if c != out], F.coalesce(F.col(out), plain).alias(out))
+    rows = df.drop(out) if out != text_col else df
+    rows = rows.join(text.withColumnRenamed(out, "_text"), F.col(key).eqNullSafe(F.col("_key")), "left")
+    return rows.withColumn(out, F.coalesce("_text", plain)).drop("_key", "_text")
+
+
+def lemmatize(
+    df: DataFrame, text_col: str, lemmas: DataFrame | None = None, *, key: str | None = None, out: str = "lemmatized",
+    vocabulary: DataFrame | None = None,
+) -> DataFrame:
+    """Replace every whitespace token by its noun lemma.
+
+    Without ``lemmas`` the forms of the texts are resolved by ``noun_forms``. A (form, lemma) table is taken as it is:
+    unknown forms and forms whose lemma is NULL stay, of several lemmas of a form the first in order is taken. ``key``
+    identifies a row and is needed for large tables only. The table is made when this is called.
+    """
+    if lemmas is None:
+        table = noun_forms(df, text_col, vocabulary)
+    else:
+        table = lemmas.where("form is not null and lemma is not null").groupBy("form").agg(F.min("lemma").alias("lemma"))
+    return replace_forms(df, text_col, table, out, key)

@@ -90,7 +90,21 @@ LEMMA_SQL = """case when length(w) < 4 or regexp_matches(w, '(ss|us|is)$') then
  when regexp_matches(w, 'men$') then regexp_replace(w, 'men$', 'man') else regexp_replace(w, 's$', '') end"""
 
 
-@query("lemmatize", f"select doc_id, array_to_string(list_transform({words_sql('text')}, lambda w: {LEMMA_SQL}), ' ') lemmatized from fx_text", views=["fx_text"])
+def detached_sql(w: str) -> str:
+    tried = [f"case when ends_with({w}, '{e}') and length({w}) >= 4" + (f" and not regexp_matches({w}, '(ss|us|is)$')" if e == "s" else "")
+             + f" then left({w}, length({w}) - {len(e)}) || '{b}' end" for e, b in fixed.NOUN_RULES]
+    return f"[{', '.join(tried)}]"
+
+
+FORMS_SQL = f"""forms as (select distinct unnest({words_sql('text')}) w from fx_text),
+tried as (select w, unnest({detached_sql('w')}) c, unnest(range({len(fixed.NOUN_RULES)})) rule from forms),
+known as (select w, arg_min(c, {{'n': length(c), 'rule': rule}}) c from tried where c in (select w from forms) group by 1),
+lemma as (select w, coalesce({map_sql(fixed.IRREGULAR_NOUNS)}[w], c, {LEMMA_SQL}) l from forms left join known using (w)),
+words as (select doc_id, unnest({words_sql('text')}) w, unnest(range(len({words_sql('text')}))) i from fx_text),
+made as (select doc_id, string_agg(l, ' ' order by i) made from words join lemma using (w) group by 1)"""
+
+
+@query("lemmatize", FORMS_SQL + "---select doc_id, case when text is not null then coalesce(made, '') end lemmatized from fx_text left join made using (doc_id)", views=["fx_text"])
 def lemmas(t):
     return tt.lemmatize(t.fx("fx_text"), "text").select("doc_id", "lemmatized")
 
