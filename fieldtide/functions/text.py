@@ -85,9 +85,20 @@ def standardize_terms(words: Column, mapping: Mapping[str, str] = fixed.STANDARD
     return F.transform(words, lambda w: _mapped(w, mapping))
 
 
-def split_sentences(text: Column) -> Column:
-    """Sentences end at . ! or ? followed by white space."""
-    return F.filter(F.split(text, r"(?<=[.!?])\s+"), lambda s: s != "")
+OPENED = r"(?:^|[\s(\"'])"  # what stands before a token
+
+
+def split_sentences(text: Column, abbreviations: Sequence[str] = fixed.ABBREVIATIONS) -> Column:
+    """Sentences end at . ! or ? followed by white space.
+
+    A listed abbreviation (without its last period, in any case), a capital initial, and a number before a word in small
+    letters do not end one. ``operators.text.learnt_sentences`` takes the abbreviations from the texts themselves.
+    """
+    listed = "|".join(re.escape(a) for a in abbreviations)
+    short = rf"(?<!{OPENED}(?i:{listed})\.)" if listed else ""
+    initial, number = rf"(?<!{OPENED}\p{{Lu}}\.)", rf"(?<!{OPENED}[0-9]{{1,9}}\.)"
+    ends = rf"(?<=[.!?]){short}{initial}(?:{number}\s++|\s++(?!\p{{Ll}}))"
+    return F.filter(F.split(text, ends), lambda s: s != "")
 
 
 def join_list(items: Column, separator: str) -> Column:

@@ -91,3 +91,67 @@ def lemmatize(
     else:
         table = lemmas.where("form is not null and lemma is not null").groupBy("form").agg(F.min("lemma").alias("lemma"))
     return replace_forms(df, text_col, table, out, key)
+
+
+ABBREVIATION = 0.3  # the score from which a form counts as an abbreviation
+
+
+def learn_abbreviations(df: DataFrame, text_col: str) -> DataFrame:
+    """(form, with_period, apart, score): forms that mostly stand before a period, as abbreviations do.
+
+    The score is that of Kiss and Strunk (2006): the likelihood that form and period belong together, weighed by length,
+    inner periods, and how often the form stands without. Forms are letters with single inner periods, in small letters.
+    Counts are partial sums per form over all texts; the totals are one row.
+    """
+    words = df.select(F.explode(tx.tokens(F.col(text_col))).alias("w"))
+    ends = F.col("w").endswith(".")
+    form = F.lower(F.when(ends, F.left("w", F.length("w") - 1)).otherwise(F.col("w")))
+    counts = words.select(form.alias("form"), ends.cast("long").alias("p")).groupBy("form").agg(
+        F.sum("p").alias("with_period"), F.sum(1 - F.col("p")).alias("apart"))
+    counts = stored(counts, "abbreviation-counts")
+    total = counts.agg(F.sum("with_period").alias("_periods"), F.sum(F.col("with_period") + F.col("apart")).alias("_all"))
+    rows = counts.where((F.col("with_period") > 0) & F.col("form").rlike(r"^\p{L}+(\.\p{L}+)*$")).crossJoin(F.broadcast(total))
+    near, apart = F.col("with_period"), F.col("apart")
+    chance = F.col("_periods") / F.col("_all")
+    letters = F.length(F.replace("form", F.lit("."), F.lit("")))
+    alone = near * F.log(chance) + F.when(apart > 0, apart * F.log(1 - chance)).otherwise(0.0)
+    together = near * F.log(F.lit(0.99)) + apart * F.log(F.lit(0.01))
+    inner = F.length("form") - letters + 1
+    score = -2.0 * (alone - together) * F.exp(-letters) * inner * F.pow(letters.cast("double"), -apart.cast("double"))
+    return rows.select("form", "with_period", "apart", score.alias("score")).where(F.col("score") >= ABBREVIATION)
+
+
+def learnt_sentences(df: DataFrame, text_col: str, abbreviations: DataFrame, out: str = "sentences") -> DataFrame:
+    """The input with ``out``: the sentences of each text, as in ``functions.text.split_sentences`` with these abbreviations
+    (``form``). Their list goes to every task; forms are at most as many as a language has short words before a period."""
+    known = {r["form"] for r in abbreviations.select("form").toLocalIterator()}
+    sent = df.sparkSession.sparkContext.broadcast(known)
+
+    @F.pandas_udf("array<string>")
+    def cut(texts: pd.Series) -> pd.Series:
+        listed = sent.value
+        ends = re.compile(r"(?<=[.!?])[ \t\n\x0b\f\r]+")
+        last = re.compile(r"(?:^|[ \t\n\x0b\f\r(\"'])([^ \t\n\x0b\f\r(\"']*)\.$")
+
+        def goes_on(before: str, after: str) -> bool:
+            token = last.search(before[-100:])
+            if token is None or before[-1] != ".":
+                return False
+            word = token[1]
+            if word.lower() in listed or (len(word) == 1 and word.isupper()):
+                return True
+            return word.isascii() and word.isdigit() and len(word) <= 9 and after[:1].islower()
+
+        def one(text):
+            if text is None:
+                return None
+            found, start = [], 0
+            for m in ends.finditer(text):
+                if not goes_on(text[max(start, m.start() - 100):m.start()], text[m.end():m.end() + 1]):
+                    found.append(text[start:m.start()])
+                    start = m.end()
+            return [s for s in [*found, text[start:]] if s]
+
+        return texts.map(one)
+
+    return df.withColumn(out, cut(F.col(text_col)))

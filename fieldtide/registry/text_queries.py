@@ -134,13 +134,59 @@ def joined(t):
     return t.table("documents").select("doc_id", tx.join_list(F.split("text", " "), "..").alias("joined"))
 
 
-SENTENCES = "list_filter(string_split(regexp_replace({}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: s <> '')"
+# What goes on after a period gets a mark, then ends are cut, then the marks go.
+OPENED_SQL = """(^|[\\s("''])"""
+
+
+def sentences_sql(text: str, listed: str) -> str:
+    """``listed`` is an SQL text of alternatives."""
+    marked = f"""regexp_replace({text}, '{OPENED_SQL}((?i:' || {listed} || ')\\.)', '\\1\\2' || chr(2), 'g')"""
+    marked = f"""regexp_replace({marked}, '{OPENED_SQL}(\\p{{Lu}}\\.)', '\\1\\2' || chr(2), 'g')"""
+    marked = f"""regexp_replace({marked}, '{OPENED_SQL}([0-9]{{1,9}}\\.)(\\s+\\p{{Ll}})', '\\1\\2' || chr(2) || '\\3', 'g')"""
+    cut = f"replace(regexp_replace({marked}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(2), '')"
+    return f"list_filter(string_split({cut}, chr(1)), lambda s: s <> '')"
+
+
+LISTED = "'" + "|".join(a.replace(".", "\\.") for a in fixed.ABBREVIATIONS) + "'"
+
+
+class _Sentences:
+    def format(self, text: str) -> str:
+        return sentences_sql(text, LISTED)
+
+
+SENTENCES = _Sentences()
+
+
+def _listed(rows):
+    return rows.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.array_join("s", "|").alias("sentences"))
 
 
 @query("split_sentences", f"select doc_id, len(s) n_sentences, array_to_string(s, '|') sentences from (select doc_id, {SENTENCES.format('text')} s from documents) x")
 def sentences(t):
-    rows = t.table("documents").select("doc_id", tx.split_sentences(F.col("text")).alias("s"))
-    return rows.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.array_join("s", "|").alias("sentences"))
+    return _listed(t.table("documents").select("doc_id", tx.split_sentences(F.col("text")).alias("s")))
+
+
+LEARNT_SQL = f"""words as (select unnest({words_sql('text')}) w from documents),
+counts as (select lower(case when ends_with(w, '.') then left(w, length(w) - 1) else w end) form, count(*) filter (ends_with(w, '.')) a,
+ count(*) filter (not ends_with(w, '.')) b from words group by 1),
+total as (select sum(a) p, sum(a + b) n from counts),
+scored as (select form, a with_period, b apart, -2.0::double * (a * ln(p / n) + b * ln(1 - p / n) - a * ln(0.99) - b * ln(0.01))
+ * exp(-length(replace(form, '.', ''))) * (length(form) - length(replace(form, '.', '')) + 1) * pow(length(replace(form, '.', ''))::double, -b::double) score
+ from counts, total where a > 0 and regexp_full_match(form, '\\p{{L}}+(\\.\\p{{L}}+)*')),
+learnt as (select * from scored where score >= {tt.ABBREVIATION})"""
+
+
+@query("learn_abbreviations", LEARNT_SQL + "---select * from learnt", digits={"score": 5})
+def abbreviations(t):
+    return tt.learn_abbreviations(t.table("documents"), "text")
+
+
+@query("split_sentences_learnt", LEARNT_SQL + f""", listed as (select coalesce(string_agg(regexp_escape(form), '|'), '$^') f from learnt)
+---select doc_id, len(s) n_sentences, array_to_string(s, '|') sentences from (select doc_id, {sentences_sql('text', 'f')} s from documents, listed) x""")
+def learnt_sentences(t):
+    rows = t.table("documents")
+    return _listed(tt.learnt_sentences(rows, "text", tt.learn_abbreviations(rows, "text"), "s"))
 
 
 def products(t: Tables):

@@ -5,6 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from fieldtide.functions import fixed_values as fixed
+from fieldtide.functions import text as tx
 from fieldtide.operators import reviews as rv
 from fieldtide.operators import text as tt
 
@@ -69,3 +71,30 @@ def test_matched_sentences_against_plain_loops(spark):
     for row in df.select("q", "raw", rv.match_sentences(F.col("q"), F.col("raw")).alias("got")).collect():
         want = None if row.q is None or row.raw is None else [best_sentence(q, row.raw) for q in row.q]
         assert row.got == want, row
+
+
+SENTENCES = [
+    ("We met Dr. Smith. He was late.", ["We met Dr. Smith.", "He was late."]),
+    ("Parts, e.g. 5 bolts. Then J. R. Jones came! Why?  So.", ["Parts, e.g. 5 bolts.", "Then J. R. Jones came!", "Why?", "So."]),
+    ("On the 3. floor. In 1999. Then", ["On the 3. floor.", "In 1999.", "Then"]),
+    ("(vs. them) and \"St. Mary\". end.\nNext", ["(vs. them) and \"St. Mary\".", "end.", "Next"]),
+    ("", []), (None, None), ("no end", ["no end"]),
+]
+
+
+def test_abbreviations_initials_and_ordinals_end_no_sentence(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(SENTENCES)], "id int, text string")
+    listed = spark.createDataFrame([(a,) for a in fixed.ABBREVIATIONS], "form string")
+    both = tt.learnt_sentences(df, "text", listed, "learnt").select("id", "learnt", tx.split_sentences(F.col("text")).alias("native"))
+    for row in both.collect():
+        want = SENTENCES[row.id][1]
+        assert row.native == want and row.learnt == want, row
+
+
+def test_abbreviations_are_learnt_from_the_texts(spark):
+    rows = [(i, f"The abt. value of no. {i} is high. A high value is now no value. See tel. {i} now.") for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    got = {r.form for r in tt.learn_abbreviations(df, "text").collect()}
+    assert {"abt", "tel"} <= got and not {"value", "high", "no", "now"} & got
+    found = tt.learnt_sentences(df, "text", tt.learn_abbreviations(df, "text")).first().sentences
+    assert found[-1].startswith("See tel. ")
