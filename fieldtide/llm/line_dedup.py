@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtide.llm.common import stored
+from fieldtide.llm.common import GAP, stored
 
 DEPTH = 3            # leading tokens that a leaf of the tree shares, besides the token count
 MIN_DOCS = ((50, 2), (20, 6), (0, 12))  # (tokens, different texts in which a template of that many must occur to be dropped)
@@ -16,17 +16,16 @@ CONSTANT = 0.5       # share of a leaf's lines that agree on a token for it to b
 SIMILAR = 0.7        # share of a line's tokens that must equal the leaf's constant tokens
 
 
+ODD = r"[0-9\x09\x0B-\x0D]|\x20\x20|^\x20|\x20$"
 NUMBERED = r"(?<![^\x20\x09-\x0D])[^0-9\x20\x09-\x0D]*+[0-9][^\x20\x09-\x0D]*+"
 
 
-def _tokens(line: Column) -> Column:
-    """The words of a line; words with digits are variable fields from the start.
+def _plain(line: Column) -> Column:
+    """The words of a line, one space between two; words with digits are variable fields from the start.
 
-    Lines without digits, or without any white space but spaces, skip the regular expressions.
+    Lines without digits and with single spaces only, the usual case, are taken as they are.
     """
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, NUMBERED, "<*>")).otherwise(line)
-    spaced = F.when(masked.rlike(r"[\x09\x0B-\x0D]"), F.regexp_replace(masked, r"[\x09\x0B-\x0D]", " ")).otherwise(masked)
-    return F.filter(F.split(spaced, " "), lambda w: w != "")
+    return F.when(line.rlike(ODD), F.trim(F.regexp_replace(F.regexp_replace(line, NUMBERED, "<*>"), GAP, " "))).otherwise(line)
 
 
 def _least(tokens: Column, min_docs: Sequence[tuple[int, int]]) -> Column:
@@ -38,51 +37,60 @@ def _least(tokens: Column, min_docs: Sequence[tuple[int, int]]) -> Column:
 
 
 def line_templates(docs: DataFrame, text: str, depth: int = DEPTH) -> DataFrame:
-    """(doc, line, leaf, form, tokens): one row per line with a word; doc is a hash of the text, so copies count once."""
+    """(doc, line, leaf, form, size, plain): one row per line with a word; doc is a hash of the text, so copies count once."""
     rows = docs.select(F.xxhash64(text).alias("doc"), F.posexplode(F.split(text, "\n")).alias("line", "_line"))
-    rows = rows.select("doc", "line", _tokens(F.col("_line")).alias("tokens")).where(F.size("tokens") > 0)
-    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))
-    return rows.select("doc", "line", leaf.alias("leaf"), F.xxhash64("tokens").alias("form"), "tokens")
+    rows = rows.select("doc", "line", _plain(F.col("_line")).alias("plain")).where("plain <> ''")
+    size = F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit(""))) + 1
+    rows = rows.withColumn("size", size)
+    leaf = F.xxhash64("size", F.substring_index("plain", " ", depth))
+    return rows.select("doc", "line", leaf.alias("leaf"), F.xxhash64("plain").alias("form"), "size", "plain")
+
+
+def _spread(table: DataFrame) -> DataFrame:
+    """A copy of every row for each part."""
+    return table.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _part(column: str) -> Column:
+    return F.pmod(F.col(column), F.lit(SALTS)).cast("int")
 
 
 def recurring_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, min_docs: Sequence[tuple[int, int]] = MIN_DOCS) -> DataFrame:
     """(doc, line): lines whose template occurs in as many different texts as ``min_docs`` asks for at its length.
 
     The tree is fixed: token count, then the leading tokens. In a leaf each place has its most frequent token, counted
-    once per form; it is constant where CONSTANT of the forms agree and a variable field elsewhere. Lines that agree
-    with SIMILAR of their tokens share the leaf's template, any other line is a template of its own. Counts are
-    partial aggregates throughout, so a line of a third of all documents is one row per task before any shuffle.
+    once per form; it is constant where CONSTANT of the forms agree and a variable field elsewhere. Forms that agree
+    with SIMILAR of their tokens share the leaf's template, any other form is a template of its own. Lines are known by
+    their hashes; words are moved once for each form of a leaf that has several. Counts are partial aggregates, and joins
+    on a leaf or a form are dealt to parts, so a line of a third of all documents is no hot key.
     """
     lines = line_templates(docs, text, depth)
-    # One row per form: the tokens are moved once for each different line only.
-    forms = lines.groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("tokens")).alias("size"))
-    busy = forms.groupBy("leaf").agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("forms"), F.max("size").alias("size"))
-    busy = busy.where(F.col("lines") >= _least(F.col("size"), min_docs))
-    busy = stored(busy, "template-leaves")
-    many = busy.where("forms > 1").select("leaf", "forms")
-    kept = lines.join(busy.select("leaf"), "leaf", "left_semi")
-    kept = stored(kept.groupBy("leaf", "form", "doc").agg(F.any_value("tokens").alias("tokens"), F.collect_list("line").alias("at")), "template-lines")
-    distinct = kept.join(many.select("leaf"), "leaf", "left_semi").groupBy("leaf", "form").agg(F.any_value("tokens").alias("tokens"))
-    places = distinct.select("leaf", F.posexplode("tokens").alias("place", "token"))
+    known = stored(lines.drop("plain"), "template-lines")
+    per_text = known.groupBy("leaf", "form", "size", "doc").agg(F.count(F.lit(1)).alias("n"))
+    forms = stored(per_text.groupBy("leaf", "form", "size").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs")), "template-forms")
+    leaves = forms.groupBy("leaf").agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("forms"), F.max("size").alias("size"))
+    many = stored(leaves.where((F.col("forms") > 1) & (F.col("lines") >= _least(F.col("size"), min_docs))).select("leaf", "forms"), "template-leaves")
+    # Merge joins at every size: the tables grow with the documents.
+    said = lines.select("leaf", "form", "plain", _part("form").alias("part")).join(_spread(many.select("leaf")).hint("merge"), ["leaf", "part"], "left_semi")
+    said = stored(said.groupBy("leaf", "part", "form").agg(F.any_value("plain").alias("plain")), "template-words")
+    places = said.select("leaf", F.posexplode(F.split("plain", " ")).alias("place", "token"))
     counts = places.groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("c"))
     top = counts.groupBy("leaf", "place").agg(F.max(F.struct("c", "token")).alias("top"))
     constant = F.when(F.col("top.c") >= F.col("forms") * CONSTANT, F.col("top.token"))
-    place = F.struct("place", constant.alias("token"))
     # A leaf has one entry per place: as many as a line has tokens.
-    template = top.join(many, "leaf").groupBy("leaf").agg(F.sort_array(F.collect_list(place))["token"].alias("template"))
-    marked = kept.join(template, "leaf", "left")
-    same = F.size(F.filter(F.zip_with("tokens", "template", lambda t, k: t == k), lambda x: x))
-    shared = F.col("template").isNotNull() & (same >= F.size("tokens") * SIMILAR)
-    marked = marked.select("leaf", F.when(shared, F.lit(0)).otherwise(F.col("form")).alias("member"), shared.alias("shared"), "doc", "at",
-                           F.size("tokens").alias("size"))
-    marked = stored(marked, "template-members")
-    template_key = ["leaf", "member", "shared"]
-    docs_of = marked.select(*template_key, "size", "doc").distinct().groupBy(*template_key).agg(F.count(F.lit(1)).alias("docs"), F.max("size").alias("size"))
-    dropped = docs_of.where(F.col("docs") >= _least(F.col("size"), min_docs)).select(*template_key)
-    # A template may hold a third of all lines: its lines are dealt to parts, and the template meets each of them.
-    dropped = dropped.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = marked.withColumn("part", F.pmod("doc", F.lit(SALTS)).cast("int"))
-    return salted.join(dropped, [*template_key, "part"], "left_semi").select("doc", F.explode("at").alias("line"))
+    template = top.join(many, "leaf").groupBy("leaf").agg(
+        F.sort_array(F.collect_list(F.struct("place", constant.alias("token"))))["token"].alias("template"))
+    marked = said.join(_spread(template), ["leaf", "part"])
+    tokens = F.split("plain", " ")
+    same = F.size(F.filter(F.zip_with(tokens, "template", lambda t, k: t == k), lambda x: x))
+    shared = stored(marked.where(same >= F.size("template") * SIMILAR).select("leaf", "form"), "template-shared")
+    of_shared = known.withColumn("part", _part("doc")).join(_spread(shared).hint("merge"), ["leaf", "form", "part"], "left_semi")
+    held = of_shared.select("leaf", "size", "doc").distinct().groupBy("leaf", "size").agg(F.count(F.lit(1)).alias("docs"))
+    held = held.where(F.col("docs") >= _least(F.col("size"), min_docs)).select("leaf")
+    own = forms.where(F.col("docs") >= _least(F.col("size"), min_docs)).select("leaf", "form").join(shared, ["leaf", "form"], "left_anti")
+    dropped = stored(own.unionByName(shared.join(held, "leaf", "left_semi")), "template-dropped")
+    gone = known.withColumn("part", _part("doc")).join(_spread(dropped).hint("merge"), ["leaf", "form", "part"], "left_semi")
+    return gone.select("doc", "line")
 
 
 def drop_recurring_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, min_docs: Sequence[tuple[int, int]] = MIN_DOCS) -> DataFrame:
