@@ -16,7 +16,7 @@ CONSTANT = 0.5       # share of a leaf's lines that agree on a token for it to b
 SIMILAR = 0.7        # share of a line's tokens that must equal the leaf's constant tokens
 
 
-ODD = r"[0-9\x09\x0B-\x0D]|\x20\x20|^\x20|\x20$"
+ODD = r"[0-9\x09\x0B-\x0D]"
 NUMBERED = r"(?<![^\x20\x09-\x0D])[^0-9\x20\x09-\x0D]*+[0-9][^\x20\x09-\x0D]*+"
 
 
@@ -25,7 +25,8 @@ def _plain(line: Column) -> Column:
 
     Lines without digits and with single spaces only, the usual case, are taken as they are.
     """
-    return F.when(line.rlike(ODD), F.trim(F.regexp_replace(F.regexp_replace(line, NUMBERED, "<*>"), GAP, " "))).otherwise(line)
+    odd = line.contains("  ") | line.startswith(" ") | line.endswith(" ") | line.rlike(ODD)
+    return F.when(odd, F.trim(F.regexp_replace(F.regexp_replace(line, NUMBERED, "<*>"), GAP, " "))).otherwise(line)
 
 
 def _least(tokens: Column, min_docs: Sequence[tuple[int, int]]) -> Column:
@@ -38,8 +39,8 @@ def _least(tokens: Column, min_docs: Sequence[tuple[int, int]]) -> Column:
 
 def line_templates(docs: DataFrame, text: str, depth: int = DEPTH) -> DataFrame:
     """(doc, line, leaf, form, size, plain): one row per line with a word; doc is a hash of the text, so copies count once."""
-    rows = docs.select(F.xxhash64(text).alias("doc"), F.posexplode(F.split(text, "\n")).alias("line", "_line"))
-    rows = rows.select("doc", "line", _plain(F.col("_line")).alias("plain")).where("plain <> ''")
+    # Lines are made plain before they become rows, so that the filter does not make them so a second time.
+    rows = docs.select(F.xxhash64(text).alias("doc"), F.posexplode(F.transform(F.split(text, "\n"), _plain)).alias("line", "plain")).where("plain <> ''")
     size = F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit(""))) + 1
     rows = rows.withColumn("size", size)
     leaf = F.xxhash64("size", F.substring_index("plain", " ", depth))
