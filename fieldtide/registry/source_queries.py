@@ -110,9 +110,8 @@ def dated(t):
  (select o_orderkey k, row_number() over (order by o_orderkey) n from orders) x group by 1""")
 def chunk_files(t):
     path = sinks.export_csv_chunked(t.table("orders"), [F.col("o_orderkey")], scratch_path(t.spark, "chunks"), "20240205")
-    rows = t.spark.read.csv(path, header=True)
-    return rows.groupBy(F.col("chunk_no").cast("long").alias("chunk_no")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("o_orderkey").cast("long")).alias("keys"))
+    rows = sinks.chunk_files(t.spark, path, t.table("orders").schema.simpleString()[7:-1].replace(":", " "))
+    return rows.groupBy("chunk_no").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("keys"))
 
 
 def _recipients(t):

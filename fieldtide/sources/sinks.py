@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldtide.operators import ordered
@@ -31,14 +31,29 @@ def export_csv_dated(tables: Mapping[str, DataFrame], out: str, date: str) -> li
 
 
 def export_csv_chunked(df: DataFrame, order: Sequence[Column], out: str, date: str, size: int = 1999) -> str:
-    """CSV files of at most ``size`` rows each, one per chunk, below a dated folder."""
+    """CSV files of ``size`` rows each (the last may be shorter) in the given order, all in one dated folder.
+
+    Every task takes whole chunks, in order, and Spark's writer begins a new file after each ``size`` rows, so there is one
+    file per chunk and its name tells its place: task, then number in the task (``chunk_files``). Files appear when the
+    task that wrote them is committed; no folder is made per chunk.
+    """
     path = f"{out}/override_upload_{date}"
     rows = ordered.chunk_numbers(df, order, size)
-    rows = rows.repartition("chunk_no").sortWithinPartitions("chunk_no", "row_no").drop("row_no")
-    rows.write.mode("overwrite").option("header", True).partitionBy("chunk_no").csv(path)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartitionByRange(tasks, "chunk_no").sortWithinPartitions("row_no").drop("row_no", "chunk_no")
+    rows.write.mode("overwrite").option("header", True).option("maxRecordsPerFile", size).csv(path)
     return path
 
 
+def chunk_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of the files of ``export_csv_chunked`` with ``chunk_no``, counted from 1 in the order of the file names."""
+    rows = spark.read.csv(path, schema=schema, header=True).select("*", F.col("_metadata.file_name").alias("_file"))
+    names = rows.select("_file").distinct()
+    task, place = (F.regexp_extract("_file", p, 1).cast("int") for p in (r"^part-([0-9]+)-", r"-c([0-9]+)\."))
+    numbers = names.select("_file", F.row_number().over(Window.orderBy(task, place)).cast("long").alias("chunk_no"))
+    return rows.join(numbers, "_file").drop("_file")
+
+
 def recipient_rows(results: DataFrame, recipients: DataFrame, keys: Sequence[str] = ("user", "run_ts")) -> DataFrame:
     """Result rows of the given recipients and run times."""
     return results.join(recipients.select(*keys).distinct(), list(keys), "left_semi")

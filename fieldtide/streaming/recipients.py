@@ -16,10 +16,12 @@ def recent_recipients(
     return df.where(F.col(ts) >= since).select(*cols).distinct()
 
 
-def recent_recipients_stream(stream: DataFrame, cols: Sequence[str] = ("user", "mail", "run_ts")) -> DataFrame:
+def recent_recipients_stream(stream: DataFrame, cols: Sequence[str] = ("user", "mail", "run_ts"), keep: str = "30 days") -> DataFrame:
     """Each recipient once per run, however late a row comes.
 
-    The state is one key per recipient and run; it is never dropped, since a replay or a slow source may
-    bring any run again.
+    The watermark follows the time at which rows arrive, not that of their runs: no row is ever late, so none is lost, and
+    a key leaves the state when ``keep`` has passed since it first arrived. The state is bounded by the runs of that time;
+    a run that is replayed after it is handed on again.
     """
-    return stream.select(*cols).dropDuplicates(list(cols))
+    arrived = stream.select(*cols).withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", keep)
+    return arrived.dropDuplicatesWithinWatermark(list(cols)).drop("_arrived")

@@ -1,5 +1,6 @@
 """Files: folders, streams, chunks and steps."""
 
+import time
 from pathlib import Path
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from fieldtide.plans.steps import Step, fill, run_steps
 from fieldtide.sources import sinks, tables
 from fieldtide.streaming.ingest import ingest_folder_stream
-from fieldtide.streaming.recipients import recent_recipients
+from fieldtide.streaming.recipients import recent_recipients, recent_recipients_stream
 
 SCHEMA = "Type bigint, Store double, Param_Desc string"
 
@@ -90,9 +91,10 @@ def test_headerless_csv_is_strict(spark, tmp_path):
 
 def test_chunk_files(spark, tmp_path):
     path = sinks.export_csv_chunked(spark.range(0, 25).repartition(5), [F.col("id").desc()], str(tmp_path), "20240101", 10)
-    sizes = {p.name: sum(len(f.read_text().split()) - 1 for f in p.glob("*.csv")) for p in Path(path).glob("chunk_no=*")}
-    assert sizes == {"chunk_no=1": 10, "chunk_no=2": 10, "chunk_no=3": 5}
-    assert all(len(list(p.glob("*.csv"))) == 1 for p in Path(path).glob("chunk_no=*"))
+    assert sorted(len(f.read_text().split()) - 1 for f in Path(path).glob("*.csv")) == [5, 10, 10]
+    assert not [p for p in Path(path).iterdir() if p.is_dir()]
+    rows = sinks.chunk_files(spark, path, "id long").collect()
+    assert {(r.id, r.chunk_no) for r in rows} == {(i, (24 - i) // 10 + 1) for i in range(25)}
 
 
 def test_report_lines(spark):
@@ -120,3 +122,28 @@ def test_recent_recipients(spark):
     df = spark.sql("""select * from values ('u', 'm', timestamp_ntz'2024-01-01 09:55:00'), ('u', 'm', timestamp_ntz'2024-01-01 09:55:00'),
         ('v', 'm', timestamp_ntz'2024-01-01 09:49:59') t(user, mail, run_ts)""")
     assert [r.user for r in recent_recipients(df, "2024-01-01 10:00:00").collect()] == ["u"]
+
+
+def test_recipients_stream_forgets_old_runs_and_keeps_late_ones(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    schema = "user string, mail string, run_ts timestamp"
+
+    def run(n, *lines, keep="1 day"):
+        (folder / f"{n}.csv").write_text("\n".join(lines) + "\n")
+        stream = spark.readStream.schema(schema).csv(str(folder))
+        query = recent_recipients_stream(stream, keep=keep).writeStream.format("parquet").option(
+            "checkpointLocation", str(tmp_path / "offsets")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        assert query.awaitTermination(60)
+        state = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+        return sorted((r.user, str(r.run_ts)[11:16]) for r in spark.read.parquet(str(tmp_path / "out")).collect()), state
+
+    first = ["ann,a@x,2024-01-01 10:00:00", "ann,a@x,2024-01-01 10:00:00", "bob,b@x,2024-01-01 10:05:00"]
+    assert run("a", *first)[0] == [("ann", "10:00"), ("bob", "10:05")]
+    # A replay adds nothing; rows of any age that are new come through.
+    assert run("b", *first, "cyd,c@x,2020-01-01 09:30:00") == ([("ann", "10:00"), ("bob", "10:05"), ("cyd", "09:30")], 3)
+    run("c", "dan,d@x,2024-01-01 11:00:00", keep="1 second")
+    time.sleep(2)
+    assert run("d", "eve,e@x,2024-01-01 11:00:00", keep="1 second")[1] == 4  # ann, bob, cyd and eve; not dan
+    # What was kept for a second is forgotten: the same run is handed on again, and not lost.
+    assert run("e", "dan,d@x,2024-01-01 11:00:00", keep="1 second")[0].count(("dan", "11:00")) == 2
