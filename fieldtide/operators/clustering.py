@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -19,6 +19,8 @@ from fieldtide.functions import text as tx
 from fieldtide.operators import kmeans
 from fieldtide.operators.kmeans import Model
 
+CENTERS = 2000  # centroids in one value of a plan
+
 
 def word_buckets(df: DataFrame, text_col: str, dim: int, out: str = "_tf") -> DataFrame:
     """The input with ``out``: how many words of the lower-cased text fall into each of ``dim`` buckets.
@@ -127,49 +129,64 @@ def cluster_ch(df: DataFrame, label: str = "label", vec: str = "embedding") -> D
 
 def cluster_silhouette(
     df: DataFrame, metric: str = "squared_euclidean", label: str = "label", vec: str = "embedding",
-    id_col: str = "vec_id", block: int = 2048,
+    id_col: str = "vec_id", sample: int = 1000,
 ) -> DataFrame:
     """Mean silhouette as one row.
 
-    ``squared_euclidean`` needs one pass, whatever the size. ``euclidean`` compares all points,
-    which is quadratic; it is done block by block, so no task holds more than two blocks.
+    ``squared_euclidean`` needs one pass, whatever the size. ``euclidean`` is ``silhouette_by_sample`` without its error:
+    exact for clusters of up to ``sample`` members.
     """
     if metric == "squared_euclidean":
         rows = df.select(_vector(df, vec).alias("features"), F.col(label).cast("double").alias("prediction"))
         value = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(rows)
         return df.sparkSession.createDataFrame([(float(value),)], "silhouette double")
+    return silhouette_by_sample(df, label, vec, id_col, sample).select("silhouette")
+
+
+def silhouette_by_sample(df: DataFrame, label: str = "label", vec: str = "embedding", id_col: str = "vec_id", sample: int = 1000) -> DataFrame:
+    """(silhouette, error): mean Euclidean silhouette of all points against reference points.
+
+    The reference points of a cluster are its first ``sample`` members in the order of a hash of the id; a point is never
+    compared with itself. Every point is measured, so the work is points x reference points, and smaller clusters are
+    exact. ``error`` is half the difference of the values that the two halves of the reference points give. The reference
+    points travel with every task; they are found when this is called.
+    """
     rows = df.select(F.xxhash64(id_col).alias("_id"), F.xxhash64(label).alias("_c"), _array(df, vec).alias("_x"))
-    blocks = max(1, math.ceil(rows.count() / block))
-    own = F.pmod(F.xxhash64("_id"), F.lit(blocks))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.select("*", own.cast("int").alias("_i"), every.alias("_j"))
-    right = rows.select("*", own.cast("int").alias("_j"), every.alias("_i"))
-
-    def distance_sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"_id": [], "_c": [], "_o": [], "_d": [], "_n": []})
-        x, y = np.stack(a["_x"].to_numpy()), np.stack(b["_x"].to_numpy())
-        square = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T
-        dist = np.sqrt(np.maximum(square, 0))
-        dist[a["_id"].to_numpy()[:, None] == b["_id"].to_numpy()[None, :]] = 0.0
-        parts = []
-        for other, index in b.groupby("_c").indices.items():
-            parts.append(pd.DataFrame({
-                "_id": a["_id"], "_c": a["_c"], "_o": other, "_d": dist[:, index].sum(1), "_n": len(index)
-            }))
-        return pd.concat(parts)
-
-    sums = left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInPandas(
-        distance_sums, "_id long, _c long, _o long, _d double, _n long"
-    )
-    per = sums.groupBy("_id", "_c", "_o").agg(F.sum("_d").alias("_d"), F.sum("_n").alias("_n"))
-    same = F.col("_c") == F.col("_o")
-    points = per.groupBy("_id", "_c").agg(
-        F.max(F.when(same, F.col("_d") / F.nullif(F.col("_n") - 1, F.lit(0)))).alias("a"),
-        F.min(F.when(~same, F.col("_d") / F.col("_n"))).alias("b"),
-    )
-    one = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
-    return points.agg(F.avg(F.coalesce(one, F.lit(0.0))).alias("silhouette"))
+    sizes = rows.groupBy("_c").agg(F.least(F.count(F.lit(1)), F.lit(sample)).alias("n")).agg(F.sum("n"), F.max(F.lit(1))).first()
+    width = rows.select(F.size("_x")).first()
+    if sizes[0] and sizes[0] * width[0] * 8 > kmeans.LARGEST_MODELS:
+        raise ValueError(f"{sizes[0]} reference points of {width[0]} numbers: take a smaller sample per cluster")
+    place = F.row_number().over(Window.partitionBy("_c").orderBy(F.xxhash64("_id"), "_id"))
+    listed = rows.withColumn("_n", place).where(F.col("_n") <= sample).toPandas().sort_values(["_c", "_n"])
+    if listed.empty:
+        return df.sparkSession.createDataFrame([], "silhouette double, error double")
+    sent = df.sparkSession.sparkContext.broadcast((
+        listed["_id"].to_numpy(), listed["_c"].to_numpy(), (listed["_n"].to_numpy() % 2 == 1), np.stack(listed["_x"].to_numpy())))
+
+    def measured(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, clusters, odd, points = sent.value
+        names, start = np.unique(clusters, return_index=True)
+        lengths = (points * points).sum(1)
+        for batch in batches:
+            for lo in range(0, len(batch), 1024):
+                part = batch.iloc[lo:lo + 1024]
+                x = np.stack(part["_x"].to_numpy())
+                gaps = np.sqrt(np.maximum((x * x).sum(1)[:, None] + lengths[None, :] - 2 * x @ points.T, 0))
+                self_at = part["_id"].to_numpy()[:, None] == ids[None, :]
+                own = np.searchsorted(names, part["_c"].to_numpy())
+                out = {}
+                for name, used in (("s", np.ones(len(ids), bool)), ("s1", odd), ("s2", ~odd)):
+                    weight = np.where(self_at, 0.0, used[None, :].astype(float))
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        mean = np.add.reduceat(gaps * weight, start, axis=1) / np.add.reduceat(weight, start, axis=1)
+                        a = mean[np.arange(len(x)), own]
+                        mean[np.arange(len(x)), own] = np.nan
+                        b = np.where(np.isnan(mean).all(1), np.nan, np.nanmin(np.where(np.isnan(mean), np.inf, mean), axis=1))
+                        out[name] = np.nan_to_num((b - a) / np.maximum(a, b), nan=0.0)
+                yield pd.DataFrame(out)
+
+    means = rows.mapInPandas(measured, "s double, s1 double, s2 double").agg(*[F.avg(c).alias(c) for c in ("s", "s1", "s2")])
+    return means.select(F.col("s").alias("silhouette"), (F.abs(F.col("s1") - F.col("s2")) / 2).alias("error"))
 
 
 def kmeans_sweep(
@@ -219,18 +236,20 @@ def centroid_distance(
 ) -> DataFrame:
     """Nearest centroid and the Euclidean distance to it (``cluster_id``, ``center_dist``).
 
-    The centroids, one row per cluster, are one value of the plan; each row finds its nearest by native
-    expressions. Of equally near centroids the one with the smallest label is taken; without centroids both are NULL.
+    The centroids go into the plan in blocks of ``CENTERS`` rows; each row finds its nearest by native expressions. Of
+    equally near centroids the one with the smallest label is taken; without centroids both are NULL.
     """
     listed = centroids.select(F.col(label).alias("id"), F.col("centroid").cast("array<double>").alias("at"))
-    model = listed.agg(F.collect_list(F.struct("id", "at")).alias("model")).scalar()
-    rows = df.withColumns({"_x": _array(df, vec), "_model": model})
+    blocks = max(1, math.ceil(listed.count() / CENTERS))
+    part = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    models = [listed.where(part == b).agg(F.collect_list(F.struct("id", "at")).alias("model")).scalar() for b in range(blocks)]
+    rows = df.withColumns({"_x": _array(df, vec), **{f"_model{b}": m for b, m in enumerate(models)}})
 
     def gap(c: Column) -> Column:
         square = F.zip_with("_x", c["at"], lambda a, b: (a - b) * (a - b))
         return F.struct(F.aggregate(square, F.lit(0.0), lambda s, v: s + v).alias("square"), c["id"].alias("id"))
 
-    near = rows.withColumn("_near", F.array_min(F.transform("_model", gap)))
+    near = rows.withColumn("_near", F.array_min(F.array(*[F.array_min(F.transform(f"_model{b}", gap)) for b in range(blocks)])))
     return near.select(*df.columns, F.col("_near.id").cast("long").alias("cluster_id"), F.sqrt("_near.square").alias("center_dist"))
 
 

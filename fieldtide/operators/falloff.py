@@ -106,7 +106,9 @@ def job_level_table(
         F.concat("sm_last_nm", F.lit(" "), "sm_first_nm").alias("sc_name"),
     )
     jobs = jobs.join(seller, F.col("ldsales1") == F.col("_sm_no"), "left")
-    for side in (lead_comments(comments, users, bow), lead_reasons(reasons, reason_names, subreason_names, users, bow)):
+    # Comments and reasons of other leads are left out before they are ranked and named.
+    wanted = planned.select(F.col("_bow_lead").alias("ldlead"))
+    for side in (lead_comments(comments, users, wanted), lead_reasons(reasons, reason_names, subreason_names, users, wanted)):
         jobs = jobs.join(side, F.col("ldlead") == F.col("_lead"), "left").drop("_lead")
     part = "wk_nbr" if compare == "week_no" else "wk_key"
     status = rules.job_status(F.col("ldcandate"), F.col(f"new_{part}"), F.col(f"plan_{part}"), F.col("ldfupdate"))

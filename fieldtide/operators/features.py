@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MOST = 10_000  # categories of one column that may become columns
+
+
 @dataclass(frozen=True)
 class OneHot:
     """Categories per column, in alphabetical order, with a name of their own for each."""
@@ -42,12 +45,14 @@ def _names(column: str, values: Sequence, taken: set[str]) -> dict:
 
 
 def one_hot(train: DataFrame, cols: Sequence[str]) -> OneHot:
-    """Learn the categories of ``cols``. Each becomes a column of the result, so for columns of very many
-    categories ``one_hot_vector`` is the better form."""
+    """Learn the categories of ``cols``. Each becomes a column of the result; a column of more than ``MOST`` categories
+    is refused, as it needs ``one_hot_vector``."""
     taken = {c.lower() for c in train.columns}
     found = {}
     for column in cols:
-        rows = train.select(column).where(F.col(column).isNotNull()).distinct().collect()
+        rows = train.select(column).where(F.col(column).isNotNull()).distinct().limit(MOST + 1).collect()
+        if len(rows) > MOST:
+            raise ValueError(f"{column} has more than {MOST} categories: use one_hot_vector")
         found[column] = _names(column, sorted(r[0] for r in rows), taken)
     return OneHot(found)
 

@@ -87,8 +87,11 @@ def nested(t):
 
 @query("latest_run_dir", "select o_orderkey, strftime(o_orderdate, '%Y%m') run_date from orders where strftime(o_orderdate, '%Y%m') = (select max(strftime(o_orderdate, '%Y%m')) from orders)")
 def latest_run(t):
+    """From a folder per month; only the newest is read."""
+    path = scratch_path(t.spark, "runs")
     rows = t.table("orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("run_date"))
-    return tables.latest_run_dir(rows)
+    rows.repartition("run_date").write.partitionBy("run_date").parquet(path)
+    return tables.latest_run_dir(t.spark.read.schema(rows.schema).parquet(path))
 
 
 @query("write_overwrite", "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")

@@ -9,7 +9,9 @@ from fieldtide.functions import fixed_values as fixed
 from fieldtide.functions import text as tx
 from fieldtide.operators import reviews as rv
 from fieldtide.operators import text as tt
+from fieldtide.plans.reviews import review_job
 from fieldtide.registry.core import query
+from fieldtide.session import scratch_path
 
 
 def quoted(text: str) -> str:
@@ -253,9 +255,26 @@ def match_by_edits(t):
     return sides(t).select("omsid", "review_id", F.array_join(rv.match_sentences_by_edits(F.col("q"), F.col("raw")), "|").alias("matched"))
 
 
-@query("review_sentences", RUNS_SQL + """---select omsid, review_id, cleaned review_text_cleaned, array_to_string(q, '|') sentences_cleaned,
- case when rtrim(cleaned) <> '' then coalesce(matched, '') end sentences_raw from s left join of_review using (omsid, review_id)""")
+REVIEW_SQL = RUNS_SQL + """---select omsid, review_id, cleaned review_text_cleaned, array_to_string(q, '|') sentences_cleaned,
+ case when rtrim(cleaned) <> '' then coalesce(matched, '') end sentences_raw from s left join of_review using (omsid, review_id)"""
+
+
+@query("review_sentences", REVIEW_SQL)
 def review(t):
-    rows = rv.review_sentences(products(t))
+    return _reviewed(rv.review_sentences(products(t)))
+
+
+def _reviewed(rows):
     return rows.select("omsid", "review_id", "review_text_cleaned", F.array_join("sentences_cleaned", "|").alias("sentences_cleaned"),
                        F.array_join("sentences_raw", "|").alias("sentences_raw"))
+
+
+@query("review_job", REVIEW_SQL)
+def review_run(t):
+    """Two run folders; the newest holds the reviews and is the one that is processed."""
+    folder, out = scratch_path(t.spark, "review-runs"), scratch_path(t.spark, "reviews-out")
+    rows = products(t)
+    old = rows.where("omsid < 5").withColumn("run_date", F.lit("20240105_hd_reviews"))
+    new = rows.withColumn("run_date", F.lit("20240205_hd_reviews"))
+    old.unionByName(new).write.partitionBy("run_date").json(folder)
+    return _reviewed(review_job(t.spark, folder, out))

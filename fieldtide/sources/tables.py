@@ -143,16 +143,15 @@ def ingest_folder(spark: SparkSession, path: str, loaded_at: str, schema: str =
     return loaded(aligned_by_name(rows, header_orders(spark, rows.inputFiles(), names), schema), loaded_at, hours)
 
 
-def read_nested_reviews(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
-    """Products with their list of reviews, from JSON lines or Parquet."""
+def read_nested_reviews(spark: SparkSession, path: str, kind: str = "json", partition: str | None = None) -> DataFrame:
+    """Products with their list of reviews, from JSON lines or Parquet. ``partition`` declares the folders' column."""
     schema = "omsid long, num_reviews long, reviews array<struct<Id: string, ReviewText: string>>"
-    return spark.read.schema(schema).format(kind).load(path)
+    return spark.read.schema(f"{schema}, {partition}" if partition else schema).format(kind).load(path)
 
 
 def latest_run_dir(df: DataFrame, run_col: str = "run_date") -> DataFrame:
     """Rows of the newest run. On a table partitioned by ``run_col`` only that folder is read."""
-    newest = df.agg(F.max(run_col).alias("_newest"))
-    return df.join(F.broadcast(newest), F.col(run_col) == F.col("_newest"), "left_semi")
+    return df.where(F.col(run_col) == df.agg(F.max(run_col)).scalar())
 
 
 def output_run_name(run_dir: str) -> str:

@@ -112,9 +112,14 @@ def test_steps_run_in_order_and_replace_their_target(spark, tmp_path):
         fill("{OTHER}", {})
 
 
-def test_latest_run_dir(spark):
+def test_latest_run_dir(spark, tmp_path):
     df = spark.sql("select * from values ('20240101', 1), ('20240301', 2), ('20240301', 3) t(run_date, n)")
     assert sorted(r.n for r in tables.latest_run_dir(df).collect()) == [2, 3]
+    df.write.partitionBy(*[c for c in df.columns if c != "n"]).parquet(f"{tmp_path}/runs")
+    pruned = tables.latest_run_dir(spark.read.parquet(f"{tmp_path}/runs"))
+    assert sorted(r.n for r in pruned.collect()) == [2, 3]
+    scan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in scan and "Subquery" in scan
     assert tables.output_run_name("20240301_food_extraction") == "20240301_food_extraction_processed"
 
 

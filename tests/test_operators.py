@@ -242,10 +242,27 @@ def test_kmeans_sweep_finds_separated_groups(spark):
     assert models[3].centers.shape == (3, 3) and sorted(models[3].members) == [40, 40, 40]
 
 
-def test_euclidean_silhouette_alike_for_any_block_size(tables):
+def test_euclidean_silhouette_by_sample(tables):
     df = tables.table("embeddings")
-    whole = clustering.cluster_silhouette(df, "euclidean").first()[0]
-    assert clustering.cluster_silhouette(df, "euclidean", block=90).first()[0] == pytest.approx(whole, abs=1e-9)
+    whole = clustering.silhouette_by_sample(df).first()
+    rows = df.collect()
+    x, at = np.array([r.embedding for r in rows], dtype=float), np.array([r.label for r in rows])
+    gaps, out = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), []
+    for i in range(len(x)):
+        a = gaps[i, at == at[i]].sum() / ((at == at[i]).sum() - 1)
+        b = min(gaps[i, at == j].mean() for j in set(at) - {at[i]})
+        out.append((b - a) / max(a, b))
+    assert whole.silhouette == pytest.approx(np.mean(out), abs=1e-9)
+    part = clustering.silhouette_by_sample(df, sample=20).first()
+    assert abs(part.silhouette - whole.silhouette) < 0.02 and part.error < 0.02
+
+
+def test_centroids_in_blocks(tables, monkeypatch):
+    df = tables.table("embeddings")
+    means = clustering.cluster_means(df)
+    whole = clustering.centroid_distance(df, means).select("vec_id", "cluster_id").collect()
+    monkeypatch.setattr(clustering, "CENTERS", 3)
+    assert sorted(clustering.centroid_distance(df, means).select("vec_id", "cluster_id").collect()) == sorted(whole)
 
 
 def test_one_hot_unseen_category_gives_zeros(spark):
