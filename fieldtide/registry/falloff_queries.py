@@ -42,11 +42,11 @@ def branch_table(t: Tables):
     return falloff.branch_falloff(rolled, scorecard(t))
 
 
-STATUS_SQL = """case when j.ldcandate is not null then 'Canceled'
- when ic.fscl_wk_nbr <> pc.fscl_wk_nbr then 'Rescheduled'
- when ic.fscl_wk_nbr = pc.fscl_wk_nbr and j.ldfupdate is null then 'Aged'
- when ic.fscl_wk_nbr is null then 'Unscheduled'
- when ic.fscl_wk_nbr = pc.fscl_wk_nbr then 'Installed' else 'Error' end"""
+# A scheduled lead (plan), the week it was planned for (was), and the week of its new date (due).
+STATUS_SQL = """case when lead.ldcandate is not null then 'Canceled' when due.cal_dt is null or due.fscl_wk_nbr is null then 'Unscheduled'
+ when due.fscl_wk_nbr <> was.fscl_wk_nbr then 'Rescheduled' when lead.ldfupdate is null then 'Aged' else 'Installed' end"""
+SCHEDULED = """fx_bow plan left join fx_leads lead on plan.ldlead = lead.ldlead join fx_cal was on was.cal_dt = plan.ldjobenddate {extra}
+ left join fx_cal due on due.cal_dt = coalesce(lead.ldjobenddate, lead.ldfupdate)"""
 MEASURES_SQL = ", ".join(
     f"case when status = '{s}' then job_amt else 0 end job_amt_{s.lower()}, "
     f"cast(case when status = '{s}' then 1 else 0 end as bigint) job_count_{s.lower()}" for s in fixed.STATUSES
@@ -56,34 +56,27 @@ JOB_VIEWS = ["fx_bow", "fx_leads", "fx_cal", "fx_assign", "fx_users", "fx_salesm
 
 
 def jobs_sql(extra: str = "", status: str = STATUS_SQL) -> str:
+    slots = lambda table, kind: ", ".join(f"{table}.said[{i}] lms_job_{kind}_{i}" for i in (1, 2, 3))
     return f"""
-com as (select cmlead, max(case when n = 1 then c end) c1, max(case when n = 2 then c end) c2, max(case when n = 3 then c end) c3
- from (select cmlead, replace(cmcomment, '\\n', '') || ' - ' || substr(cast(cmdatetime as varchar), 1, 10) || ' - ' || first_nm || ' ' || last_nm c,
-        row_number() over (partition by cmlead order by cmkey desc) n
-       from fx_comments join fx_users on cmuser = user_no where cmlead in (select ldlead from fx_bow)) x group by cmlead),
-rea as (select lrlead, max(case when n = 1 then c end) r1, max(case when n = 2 then c end) r2, max(case when n = 3 then c end) r3
- from (select lrlead, rtrim(rmdesc) || ': ' || rtrim(srdesc) || ' - ' || substr(cast(lrdate as varchar), 1, 10) || ' - ' || first_nm || ' ' || last_nm c,
-        row_number() over (partition by lrlead order by lrkey desc) n
-       from fx_reasons join (select min(lrkey) mk from fx_reasons group by lrlead, lrreason, lrsubreason) m on mk = lrkey
-       left join fx_reason_names on lrreason = rmreason
-       left join fx_subreason_names on lrsubreason = srsubreason and srreason = lrreason
-       left join fx_users on lruser = user_no
-       where cast(lrlead as bigint) in (select ldlead from fx_bow)) x group by lrlead),
-base as (select date '{AS_OF_ORDERS}' data_refresh_date, pc.fscl_yr_wk_key, j.ldlead job,
-  lpad(cast(j.ldlocation2 as varchar), 4, '0') str_nbr, j.ldsalesamt job_amt, {status} status,
-  isc.first_nm || ' ' || isc.last_nm isc_name, ism.first_nm || ' ' || ism.last_nm ism_name,
-  sm_last_nm || ' ' || sm_first_nm sc_name,
-  j.ldjobenddate new_scheduled_job_end_date, b.ldjobenddate orig_scheduled_job_end_date, j.ldfupdate fup_date,
-  date_diff('day', j.ldadate, coalesce(j.ldjobenddate, j.ldfupdate, date '{AS_OF_ORDERS}' - 1)) job_age_days,
-  c1 lms_job_comment_1, c2 lms_job_comment_2, c3 lms_job_comment_3,
-  r1 lms_job_reason_1, r2 lms_job_reason_2, r3 lms_job_reason_3
- from fx_bow b left join fx_leads j on b.ldlead = j.ldlead
- join fx_cal pc on pc.cal_dt = b.ldjobenddate {extra}
- left join fx_cal ic on ic.cal_dt = coalesce(j.ldjobenddate, j.ldfupdate)
- left join fx_assign im on im.ja_position = 'IM' and cast(im.ja_lead as bigint) = j.ldlead left join fx_users ism on im.ja_user = ism.user_no
- left join fx_assign op on op.ja_position = 'PC' and cast(op.ja_lead as bigint) = j.ldlead left join fx_users isc on op.ja_user = isc.user_no
- left join fx_salesmen on j.ldsales1 = cast(sm_no as bigint)
- left join com on cmlead = j.ldlead left join rea on cast(lrlead as bigint) = j.ldlead),
+people as (select user_no, first_nm || ' ' || last_nm who from fx_users),
+staffed as (select ja_lead::bigint lead_no, ja_position duty, who from fx_assign left join people on user_no = ja_user),
+sellers as (select sm_no::bigint seller, concat_ws(' ', sm_last_nm, sm_first_nm) who from fx_salesmen),
+remarks as (select cmlead lead_no, list(array_to_string([replace(cmcomment, '\\n', ''), cmdatetime::date::varchar, who], ' - ') order by cmkey desc) said
+ from fx_comments join people on user_no = cmuser semi join fx_bow on ldlead = cmlead group by 1),
+causes as (select distinct on (lrlead, lrreason, lrsubreason) * from fx_reasons order by lrkey),
+grounds as (select lrlead::bigint lead_no, list(rtrim(rmdesc) || ': ' || rtrim(srdesc) || ' - ' || lrdate::varchar || ' - ' || who order by lrkey desc) said
+ from causes left join fx_reason_names on rmreason = lrreason left join fx_subreason_names on srreason = lrreason and srsubreason = lrsubreason
+ left join people on user_no = lruser semi join fx_bow on ldlead = lrlead::bigint group by 1),
+base as (select date '{AS_OF_ORDERS}' data_refresh_date, was.fscl_yr_wk_key, lead.ldlead job, format('{{:04d}}', lead.ldlocation2) str_nbr,
+  lead.ldsalesamt job_amt, {status} status, coordinator.who isc_name, manager.who ism_name, sellers.who sc_name,
+  lead.ldjobenddate new_scheduled_job_end_date, plan.ldjobenddate orig_scheduled_job_end_date, lead.ldfupdate fup_date,
+  (coalesce(lead.ldjobenddate, lead.ldfupdate, date '{AS_OF_ORDERS}' - 1) - lead.ldadate)::bigint job_age_days,
+  {slots('remarks', 'comment')}, {slots('grounds', 'reason')}
+ from {SCHEDULED.format(extra=extra)}
+ left join staffed manager on manager.lead_no = lead.ldlead and manager.duty = 'IM'
+ left join staffed coordinator on coordinator.lead_no = lead.ldlead and coordinator.duty = 'PC'
+ left join sellers on seller = lead.ldsales1
+ left join remarks on remarks.lead_no = lead.ldlead left join grounds on grounds.lead_no = lead.ldlead),
 jobs as (select *, {MEASURES_SQL} from base)
 """
 
@@ -105,15 +98,14 @@ def prev_week(t):
 
 
 @query("job_level_previous_week",
-       jobs_sql("and pc.wk_begin = (select prev_wk_begin from fx_cal where cal_dt = date '1998-03-10')",
+       jobs_sql("and was.wk_begin = (select prev_wk_begin from fx_cal where cal_dt = date '1998-03-10')",
                 STATUS_SQL.replace("fscl_wk_nbr", "fscl_yr_wk_key")) + "---select * from jobs",
        views=JOB_VIEWS, texts=JOB_DATES, digits=JOB_AMOUNTS)
 def job_level_week(t):
     return jobs(t, previous_week_only=True, compare="year_week")
 
 
-STATUS_FROM = """from fx_bow b left join fx_leads j on b.ldlead = j.ldlead join fx_cal pc on pc.cal_dt = b.ldjobenddate
- left join fx_cal ic on ic.cal_dt = coalesce(j.ldjobenddate, j.ldfupdate)"""
+STATUS_FROM = "from " + SCHEDULED.format(extra="")
 
 
 def _status_rows(t):
@@ -126,12 +118,12 @@ def _status_rows(t):
     return rows.select("ldlead", "ldsalesamt", status.alias("status"))
 
 
-@query("job_status", f"select b.ldlead, {STATUS_SQL} status {STATUS_FROM}", views=["fx_bow", "fx_leads", "fx_cal"])
+@query("job_status", f"select plan.ldlead, {STATUS_SQL} status {STATUS_FROM}", views=["fx_bow", "fx_leads", "fx_cal"])
 def status(t):
     return _status_rows(t).select("ldlead", "status")
 
 
-@query("status_measures", f"""base as (select b.ldlead, j.ldsalesamt job_amt, {STATUS_SQL} status {STATUS_FROM})
+@query("status_measures", f"""base as (select plan.ldlead, lead.ldsalesamt job_amt, {STATUS_SQL} status {STATUS_FROM})
 ---select ldlead, status, {MEASURES_SQL} from base""", views=["fx_bow", "fx_leads", "fx_cal"])
 def measures(t):
     return _status_rows(t).select("ldlead", "status", *rules.status_measures(F.col("status"), F.col("ldsalesamt")))
