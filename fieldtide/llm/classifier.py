@@ -16,7 +16,7 @@ FILTERS = 16
 HIDDEN = 16
 HALF = 256           # chunks are 2 * HALF bytes and start every HALF bytes
 SAMPLE_ROWS = 1500   # bound on the labelled rows of each class that the network is fitted on
-SAMPLE_CHUNKS = 12   # bound on the chunks of a training text, spread over the whole of it
+AT_ONCE = 512        # chunks whose responses are held at a time in training
 EPOCHS = 14
 BLOCK = 16384        # bytes convolved at once
 
@@ -68,15 +68,14 @@ class ByteCNN:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def chunks_of(text: str | None, most: int) -> list[np.ndarray]:
-    """Padded symbols of at most ``most`` chunks, spread evenly over the text."""
+def chunks_of(text: str | None) -> list[np.ndarray]:
+    """Padded symbols of all chunks of a text."""
     raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8).astype(np.int16)
     padded = np.concatenate([np.full(WIDTH, PAD, np.int16), raw, np.full(WIDTH, PAD, np.int16)])
     n = len(raw) + WIDTH
     count = max(1, -(-n // HALF) - 1)
-    starts = np.unique(np.linspace(0, count - 1, min(count, most)).astype(int)) * HALF
     out = []
-    for s in starts:
+    for s in np.arange(count) * HALF:
         part = padded[s:s + 2 * HALF + WIDTH]
         out.append(np.concatenate([part, np.full(2 * HALF + WIDTH - len(part), PAD, np.int16)]))
     return out
@@ -106,12 +105,15 @@ def fit(chunks: np.ndarray, doc: np.ndarray, label: np.ndarray, prior: float, se
             docs = order[at:at + batch]
             rows = np.concatenate([np.arange(starts[d], ends[d]) for d in docs])
             cut = np.cumsum([0] + [ends[d] - starts[d] for d in docs])
-            x = chunks[rows]
-            response = p["table"][0][x[:, :span]]
-            for j in range(1, WIDTH):
-                response += p["table"][j][x[:, j:j + span]]
-            where = response.argmax(1)                                   # rows x filters
-            h = np.maximum(np.take_along_axis(response, where[:, None], 1)[:, 0] + p["bias"], 0)
+            where, top = np.empty((len(rows), FILTERS), np.int64), np.empty((len(rows), FILTERS), np.float32)
+            for lo in range(0, len(rows), AT_ONCE):
+                x = chunks[rows[lo:lo + AT_ONCE]]
+                response = p["table"][0][x[:, :span]]
+                for j in range(1, WIDTH):
+                    response += p["table"][j][x[:, j:j + span]]
+                where[lo:lo + AT_ONCE] = response.argmax(1)              # rows x filters
+                top[lo:lo + AT_ONCE] = np.take_along_axis(response, where[lo:lo + AT_ONCE][:, None], 1)[:, 0]
+            h = np.maximum(top + p["bias"], 0)
             feats, tops, lows = [], [], []
             for a, b in zip(cut[:-1], cut[1:]):
                 part = h[a:b]
@@ -135,9 +137,8 @@ def fit(chunks: np.ndarray, doc: np.ndarray, label: np.ndarray, prior: float, se
             dh = dh * (h > 0)
             g["bias"] = dh.sum(0)
             g["table"] = np.zeros_like(p["table"])
-            line = np.arange(len(x))[:, None]
             for j in range(WIDTH):
-                cell = x[line, where + j].astype(np.int64) * FILTERS + cols
+                cell = chunks[rows[:, None], where + j].astype(np.int64) * FILTERS + cols
                 g["table"][j] = np.bincount(cell.ravel(), dh.ravel(), 257 * FILTERS).reshape(257, FILTERS)
             step += 1
             for k in p:
@@ -154,9 +155,10 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-          rows: int = SAMPLE_ROWS, chunks: int = SAMPLE_CHUNKS, seed: int = 5) -> ByteCNN | None:
+          rows: int = SAMPLE_ROWS, seed: int = 5) -> ByteCNN | None:
     """Fit on a bounded sample of the labelled rows that are not held out: at most ``rows`` of each label, the first by a
-    hash of the key, of each at most ``chunks`` chunks. Rows whose labels contradict are left out. None without both labels."""
+    hash of the key, with all chunks of their texts. Of texts that share a key one is taken, by hash. Rows whose labels
+    contradict are left out. None without both labels."""
     known = labels.where(F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).alias("y"), F.max(label).alias("_max"))
     known = known.where((F.col("y") == F.col("_max")) & F.col(key).isNotNull() & ~held_out(key)).drop("_max")
     share = known.agg(F.avg(F.col("y").cast("double"))).first()[0]
@@ -167,12 +169,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "y": batch["y"], "parts": [np.concatenate(chunks_of(t, chunks)).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"id": batch["id"], "y": batch["y"], "parts": [np.concatenate(chunks_of(t)).tobytes() for t in batch["text"]]})
 
     # At most 2 * rows ids, so they may be broadcast.
     wanted = docs.join(F.broadcast(picked), key).select(F.col(key).alias("id"), "y", F.col(text).alias("text"))
-    got = wanted.mapInPandas(cut, "id long, y int, parts binary").toPandas()
-    got = got.drop_duplicates("id").sort_values("id", ignore_index=True)
+    wanted = wanted.groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    got = wanted.mapInPandas(cut, "id long, y int, parts binary").toPandas().sort_values("id", ignore_index=True)
     if got["y"].nunique() < 2:
         return None
     span = 2 * HALF + WIDTH

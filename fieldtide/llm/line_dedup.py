@@ -72,8 +72,9 @@ def recurring_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, min
     leaves = forms.groupBy("leaf").agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("forms"), F.max("size").alias("size"))
     many = stored(leaves.where((F.col("forms") > 1) & (F.col("lines") >= _least(F.col("size"), min_docs))).select("leaf", "forms"), "template-leaves")
     # Merge joins at every size: the tables grow with the documents.
-    said = lines.select("leaf", "form", "plain", _part("form").alias("part")).join(_spread(many.select("leaf")).hint("merge"), ["leaf", "part"], "left_semi")
-    said = stored(said.groupBy("leaf", "part", "form").agg(F.any_value("plain").alias("plain")), "template-words")
+    said = lines.select("leaf", "form", "plain", _part("doc").alias("part")).join(_spread(many.select("leaf")).hint("merge"), ["leaf", "part"], "left_semi")
+    said = said.groupBy("leaf", "form").agg(F.any_value("plain").alias("plain")).withColumn("part", _part("form"))
+    said = stored(said, "template-words")
     places = said.select("leaf", F.posexplode(F.split("plain", " ")).alias("place", "token"))
     counts = places.groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("c"))
     top = counts.groupBy("leaf", "place").agg(F.max(F.struct("c", "token")).alias("top"))

@@ -154,17 +154,41 @@ def _inflate(window: _Window) -> tuple[bytes | None, int]:
         return None, 0
 
 
-def _parse(content: bytes) -> dict:
+def _fields(head: bytes) -> dict[str, str]:
+    """Header lines by their name in small letters; white space around the colon is free, folded lines go on."""
+    out: dict[str, str] = {}
+    name = ""
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and name:
+            out[name] += " " + line.strip()
+        elif ":" in line:
+            name, value = (x.strip() for x in line.split(":", 1))
+            name = name.lower()
+            out[name] = value
+    return out
+
+
+def _parse(content: bytes) -> dict | None:
+    """One record; None where its length or id is missing or wrong. Blocks without an HTTP header are all payload."""
     head, _, block = content.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode("utf-8").split("\r\n")[1:])
-    block = block[:int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    length = re.search(rb"(?im)^content-length: (\d+)", http)
-    digest = fields.get("WARC-Payload-Digest", "")
+    fields = _fields(head)
+    size = fields.get("content-length", "")
+    if not (size.isascii() and size.isdigit()) or not fields.get("warc-record-id") or not fields.get("warc-type"):
+        return None
+    block = block[:int(size)]
+    http, gap, payload = block.partition(b"\r\n\r\n")
+    if not gap or not re.match(rb"HTTP/|[A-Z]+ [^\r\n]+ HTTP/", http):
+        http, payload = b"", block
+    length = re.search(rb"(?im)^content-length:[ \t]*([0-9]+)", http)
+    digest = fields.get("warc-payload-digest", "")
+    try:
+        declared = base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None
+    except ValueError:
+        declared = None
     return {
-        "record_id": fields["WARC-Record-ID"], "record_type": fields["WARC-Type"], "target_uri": fields.get("WARC-Target-URI"),
-        "refers_to": fields.get("WARC-Refers-To"), "declared_bytes": int(length[1]) if length else len(payload),
-        "declared_digest": base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None, "payload": payload,
+        "record_id": fields["warc-record-id"], "record_type": fields["warc-type"], "target_uri": fields.get("warc-target-uri"),
+        "refers_to": fields.get("warc-refers-to"), "declared_bytes": int(length[1]) if length else len(payload),
+        "declared_digest": declared, "payload": payload,
     }
 
 
@@ -177,7 +201,8 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
 
     Archives are cut into byte ranges of ``split_bytes``; a task owns the records that start in its range, so one
     huge archive is read by many tasks and no index is needed. Revisits have an empty payload; declared_bytes and
-    declared_digest describe the full payload. Damaged members are passed over.
+    declared_digest describe the full payload. Damaged members and records without an id, a type or a length are
+    passed over.
     """
     ranges = files.select("path", F.explode(F.sequence(F.lit(0), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes))).alias("start"))
     # The list of ranges is small, so adaptive execution would put them all into one task; a given number of tasks is kept.
@@ -192,8 +217,10 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
                 held, size = [], 0
                 with system.open_input_file(at) as file:
                     for offset, content in _members(file, start, start + split_bytes):
-                        held.append({"path": path, "offset": offset, **_parse(content)})
-                        size += len(content)
+                        record = _parse(content)
+                        if record is not None:
+                            held.append({"path": path, "offset": offset, **record})
+                            size += len(content)
                         if size > 8 * CHUNK:
                             yield pd.DataFrame(held, columns=names)
                             held, size = [], 0

@@ -390,3 +390,14 @@ def test_stages_take_odd_rows(spark, name, stage):
     elif name == "mixing":
         assert all(n <= 3 * before[row] for row, n in after.items())
     assert stage(spark, docs.where("false"), FOLDER).count() == 0
+
+
+def test_warc_headers_of_other_writers():
+    """No space after the colon, other case, folded lines, other record types; broken ones are passed over."""
+    record = lambda *lines, block=b"": ("\r\n".join(["WARC/1.0", *lines, f"Content-Length:{len(block)}"]) + "\r\n\r\n").encode("latin-1") + block
+    info = warc._parse(record("WARC-Record-ID:<urn:a>", "warc-type:\twarcinfo", "WARC-Target-URI: http://x/\u00e9", block=b"software: y\r\n\r\nmore"))
+    assert (info["record_id"], info["record_type"], info["payload"], info["declared_bytes"]) == ("<urn:a>", "warcinfo", b"software: y\r\n\r\nmore", 19)
+    page = warc._parse(record("WARC-Record-ID: <urn:b>", "WARC-Type: response", "WARC-Payload-Digest: sha1:???", block=b"HTTP/1.1 200 OK\r\ncontent-length:4\r\n\r\nbody"))
+    assert (page["payload"], page["declared_bytes"], page["declared_digest"]) == (b"body", 4, None)
+    assert warc._parse(record("WARC-Type: response")) is None
+    assert warc._parse(b"WARC/1.0\r\nWARC-Record-ID: <a>\r\nWARC-Type: response\r\n\r\nx") is None
