@@ -163,13 +163,15 @@ def test_explode_reviews_last_entry_wins(spark):
     assert got == [(1, "a", "new")]
 
 
-def test_lemma_table(spark):
+def test_lemma_table(spark, monkeypatch):
     texts = spark.createDataFrame([(1, "two geese  fly"), (2, ""), (3, None), (4, "hounds ran\u00a0away hounds"), (None, "geese")], "id int, t string")
     lemmas = spark.createDataFrame([("geese", "goose"), ("fly", "fly"), ("hounds", "hound"), ("hounds", "dog"), ("two", None), (None, "x")],
                                    "form string, lemma string")
     got = tt.lemmatize(texts, "t", lemmas, key="id")
     assert {r.id: r.lemmatized for r in got.collect()} == {
         1: "two goose fly", 2: "", 3: None, 4: "dog ran\u00a0away dog", None: "goose"}
+    assert sorted(str(r.lemmatized) for r in tt.lemmatize(texts, "t", lemmas).collect()) == sorted(str(r.lemmatized) for r in got.collect())
+    monkeypatch.setattr(tt, "SMALL_TABLE", 0)
     with pytest.raises(ValueError):
         tt.lemmatize(texts, "t", lemmas)
 
