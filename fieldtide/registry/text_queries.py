@@ -152,19 +152,15 @@ def sentences_sql(text: str, listed: str) -> str:
 LISTED = "'" + "|".join(a.replace(".", "\\.") for a in fixed.ABBREVIATIONS) + "'"
 
 
-class _Sentences:
-    def format(self, text: str) -> str:
-        return sentences_sql(text, LISTED)
-
-
-SENTENCES = _Sentences()
+def split_sql(text: str) -> str:
+    return sentences_sql(text, LISTED)
 
 
 def _listed(rows):
     return rows.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.array_join("s", "|").alias("sentences"))
 
 
-@query("split_sentences", f"select doc_id, len(s) n_sentences, array_to_string(s, '|') sentences from (select doc_id, {SENTENCES.format('text')} s from documents) x")
+@query("split_sentences", f"select doc_id, len(s) n_sentences, array_to_string(s, '|') sentences from (select doc_id, {split_sql('text')} s from documents) x")
 def sentences(t):
     return _listed(t.table("documents").select("doc_id", tx.split_sentences(F.col("text")).alias("s")))
 
@@ -219,7 +215,7 @@ def sides(t: Tables):
 
 
 REVIEWS_SQL = f"""r as (select conv_id omsid, cast(turn % 4 as varchar) review_id, arg_max(text, turn) t from conversations where turn % 7 <> 3 group by 1, 2),
-s as (select omsid, review_id, {clean_sql('t')} cleaned, {SENTENCES.format(clean_sql('t'))} q, {SENTENCES.format('t')} raw from r)"""
+s as (select omsid, review_id, {clean_sql('t')} cleaned, {split_sql(clean_sql('t'))} q, {split_sql('t')} raw from r)"""
 # A run of as many words as the clean sentence has, or a shorter raw sentence as a whole.
 RUNS_SQL = REVIEWS_SQL + f""",
 queries as (select omsid, review_id, raw, unnest(range(1, len(q) + 1)) qi, unnest(q) query from s),
@@ -243,7 +239,7 @@ def match_by_ratio(t):
 
 
 MATCH_SQL = f"""r as (select conv_id omsid, cast(turn % 4 as varchar) review_id, arg_max(text, turn) t from conversations where turn % 7 <> 3 group by 1, 2),
-s as (select omsid, review_id, {SENTENCES.format(clean_sql('t'))} q, {SENTENCES.format('t')} raw from r),
+s as (select omsid, review_id, {split_sql(clean_sql('t'))} q, {split_sql('t')} raw from r),
 pairs as (select omsid, review_id, qi, raw[si] sentence, levenshtein(q[qi], {printable_sql('raw[si]')}) edits, si
  from (select *, unnest(range(1, len(raw) + 1)) si from (select *, unnest(range(1, len(q) + 1)) qi from s) a) b),
 best as (select omsid, review_id, qi, arg_min(sentence, edits * 1000000 + si) sentence from pairs group by 1, 2, 3)
