@@ -6,11 +6,12 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldtide.operators import ordered
+from fieldtide.session import stored
 
 MOST = 10_000  # categories of one column that may become columns
 
@@ -57,13 +58,46 @@ def one_hot(train: DataFrame, cols: Sequence[str]) -> OneHot:
     return OneHot(found)
 
 
-def one_hot_vector(cols: Sequence[str]) -> Pipeline:
-    """The same coding as sparse vectors ``<col>_vec``, for any number of categories."""
-    index = StringIndexer(
-        inputCols=list(cols), outputCols=[f"{c}_idx" for c in cols],
-        stringOrderType="alphabetAsc", handleInvalid="keep",
-    )
-    encode = OneHotEncoder(
-        inputCols=index.getOutputCols(), outputCols=[f"{c}_vec" for c in cols], dropLast=True
-    )
-    return Pipeline(stages=[index, encode])
+@dataclass(frozen=True)
+class OneHotVectors:
+    """(value, place) per column, stored, and how many values there are; the places are in alphabetical order from 0."""
+
+    places: dict[str, DataFrame]
+    sizes: dict[str, int]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``<col>_idx`` and the sparse vector ``<col>_vec``; an unseen category or NULL gives zeros only.
+
+        The categories are joined to the rows, so no task holds all of them.
+        """
+        for column, listed in self.places.items():
+            known = listed.select(F.col("value").alias("_value"), F.col("place").alias("_place"))
+            rows = df.join(known, F.col(column).cast("string") == F.col("_value"), "left")
+            place = F.coalesce("_place", F.lit(self.sizes[column])).cast("double")
+            df = self._encoder(column).transform(rows.withColumn(f"{column}_idx", place).drop("_value", "_place"))
+        return df
+
+    def _encoder(self, column: str) -> OneHotEncoderModel:
+        # The size of the vectors follows from one row with the last place, which has no slot of its own.
+        last = self.places[column].sparkSession.range(1).select(F.lit(float(self.sizes[column])).alias(f"{column}_idx"))
+        return OneHotEncoder(inputCols=[f"{column}_idx"], outputCols=[f"{column}_vec"], dropLast=True).fit(last)
+
+
+@dataclass(frozen=True)
+class OneHotVectorFit:
+    cols: Sequence[str]
+
+    def fit(self, train: DataFrame) -> OneHotVectors:
+        """Learn the categories of the columns; they are numbered and stored when this is called."""
+        places, sizes = {}, {}
+        for column in self.cols:
+            values = train.select(F.col(column).cast("string").alias("value")).where("value is not null").distinct()
+            numbers = ordered.numbered(values, [], [F.col("value")], number="_n")
+            places[column] = stored(numbers.select("value", (F.col("_n") - 1).alias("place")), "one-hot-places")
+            sizes[column] = places[column].count()
+        return OneHotVectors(places, sizes)
+
+
+def one_hot_vector(cols: Sequence[str]) -> OneHotVectorFit:
+    """The same coding as sparse vectors ``<col>_vec``, for any number of categories: ``.fit(train).transform(other)``."""
+    return OneHotVectorFit(tuple(cols))

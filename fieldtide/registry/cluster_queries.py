@@ -185,6 +185,7 @@ def one_hot_vectors(t):
     """Fitted on two thirds of the customers, which are far too many for columns; the others are all zeros."""
     rows = t.table("orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
     model = features.one_hot_vector(["customer"]).fit(rows.where(F.col("customer").cast("long") % 3 != 0))
-    coded = model.transform(rows).select("o_orderkey", vector_to_array("customer_vec").alias("v"))
-    place = F.array_position("v", F.lit(1.0)) - 1
-    return coded.select("o_orderkey", F.when(place >= 0, place).alias("place"), F.aggregate("v", F.lit(0.0), lambda s, x: s + x).alias("filled"))
+    # The vectors are as long as there are customers: only their filled places are read.
+    coded = model.transform(rows).select("o_orderkey", F.unwrap_udt("customer_vec").alias("v"))
+    filled = F.aggregate("v.values", F.lit(0.0), lambda s, x: s + x)
+    return coded.select("o_orderkey", F.get("v.indices", F.lit(0)).cast("long").alias("place"), filled.alias("filled"))

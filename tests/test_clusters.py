@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from fieldtide.operators import clustering, kmeans
+from fieldtide.operators import clustering, features, kmeans
 from fieldtide.operators.latent import latent_axes
 from fieldtide.plans.clusters import reason_clusters
 
@@ -123,3 +123,25 @@ def test_reason_clusters_lists_nearest_texts(spark, texts, latent):
         assert [m.member_no for m in members] == list(range(1, len(members) + 1)) and len(members) <= 3
         gaps = [m.center_dist for m in members]
         assert gaps == sorted(gaps) and not any(math.isnan(g) for g in gaps)
+
+
+def test_one_hot_vectors_of_many_categories(spark):
+    train = spark.range(40_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"))
+    rows = spark.range(60_000).select("id", F.when(F.col("id") != 7, F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"))
+    coded = features.one_hot_vector(["k"]).fit(train).transform(rows)
+    # No task holds the categories or a dense vector: the lookup is a join.
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan
+    vector = F.unwrap_udt("k_vec")
+    got = {r.id: tuple(r)[1:] for r in coded.select("id", vector["indices"], vector["values"], vector["size"], "k_idx").collect()}
+    order = {k: i for i, k in enumerate(sorted(f"k{i}" for i in range(40_000)))}
+    assert len(got) == 60_000 and all(v[2] == 40_000 for v in got.values())
+    for i, (indices, values, _, place) in got.items():
+        known = i != 7 and i < 40_000
+        assert (indices, values, place) == (([order[f"k{i}"]], [1.0], order[f"k{i}"]) if known else ([], [], 40_000))
+
+
+def test_one_hot_vectors_without_categories(spark):
+    train = spark.createDataFrame([(None,)], "k string")
+    row = features.one_hot_vector(["k"]).fit(train).transform(spark.createDataFrame([("a",)], "k string")).first()
+    assert row.k_vec.toArray().tolist() == []
