@@ -1,12 +1,14 @@
 """Many k-means models in one scan per step.
 
-The points are packed once into blocks of rows. Each step reads all blocks once for all models that still move: the
-distances to the centers of every model are one matrix product, and so are the sums of the points of every center. A task
-hands on one row per model; Spark adds these up, so what reaches the driver is the size of the models, whatever the data.
+Equal points become one with a weight, and the points are packed once into blocks of rows, dealt evenly to the cores. Each
+step reads all blocks once for all models that still move: the distances to the centers of every model are one matrix
+product, and so are the sums of the points of every center. A task hands on one row per model; Spark adds these up, so what
+reaches the driver is the size of the models, whatever the data.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from fieldtide.session import stored
 
 BLOCK = 2048  # points in a block
+PART = 32 << 20  # bytes of the points that a task reads at most, where there are more tasks than cores
 LARGEST_MODELS = 256 << 20  # bytes of all centers together; they travel with every task
 
 
@@ -36,16 +39,32 @@ class Model:
     steps: int
 
 
-def packed(points: DataFrame, vec: str) -> DataFrame:
-    """(n, block): blocks of up to ``BLOCK`` vectors as the bytes of a matrix of doubles; rows without a vector are left out."""
+def weighted(points: DataFrame, vec: str) -> DataFrame:
+    """(_x, _w): the different vectors and how many points have them; rows without a vector are left out."""
+    return points.where(F.col(vec).isNotNull()).groupBy(F.col(vec).alias("_x")).agg(F.count(F.lit(1)).cast("double").alias("_w"))
+
+
+def packed(points: DataFrame) -> DataFrame:
+    """(n, block): blocks of up to ``BLOCK`` weighted vectors as the bytes of a matrix of doubles; the weight comes last."""
 
     def pack(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), BLOCK):
-                rows = np.stack(batch[vec].iloc[at:at + BLOCK].to_list()).astype(np.float64)
+                rows = np.column_stack([np.stack(batch["_x"].iloc[at:at + BLOCK].to_list()).astype(np.float64), batch["_w"].iloc[at:at + BLOCK]])
                 yield pd.DataFrame({"n": [len(rows)], "block": [rows.tobytes()]})
 
-    return points.where(F.col(vec).isNotNull()).select(vec).mapInPandas(pack, "n long, block binary")
+    return points.select("_x", "_w").mapInPandas(pack, "n long, block binary")
+
+
+def stored_blocks(points: DataFrame, vec: str) -> DataFrame:
+    """The packed points, stored, in as many even parts as there are cores or more."""
+    rows = stored(weighted(points, vec), "kmeans-weighted")
+    size = rows.agg(F.count(F.lit(1)), F.max(F.size("_x"))).first()
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    parts = max(cores, math.ceil(size[0] * ((size[1] or 0) + 1) * 8 / PART))
+    # Small inputs stay in few parts: a block is the least that is worth a task.
+    parts = min(parts, max(1, math.ceil(size[0] / 256)))
+    return stored(packed(rows.repartition(parts)), "kmeans-points")
 
 
 def start_points(points: DataFrame, id_col: str, vec: str, restarts: int, most: int) -> dict[int, np.ndarray]:
@@ -64,49 +83,68 @@ def start_points(points: DataFrame, id_col: str, vec: str, restarts: int, most:
     return {s: np.asarray(x, dtype=np.float64) for s, x in found.items()}
 
 
-def _nearest(x: np.ndarray, centers: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first center, nearest center of the model per point, squared distance) for each model; ties take the first."""
-    part = (centers * centers).sum(1)[None, :] - 2.0 * (x @ centers.T)
-    square = (x * x).sum(1)
+def _nearest(x: np.ndarray, centers: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(first center, nearest center of the model per point) for each model; ties take the first."""
+    part = 0.5 * (centers * centers).sum(1)[None, :] - x @ centers.T
     for lo, hi in zip(offsets[:-1], offsets[1:]):
-        at = part[:, lo:hi].argmin(1)
-        yield int(lo), at, np.maximum(part[np.arange(len(x)), lo + at] + square, 0.0)
+        yield int(lo), part[:, lo:hi].argmin(1)
 
 
-def _summed(blocks: DataFrame, models: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sum of points, number, squared distances and squared lengths per center, over the centers of all models."""
+def _own(x: np.ndarray, centers: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(centers x points) 1 where the center is the nearest of its model, the first of several; and per model half the
+    squared distances less half the squared lengths."""
+    part = centers @ x.T
+    np.subtract((0.5 * (centers * centers).sum(1))[:, None], part, out=part)
+    near = np.empty(part.shape, dtype=bool)
+    least = []
+    for lo, hi in zip(offsets[:-1], offsets[1:]):
+        least.append(part[lo:hi].min(0))
+        np.equal(part[lo:hi], least[-1], out=near[lo:hi])
+        if np.count_nonzero(near[lo:hi]) != len(x):
+            first = near[lo:hi].argmax(0)
+            near[lo:hi] = False
+            near[lo + first, np.arange(len(x))] = True
+    np.copyto(part, near)
+    return part, least
+
+
+def _summed(blocks: DataFrame, models: Sequence[np.ndarray], measured: bool = False) -> tuple[np.ndarray, ...]:
+    """Sum of points and number per center, over the centers of all models; ``measured`` adds squared distances and
+    squared lengths."""
     centers = np.vstack(models)
     if centers.nbytes > LARGEST_MODELS:
         raise ValueError(f"{centers.nbytes} bytes of centers; at most {LARGEST_MODELS}: fit fewer models at a time")
     offsets, width = np.cumsum([0, *map(len, models)]), centers.shape[1]
+    wide = width + (3 if measured else 1)
     sent = blocks.sparkSession.sparkContext.broadcast((centers, offsets))
 
     def step(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at_all, cuts = sent.value
-        total = np.zeros((len(at_all), width + 3))
+        total = np.zeros((len(at_all), wide))
         for batch in batches:
             for n, raw in zip(batch["n"], batch["block"]):
-                x = np.frombuffer(raw, dtype=np.float64).reshape(n, width)
-                own = np.zeros((n, len(at_all)))
-                lengths = (x * x).sum(1)
-                for lo, at, gaps in _nearest(x, at_all, cuts):
-                    own[np.arange(n), lo + at] = 1.0
-                    size = int(cuts[np.searchsorted(cuts, lo, "right")]) - lo
-                    total[lo:lo + size, width + 1] += np.bincount(at, gaps, size)
-                    total[lo:lo + size, width + 2] += np.bincount(at, lengths, size)
-                total[:, :width] += own.T @ x
-                total[:, width] += own.sum(0)
+                rows = np.frombuffer(raw, dtype=np.float64).reshape(n, width + 1)
+                x, weight = np.ascontiguousarray(rows[:, :width]), rows[:, width]
+                own, least = _own(x, at_all, cuts)
+                times = rows * weight[:, None]
+                times[:, width] = weight
+                total[:, :width + 1] += own @ times
+                if measured:
+                    lengths = (x * x).sum(1)
+                    total[:, width + 2] += own @ (lengths * weight)
+                    for lo, hi, gaps in zip(cuts[:-1], cuts[1:], least):
+                        total[lo:hi, width + 1] += own[lo:hi] @ (np.maximum(2.0 * gaps + lengths, 0.0) * weight)
         if total[:, width].any():
             # One row per model: the rows of its centers, one after the other.
             yield pd.DataFrame({"model": np.arange(len(cuts) - 1), "total": [total[lo:hi].ravel() for lo, hi in zip(cuts[:-1], cuts[1:])]})
 
     partial = blocks.mapInPandas(step, "model long, total array<double>").withColumn("total", array_to_vector("total"))
     sums = partial.groupBy("model").agg(Summarizer.metrics("sum").summary(F.col("total")).alias("s"))
-    out = np.zeros((len(centers), width + 3))
+    out = np.zeros((len(centers), wide))
     for row in sums.select("model", vector_to_array("s.sum").alias("sum")).toPandas().itertuples():
-        out[offsets[row.model]:offsets[row.model + 1]] = np.asarray(row.sum).reshape(-1, width + 3)
+        out[offsets[row.model]:offsets[row.model + 1]] = np.asarray(row.sum).reshape(-1, wide)
     sent.unpersist()
-    return out[:, :width], out[:, width], out[:, width + 1], out[:, width + 2]
+    return out[:, :width], *out[:, width:].T
 
 
 def fit_all(blocks: DataFrame, starts: dict[int, np.ndarray], ks: Sequence[int], max_iter: int, tol: float) -> list[Model]:
@@ -120,7 +158,7 @@ def fit_all(blocks: DataFrame, starts: dict[int, np.ndarray], ks: Sequence[int],
     for _ in range(max_iter):
         if not moving:
             break
-        sums, members, _, _ = _summed(blocks, [centers[m] for m in moving])
+        sums, members = _summed(blocks, [centers[m] for m in moving])
         at, rest = 0, []
         for m in moving:
             size = len(centers[m])
@@ -134,7 +172,7 @@ def fit_all(blocks: DataFrame, starts: dict[int, np.ndarray], ks: Sequence[int],
     order = sorted(centers)
     if not order:
         return []
-    _, members, costs, _ = _summed(blocks, [centers[m] for m in order])
+    _, members, costs, _ = _summed(blocks, [centers[m] for m in order], measured=True)
     out, at = [], 0
     for k, s in order:
         size = len(centers[k, s])
@@ -157,7 +195,7 @@ def silhouettes(blocks: DataFrame, models: Sequence[Model]) -> list[float | None
     The mean distance of a point to a cluster follows from the cluster's sum, number and squared lengths.
     """
     fitted = [m.centers for m in models]
-    sums, members, _, lengths = _summed(blocks, fitted)
+    sums, members, _, lengths = _summed(blocks, fitted, measured=True)
     offsets, width = np.cumsum([0, *map(len, fitted)]), sums.shape[1]
     sent = blocks.sparkSession.sparkContext.broadcast((np.vstack(fitted), offsets, sums, members, lengths))
 
@@ -168,15 +206,16 @@ def silhouettes(blocks: DataFrame, models: Sequence[Model]) -> list[float | None
             mean = np.where(size > 0, squares / size, np.inf)
             for batch in batches:
                 for n, raw in zip(batch["n"], batch["block"]):
-                    x = np.frombuffer(raw, dtype=np.float64).reshape(n, width)
+                    rows = np.frombuffer(raw, dtype=np.float64).reshape(n, width + 1)
+                    x, weight = np.ascontiguousarray(rows[:, :width]), rows[:, width]
                     gaps = (x * x).sum(1)[:, None] + mean[None, :] - 2.0 * (x @ np.where(size[:, None] > 0, total / size[:, None], 0.0).T)
-                    for i, (lo, at, _) in enumerate(_nearest(x, at_all, cuts)):
+                    for i, (lo, at) in enumerate(_nearest(x, at_all, cuts)):
                         part, own = gaps[:, lo:cuts[i + 1]].copy(), size[lo + at]
                         a = part[np.arange(n), at] * own / (own - 1)
                         part[np.arange(n), at] = np.inf
                         b = part.min(1)
                         value = np.where(own > 1, (b - a) / np.maximum(a, b), 0.0)
-                        out[i] += np.where(np.isfinite(value), value, 0.0).sum()
+                        out[i] += np.where(np.isfinite(value), value, 0.0) @ weight
         yield pd.DataFrame({"model": np.arange(len(out)), "total": out})
 
     found = blocks.mapInPandas(measure, "model long, total double").groupBy("model").agg(F.sum("total").alias("total"))
@@ -206,7 +245,7 @@ def sweep(
     """(k, sse, silhouette, ch) per k, and the best model of each k."""
     points = df.select(F.col(id_col).alias("_id"), vec.alias("_vec"))
     starts = start_points(points, "_id", "_vec", restarts, max(ks))
-    blocks = stored(packed(points, "_vec"), "kmeans-points").persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = stored_blocks(points, "_vec").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         best = best_of(fit_all(blocks, starts, list(ks), max_iter, tol))
         models = [best[k] for k in sorted(best)]

@@ -145,3 +145,19 @@ def test_one_hot_vectors_without_categories(spark):
     train = spark.createDataFrame([(None,)], "k string")
     row = features.one_hot_vector(["k"]).fit(train).transform(spark.createDataFrame([("a",)], "k string")).first()
     assert row.k_vec.toArray().tolist() == []
+
+
+def test_equal_points_are_one_weighted_point(spark, points):
+    """Sums, silhouettes and members count every copy, but only different points are packed, evenly over the tasks."""
+    copies = np.repeat(points[:200], 20, axis=0)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(copies)], "vec_id int, embedding array<double>")
+    table, models = clustering.kmeans_sweep(df, [3, 4], restarts=2, vec="embedding")
+    for row in table.collect():
+        centers, at, sse = min((plain_lloyd(copies, row.k, range(len(copies)), s) for s in range(2)), key=lambda f: round(f[2], 6))
+        assert row.sse == pytest.approx(sse) and np.allclose(models[row.k].centers, centers)
+        assert models[row.k].members.sum() == len(copies) and row.silhouette == pytest.approx(clustering.cluster_silhouette(
+            clustering.assign_cluster_label(models[row.k], df, "embedding"), vec="embedding").first()[0])
+    assert kmeans.stored_blocks(df, "embedding").agg(F.sum("n")).first()[0] == 200
+    many = spark.range(20_000).select(F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v")).coalesce(1)
+    sizes = [r.n for r in kmeans.stored_blocks(many, "v").groupBy(F.spark_partition_id()).agg(F.sum("n").alias("n")).collect()]
+    assert sum(sizes) == 20_000 and len(sizes) >= 4 and max(sizes) < 6_000
