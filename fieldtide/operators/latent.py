@@ -1,6 +1,6 @@
 """Text vectors from the strongest axes of the weighted word counts (latent semantic analysis).
 
-The matrix A has one row per text and one column per word bucket; it stays distributed, as blocks of sparse rows. Block
+The matrix A has one row per text and one column per word bucket; it stays distributed, as one sparse row per text. Block
 power iteration needs only A'AQ for a thin matrix Q: every task adds up its own rows' part and Spark adds these, one row
 per bucket, so what the driver orthogonalises has the size of the axes, whatever the number of texts.
 """
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from fieldtide.functions import text as tx
 from fieldtide.session import stored
 
-BLOCK = 4096  # texts in a block
+ENTRIES = 1 << 16  # entries of A that a task multiplies at a time; a text has as many as buckets at most
 
 
 def bucket(word: Column, buckets: int) -> Column:
@@ -61,23 +61,29 @@ class Axes:
 def _pack(weights: np.ndarray):
     def pack(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for lo in range(0, len(batch), BLOCK):
-                rows, columns, values = [], [], []
-                for at in batch["found"].iloc[lo:lo + BLOCK]:
-                    used, n = np.unique(np.asarray(at, dtype=np.int64), return_counts=True)
-                    weighted = n * weights[used]
-                    length = np.sqrt(weighted @ weighted)
-                    if length > 0:
-                        rows.append(np.full(len(used), len(rows)))
-                        columns.append(used)
-                        values.append(weighted / length)
-                if rows:
-                    parts = (np.concatenate(rows).astype(np.int64), np.concatenate(columns).astype(np.int64), np.concatenate(values))
-                    yield pd.DataFrame({"n": [len(rows)], "rows": [parts[0].tobytes()], "columns": [parts[1].tobytes()], "found": [parts[2].tobytes()]})
+            columns, values = [], []
+            for at in batch["found"]:
+                used, n = np.unique(np.asarray(at, dtype=np.int32), return_counts=True)
+                weighted = n * weights[used]
+                length = np.sqrt(weighted @ weighted)
+                if length > 0:
+                    columns.append(used)
+                    values.append(weighted / length)
+            if columns:
+                yield pd.DataFrame({"columns": columns, "found": values})
 
     return pack
 
 
+def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, last + 1) of runs of texts with up to ``ENTRIES`` entries together, or of one text; ``ends`` starts with 0."""
+    lo = 0
+    while lo < len(ends) - 1:
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + ENTRIES, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
 def _summed_rows(keys: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     """Rows of ``values`` added up per key."""
     order = np.argsort(keys, kind="stable")
@@ -88,23 +94,26 @@ def _summed_rows(keys: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _gram_times(blocks: DataFrame, q: np.ndarray) -> np.ndarray:
+def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
     """A'A q."""
-    sent = blocks.sparkSession.sparkContext.broadcast(q)
+    sent = rows.sparkSession.sparkContext.broadcast(q)
 
-    def step(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = sent.value
         total = np.zeros_like(at)
         for batch in batches:
-            for n, rows, columns, found in zip(batch["n"], batch["rows"], batch["columns"], batch["found"]):
-                r, c, v = np.frombuffer(rows, np.int64), np.frombuffer(columns, np.int64), np.frombuffer(found)
-                y = _summed_rows(r, v[:, None] * at[c], n)
-                total += _summed_rows(c, v[:, None] * y[r], len(at))
+            columns, found = (batch.column(i) for i in (0, 1))
+            ends = np.concatenate([[0], np.cumsum(columns.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+            columns, found = (x.flatten().to_numpy(zero_copy_only=False) for x in (columns, found))
+            for lo, hi in _slices(ends):
+                c, v, starts = columns[ends[lo]:ends[hi]], found[ends[lo]:ends[hi]], ends[lo:hi] - ends[lo]
+                y = np.add.reduceat(v[:, None] * at[c], starts, axis=0)
+                total += _summed_rows(c, v[:, None] * np.repeat(y, np.diff(ends[lo:hi + 1]), axis=0), len(at))
         seen = np.flatnonzero(np.abs(total).sum(1))
         if len(seen):
-            yield pd.DataFrame({"bucket": seen, "total": list(total[seen])})
+            yield pa.RecordBatch.from_pandas(pd.DataFrame({"bucket": seen, "total": list(total[seen])}), preserve_index=False)
 
-    partial = blocks.mapInPandas(step, "bucket long, total array<double>").withColumn("total", array_to_vector("total"))
+    partial = rows.mapInArrow(step, "bucket long, total array<double>").withColumn("total", array_to_vector("total"))
     sums = partial.groupBy("bucket").agg(Summarizer.metrics("sum").summary(F.col("total")).alias("s"))
     out = np.zeros_like(q)
     for row in sums.select("bucket", vector_to_array("s.sum").alias("s")).toLocalIterator():
@@ -127,17 +136,14 @@ def latent_axes(df: DataFrame, text_col: str, rank: int = 64, buckets: int = 409
     for row in seen:
         used[row["bucket"]] = row["count"]
     weights = np.log((total + 1) / (used + 1))
-    packed = words.where(F.size("found") > 0).mapInPandas(_pack(weights), "n long, rows binary, columns binary, found binary")
-    blocks = stored(packed, "latent-rows").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        texts = blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        wide = min(2 * rank, buckets, max(int(texts), 1))
-        q, _ = np.linalg.qr(np.random.default_rng(0).standard_normal((buckets, wide)))
-        for _ in range(steps):
-            q, _ = np.linalg.qr(_gram_times(blocks, q))
-        small = q.T @ _gram_times(blocks, q)
-    finally:
-        blocks.unpersist()
+    packed = words.where(F.size("found") > 0).mapInPandas(_pack(weights), "columns array<int>, found array<double>")
+    rows = stored(packed, "latent-rows")
+    texts = rows.count()
+    wide = min(2 * rank, buckets, max(texts, 1))
+    q, _ = np.linalg.qr(np.random.default_rng(0).standard_normal((buckets, wide)))
+    for _ in range(steps):
+        q, _ = np.linalg.qr(_gram_times(rows, q))
+    small = q.T @ _gram_times(rows, q)
     values, turn = np.linalg.eigh((small + small.T) / 2)
     keep = np.argsort(-values)[:rank]
     keep = keep[values[keep] > 1e-9]

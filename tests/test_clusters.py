@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from fieldtide.operators import clustering, features, kmeans
+from fieldtide.operators import latent as latent_module
 from fieldtide.operators.latent import latent_axes
 from fieldtide.plans.clusters import reason_clusters
 
@@ -161,3 +162,13 @@ def test_equal_points_are_one_weighted_point(spark, points):
     many = spark.range(20_000).select(F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v")).coalesce(1)
     sizes = [r.n for r in kmeans.stored_blocks(many, "v").groupBy(F.spark_partition_id()).agg(F.sum("n").alias("n")).collect()]
     assert sum(sizes) == 20_000 and len(sizes) >= 4 and max(sizes) < 6_000
+
+
+def test_axes_take_few_entries_at_a_time(spark, texts, monkeypatch):
+    """A task holds a bounded number of entries, whatever the number and length of the texts."""
+    slices = list(latent_module._slices(np.cumsum([0, 5, 70_000, 3, 65_000, 600])))
+    assert slices == [(0, 1), (1, 2), (2, 4), (4, 5)] and list(latent_module._slices(np.array([0]))) == []
+    whole = latent_axes(texts, "text", 4, 256, steps=30)
+    monkeypatch.setattr(latent_module, "ENTRIES", 8)
+    parts = latent_axes(texts, "text", 4, 256, steps=30)
+    assert np.allclose(whole.axes, parts.axes, atol=1e-6) and np.allclose(whole.strengths, parts.strengths)
