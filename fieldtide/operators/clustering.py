@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -18,53 +17,35 @@ from pyspark.sql import functions as F
 from fieldtide.functions import text as tx
 from fieldtide.operators import kmeans
 from fieldtide.operators.kmeans import Model
+from fieldtide.operators.latent import bucket
 
 CENTERS = 2000  # centroids in one value of a plan
 
 
-def word_buckets(df: DataFrame, text_col: str, dim: int, out: str = "_tf") -> DataFrame:
-    """The input with ``out``: how many words of the lower-cased text fall into each of ``dim`` buckets.
-
-    The bucket of a word is the first 32 bits of its MD5, modulo ``dim``; each task looks a word up once.
-    """
-
-    @F.pandas_udf("array<double>")
-    def counted(words: pd.Series) -> pd.Series:
-        known: dict[str, int] = {}
-
-        def bucket(word: str) -> int:
-            if word not in known:
-                if len(known) > 1_000_000:
-                    known.clear()
-                known[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
-            return known[word]
-
-        return words.map(lambda w: np.bincount([bucket(x) for x in w], minlength=dim).astype(float) if w is not None and len(w) else np.zeros(dim))
-
-    return df.withColumn(out, counted(tx.tokens(F.lower(F.col(text_col)))))
-
-
 def embed_text(df: DataFrame, text_col: str, dim: int = 256, out: str = "features") -> DataFrame:
     """Unit vectors of hashed words weighted by inverse frequency; texts without words get the zero vector.
 
     A bucket's weight is ln((texts + 1) / (texts with it + 1)), over all texts. The weights are ``dim`` numbers of the plan.
+    Words become bucket numbers in native expressions, so Python sees four bytes per word.
     """
-    counted = word_buckets(df, text_col, dim)
-    used = F.explode(F.filter(F.transform("_tf", lambda v, i: F.when(v > 0, i)), lambda i: i.isNotNull())).alias("bucket")
-    found = {r["bucket"]: r["count"] for r in counted.select(used).groupBy("bucket").count().collect()}
+    buckets = F.transform(tx.tokens(F.lower(F.col(text_col))), lambda w: bucket(w, dim))
+    used = df.select(F.explode(F.array_distinct(buckets)).alias("bucket"))
+    found = {r["bucket"]: r["count"] for r in used.groupBy("bucket").count().collect()}
     total = df.count()
     weights = np.log((total + 1) / (np.array([found.get(i, 0) for i in range(dim)]) + 1))
 
     @F.pandas_udf("array<double>")
-    def unit(counts: pd.Series) -> pd.Series:
-        def one(row):
-            weighted = np.asarray(row) * weights
+    def unit(listed: pd.Series) -> pd.Series:
+        def one(at):
+            if at is None or not len(at):
+                return np.zeros(dim)
+            weighted = np.bincount(at, minlength=dim) * weights
             length = np.sqrt(weighted @ weighted)
             return weighted / length if length > 0 else weighted
 
-        return counts.map(one)
+        return listed.map(one)
 
-    return counted.withColumn(out, array_to_vector(unit("_tf"))).drop("_tf")
+    return df.withColumn(out, array_to_vector(unit(buckets)))
 
 
 def _array(df: DataFrame, vec: str) -> Column:
