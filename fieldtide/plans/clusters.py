@@ -22,8 +22,12 @@ def reason_clusters(
 
     Texts are embedded as ``dim`` hashed words, or on the ``latent`` strongest axes of their words.
     """
-    clean = comments.withColumn("cleaned", tx.clean_text(F.col(text_col)))
-    words = tt.lemmatize(clean, "cleaned", lemmas, key=id_col)
+    # Comments are short, so a few input files hold very many: they are dealt to all cores, and each step is stored for the
+    # passes that follow.
+    cores = comments.sparkSession.sparkContext.defaultParallelism
+    dealt = comments.repartition(max(cores, comments.rdd.getNumPartitions()))
+    clean = stored(dealt.withColumn("cleaned", tx.clean_text(F.col(text_col))), "clean-comments")
+    words = stored(tt.lemmatize(clean, "cleaned", lemmas, key=id_col), "lemmatized-comments")
     if latent:
         vectors = latent_axes(words, "lemmatized", latent).vectors(words, "lemmatized")
     else:

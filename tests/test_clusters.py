@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from fieldtide.operators import clustering, features, kmeans
 from fieldtide.operators import latent as latent_module
 from fieldtide.operators.latent import latent_axes
+from fieldtide.plans import clusters as cluster_plan
 from fieldtide.plans.clusters import reason_clusters
+from fieldtide.session import stored
 
 
 def plain_lloyd(x, k, ids, start, tol=1e-4, most=300):
@@ -172,3 +174,21 @@ def test_axes_take_few_entries_at_a_time(spark, texts, monkeypatch):
     monkeypatch.setattr(latent_module, "ENTRIES", 8)
     parts = latent_axes(texts, "text", 4, 256, steps=30)
     assert np.allclose(whole.axes, parts.axes, atol=1e-6) and np.allclose(whole.strengths, parts.strengths)
+
+
+def test_embedding_hashes_words_outside_python(texts):
+    plan = clustering.embed_text(texts, "text", 32)._jdf.queryExecution().optimizedPlan().toString()
+    udf = plan[plan.index("ArrowEvalPython"):].splitlines()[0]
+    assert "md5" in udf  # what the function takes are bucket numbers
+
+
+def test_comments_of_one_file_are_dealt_to_all_cores(spark, texts, monkeypatch):
+    sizes = {}
+
+    def seen(df, name):
+        sizes[name] = df.rdd.getNumPartitions()
+        return stored(df, name)
+
+    monkeypatch.setattr(cluster_plan, "stored", seen)
+    reason_clusters(texts.where("text <> ''").coalesce(1), "id", "text", ks=(2, 3), restarts=1, dim=16, n=1)
+    assert sizes["clean-comments"] >= spark.sparkContext.defaultParallelism and "lemmatized-comments" in sizes
