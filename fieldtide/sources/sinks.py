@@ -59,14 +59,23 @@ def recipient_rows(results: DataFrame, recipients: DataFrame, keys: Sequence[str
     return results.join(recipients.select(*keys).distinct(), list(keys), "left_semi")
 
 
+LARGE = 1_000_000  # rows of an extract that one task writes
+
+
 def export_by_recipient(results: DataFrame, recipients: DataFrame, out: str, keys: Sequence[str] = ("user", "run_ts")) -> None:
     """One folder of CSV files per recipient and run time.
 
-    Rows are brought together per extract before writing; the rebalance hint lets Spark split
-    an extract that is too large for one task.
+    The extracts are dealt to a fixed number of tasks, as many small ones cost time by the folder and not by their size; an
+    extract of more than ``LARGE`` rows goes to several tasks. Each task moves its own files to their folders when it is
+    done, as the driver would move those of all extracts one by one: a failed run can leave some of them.
     """
-    rows = recipient_rows(results, recipients, keys).hint("rebalance", *keys)
-    rows.write.mode("overwrite").option("header", True).partitionBy(*keys).csv(out)
+    rows = recipient_rows(results, recipients, keys)
+    parts = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / LARGE).alias("_parts")).where("_parts > 1")
+    part = F.coalesce(F.pmod(F.xxhash64(*results.columns), F.col("_parts")), F.lit(0))
+    tasks = int(results.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.join(parts, list(keys), "left").repartition(tasks, *keys, part).select(*results.columns)
+    dealt.write.mode("overwrite").option("header", True).option(
+        "mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(*keys).csv(out)
 
 
 def report_lines(body: DataFrame, header: Sequence[str], order: Sequence[Column]) -> DataFrame:

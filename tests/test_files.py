@@ -152,3 +152,15 @@ def test_recipients_stream_forgets_old_runs_and_keeps_late_ones(spark, tmp_path)
     assert run("d", "eve,e@x,2024-01-01 11:00:00", keep="1 second")[1] == 4  # ann, bob, cyd and eve; not dan
     # What was kept for a second is forgotten: the same run is handed on again, and not lost.
     assert run("e", "dan,d@x,2024-01-01 11:00:00", keep="1 second")[0].count(("dan", "11:00")) == 2
+
+
+def test_small_extracts_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    rows = spark.range(300).select((F.col("id") % 60).alias("user"), F.lit("2024-01-01").alias("run_ts"), "id")
+    sinks.export_by_recipient(rows, rows.where("user < 50"), str(tmp_path / "small"))
+    names = [f.name[:10] for f in (tmp_path / "small").rglob("part-*.csv")]
+    assert len(names) == 50 and len(set(names)) > 1
+    monkeypatch.setattr(sinks, "LARGE", 20)
+    one = rows.withColumn("user", F.lit(1))
+    sinks.export_by_recipient(one, one, str(tmp_path / "large"))
+    assert len(list((tmp_path / "large").rglob("part-*.csv"))) > 1
+    assert sorted(r.id for r in spark.read.csv(str(tmp_path / "large"), header=True, inferSchema=True).collect()) == list(range(300))
