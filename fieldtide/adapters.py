@@ -6,10 +6,13 @@ The texts below run on Spark and, for the checks, on DuckDB; {name} stands for a
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from fieldtide.session import bucketed
+
 AS_OF_ORDERS = "1998-03-10"
 AS_OF_EVENTS = "2024-02-05"
 
@@ -164,9 +167,24 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._bucketed: dict[str, DataFrame] = {}
+
+    def bucketed(self, keys: Mapping[str, str], views: Sequence[str]) -> Tables:
+        """These tables for ``views`` that join some of them again and again by one key: those are written in its buckets.
+
+        Only columns that the views name are written.
+        """
+        named = set(re.findall(r"\w+", " ".join(VIEWS[v] for v in views)))
+        tables = Tables(self.spark, self.folder)
+        for name, key in keys.items():
+            rows = self.table(name)
+            tables._bucketed[name] = bucketed(rows.select(*[c for c in rows.columns if c in named]), name, key)
+        return tables
 
     def table(self, name: str) -> DataFrame:
         """The table, with the schema known from its first use (as from a catalog)."""
+        if name in self._bucketed:
+            return self._bucketed[name]
         path = f"{self.folder}/{name}.parquet"
         if path not in _SCHEMAS:
             _SCHEMAS[path] = self.spark.read.parquet(path).schema

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldtide.functions import dates, rules
 from fieldtide.functions import fixed_values as fixed
-from fieldtide.functions import rules
 from fieldtide.operators import columns, joins, ordered
 
 
@@ -21,9 +21,10 @@ def alloc_sums(df: DataFrame, keys: Sequence[str], quantity: str, name: str) ->
     return df.groupBy(*keys).agg(F.sum(quantity).alias(name))
 
 
-def confirmed_allocations(allocs: DataFrame, requests: DataFrame, skus: DataFrame, since: str) -> DataFrame:
-    """Open confirmed quantity per store and SKU of requests after ``since``."""
+def confirmed_allocations(allocs: DataFrame, requests: DataFrame, skus: DataFrame, since: str, stores: DataFrame | None = None) -> DataFrame:
+    """Open confirmed quantity per store and SKU of requests after ``since``, of SKUs and stores in ``stores`` only if given."""
     opened = columns.current_version(allocs, "eff_end_dttm")
+    opened = opened if stores is None else of_items(opened, stores, "loc_nbr")
     asked = requests.where(F.col("ord_dt") > F.lit(since).cast("date")).select("agg_nbr", F.col("mkt_dc_nbr").alias("rdc_nbr"))
     rows = opened.join(asked, "agg_nbr").join(latest_sku(skus), "sku_nbr")
     return alloc_sums(rows, ["rdc_nbr", "loc_nbr", "sku_nbr", "sku_crt_dt"], "conf_alloc_qty", "conf_alloc_qty")
@@ -33,6 +34,16 @@ def _int(column: str) -> Column:
     return F.expr(f"try_cast({column} as bigint)")
 
 
+def stores_of(rows: DataFrame) -> DataFrame:
+    """The stores of every SKU of rows with ``sku_nbr`` and ``loc_nbr``, as one list of numbers per SKU."""
+    return rows.groupBy(F.col("sku_nbr").alias("_sku")).agg(F.collect_set(_int("loc_nbr")).alias("_stores"))
+
+
+def of_items(df: DataFrame, stores: DataFrame, store: str) -> DataFrame:
+    """The rows whose SKU has their store in ``stores`` (``stores_of``); rows that lie by SKU already are not moved."""
+    return df.join(stores, (F.col("sku_nbr") == F.col("_sku")) & F.array_contains("_stores", _int(store)), "left_semi")
+
+
 def yard_lines(trailers: DataFrame, arrivals: DataFrame, requests: DataFrame, events: DataFrame) -> DataFrame:
     """Trailer lines with a matching arrival (within three days), request and order event."""
     waiting = trailers.where(
@@ -40,21 +51,21 @@ def yard_lines(trailers: DataFrame, arrivals: DataFrame, requests: DataFrame, ev
         & F.col("load_typ").isin(*fixed.LOAD_TYPES)
         & F.col("move_2_zone").isNull()
     ).withColumn("_rdc", _int("rdc_nbr"))
-    seen = arrivals.where(~F.col("zone").like(fixed.EXCLUDED_ZONE)).select(
-        _int("dc_nbr").alias("_dc"), F.col("tlr_nbr").alias("_tlr"), F.col("arvl_tm").cast("date").alias("_arrived")
-    ).distinct()
-    rows = joins.date_range_join(
-        waiting, seen, {"_rdc": "_dc", "trlr_nbr": "_tlr"}, "in_yard_dt", "_arrived"
-    ).drop("_dc", "_tlr", "_arrived")
-    # Only existence matters from here on (the result is distinct), so these are semi joins.
+    # Only existence matters from here on (the result is distinct), so these are semi joins. Requests, events and trailers
+    # meet by order, and the days a trailer arrived on are one list: both are short.
     wanted = requests.where(
         F.col("crt_pgm_id").isin(*fixed.CREATE_PROGRAMS) | (F.col("agg_typ_cd") == fixed.ANY_PROGRAM_TYPE)
     ).select("po_nbr", _int("mkt_dc_nbr").alias("_dc"), "ord_dt")
     allowed = events.where(
         (F.col("dsvc_typ_cd") != fixed.EXCLUDED_SERVICE) & F.col("rmeth_cd").isin(*fixed.RECEIVE_METHODS)
     ).select("po_nbr", _int("recv_loc_nbr").alias("_recv"), "ord_crt_dt")
-    ordered_now = joins.semi_join(wanted, allowed, {"po_nbr": "po_nbr", "_dc": "_recv", "ord_dt": "ord_crt_dt"})
-    return joins.semi_join(rows, ordered_now, {"po_nbr": "po_nbr", "_rdc": "_dc", "po_crt_dt": "ord_dt"})
+    ordered_now = joins.semi_join_by(wanted, allowed, "po_nbr", {"po_nbr": "po_nbr", "_dc": "_recv", "ord_dt": "ord_crt_dt"})
+    rows = joins.semi_join_by(waiting, ordered_now, "po_nbr", {"po_nbr": "po_nbr", "_rdc": "_dc", "po_crt_dt": "ord_dt"})
+    seen = arrivals.where(~F.col("zone").like(fixed.EXCLUDED_ZONE)).groupBy(
+        _int("dc_nbr").alias("_dc"), F.col("tlr_nbr").alias("_tlr")
+    ).agg(F.collect_set(F.col("arvl_tm").cast("date")).alias("_days"))
+    near = F.exists("_days", lambda day: dates.fn_datetime_diff("day", day, F.col("in_yard_dt")).between(-3, 3))
+    return rows.join(seen, (F.col("_rdc") == F.col("_dc")) & (F.col("trlr_nbr") == F.col("_tlr")) & near, "left_semi")
 
 
 def yard_supply(
@@ -72,7 +83,7 @@ def yard_supply(
     done = allocated.select("po_nbr", _int("recv_loc_nbr").alias("_recv"), "po_crt_dt")
     rows = lines if lines is not None else yard_lines(trailers, arrivals, requests, events)
     rows = joins.semi_join(rows, today, {"_rdc": "_plan_rdc", "trlr_nbr": "_plan_trlr"})
-    rows = joins.anti_join(rows, done, {"po_nbr": "po_nbr", "_rdc": "_recv", "po_crt_dt": "po_crt_dt"})
+    rows = joins.anti_join_by(rows, done, "po_nbr", {"po_nbr": "po_nbr", "_rdc": "_recv", "po_crt_dt": "po_crt_dt"})
     distinct = rows.join(latest_sku(skus), "sku_nbr").select(
         "sku_nbr", "po_nbr", "sku_crt_dt", "rdc_nbr", "units_ordered", F.col("vendor_id").alias("mven")
     ).distinct()
@@ -87,7 +98,7 @@ def virtual_allocations(
     here = lines if lines is not None else yard_lines(trailers, arrivals, requests, events)
     here = here.select("vendor_id", "po_nbr", "_rdc")
     asked = requests.where(F.col("ord_dt") > F.lit(since).cast("date")).withColumn("_dc", _int("mkt_dc_nbr"))
-    asked = joins.semi_join(asked, here, {"mvndr_nbr": "vendor_id", "po_nbr": "po_nbr", "_dc": "_rdc"})
+    asked = joins.semi_join_by(asked, here, "po_nbr", {"mvndr_nbr": "vendor_id", "po_nbr": "po_nbr", "_dc": "_rdc"})
     asked = asked.select("agg_nbr", F.col("mkt_dc_nbr").alias("rdc_nbr"), "mvndr_nbr")
     rows = allocs.join(asked, "agg_nbr").join(latest_sku(skus), "sku_nbr")
     keys = ["rdc_nbr", "loc_nbr", "sku_nbr", "sku_crt_dt", "mvndr_nbr"]

@@ -139,3 +139,31 @@ def _existence(df, other, on, how):
         one = F.col(ours) == F.col(f"_other_{theirs}")
         match = one if match is None else match & one
     return df.join(side, match, how)
+
+
+def semi_join_by(df: DataFrame, other: DataFrame, key: str, on: Mapping[str, str]) -> DataFrame:
+    """The rows of ``semi_join``, moved by ``key`` alone, one of the columns of ``on``.
+
+    The rest of the other table's columns is listed once per key, so tables that lie by this key already stay where
+    they are. For keys that have few different rows in the other table, as an order has few sites and dates.
+    """
+    return _existence_by(df, other, key, on, "left_semi")
+
+
+def anti_join_by(df: DataFrame, other: DataFrame, key: str, on: Mapping[str, str]) -> DataFrame:
+    """The rows of ``anti_join``, moved by ``key`` alone as in ``semi_join_by``."""
+    return _existence_by(df, other, key, on, "left_anti")
+
+
+def _existence_by(df, other, key, on, how):
+    rest = {ours: theirs for ours, theirs in on.items() if ours != key}
+    entry = F.struct(*[F.col(theirs).alias(ours) for ours, theirs in rest.items()])
+    listed = other.groupBy(F.col(on[key]).alias("_other_key")).agg(F.collect_set(entry).alias("_listed"))
+
+    def equal(row: Column) -> Column:
+        match = F.lit(True)
+        for ours in rest:
+            match &= F.col(ours) == row[ours]
+        return match
+
+    return df.join(listed, (F.col(key) == F.col("_other_key")) & F.exists("_listed", equal), how)

@@ -87,6 +87,8 @@ def confirmed(t: Tables):
 def allocation_rows(t: Tables):
     names = ("fx_trailers", "fx_yard_arrivals", "fx_plan", "fx_allocated", "fx_requests", "fx_order_events", "fx_skus",
              "fx_allocs", "fx_store_params", "fx_store_stock")
+    # Eight of these views join the lines to their orders.
+    t = t.bucketed({"lineitem": "l_orderkey", "orders": "o_orderkey"}, names)
     rows = allocation_tables(*[t.fx(n) for n in names], AS_OF_ORDERS, SINCE)
     return rows.withColumn("wos", F.round("wos", 6))
 

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: list[str] = []
+_TABLES: list[str] = []
 
 
 def spark_session(app: str = "fieldtide", master: str | None = None, **conf: str) -> SparkSession:
@@ -68,9 +69,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Write ``df`` once in buckets of ``key``, below the scratch folder, and read it back as a table.
+
+    Joins and groups by ``key`` then move none of its rows, whichever of its columns they take.
+    """
+    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex[:12]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(n, key).write.bucketBy(n, key).sortBy(key).format("parquet")
+    writer.option("path", scratch_path(spark, name)).saveAsTable(table)
+    _TABLES.append(table)
+    return spark.table(table)
+
+
 def _remove(spark: SparkSession) -> None:
     """Remove what was written, through Spark's own file systems; nothing to do once the session has ended."""
     try:
+        for table in _TABLES:
+            spark.sql(f"drop table if exists {table}")
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for path in _WRITTEN:
             target = jvm.org.apache.hadoop.fs.Path(path)

@@ -303,3 +303,29 @@ def test_no_query_plans_a_cross_join(spark):
     for name in ("job_level_table", "region_report", "falloff_comments", "yard_supply", "boxcox_lambda", "interval_join", "cluster_ch"):
         plan = queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_existence_by_one_key_equals_existence_by_all(spark):
+    rng = random.Random(8)
+    some = lambda n: rng.choice([None, *range(n)])
+    df = spark.createDataFrame([(i, some(4), some(3), some(3)) for i in range(200)], "id int, k int, a int, b int")
+    other = spark.createDataFrame([(some(4), some(3), some(3)) for _ in range(12)], "ok int, oa int, ob int")
+    on = {"k": "ok", "a": "oa", "b": "ob"}
+    ids = lambda rows: sorted(r.id for r in rows.select("id").collect())
+    assert ids(joins.semi_join_by(df, other, "k", on)) == ids(joins.semi_join(df, other, on))
+    assert ids(joins.anti_join_by(df, other, "k", on)) == ids(joins.anti_join(df, other, on))
+
+
+def test_allocation_moves_lines_and_orders_once(spark, tables):
+    from fieldtide.registry.allocation_queries import allocation_rows
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = allocation_rows(tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    for key in ("l_orderkey", "o_orderkey"):
+        assert f"hashpartitioning({key}" not in plan
+    # Stock and parameters meet the wanted SKUs and stores before they are moved by item.
+    assert plan.count("array_contains(_stores") == 3
