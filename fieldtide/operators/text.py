@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +15,17 @@ from fieldtide.functions import text as tx
 from fieldtide.session import stored
 
 SMALL_TABLE = 32 << 20  # characters of a lemma table that is sent to every task
+PIECE = 1 << 20  # bytes of text that a lookup turns into Python strings at a time
 SALTS = 32  # parts of the tokens of one word in the join with a larger table
 
 
+def pieces(texts: pa.Array, size: int = PIECE) -> Iterator[pa.Array]:
+    """The texts of an Arrow batch in turn, in slices of about ``size`` bytes: only a slice need be Python strings at a time."""
+    rows = max(1, len(texts) * size // max(size, texts.nbytes))
+    for start in range(0, max(1, len(texts)), rows):
+        yield texts.slice(start, rows)
+
+
 def detached(form: Column) -> Column:
     """The singular forms that the noun endings of a token of four letters or more allow, as an array in rule order."""
     cut = lambda ending, base: F.concat(F.left(form, F.length(form) - len(ending)), F.lit(base))
@@ -56,10 +66,14 @@ def replace_forms(df: DataFrame, text_col: str, table: DataFrame, out: str, key:
     if size <= SMALL_TABLE:
         sent = df.sparkSession.sparkContext.broadcast({r["form"]: r["lemma"] for r in table.toLocalIterator()})
 
-        @F.pandas_udf("string")
-        def replaced(texts: pd.Series) -> pd.Series:
+        @F.arrow_udf("string")
+        def replaced(texts: pa.Array) -> pa.Array:
             known, gap = sent.value, re.compile(r"[ \t\n\x0b\f\r]+")
-            return texts.map(lambda text: None if text is None else " ".join(known.get(w, w) for w in gap.split(text) if w))
+
+            def one(text):
+                return None if text is None else " ".join(known.get(w, w) for w in gap.split(text) if w)
+
+            return pa.concat_arrays([pa.array([one(text) for text in part.to_pylist()], pa.string()) for part in pieces(texts)])
 
         return df.withColumn(out, replaced(F.col(text_col)))
     if key is None:

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from fieldtide.functions import fixed_values as fixed
@@ -98,3 +99,11 @@ def test_abbreviations_are_learnt_from_the_texts(spark):
     assert {"abt", "tel"} <= got and not {"value", "high", "no", "now"} & got
     found = tt.learnt_sentences(df, "text", tt.learn_abbreviations(df, "text")).first().sentences
     assert found[-1].startswith("See tel. ")
+
+
+def test_a_batch_of_texts_is_looked_up_in_small_pieces():
+    texts = pa.array(["a b " * 50, None, "", *["word " * 200] * 40])
+    parts = list(tt.pieces(texts, 4096))
+    assert pa.concat_arrays(parts).equals(texts)
+    assert len(parts) > 5 and max(p.nbytes for p in parts) < 3 * 4096
+    assert [len(p) for p in tt.pieces(texts.slice(0, 0))] == [0]
