@@ -87,8 +87,12 @@ class RawSentences:
             at = int(owner[i])
             if bounds[i] == best and at >= best_at:
                 continue
-            matcher.set_seq1(" ".join(self.words[first[i]:last[i]]))
-            score = matcher.ratio()
+            run = " ".join(self.words[first[i]:last[i]])
+            if run == query and len(query) < 200:
+                score = 1.0  # from 200 letters on the matcher leaves frequent letters out, and equal texts may have less
+            else:
+                matcher.set_seq1(run)
+                score = matcher.ratio()
             if score > best or (score == best and at < best_at):
                 best, best_at = score, at
         return best_at

@@ -329,3 +329,11 @@ def test_allocation_moves_lines_and_orders_once(spark, tables):
         assert f"hashpartitioning({key}" not in plan
     # Stock and parameters meet the wanted SKUs and stores before they are moved by item.
     assert plan.count("array_contains(_stores") == 3
+
+
+def test_equal_sentences_are_not_compared_by_blocks(monkeypatch):
+    monkeypatch.setattr(SequenceMatcher, "ratio", lambda self: pytest.fail("compared"))
+    assert RawSentences(["one two, three.", "red green blue"]).best_match("red green blue") == 1
+    long = "ab" * 150
+    monkeypatch.undo()
+    assert RawSentences(["zz", long]).best_match(long) == (1 if SequenceMatcher(None, long, long).ratio() else 0)
